@@ -17,15 +17,15 @@ _SLOTS = ",\n".join(
     f"min(l_partkey % 2000) FILTER (WHERE l_linenumber = {n}) AS part{n}" for n in range(1, 8)
 )
 _SLOT_COLUMNS = ",\n".join(
-    f"lpad(CAST(part{n} AS VARCHAR), 5, '0') AS icdproc{n}" for n in range(1, 8)
-) + ",\n" + ",\n".join(f"CAST(NULL AS VARCHAR) AS icdproc{n}" for n in range(8, 11))
+    f"lpad(CAST(part{n} AS STRING), 5, '0') AS icdproc{n}" for n in range(1, 8)
+) + ",\n" + ",\n".join(f"CAST(NULL AS STRING) AS icdproc{n}" for n in range(8, 11))
 
 _CLAIMS = f"""
 slots AS (SELECT l_orderkey, {_SLOTS} FROM lineitem GROUP BY l_orderkey),
 dated AS (
   SELECT o.*, s.*,
     CASE WHEN o_orderkey % 227 <> 0 THEN DATE '2018-01-01'
-      + CAST((CAST(o_orderdate AS DATE) - DATE '1995-01-01') % 14 AS INTEGER) END AS day0
+      + CAST(dayofyear(o_orderdate) % 14 AS INTEGER) END AS day0
   FROM orders o LEFT JOIN slots s ON o.o_orderkey = s.l_orderkey),
 claims AS (
   SELECT
@@ -38,11 +38,11 @@ claims AS (
     day0 AS prm_fromdate,
     day0 + CAST(o_orderkey % 5 AS INTEGER) AS prm_todate,
     CASE WHEN o_orderkey % 13 <> 0
-      THEN lpad(CAST(o_orderkey % 25 + 1 AS VARCHAR), 3, '0') END AS prm_drg,
+      THEN lpad(CAST(o_orderkey % 25 + 1 AS STRING), 3, '0') END AS prm_drg,
     CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' AND o_orderkey % 2 = 0
-      THEN '99283' ELSE lpad(CAST(o_orderkey * 7 % 2000 AS VARCHAR), 5, '0') END AS hcpcs,
+      THEN '99283' ELSE lpad(CAST(o_orderkey * 7 % 2000 AS STRING), 5, '0') END AS hcpcs,
     CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' AND o_orderkey % 2 = 1
-      THEN '0450' ELSE lpad(CAST(o_orderkey % 1000 AS VARCHAR), 4, '0') END AS revcode,
+      THEN '0450' ELSE lpad(CAST(o_orderkey % 1000 AS STRING), 4, '0') END AS revcode,
     {_SLOT_COLUMNS},
     CASE WHEN o_orderkey % 229 = 0 THEN NULL
       WHEN o_orderstatus = 'F' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'I12' ELSE 'I12a' END
@@ -58,14 +58,17 @@ claims AS (
 
 _CODES = """
 parts AS (
-  SELECT *, p_partkey % 2000 AS number FROM part
-  QUALIFY row_number() OVER (PARTITION BY p_partkey % 2000 ORDER BY p_partkey) = 1),
+  SELECT * FROM (
+    SELECT *, p_partkey % 2000 AS number,
+      row_number() OVER (PARTITION BY p_partkey % 2000 ORDER BY p_partkey) AS nth
+    FROM part) numbered
+  WHERE nth = 1),
 code_table AS (
-  SELECT lpad(CAST(number AS VARCHAR), 5, '0') AS code, p_name AS code_description,
+  SELECT lpad(CAST(number AS STRING), 5, '0') AS code, p_name AS code_description,
     'ICD10_PROC' AS code_type, 'ccs' || (p_size + 110) AS ccs
   FROM parts WHERE p_type IN ('ECONOMY', 'MEDIUM', 'SMALL')
   UNION ALL
-  SELECT lpad(CAST(number AS VARCHAR), 5, '0'), p_name, 'CPT_HCPCS', 'ccs' || (p_size + 110)
+  SELECT lpad(CAST(number AS STRING), 5, '0'), p_name, 'CPT_HCPCS', 'ccs' || (p_size + 110)
   FROM parts WHERE p_type IN ('LARGE', 'PROMO', 'STANDARD')
   UNION ALL
   SELECT DISTINCT lpad(replace(p_brand, 'Brand#', ''), 3, '0'), p_brand, 'MSDRG',
@@ -108,20 +111,21 @@ transfers AS (
     AND member_id IS NOT NULL AND prm_todate IS NOT NULL)"""
 
 
-def _covered(signals: str, row: str, days: str = "LOOKBACK") -> str:
-    return (
-        f"CASE WHEN EXISTS (SELECT 1 FROM {signals} s WHERE s.member_id = {row}.member_id"
-        f" AND s.day BETWEEN {row}.prm_fromdate - {days} AND {row}.prm_fromdate)"
-        " THEN 'Y' ELSE 'N' END"
-    )
-
-
-_FLAGS = f"""
-ip_flagged AS (
-  SELECT i.*, {_covered("visits", "i")} AS er_directed,
-    {_covered("transfers", "i")} AS transfer_yn
-  FROM ip_allowed i),
-op_flagged AS (SELECT o.*, {_covered("visits", "o")} AS er_directed FROM op_candidates o),
+def _flagged(name: str, candidates: str, signals: str, flag: str) -> str:
+    return f"""
+{name}_hits AS (
+  SELECT DISTINCT c.sequencenumber, c.ccs, c.position
+  FROM {candidates} c JOIN {signals} s ON c.member_id = s.member_id
+    AND s.day BETWEEN c.prm_fromdate - LOOKBACK AND c.prm_fromdate),
+{name} AS (
+  SELECT c.*, CASE WHEN h.sequencenumber IS NULL THEN 'N' ELSE 'Y' END AS {flag}
+  FROM {candidates} c LEFT JOIN {name}_hits h ON c.sequencenumber = h.sequencenumber
+    AND c.ccs = h.ccs AND c.position = h.position)"""
+
+
+_FLAGS = f"""{_flagged("ip_visits", "ip_allowed", "visits", "er_directed")},
+{_flagged("ip_flagged", "ip_visits", "transfers", "transfer_yn")},
+{_flagged("op_flagged", "op_candidates", "visits", "er_directed")},
 ip_preventable AS (
   SELECT *, CASE WHEN transfer_yn = 'Y' OR er_directed = 'Y' THEN 'N' ELSE 'Y' END
     AS preventable_yn
@@ -131,21 +135,29 @@ op_preventable AS (
   FROM op_flagged WHERE ccs NOT IN (INPATIENT_ONLY))"""
 
 _CASE_ORDER = (
-    "row_number() OVER (PARTITION BY caseadmitid ORDER BY position ASC NULLS FIRST,"
-    " mr_allowed DESC NULLS LAST, prm_fromdate ASC NULLS FIRST, sequencenumber, ccs)"
+    "PARTITION BY caseadmitid ORDER BY position ASC NULLS FIRST,"
+    " mr_allowed DESC NULLS LAST, prm_fromdate ASC NULLS FIRST, sequencenumber, ccs"
 )
 _DAY_ORDER = (
-    "row_number() OVER (PARTITION BY member_id, prm_fromdate ORDER BY"
-    " paiddate DESC NULLS LAST, mr_allowed DESC NULLS LAST, sequencenumber, ccs)"
+    "PARTITION BY member_id, prm_fromdate ORDER BY"
+    " paiddate DESC NULLS LAST, mr_allowed DESC NULLS LAST, sequencenumber, ccs"
 )
 
+
+def _first(candidates: str, order: str) -> str:
+    return (
+        f"(SELECT * FROM (SELECT *, row_number() OVER ({order}) AS nth"
+        f" FROM {candidates}) ranked WHERE nth = 1)"
+    )
+
+
 _CHOSEN = f"""
 ip_chosen AS (
   SELECT member_id, caseadmitid, sequencenumber, prm_fromdate, ccs, position, preventable_yn
-  FROM ip_preventable QUALIFY {_CASE_ORDER} = 1),
+  FROM {_first("ip_preventable", _CASE_ORDER)} f),
 op_chosen AS (
   SELECT member_id, caseadmitid, sequencenumber, prm_fromdate, ccs, position, preventable_yn
-  FROM op_preventable QUALIFY {_DAY_ORDER} = 1),
+  FROM {_first("op_preventable", _DAY_ORDER)} f),
 chosen AS (SELECT * FROM ip_chosen UNION ALL SELECT * FROM op_chosen),
 decorated AS (
   SELECT l.sequencenumber,
@@ -157,14 +169,16 @@ decorated AS (
 _STEPS = [_CLAIMS, _CODES, _CANDIDATES, _SIGNALS, _FLAGS, _CHOSEN]
 
 
-def _sql(select: str, steps: int = len(_STEPS), lookback: int = 1, only=None) -> str:
-    names = _texts(only or fixed.INPATIENT_ONLY_CATEGORIES)
-    text = "WITH " + ",".join(_STEPS[:steps]) + "\n" + select
-    return text.replace("(INPATIENT_ONLY)", names).replace("LOOKBACK", str(lookback))
+def _filled(text: str, lookback: int = 1, only=fixed.INPATIENT_ONLY_CATEGORIES) -> str:
+    return text.replace("(INPATIENT_ONLY)", _texts(only)).replace("LOOKBACK", str(lookback))
+
+
+def _sql(select: str, steps: int = len(_STEPS), **rules) -> str:
+    return "WITH " + _filled(",".join(_STEPS[:steps]) + "\n" + select, **rules)
 
 
 def _as_text(alias: str, *names: str) -> str:
-    return ", ".join(f"CAST({alias}.{n} AS VARCHAR) AS {n}" for n in names)
+    return ", ".join(f"CAST({alias}.{n} AS STRING) AS {n}" for n in names)
 
 
 _CANDIDATE_IP = (
@@ -195,7 +209,7 @@ def _after_error(days: int) -> str:
     return f"""
 WITH dated AS (SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events),
 errors AS (SELECT DISTINCT user_id, day FROM dated WHERE event_type = 'error')
-SELECT event_id, user_id, CAST(day AS VARCHAR) AS day,
+SELECT event_id, user_id, CAST(day AS STRING) AS day,
   CASE WHEN EXISTS (SELECT 1 FROM errors e WHERE e.user_id = d.user_id
     AND e.day BETWEEN d.day - {days} AND d.day) THEN 'Y' ELSE 'N' END AS after_error
 FROM dated d"""
@@ -277,16 +291,26 @@ SELECT (SELECT count(*) FROM lineitem) AS n_lines,
   (SELECT count(*) FROM orders WHERE o_orderpriority = '5-LOW') AS n_broken_priority"""
 
 
+def stored_decoration_sql() -> str:
+    """The full decoration over views claims, icd_procs, hcpcs_codes and drg.
+
+    In the form the steps are described in: each signal is joined by member and date
+    range, its flag is joined back, then one row per group is chosen. Runs on Spark too, so
+    that the library's plan can be timed against it.
+    """
+    return "WITH " + _filled(",".join(_STEPS[2:]) + "\n" + _DECORATED)
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for each registered query, over the driver's tables as views."""
-    days = "SELECT member_id, CAST(day AS VARCHAR) AS day FROM {}"
+    days = "SELECT member_id, CAST(day AS STRING) AS day FROM {}"
     preventable = "SELECT sequencenumber, ccs, position, preventable_yn FROM {}"
     chosen = f"SELECT {_FLAGGED}, x.preventable_yn FROM {{}} x"
     shown_as_text = "prm_fromdate", "prm_todate", "paiddate", "mr_allowed"
     return {
         "claims_view": _sql(
             "SELECT x.* REPLACE ("
-            + ", ".join(f"CAST(x.{d} AS VARCHAR) AS {d}" for d in shown_as_text)
+            + ", ".join(f"CAST(x.{d} AS STRING) AS {d}" for d in shown_as_text)
             + ") FROM claims x",
             1,
         ),
@@ -311,7 +335,7 @@ def oracle_sql() -> dict[str, str]:
 , e AS (SELECT member_id, day FROM visits UNION SELECT member_id, day + 1 FROM visits),
 t AS (SELECT member_id, day FROM transfers UNION SELECT member_id, day + 1 FROM transfers)
 SELECT coalesce(e.member_id, t.member_id) AS member_id,
-  CAST(coalesce(e.day, t.day) AS VARCHAR) AS day,
+  CAST(coalesce(e.day, t.day) AS STRING) AS day,
   CASE WHEN e.day IS NULL THEN 'N' ELSE 'Y' END AS emergency,
   CASE WHEN t.day IS NULL THEN 'N' ELSE 'Y' END AS transfer
 FROM e FULL JOIN t ON e.member_id = t.member_id AND e.day = t.day""",
@@ -325,14 +349,10 @@ FROM e FULL JOIN t ON e.member_id = t.member_id AND e.day = t.day""",
         "preventable_ip": _sql(preventable.format("ip_preventable"), 5),
         "preventable_op": _sql(preventable.format("op_preventable"), 5),
         "case_primary": _sql(
-            f"SELECT {_CANDIDATE_IP} FROM"
-            f" (SELECT * FROM ip_allowed QUALIFY {_CASE_ORDER} = 1) x",
-            3,
+            f"SELECT {_CANDIDATE_IP} FROM {_first('ip_allowed', _CASE_ORDER)} x", 3
         ),
         "member_day_latest": _sql(
-            f"SELECT {_CANDIDATE_OP} FROM"
-            f" (SELECT * FROM op_allowed QUALIFY {_DAY_ORDER} = 1) x",
-            3,
+            f"SELECT {_CANDIDATE_OP} FROM {_first('op_allowed', _DAY_ORDER)} x", 3
         ),
         "inpatient_chosen": _sql(chosen.format("ip_chosen")),
         "outpatient_chosen": _sql(chosen.format("op_chosen")),

@@ -50,7 +50,7 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.when(key % n != 0, value)
 
     ordered = F.col("o_orderdate").cast("date")
-    offset = F.datediff(ordered, F.lit("1995-01-01").cast("date")) % DAY_SPAN
+    offset = F.dayofyear(ordered) % DAY_SPAN
     start = null_every(227, F.date_add(F.lit(FIRST_DAY).cast("date"), offset))
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     urgent = (status == "P") & (priority == "1-URGENT")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,16 +24,16 @@ def as_yes_no(condition: Column) -> Column:
 def in_any_set(sets: Mapping[str, Iterable[str]]) -> Column:
     """True where at least one column holds a member of the set given for it.
 
-    Null never matches, and a null in one column leaves the others in force.
+    A null in one column leaves the others in force. Without a match and with a null
+    the answer is unknown: as a filter or in ``when`` that is false, and the test can
+    still be pushed down to the scan. Before negating, wrap it in ``holds``.
     """
-    tests = [holds(F.col(name).isin(list(values))) for name, values in sets.items()]
-    return reduce(lambda a, b: a | b, tests, F.lit(False))
+    return reduce(or_, [F.col(name).isin(list(values)) for name, values in sets.items()])
 
 
 def starts_with_any(name: str, prefixes: Sequence[str]) -> Column:
-    """True where the column starts with one of the prefixes; null gives false."""
-    tests = [holds(F.col(name).startswith(p)) for p in prefixes]
-    return reduce(lambda a, b: a | b, tests, F.lit(False))
+    """True where the column starts with one of the prefixes; unknown for null."""
+    return reduce(or_, [F.col(name).startswith(p) for p in prefixes])
 
 
 def numbered_columns(df: DataFrame, stem: str) -> list[str]:

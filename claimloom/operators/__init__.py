@@ -7,7 +7,7 @@ from claimloom.operators.diff import beside, differences, miss_counts
 from claimloom.operators.lookback import add_signals, has_signal, signal_days
 from claimloom.operators.lookup import keep_pairs, lookup
 from claimloom.operators.pick import first_per_group
-from claimloom.operators.sizing import fits_broadcast, spread_join
+from claimloom.operators.sizing import fits_broadcast, key_counts, spread_join
 from claimloom.operators.slots import slots_to_rows
 
 __all__ = [
@@ -24,6 +24,7 @@ __all__ = [
     "fits_broadcast",
     "has_signal",
     "keep_pairs",
+    "key_counts",
     "lookup",
     "miss_counts",
     "signal_days",

@@ -15,10 +15,10 @@ def attach(lines: DataFrame, result: DataFrame, key: str, can_match: Column) ->
     true. Just those lines are shuffled to meet it; the rest, and lines without a key,
     pass straight from the scan.
     """
-    matching = holds(can_match) & F.col(key).isNotNull()
+    matching = can_match & F.col(key).isNotNull()
     added = [f for f in result.schema if f.name != key]
     met = lines.where(matching).join(result, key, "left")
-    passed = lines.where(~matching).select(
+    passed = lines.where(~holds(matching)).select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added]
     )
     columns = [*lines.columns, *[f.name for f in added]]

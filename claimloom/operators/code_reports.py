@@ -34,14 +34,14 @@ def code_coverage(
         *[F.count_if(F.col("code_type") == t).alias(f"n_{name}") for name, t in types.items()]
     )
     if named:
-        listed = codes.sparkSession.createDataFrame([(c,) for c in named], "ccs string")
-        zeros = listed.select("ccs", *[F.lit(0).cast("long").alias(f"n_{n}") for n in types])
+        listed = F.explode(F.array(*[F.lit(c) for c in named])).alias("ccs")
+        zeros = codes.sparkSession.range(1, numPartitions=1).select(
+            listed, *[F.lit(0).cast("long").alias(f"n_{n}") for n in types]
+        )
         counts = (
             counts.unionByName(zeros)
             .groupBy("ccs")
             .agg(*[F.sum(f"n_{n}").alias(f"n_{n}") for n in types])
         )
-    lacks = F.concat_ws(
-        ",", *[F.when(F.col(f"n_{n}") == 0, F.lit(n)) for n in types]
-    )
+    lacks = F.concat_ws(",", *[F.when(F.col(f"n_{n}") == 0, F.lit(n)) for n in types])
     return counts.withColumn("missing", lacks)

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.operators.sizing import SALTS, spread_join
+from claimloom.operators.sizing import HOT_ROWS, ROWS, key_counts, spread_join
 
 SIGNALS = "signals"
 
@@ -48,18 +49,13 @@ def signal_days(
             for kind, (condition, date) in kinds.items()
         ]
     )
-    any_kind = reduce(lambda a, b: a | b, [condition for condition, _ in kinds.values()])
+    any_kind = reduce(or_, [condition for condition, _ in kinds.values()])
     return (
         df.where(F.col(key).isNotNull() & any_kind)
         .select(F.col(key), F.explode(marks).alias("mark"))
         .where(F.col("mark").isNotNull())
-        .select(
-            key,
-            F.col("mark.bit").alias("bit"),
-            F.explode(
-                F.sequence(F.col("mark.first"), F.date_add(F.col("mark.first"), days))
-            ).alias(day),
-        )
+        .select(key, "mark.*", F.explode(F.sequence(F.lit(0), F.lit(days))).alias("after"))
+        .select(key, "bit", F.date_add("first", F.col("after")).alias(day))
         .groupBy(key, day)
         .agg(F.bit_or("bit").alias(SIGNALS))
     )
@@ -68,7 +64,7 @@ def signal_days(
 def has_signal(kinds: Sequence[str], *wanted: str) -> Column:
     """True where one of the wanted kinds covers the row; never null."""
     bits = _bits(kinds)
-    mask = reduce(lambda a, b: a | b, [bits[w] for w in wanted])
+    mask = reduce(or_, [bits[w] for w in wanted])
     return F.coalesce(F.col(SIGNALS), F.lit(0)).bitwiseAND(F.lit(mask)) != 0
 
 
@@ -79,21 +75,23 @@ def add_signals(
     day: str,
     spread_by: Sequence[str],
     unique: bool = False,
-    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Each row with the signals that cover its key and day; null where there are none.
 
     ``covered`` comes from ``signal_days`` with the same key and day names. With
     ``unique`` the rows hold each key and day at most once: the join then needs no
     protection and uses the partitioning both sides already have. Otherwise many rows
-    may share a key and day. The signals are first cut down to keys and days that
-    occur at all, which both sides hold once each, and only those few hits are repeated
-    to meet the spread rows.
+    may share a key and day. The covered days are first cut down to those asked for,
+    where they lie, and the few that remain meet the rows with hot keys split.
     """
+    on = [key, day]
     if unique:
-        joined = df.join(covered, [key, day], "left")
+        joined = df.join(covered, on, "left")
     else:
-        asked = df.select(key, day).dropna().distinct()
-        hits = covered.join(asked, [key, day], "left_semi")
-        joined = spread_join(df, hits, [key, day], "left", spread_by, salts)
+        counts = key_counts(df, on)
+        # Always true, but it keeps the counting one shuffle, shared with the join below.
+        asked = counts.where(F.col(ROWS) > 0)
+        hits = covered.join(asked, on, "left_semi")
+        joined = spread_join(df, hits, on, "left", spread_by, counts, hot_rows)
     return joined.select(*df.columns, SIGNALS)

@@ -21,22 +21,17 @@ def lookup(
 ) -> DataFrame:
     """Add ``take`` from the code table to each row whose code is listed.
 
-    Rows without a listed code go. A code with several different entries gives a row
-    for each; equal entries count once. ``small`` says whether the code table may be
-    broadcast; left out, its size is measured.
+    Rows without a listed code go; a code with several entries gives a row for each.
+    ``small`` says whether the code table may be broadcast; left out, its size is measured.
     """
     table = codes.where(F.col(code).isNotNull()).select(F.col(code).alias(on), *take)
     if small is None:
         small = fits_broadcast(table)
     if small:
-        joined = df.join(F.broadcast(table.distinct()), on, "inner")
+        joined = df.join(F.broadcast(table), on, "inner")
     else:
         joined = spread_join(
-            df.where(F.col(on).isNotNull()),
-            table.distinct(),
-            [on],
-            "inner",
-            spread_by or df.columns,
+            df.where(F.col(on).isNotNull()), table, [on], "inner", spread_by or df.columns
         )
     return joined.select(*df.columns, *take)
 

@@ -1,24 +1,27 @@
 """How a join meets a second table of unknown size or with hot keys.
 
-A table is broadcast only after its size has been measured. Beyond the limit the
-join shuffles, and rows with the same key are spread over several tasks, so that a
-key holding a third of all rows does not end in one task. Neither way drops rows.
+A table is broadcast only after its size has been measured. Beyond the limit the join
+shuffles, with hot keys split, so that a key holding a third of all rows does not end in
+one task. Neither way drops rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 32
+HOT_ROWS = 1_000_000
+ROWS = "_rows"
 
 _ROW_OVERHEAD = 64
 _VALUE_BYTES = 16
+_PARTS = "_parts"
 _SALT = "_salt"
 
 
@@ -29,7 +32,7 @@ def _row_bytes(df: DataFrame) -> Column:
         else F.lit(_VALUE_BYTES)
         for f in df.schema
     ]
-    return reduce(lambda a, b: a + b, sizes, F.lit(_ROW_OVERHEAD)).cast("long")
+    return reduce(add, sizes, F.lit(_ROW_OVERHEAD)).cast("long")
 
 
 def fits_broadcast(*tables: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -43,22 +46,50 @@ def fits_broadcast(*tables: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool
     return (total or 0) <= max_bytes
 
 
+def key_counts(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Number of rows per key, keys with a null left out; merged in each task first."""
+    return df.select(*on).dropna().groupBy(*on).agg(F.count("*").alias(ROWS))
+
+
 def spread_join(
     df: DataFrame,
     table: DataFrame,
     on: Sequence[str],
     how: str,
     spread_by: Sequence[str],
-    salts: int = SALTS,
+    counts: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Shuffle join that splits each key of ``df`` over ``salts`` tasks.
+    """Shuffle join of ``df`` to ``table`` that splits the hot keys of ``df``.
 
-    ``table`` is repeated once per salt, so it should be the far smaller side. The salt
-    is a hash of ``spread_by``, hence the same when a lost task is run again. For
-    inner, left and left_semi joins the rows are those of the join without salt.
+    A key with more than ``hot_rows`` rows is split into parts of about that many, and
+    only for such keys are the rows of ``table`` repeated, once per part. The hot keys are
+    broadcast; there are at most rows / ``hot_rows`` of them. Rows with a null key match
+    nothing and are scattered. The part is a hash of ``spread_by``, hence the same when a
+    lost task is run again. ``counts`` may pass in ``key_counts`` of ``df``.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"cannot spread a {how} join")
-    salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    repeated = table.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, _SALT], how).drop(_SALT)
+    on = list(on)
+    if counts is None:
+        counts = key_counts(df, on)
+    hot = F.broadcast(
+        counts.where(F.col(ROWS) > hot_rows).select(
+            *on, F.ceil(F.col(ROWS) / hot_rows).alias(_PARTS)
+        )
+    )
+    parts = F.coalesce(_PARTS, F.lit(1).cast("long"))
+    place = F.xxhash64(*spread_by)
+    no_key = reduce(or_, [F.col(c).isNull() for c in on])
+    rows = df if how == "left" else df.dropna(subset=on)
+    salted = (
+        rows.join(hot, on, "left")
+        .withColumn(_SALT, F.when(no_key, place).otherwise(F.pmod(place, parts)))
+        .drop(_PARTS)
+    )
+    entries = (
+        table.join(hot, on, "left")
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        .drop(_PARTS)
+    )
+    return salted.join(entries, [*on, _SALT], how).drop(_SALT)

@@ -41,10 +41,20 @@ BRANCH_COLUMNS = (MEMBER, "caseadmitid", KEY, DAY, "ccs", "position", "preventab
 _IDENTITY = (MEMBER, "caseadmitid", KEY, DAY)
 
 
+def _entries(codes: DataFrame) -> DataFrame:
+    return codes.select("code", "ccs").distinct()
+
+
 def inpatient_candidates(
     lines: DataFrame, codes: DataFrame, rules: Rules = Rules(), small: bool | None = None
 ) -> DataFrame:
-    """One row per inpatient line and slot whose code has a category."""
+    """One row per inpatient line, slot and category of its code."""
+    return _by_slot(lines, _entries(codes), rules, small)
+
+
+def _by_slot(
+    lines: DataFrame, codes: DataFrame, rules: Rules, small: bool | None
+) -> DataFrame:
     surgical = lines.where(
         F.col("mr_line_case").startswith(rules.inpatient_case) & F.col(KEY).isNotNull()
     )
@@ -62,6 +72,12 @@ def outpatient_candidates(
     lines: DataFrame, codes: DataFrame, rules: Rules = Rules(), small: bool | None = None
 ) -> DataFrame:
     """One row per outpatient line and category of its procedure code."""
+    return _by_procedure(lines, _entries(codes), rules, small)
+
+
+def _by_procedure(
+    lines: DataFrame, codes: DataFrame, rules: Rules, small: bool | None
+) -> DataFrame:
     surgical = lines.where(
         F.col("mr_line_case").startswith(rules.outpatient_case) & F.col(KEY).isNotNull()
     ).select(*_IDENTITY, "hcpcs", "paiddate", "mr_allowed")
@@ -138,8 +154,11 @@ def inpatient_branch(
     signals: DataFrame | None = None,
     small: bool | None = None,
 ) -> DataFrame:
-    """The inpatient lines that get a category, at most one per admission."""
-    candidates = inpatient_candidates(lines, refs["icd_procs"], rules, small)
+    """The inpatient lines that get a category, at most one per admission.
+
+    A code listed twice does no harm here, as one row is chosen anyway.
+    """
+    candidates = _by_slot(lines, refs["icd_procs"], rules, small)
     chosen = primary_per_case(keep_allowed_drgs(candidates, refs["drg"], small))
     if signals is None:
         signals = claim_signals(lines, rules)
@@ -159,7 +178,7 @@ def outpatient_branch(
     Inpatient-only categories go before the choice, so another code of that day can win;
     a null category goes with them.
     """
-    candidates = outpatient_candidates(lines, refs["hcpcs"], rules, small)
+    candidates = _by_procedure(lines, refs["hcpcs"], rules, small)
     allowed = candidates.where(~F.col("ccs").isin(list(rules.inpatient_only)))
     chosen = latest_per_member_day(allowed)
     if signals is None:

@@ -30,19 +30,19 @@ def contract_report(
     repeated keys cannot multiply rows.
     """
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    rules = list(must_hold)
+    broken = {f"n_broken_{name}": ~holds(rule) for name, rule in must_hold.items()}
     sides = lines.select(
-        F.col(key), one.alias("in_lines"), zero.alias("in_result"), *[zero.alias(r) for r in rules]
+        F.col(key), one.alias("in_lines"), zero.alias("in_result"), *[zero.alias(b) for b in broken]
     ).unionByName(
         result.select(
             F.col(key),
             zero.alias("in_lines"),
             one.alias("in_result"),
-            *[F.when(holds(must_hold[r]), zero).otherwise(one).alias(r) for r in rules],
+            *[F.when(wrong, one).otherwise(zero).alias(b) for b, wrong in broken.items()],
         )
     )
     per_key = sides.groupBy(key).agg(
-        *[F.sum(c).alias(c) for c in ("in_lines", "in_result", *rules)]
+        *[F.sum(c).alias(c) for c in ("in_lines", "in_result", *broken)]
     )
     has_key = F.col(key).isNotNull()
     in_lines, in_result = F.col("in_lines"), F.col("in_result")
@@ -57,7 +57,7 @@ def contract_report(
         F.count_if(has_key & ((in_lines > 1) | (in_result > 1))).alias("n_repeated_keys"),
         F.count_if(has_key & (in_result == 0)).alias("n_missing_keys"),
         F.count_if(has_key & (in_lines == 0)).alias("n_extra_keys"),
-        *[total(F.col(r)).alias(f"n_broken_{r}") for r in rules],
+        *[total(F.col(b)).alias(b) for b in broken],
     )
 
 

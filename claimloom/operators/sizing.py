@@ -26,12 +26,12 @@ _SALT = "_salt"
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    sizes = [
-        F.coalesce(F.octet_length(f.name), F.lit(0))
-        if isinstance(f.dataType, (T.StringType, T.BinaryType))
-        else F.lit(_VALUE_BYTES)
-        for f in df.schema
-    ]
+    def size(field: T.StructField) -> Column:
+        if isinstance(field.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)):
+            return F.lit(_VALUE_BYTES)
+        return F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0))
+
+    sizes = [size(field) for field in df.schema]
     return reduce(add, sizes, F.lit(_ROW_OVERHEAD)).cast("long")
 
 

@@ -34,6 +34,7 @@ from claimloom.plans import (
     eligible_lines,
     inpatient_branch,
     inpatient_candidates,
+    is_emergency,
     keep_allowed_drgs,
     latest_per_member_day,
     outpatient_branch,
@@ -42,7 +43,20 @@ from claimloom.plans import (
     with_preventable,
 )
 from claimloom.plans.surgery import DAY, KEY, KINDS, MEMBER
-from claimloom.sources import CODE_TYPES
+from claimloom.sources import (
+    CLAIMS,
+    CODE_TYPES,
+    CODES,
+    DESCRIPTOR,
+    new_shared_folder,
+    read_csv,
+    read_descriptor,
+    read_parquet,
+    rows_from_schema,
+    split_codes,
+    write_csv,
+    write_parquet,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,6 +109,12 @@ def eligible_flag(spark, sf_dir):
     return eligible_lines(claims(spark, sf_dir), RULES)
 
 
+@registered
+def emergency_marker(spark, sf_dir):
+    """Whether each line is an emergency visit by one of its two codes."""
+    return claims(spark, sf_dir).select(KEY, as_yes_no(is_emergency()).alias("er_flag"))
+
+
 @registered
 def procedure_slots_long(spark, sf_dir):
     """Filled procedure slots of all lines as rows."""
@@ -329,9 +349,31 @@ def decorate_other_rules(spark, sf_dir):
     return decorate(claims(spark, sf_dir), code_tables(spark, sf_dir), NO_LOOKBACK)
 
 
+@registered
+def decorate_stored(spark, sf_dir):
+    """The full decoration of claims that were written and read back, as in production."""
+    folder = new_shared_folder(spark)
+    write_parquet(claims(spark, sf_dir), f"{folder}/claims")
+    lines = read_parquet(spark, f"{folder}/claims", CLAIMS)
+    return decorate(lines, split_codes(_stored_codes(spark, sf_dir, folder)))
+
+
 # Code tables
 
 
+def _stored_codes(spark, sf_dir, folder):
+    described = spark.createDataFrame(rows_from_schema(CODES), DESCRIPTOR)
+    write_csv(described.coalesce(1), f"{folder}/codes_schema")
+    write_csv(code_table(spark, sf_dir), f"{folder}/codes")
+    return read_csv(spark, f"{folder}/codes", read_descriptor(spark, f"{folder}/codes_schema"))
+
+
+@registered
+def code_table_from_files(spark, sf_dir):
+    """The code table written as CSV and read back by its written descriptor."""
+    return _stored_codes(spark, sf_dir, new_shared_folder(spark))
+
+
 @registered
 def code_table_all(spark, sf_dir):
     """The whole code table."""

@@ -319,6 +319,12 @@ def oracle_sql() -> dict[str, str]:
             " OR mr_line_case LIKE 'O12%' THEN 'Y' ELSE 'N' END AS psp_eligible_yn FROM claims",
             1,
         ),
+        "emergency_marker": _sql(
+            f"SELECT sequencenumber, CASE WHEN hcpcs IN {_texts(fixed.EMERGENCY_HCPCS)}"
+            f" OR revcode IN {_texts(fixed.EMERGENCY_REVENUE)} THEN 'Y' ELSE 'N' END AS er_flag"
+            " FROM claims",
+            1,
+        ),
         "procedure_slots_long": _sql(
             "SELECT sequencenumber, position, icd_proc FROM slot_rows", 3
         ),
@@ -359,8 +365,10 @@ FROM e FULL JOIN t ON e.member_id = t.member_id AND e.day = t.day""",
         "branch_union": _sql(chosen.format("chosen")),
         "decorate_claims": _sql(_DECORATED),
         "decorator_object": _sql(_DECORATED),
+        "decorate_stored": _sql(_DECORATED),
         "decorate_other_rules": _sql(_DECORATED, **_OTHER),
         "code_table_all": _sql("SELECT * FROM code_table", 2),
+        "code_table_from_files": _sql("SELECT * FROM code_table", 2),
         "code_table_split": _sql(_CODE_SPLIT, 2),
         "code_conflict_report": _sql(
             "SELECT code_type, code, count(DISTINCT ccs) AS n_categories,"

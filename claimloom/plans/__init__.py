@@ -9,6 +9,7 @@ from claimloom.plans.surgery import (
     eligible_lines,
     inpatient_branch,
     inpatient_candidates,
+    is_emergency,
     keep_allowed_drgs,
     latest_per_member_day,
     outpatient_branch,
@@ -27,6 +28,7 @@ __all__ = [
     "eligible_lines",
     "inpatient_branch",
     "inpatient_candidates",
+    "is_emergency",
     "keep_allowed_drgs",
     "latest_per_member_day",
     "outpatient_branch",

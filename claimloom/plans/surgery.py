@@ -98,17 +98,19 @@ def keep_allowed_drgs(
     )
 
 
+def is_emergency(rules: Rules = Rules()) -> Column:
+    """Whether a line is an emergency visit by its procedure or its revenue code."""
+    return in_any_set({"hcpcs": rules.emergency_hcpcs, "revcode": rules.emergency_revenue})
+
+
 def claim_signals(lines: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Days covered by an emergency visit or an acute transfer, per member.
 
     All lines count, whatever their case, the surgery's own line included. A visit is
     dated by the start of its line, a transfer by the end.
     """
-    emergency = in_any_set(
-        {"hcpcs": rules.emergency_hcpcs, "revcode": rules.emergency_revenue}
-    )
-    transfer = in_any_set({"prm_acute_transfer_to_acute_yn": ["Y"]})
-    kinds = {"emergency": (emergency, DAY), "transfer": (transfer, "prm_todate")}
+    transfer = F.col("prm_acute_transfer_to_acute_yn") == "Y"
+    kinds = {"emergency": (is_emergency(rules), DAY), "transfer": (transfer, "prm_todate")}
     return signal_days(lines, MEMBER, kinds, rules.lookback_days, day=DAY)
 
 

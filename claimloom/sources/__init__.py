@@ -1,20 +1,39 @@
 """Typed readers, code tables and the writer."""
 
 from claimloom.sources.code_tables import CODE_TYPES, read_code_tables, split_codes
-from claimloom.sources.files import read_csv, read_folder, read_parquet, tables_in, write_parquet
-from claimloom.sources.schemas import CLAIMS, CODES, read_descriptor, schema_from_rows
+from claimloom.sources.files import (
+    new_shared_folder,
+    read_csv,
+    read_folder,
+    read_parquet,
+    tables_in,
+    write_csv,
+    write_parquet,
+)
+from claimloom.sources.schemas import (
+    CLAIMS,
+    CODES,
+    DESCRIPTOR,
+    read_descriptor,
+    rows_from_schema,
+    schema_from_rows,
+)
 
 __all__ = [
     "CLAIMS",
     "CODES",
     "CODE_TYPES",
+    "DESCRIPTOR",
+    "new_shared_folder",
     "read_code_tables",
     "read_csv",
     "read_descriptor",
     "read_folder",
     "read_parquet",
+    "rows_from_schema",
     "schema_from_rows",
     "split_codes",
     "tables_in",
+    "write_csv",
     "write_parquet",
 ]

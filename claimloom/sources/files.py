@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 from pathlib import PurePosixPath
 from urllib.parse import unquote
@@ -63,3 +65,22 @@ def write_parquet(
 ) -> None:
     """Write a result; by default an existing target is left alone and the call fails."""
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write comma-separated files with a header, as ``read_csv`` reads them."""
+    df.write.mode(mode).option("header", True).csv(path)
+
+
+def new_shared_folder(spark: SparkSession) -> str:
+    """A new folder that every executor sees, for tables written between two steps.
+
+    It lies in ``spark.checkpoint.dir``. Where that is unset a local session gets a
+    temporary folder, and a cluster an error, as its machines share no local folder.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/claimloom-{uuid.uuid4().hex}"
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="claimloom-")

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 SLOT_COUNT = 10
 
+# Datatype words of a descriptor.
 _TYPES = {
     "boolean": T.BooleanType(),
     "date": T.DateType(),
@@ -33,6 +34,12 @@ def schema_from_rows(rows: Iterable[tuple[str, str, str]]) -> T.StructType:
     return T.StructType(fields)
 
 
+def rows_from_schema(schema: T.StructType) -> list[tuple[str, str, str]]:
+    """The (name, datatype, nullable) rows that describe a schema."""
+    words = {datatype: word for word, datatype in _TYPES.items()}
+    return [(f.name, words[f.dataType], str(f.nullable).lower()) for f in schema]
+
+
 def _nullable(**columns: str) -> T.StructType:
     return schema_from_rows((name, datatype, "true") for name, datatype in columns.items())
 

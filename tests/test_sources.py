@@ -1,5 +1,7 @@
 """Schemas from descriptors, strict CSV, folders of tables, code tables, writing."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import types as T
@@ -8,13 +10,16 @@ from claimloom.sources import (
     CLAIMS,
     CODES,
     read_code_tables,
+    new_shared_folder,
     read_csv,
     read_descriptor,
     read_folder,
     read_parquet,
+    rows_from_schema,
     schema_from_rows,
     split_codes,
     tables_in,
+    write_csv,
     write_parquet,
 )
 from tests.made_claims import codes
@@ -43,8 +48,9 @@ def test_schema_rejects_unknown_words(row):
 
 def test_descriptor_file_gives_the_claims_schema(spark, tmp_path):
     path = tmp_path / "claims.csv"
-    rows = [f"{f.name},{f.dataType.simpleString()},true" for f in CLAIMS]
-    path.write_text("\n".join(["name,datatype,nullable", *rows]).replace("bigint", "long"))
+    rows = rows_from_schema(CLAIMS)
+    assert rows[0] == ("sequencenumber", "long", "true")
+    path.write_text("\n".join(["name,datatype,nullable", *map(",".join, rows)]))
     assert read_descriptor(spark, str(path)) == CLAIMS
 
 
@@ -98,6 +104,27 @@ def test_code_tables_load_together_and_split(spark, tmp_path):
     }
 
 
+def test_csv_write_and_read_back(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write_csv(codes(spark), path)
+    assert sorted(read_csv(spark, path, CODES).collect()) == sorted(codes(spark).collect())
+
+
+def _session_with(**settings):
+    named = {f"spark.{name.replace('_', '.')}": value for name, value in settings.items()}
+    return SimpleNamespace(conf=SimpleNamespace(get=named.get))
+
+
+def test_shared_folder_lies_where_the_session_says(spark):
+    assert new_shared_folder(spark) != new_shared_folder(spark)
+    cluster = _session_with(master="yarn", checkpoint_dir="hdfs:///shared/")
+    one, other = new_shared_folder(cluster), new_shared_folder(cluster)
+    assert one != other
+    assert one.startswith("hdfs:///shared/claimloom-")
+    with pytest.raises(ValueError, match="checkpoint"):
+        new_shared_folder(_session_with(master="yarn"))
+
+
 def test_write_and_read_back(spark, tmp_path):
     path = str(tmp_path / "out")
     write_parquet(codes(spark), path, partition_by=["code_type"])

@@ -17,6 +17,7 @@ from claimloom.operators import (
     code_conflicts,
     code_coverage,
     contract_report,
+    covered_days,
     differences,
     fits_broadcast,
     has_signal,
@@ -28,7 +29,9 @@ from claimloom.operators import (
 from claimloom.plans import (
     Rules,
     SurgeryDecorator,
+    both_branches,
     claim_signals,
+    days_under_signal,
     decorate,
     decoration_report,
     eligible_lines,
@@ -192,8 +195,8 @@ def _item_categories(spark, sf_dir, small):
 
 
 def _days(spark, sf_dir, kind):
-    covered = claim_signals(claims(spark, sf_dir), replace(RULES, lookback_days=0))
-    return covered.where(has_signal(KINDS, kind)).select(MEMBER, F.col(DAY).alias("day"))
+    signals = claim_signals(claims(spark, sf_dir))
+    return signals.where(has_signal(KINDS, kind)).select(MEMBER, F.col(DAY).alias("day"))
 
 
 @registered
@@ -209,9 +212,9 @@ def transfer_days(spark, sf_dir):
 
 
 @registered
-def covered_days(spark, sf_dir):
+def days_covered(spark, sf_dir):
     """Days covered by each kind of signal, the day after included."""
-    return claim_signals(claims(spark, sf_dir)).select(
+    return days_under_signal(claims(spark, sf_dir)).select(
         MEMBER,
         F.col(DAY).alias("day"),
         *[as_yes_no(has_signal(KINDS, kind)).alias(kind) for kind in KINDS],
@@ -219,7 +222,7 @@ def covered_days(spark, sf_dir):
 
 
 def _with_signals(spark, sf_dir, candidates):
-    covered = claim_signals(claims(spark, sf_dir))
+    covered = days_under_signal(claims(spark, sf_dir), candidates)
     return add_signals(candidates, covered, MEMBER, DAY, spread_by=[KEY, "position"])
 
 
@@ -261,7 +264,8 @@ def _after_error(spark, sf_dir, days):
         "event_id", "user_id", "event_type", F.col("ts").cast("date").alias("day")
     )
     kinds = {"error": (F.col("event_type") == "error", "day")}
-    covered = signal_days(events, "user_id", kinds, days)
+    signals = signal_days(events, "user_id", kinds)
+    covered = covered_days(signals, "user_id", "day", days, asked=events)
     found = add_signals(events, covered, "user_id", "day", spread_by=["event_id"])
     return found.select(
         "event_id", "user_id", "day", as_yes_no(has_signal(["error"], "error")).alias("after_error")
@@ -325,8 +329,7 @@ def outpatient_chosen(spark, sf_dir):
 @registered
 def branch_union(spark, sf_dir):
     """Both branches together."""
-    lines, refs = claims(spark, sf_dir), code_tables(spark, sf_dir)
-    return inpatient_branch(lines, refs).unionByName(outpatient_branch(lines, refs))
+    return both_branches(claims(spark, sf_dir), code_tables(spark, sf_dir))
 
 
 @registered

@@ -336,7 +336,7 @@ def oracle_sql() -> dict[str, str]:
         "lookup_spread": _ITEM_CATEGORIES,
         "emergency_days": _sql(days.format("visits"), 4),
         "transfer_days": _sql(days.format("transfers"), 4),
-        "covered_days": _sql(
+        "days_covered": _sql(
             """
 , e AS (SELECT member_id, day FROM visits UNION SELECT member_id, day + 1 FROM visits),
 t AS (SELECT member_id, day FROM transfers UNION SELECT member_id, day + 1 FROM transfers)

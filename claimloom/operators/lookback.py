@@ -2,7 +2,9 @@
 
 Instead of comparing each row with all signals of its member, a signal on day d is
 written down for the days d to d+k that it covers. The question is then an equality of
-member and day: cost grows with rows plus signals, not with their product.
+member and day: cost grows with rows plus signals, not with their product. There are
+usually far more signals than rows that ask, so the signals are cut down to those that
+any row can see before they are written down several times.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.operators.sizing import HOT_ROWS, ROWS, key_counts, spread_join
+from claimloom.operators.sizing import HOT_ROWS, spread_join
 
 SIGNALS = "signals"
 
@@ -24,27 +26,21 @@ def _bits(kinds: Sequence[str]) -> dict[str, int]:
 
 
 def signal_days(
-    df: DataFrame,
-    key: str,
-    kinds: Mapping[str, tuple[Column, str]],
-    days: int,
-    day: str = "day",
+    df: DataFrame, key: str, kinds: Mapping[str, tuple[Column, str]], day: str = "day"
 ) -> DataFrame:
-    """One row per key and covered day, with the kinds of signal that cover it.
+    """One row per key and day with a signal, with the kinds of signal it has.
 
     ``kinds`` gives for each kind the condition that makes a row a signal and the
     column with its date. ``signals`` is a number with one bit per kind, in the order
     given; read it with ``has_signal``. One scan serves all kinds, and the equal days of
     one key are merged in each task before the shuffle, however many rows it has.
     """
-    if days < 0:
-        raise ValueError("days must not be negative")
     bits = _bits(list(kinds))
     marks = F.array(
         *[
             F.when(
                 condition & F.col(date).isNotNull(),
-                F.struct(F.col(date).alias("first"), F.lit(bits[kind]).alias("bit")),
+                F.struct(F.col(date).alias(day), F.lit(bits[kind]).alias("bit")),
             )
             for kind, (condition, date) in kinds.items()
         ]
@@ -54,13 +50,48 @@ def signal_days(
         df.where(F.col(key).isNotNull() & any_kind)
         .select(F.col(key), F.explode(marks).alias("mark"))
         .where(F.col("mark").isNotNull())
-        .select(key, "mark.*", F.explode(F.sequence(F.lit(0), F.lit(days))).alias("after"))
-        .select(key, "bit", F.date_add("first", F.col("after")).alias(day))
+        .select(key, "mark.*")
         .groupBy(key, day)
         .agg(F.bit_or("bit").alias(SIGNALS))
     )
 
 
+def _each_day(df: DataFrame, key: str, day: str, days: int, sign: int, *more: str) -> DataFrame:
+    after = F.explode(F.sequence(F.lit(0), F.lit(days))).alias("after")
+    return df.select(key, day, *more, after).select(
+        key, F.date_add(day, F.col("after") * sign).alias(day), *more
+    )
+
+
+def covered_days(
+    signals: DataFrame, key: str, day: str, days: int, asked: DataFrame | None = None
+) -> DataFrame:
+    """One row per key and day that is covered by a signal, with the kinds that cover it.
+
+    A signal covers its own day and the ``days`` days after it. ``asked`` holds the rows
+    that will be looked up, with the same key and day names: only signals that one of
+    them can see are kept, found where both already lie.
+    """
+    if days < 0:
+        raise ValueError("days must not be negative")
+    if asked is not None:
+        # Nulls are replaced, not dropped: asking for too much is harmless, while a filter
+        # would be pushed into the plan of asked, which could then not be shared with
+        # its other use.
+        no_key = F.lit("0").cast(asked.schema[key].dataType)
+        no_day = F.lit("1970-01-01").cast("date")
+        filled = asked.select(
+            F.coalesce(key, no_key).alias(key), F.coalesce(day, no_day).alias(day)
+        )
+        seen = _each_day(filled, key, day, days, -1).distinct()
+        signals = signals.join(seen, [key, day], "left_semi")
+    return (
+        _each_day(signals, key, day, days, 1, SIGNALS)
+        .groupBy(key, day)
+        .agg(F.bit_or(SIGNALS).alias(SIGNALS))
+    )
+
+
 def has_signal(kinds: Sequence[str], *wanted: str) -> Column:
     """True where one of the wanted kinds covers the row; never null."""
     bits = _bits(kinds)
@@ -79,19 +110,14 @@ def add_signals(
 ) -> DataFrame:
     """Each row with the signals that cover its key and day; null where there are none.
 
-    ``covered`` comes from ``signal_days`` with the same key and day names. With
+    ``covered`` comes from ``covered_days`` with the same key and day names. With
     ``unique`` the rows hold each key and day at most once: the join then needs no
-    protection and uses the partitioning both sides already have. Otherwise many rows
-    may share a key and day. The covered days are first cut down to those asked for,
-    where they lie, and the few that remain meet the rows with hot keys split.
+    protection and uses the partitioning both sides may already have. Otherwise many
+    rows may share a key and day, and such hot keys are split.
     """
     on = [key, day]
     if unique:
         joined = df.join(covered, on, "left")
     else:
-        counts = key_counts(df, on)
-        # Always true, but it keeps the counting one shuffle, shared with the join below.
-        asked = counts.where(F.col(ROWS) > 0)
-        hits = covered.join(asked, on, "left_semi")
-        joined = spread_join(df, hits, on, "left", spread_by, counts, hot_rows)
+        joined = spread_join(df, covered, on, "left", spread_by, hot_rows=hot_rows)
     return joined.select(*df.columns, SIGNALS)

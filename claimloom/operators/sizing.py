@@ -17,10 +17,10 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_ROWS = 1_000_000
-ROWS = "_rows"
 
 _ROW_OVERHEAD = 64
 _VALUE_BYTES = 16
+_ROWS = "_rows"
 _PARTS = "_parts"
 _SALT = "_salt"
 
@@ -46,18 +46,12 @@ def fits_broadcast(*tables: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool
     return (total or 0) <= max_bytes
 
 
-def key_counts(df: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Number of rows per key, keys with a null left out; merged in each task first."""
-    return df.select(*on).dropna().groupBy(*on).agg(F.count("*").alias(ROWS))
-
-
 def spread_join(
     df: DataFrame,
     table: DataFrame,
     on: Sequence[str],
     how: str,
     spread_by: Sequence[str],
-    counts: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Shuffle join of ``df`` to ``table`` that splits the hot keys of ``df``.
@@ -66,16 +60,15 @@ def spread_join(
     only for such keys are the rows of ``table`` repeated, once per part. The hot keys are
     broadcast; there are at most rows / ``hot_rows`` of them. Rows with a null key match
     nothing and are scattered. The part is a hash of ``spread_by``, hence the same when a
-    lost task is run again. ``counts`` may pass in ``key_counts`` of ``df``.
+    lost task is run again.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"cannot spread a {how} join")
     on = list(on)
-    if counts is None:
-        counts = key_counts(df, on)
+    counts = df.select(*on).dropna().groupBy(*on).agg(F.count("*").alias(_ROWS))
     hot = F.broadcast(
-        counts.where(F.col(ROWS) > hot_rows).select(
-            *on, F.ceil(F.col(ROWS) / hot_rows).alias(_PARTS)
+        counts.where(F.col(_ROWS) > hot_rows).select(
+            *on, F.ceil(F.col(_ROWS) / hot_rows).alias(_PARTS)
         )
     )
     parts = F.coalesce(_PARTS, F.lit(1).cast("long"))

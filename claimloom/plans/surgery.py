@@ -22,6 +22,7 @@ from claimloom.operators import (
     add_signals,
     attach,
     contract_report,
+    covered_days,
     first_per_group,
     fits_broadcast,
     has_signal,
@@ -104,14 +105,21 @@ def is_emergency(rules: Rules = Rules()) -> Column:
 
 
 def claim_signals(lines: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Days covered by an emergency visit or an acute transfer, per member.
+    """Days with an emergency visit or an acute transfer, per member.
 
     All lines count, whatever their case, the surgery's own line included. A visit is
     dated by the start of its line, a transfer by the end.
     """
     transfer = F.col("prm_acute_transfer_to_acute_yn") == "Y"
     kinds = {"emergency": (is_emergency(rules), DAY), "transfer": (transfer, "prm_todate")}
-    return signal_days(lines, MEMBER, kinds, rules.lookback_days, day=DAY)
+    return signal_days(lines, MEMBER, kinds, day=DAY)
+
+
+def days_under_signal(
+    lines: DataFrame, asked: DataFrame | None = None, rules: Rules = Rules()
+) -> DataFrame:
+    """Days on which surgery counts as led to by a signal, as far as ``asked`` needs them."""
+    return covered_days(claim_signals(lines, rules), MEMBER, DAY, rules.lookback_days, asked)
 
 
 def with_preventable(df: DataFrame, *against: str) -> DataFrame:
@@ -149,11 +157,10 @@ def latest_per_member_day(candidates: DataFrame) -> DataFrame:
     )
 
 
-def inpatient_branch(
+def choose_inpatient(
     lines: DataFrame,
     refs: Mapping[str, DataFrame],
     rules: Rules = Rules(),
-    signals: DataFrame | None = None,
     small: bool | None = None,
 ) -> DataFrame:
     """The inpatient lines that get a category, at most one per admission.
@@ -161,18 +168,13 @@ def inpatient_branch(
     A code listed twice does no harm here, as one row is chosen anyway.
     """
     candidates = _by_slot(lines, refs["icd_procs"], rules, small)
-    chosen = primary_per_case(keep_allowed_drgs(candidates, refs["drg"], small))
-    if signals is None:
-        signals = claim_signals(lines, rules)
-    flagged = add_signals(chosen, signals, MEMBER, DAY, spread_by=[KEY])
-    return with_preventable(flagged, "transfer", "emergency").select(*BRANCH_COLUMNS)
+    return primary_per_case(keep_allowed_drgs(candidates, refs["drg"], small))
 
 
-def outpatient_branch(
+def choose_outpatient(
     lines: DataFrame,
     refs: Mapping[str, DataFrame],
     rules: Rules = Rules(),
-    signals: DataFrame | None = None,
     small: bool | None = None,
 ) -> DataFrame:
     """The outpatient lines that get a category, at most one per member and day.
@@ -182,13 +184,55 @@ def outpatient_branch(
     """
     candidates = _by_procedure(lines, refs["hcpcs"], rules, small)
     allowed = candidates.where(~F.col("ccs").isin(list(rules.inpatient_only)))
-    chosen = latest_per_member_day(allowed)
-    if signals is None:
-        signals = claim_signals(lines, rules)
-    flagged = add_signals(chosen, signals, MEMBER, DAY, spread_by=[KEY], unique=True)
+    return latest_per_member_day(allowed)
+
+
+def _flag_inpatient(chosen: DataFrame, covered: DataFrame) -> DataFrame:
+    flagged = add_signals(chosen, covered, MEMBER, DAY, spread_by=[KEY])
+    return with_preventable(flagged, "transfer", "emergency").select(*BRANCH_COLUMNS)
+
+
+def _flag_outpatient(chosen: DataFrame, covered: DataFrame) -> DataFrame:
+    flagged = add_signals(chosen, covered, MEMBER, DAY, spread_by=[KEY], unique=True)
     return with_preventable(flagged, "emergency").select(*BRANCH_COLUMNS)
 
 
+def inpatient_branch(
+    lines: DataFrame,
+    refs: Mapping[str, DataFrame],
+    rules: Rules = Rules(),
+    small: bool | None = None,
+) -> DataFrame:
+    """The chosen inpatient lines with the preventable flag."""
+    chosen = choose_inpatient(lines, refs, rules, small)
+    return _flag_inpatient(chosen, days_under_signal(lines, chosen, rules))
+
+
+def outpatient_branch(
+    lines: DataFrame,
+    refs: Mapping[str, DataFrame],
+    rules: Rules = Rules(),
+    small: bool | None = None,
+) -> DataFrame:
+    """The chosen outpatient lines with the preventable flag."""
+    chosen = choose_outpatient(lines, refs, rules, small)
+    return _flag_outpatient(chosen, days_under_signal(lines, chosen, rules))
+
+
+def both_branches(
+    lines: DataFrame,
+    refs: Mapping[str, DataFrame],
+    rules: Rules = Rules(),
+    small: bool | None = None,
+) -> DataFrame:
+    """The chosen lines of both branches; the signals are gone through once for both."""
+    inpatient = choose_inpatient(lines, refs, rules, small)
+    outpatient = choose_outpatient(lines, refs, rules, small)
+    asked = inpatient.select(MEMBER, DAY).unionByName(outpatient.select(MEMBER, DAY))
+    covered = days_under_signal(lines, asked, rules)
+    return _flag_inpatient(inpatient, covered).unionByName(_flag_outpatient(outpatient, covered))
+
+
 def is_eligible(rules: Rules = Rules()) -> Column:
     """Whether a line is a surgical one by its case; null is not."""
     return starts_with_any("mr_line_case", [rules.inpatient_case, rules.outpatient_case])
@@ -211,10 +255,7 @@ def decorate(
     """
     tables = [refs[name].select("code", "ccs") for name in ("icd_procs", "hcpcs", "drg")]
     small = fits_broadcast(*tables)
-    signals = claim_signals(lines, rules)
-    inpatient = inpatient_branch(lines, refs, rules, signals, small)
-    outpatient = outpatient_branch(lines, refs, rules, signals, small)
-    chosen = inpatient.unionByName(outpatient).select(
+    chosen = both_branches(lines, refs, rules, small).select(
         KEY, F.col("ccs").alias("psp_category"), F.col("preventable_yn").alias("psp_preventable_yn")
     )
     decorated = attach(eligible_lines(lines, rules), chosen, KEY, is_eligible(rules))

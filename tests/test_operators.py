@@ -15,6 +15,7 @@ from claimloom.operators import (
     code_conflicts,
     code_coverage,
     contract_report,
+    covered_days,
     differences,
     enforce,
     first_per_group,
@@ -154,11 +155,11 @@ def test_signals_equal_brute_force(spark, days, hot_rows, seed):
     schema = "id int, m string, day date, kind string"
     asked, signals = _events(seed, 120, 30), _events(seed + 100, 40, 30)
     kinds = {k: (F.col("kind") == k, "day") for k in ("red", "blue")}
-    covered = signal_days(spark.createDataFrame(signals, schema), "m", kinds, days)
+    rows = spark.createDataFrame(asked, schema)
+    on_days = signal_days(spark.createDataFrame(signals, schema), "m", kinds)
+    covered = covered_days(on_days, "m", "day", days, asked=rows if seed == 1 else None)
     assert covered.groupBy("m", "day").count().where("count > 1").count() == 0
-    found = add_signals(
-        spark.createDataFrame(asked, schema), covered, "m", "day", ["id"], hot_rows=hot_rows
-    )
+    found = add_signals(rows, covered, "m", "day", ["id"], hot_rows=hot_rows)
     rows = found.select(
         "id", *[as_yes_no(has_signal(list(kinds), k)).alias(k) for k in kinds],
         has_signal(list(kinds), "red", "blue").alias("either"),
@@ -181,7 +182,7 @@ def test_signals_for_unique_rows_are_the_same(spark):
     schema = "id int, m string, day date, kind string"
     kinds = {"red": (F.col("kind") == "red", "day")}
     signals = spark.createDataFrame(_events(5, 60, 20), schema)
-    covered = signal_days(signals, "m", kinds, 2)
+    covered = covered_days(signal_days(signals, "m", kinds), "m", "day", 2)
     asked = first_per_group(
         spark.createDataFrame(_events(6, 200, 25), schema), ["m", "day"], [F.col("id").asc()]
     )
@@ -191,9 +192,9 @@ def test_signals_for_unique_rows_are_the_same(spark):
     assert differences(one, other, ["id"]).count() == 0
 
 
-def test_signal_days_refuses_negative_days(spark):
+def test_covered_days_refuses_negative_days(spark):
     with pytest.raises(ValueError, match="negative"):
-        signal_days(_skewed(spark), "k", {"a": (F.lit(True), "day")}, -1)
+        covered_days(_skewed(spark), "k", "day", -1)
 
 
 def test_attach(spark):

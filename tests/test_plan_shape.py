@@ -5,7 +5,8 @@ import re
 import pytest
 
 from claimloom import decorate
-from claimloom.plans import claim_signals, outpatient_branch
+from claimloom.operators import add_signals
+from claimloom.plans import choose_outpatient, claim_signals, days_under_signal
 from claimloom.sources import read_parquet, split_codes, write_parquet
 from tests.made_claims import GOLDEN, claims, codes
 
@@ -43,8 +44,11 @@ def test_decoration(spark, lines, no_small_joins):
     assert "Python" not in plan
     assert plan.count("WindowGroupLimit") >= 4
     final = executed(df)
-    # Signals and the inpatient choice are each computed once and used twice.
-    assert len(re.findall("ReusedExchange", final)) >= 2
+    # Each branch's choice and the covered days are computed once and used again.
+    scans = len(re.findall(r"FileScan parquet \[[^\]]*mr_line_case", final))
+    assert scans == 4
+    assert final.count("FileScan parquet") == 5
+    assert final.count("ReusedExchange") >= 3
 
 
 def test_scans_read_few_columns_and_filter_early(spark, lines, capsys):
@@ -69,6 +73,10 @@ def test_signal_tests_reach_the_scan(lines, capsys):
 
 
 def test_outpatient_flags_need_no_further_shuffle(spark, lines, no_small_joins):
-    """One exchange for the choice, one for the signals, none to bring them together."""
-    plan = plan_of(outpatient_branch(lines, split_codes(codes(spark)), small=True))
-    assert plan.count("Exchange hashpartitioning") == 2
+    """Choice, signals, days asked for, days covered; none to bring choice and days together."""
+    refs = split_codes(codes(spark))
+    chosen = choose_outpatient(lines, refs, small=True)
+    covered = days_under_signal(lines, chosen)
+    flagged = add_signals(chosen, covered, "member_id", "prm_fromdate", [], unique=True)
+    parts = [plan_of(df).count("Exchange hashpartitioning") for df in (chosen, covered, flagged)]
+    assert parts[2] == parts[0] + parts[1]

@@ -4,10 +4,10 @@ from claimloom.operators.attach import attach
 from claimloom.operators.code_reports import code_conflicts, code_coverage
 from claimloom.operators.contract import check_names, contract_report, enforce
 from claimloom.operators.diff import beside, differences, miss_counts
-from claimloom.operators.lookback import add_signals, covered_days, has_signal, signal_days
+from claimloom.operators.lookback import add_signals, has_signal, signal_days
 from claimloom.operators.lookup import keep_pairs, lookup
 from claimloom.operators.pick import first_per_group
-from claimloom.operators.sizing import fits_broadcast, spread_join
+from claimloom.operators.sizing import fits_broadcast, key_counts, spread_join
 from claimloom.operators.slots import slots_to_rows
 
 __all__ = [
@@ -18,13 +18,13 @@ __all__ = [
     "code_conflicts",
     "code_coverage",
     "contract_report",
-    "covered_days",
     "differences",
     "enforce",
     "first_per_group",
     "fits_broadcast",
     "has_signal",
     "keep_pairs",
+    "key_counts",
     "lookup",
     "miss_counts",
     "signal_days",

@@ -3,11 +3,7 @@
 from claimloom.plans.decorator import LineDecorator, SurgeryDecorator
 from claimloom.plans.rules import Rules
 from claimloom.plans.surgery import (
-    both_branches,
-    choose_inpatient,
-    choose_outpatient,
     claim_signals,
-    days_under_signal,
     decorate,
     decoration_report,
     eligible_lines,
@@ -26,11 +22,7 @@ __all__ = [
     "LineDecorator",
     "Rules",
     "SurgeryDecorator",
-    "both_branches",
-    "choose_inpatient",
-    "choose_outpatient",
     "claim_signals",
-    "days_under_signal",
     "decorate",
     "decoration_report",
     "eligible_lines",

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +19,6 @@ from claimloom.operators import (
     code_coverage,
     contract_report,
     differences,
-    fits_broadcast,
     has_signal,
     lookup,
     miss_counts,
@@ -47,19 +47,22 @@ from claimloom.sources import (
     CLAIMS,
     CODE_TYPES,
     CODES,
-    DESCRIPTOR,
     new_shared_folder,
-    read_csv,
-    read_descriptor,
+    read_code_tables,
+    read_folder,
     read_parquet,
-    rows_from_schema,
     split_codes,
+    tables_in,
     write_csv,
     write_parquet,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Dates and amounts among the columns of claims.
+MAY_BE_NULL = tuple(
+    f.name for f in CLAIMS if isinstance(f.dataType, T.DateType) or f.name == "mr_allowed"
+)
 RULES = Rules()
 NO_LOOKBACK = replace(RULES, lookback_days=0, inpatient_only=("ccs111",))
 NAMED_CATEGORIES = (*RULES.inpatient_only, "ccs44")
@@ -70,20 +73,21 @@ _QUERIES: dict[str, Query] = {}
 def registered(query: Query) -> Query:
     """Put a query in the catalog under its name.
 
-    Dates and amounts, which may be null, are shown as text: clients differ in how they
-    show a null among them.
+    Dates and amounts of claims, which may be null, are shown as text: clients differ in how
+    they show a null among them. Days of signals are never null and shown as timestamps,
+    which all clients show alike.
     """
 
+    def shown(field: T.StructField) -> Column:
+        if field.name in MAY_BE_NULL:
+            return F.col(field.name).cast("string").alias(field.name)
+        if isinstance(field.dataType, T.DateType):
+            return F.col(field.name).cast("timestamp").alias(field.name)
+        return F.col(field.name)
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = query(spark, sf_dir)
-        return df.select(
-            *[
-                F.col(f.name).cast("string").alias(f.name)
-                if isinstance(f.dataType, T.DateType) or f.name == "mr_allowed"
-                else F.col(f.name)
-                for f in df.schema
-            ]
-        )
+        return df.select(*[shown(f) for f in df.schema])
 
     _QUERIES[query.__name__] = run
     return query
@@ -355,23 +359,33 @@ def decorate_stored(spark, sf_dir):
     folder = new_shared_folder(spark)
     write_parquet(claims(spark, sf_dir), f"{folder}/claims")
     lines = read_parquet(spark, f"{folder}/claims", CLAIMS)
-    return decorate(lines, split_codes(_stored_codes(spark, sf_dir, folder)))
+    return decorate(lines, split_codes(_codes_from_files(spark, sf_dir, folder)))
 
 
 # Code tables
 
 
-def _stored_codes(spark, sf_dir, folder):
-    described = spark.createDataFrame(rows_from_schema(CODES), DESCRIPTOR)
-    write_csv(described.coalesce(1), f"{folder}/codes_schema")
+def _codes_from_files(spark, sf_dir, folder):
     write_csv(code_table(spark, sf_dir), f"{folder}/codes")
-    return read_csv(spark, f"{folder}/codes", read_descriptor(spark, f"{folder}/codes_schema"))
+    return read_code_tables(spark, f"{folder}/codes")
 
 
 @registered
 def code_table_from_files(spark, sf_dir):
-    """The code table written as CSV and read back by its written descriptor."""
-    return _stored_codes(spark, sf_dir, new_shared_folder(spark))
+    """The code table written as CSV and read back."""
+    return _codes_from_files(spark, sf_dir, new_shared_folder(spark))
+
+
+@registered
+def code_files_by_type(spark, sf_dir):
+    """Codes per type over a folder of files, each read as a table of its own."""
+    folder = f"{new_shared_folder(spark)}/codes"
+    write_csv(code_table(spark, sf_dir).coalesce(3), folder)
+    tables = read_folder(spark, folder, dict.fromkeys(tables_in(spark, folder), CODES))
+    codes = reduce(DataFrame.unionAll, tables.values())
+    return codes.groupBy("code_type").agg(
+        F.count("*").alias("n_codes"), F.min("code").alias("first_code")
+    )
 
 
 @registered
@@ -441,18 +455,3 @@ def broken_contract(spark, sf_dir):
     )
     rules = {"priority": F.col("o_orderpriority") != "5-LOW"}
     return contract_report(items, orders, "key", rules)
-
-
-@registered
-def measured_sizes(spark, sf_dir):
-    """Rows of the tables a decoration would broadcast, and whether they may be."""
-    tables = code_tables(spark, sf_dir)
-    rows = [
-        df.agg(
-            F.lit(name).alias("table_name"),
-            F.count("*").alias("n_rows"),
-            F.lit(fits_broadcast(df.select("code", "ccs"))).alias("fits"),
-        )
-        for name, df in tables.items()
-    ]
-    return rows[0].union(rows[1]).union(rows[2])

@@ -1,48 +1,63 @@
 """The same queries as plain SQL, written from the meaning of each step.
 
-Nothing of the library's plan is used here: signals are compared by date range, code
-pairs by join, and results put back by key.
+Nothing of the library is used here, its code sets neither: whether a signal covers a row is
+asked with EXISTS over a date range, code pairs are joined, and results put back by key.
 """
 
 from __future__ import annotations
 
-from claimloom.functions import fixed_values as fixed
+_EMERGENCY_PROCEDURES = (
+    "('99281', '99282', '99283', '99284', '99285', '99286', '99287', '99288',"
+    " 'G0380', 'G0381', 'G0382', 'G0383', 'G0384')"
+)
+_EMERGENCY_REVENUE = "('0450', '0451', '0452', '0456', '0459', '0981')"
+_INPATIENT_ONLY = "('ccs152', 'ccs153', 'ccs158')"
 
 
-def _texts(values) -> str:
-    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+def _nth(number: str, values: str) -> str:
+    """The value at ``number`` modulo their count, as a CASE."""
+    listed = values.strip("()").split(", ")
+    cases = " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(listed))
+    return f"CASE {number} % {len(listed)} {cases} END"
 
 
-_SLOTS = ",\n".join(
-    f"min(l_partkey % 2000) FILTER (WHERE l_linenumber = {n}) AS part{n}" for n in range(1, 8)
+_SLOTS = ", ".join(
+    f"max(l_partkey) FILTER (WHERE nth % 10 = {n - 1}) AS part{n}" for n in range(1, 11)
+)
+_SLOT_COLUMNS = ", ".join(
+    f"lpad(CAST(part{n} AS STRING), 10, '0') AS icdproc{n}" for n in range(1, 11)
 )
-_SLOT_COLUMNS = ",\n".join(
-    f"lpad(CAST(part{n} AS STRING), 5, '0') AS icdproc{n}" for n in range(1, 8)
-) + ",\n" + ",\n".join(f"CAST(NULL AS STRING) AS icdproc{n}" for n in range(8, 11))
 
 _CLAIMS = f"""
-slots AS (SELECT l_orderkey, {_SLOTS} FROM lineitem GROUP BY l_orderkey),
+numbered AS (
+  SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey
+    ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS nth
+  FROM lineitem),
+order_lines AS (
+  SELECT l_orderkey, CAST(floor(nth / 10) AS BIGINT) AS line, {_SLOTS}
+  FROM numbered GROUP BY l_orderkey, CAST(floor(nth / 10) AS BIGINT)),
 dated AS (
-  SELECT o.*, s.*,
-    CASE WHEN o_orderkey % 227 <> 0 THEN DATE '2018-01-01'
-      + CAST(dayofyear(o_orderdate) % 14 AS INTEGER) END AS day0
-  FROM orders o LEFT JOIN slots s ON o.o_orderkey = s.l_orderkey),
+  SELECT o.*, s.*, coalesce(s.line, 0) AS line_no,
+    CASE WHEN o_orderkey % 227 <> 0 THEN CAST(o_orderdate AS DATE) END AS day0
+  FROM orders o LEFT JOIN order_lines s ON o.o_orderkey = s.l_orderkey),
 claims AS (
   SELECT
-    o_orderkey AS sequencenumber,
+    o_orderkey * 1048576 + line_no AS sequencenumber,
     CASE WHEN o_orderkey % 223 <> 0 THEN 'M' || o_custkey END AS member_id,
     CASE WHEN o_orderkey % 211 <> 0
       THEN 'A' || o_custkey || '_' || year(o_orderdate) END AS caseadmitid,
     'C' || o_orderkey AS claimid,
-    '1' AS line_number,
+    CAST(line_no + 1 AS STRING) AS line_number,
     day0 AS prm_fromdate,
     day0 + CAST(o_orderkey % 5 AS INTEGER) AS prm_todate,
     CASE WHEN o_orderkey % 13 <> 0
-      THEN lpad(CAST(o_orderkey % 25 + 1 AS STRING), 3, '0') END AS prm_drg,
-    CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' AND o_orderkey % 2 = 0
-      THEN '99283' ELSE lpad(CAST(o_orderkey * 7 % 2000 AS STRING), 5, '0') END AS hcpcs,
-    CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' AND o_orderkey % 2 = 1
-      THEN '0450' ELSE lpad(CAST(o_orderkey % 1000 AS STRING), 4, '0') END AS revcode,
+      THEN lpad(CAST(o_orderkey % 45 + 11 AS STRING), 3, '0') END AS prm_drg,
+    CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'
+      THEN {_nth("o_orderkey", _EMERGENCY_PROCEDURES)}
+      ELSE lpad(CAST(part1 AS STRING), 10, '0') END AS hcpcs,
+    CASE WHEN o_orderpriority = '1-URGENT' AND o_orderkey % 3 = 0
+      THEN {_nth("o_orderkey", _EMERGENCY_REVENUE)}
+      ELSE lpad(CAST(o_orderkey % 1000 AS STRING), 4, '0') END AS revcode,
     {_SLOT_COLUMNS},
     CASE WHEN o_orderkey % 229 = 0 THEN NULL
       WHEN o_orderstatus = 'F' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'I12' ELSE 'I12a' END
@@ -57,23 +72,18 @@ claims AS (
   FROM dated)"""
 
 _CODES = """
-parts AS (
-  SELECT * FROM (
-    SELECT *, p_partkey % 2000 AS number,
-      row_number() OVER (PARTITION BY p_partkey % 2000 ORDER BY p_partkey) AS nth
-    FROM part) numbered
-  WHERE nth = 1),
 code_table AS (
-  SELECT lpad(CAST(number AS STRING), 5, '0') AS code, p_name AS code_description,
+  SELECT lpad(CAST(p_partkey AS STRING), 10, '0') AS code, p_name AS code_description,
     'ICD10_PROC' AS code_type, 'ccs' || (p_size + 110) AS ccs
-  FROM parts WHERE p_type IN ('ECONOMY', 'MEDIUM', 'SMALL')
+  FROM part WHERE p_type IN ('ECONOMY', 'MEDIUM', 'SMALL')
   UNION ALL
-  SELECT lpad(CAST(number AS STRING), 5, '0'), p_name, 'CPT_HCPCS', 'ccs' || (p_size + 110)
-  FROM parts WHERE p_type IN ('LARGE', 'PROMO', 'STANDARD')
+  SELECT lpad(CAST(p_partkey AS STRING), 10, '0'), p_name, 'CPT_HCPCS',
+    'ccs' || (p_size + 110)
+  FROM part WHERE p_type IN ('LARGE', 'PROMO', 'STANDARD')
   UNION ALL
   SELECT DISTINCT lpad(replace(p_brand, 'Brand#', ''), 3, '0'), p_brand, 'MSDRG',
     'ccs' || (p_size + 110)
-  FROM parts WHERE p_type IN ('PROMO', 'SMALL')),
+  FROM part WHERE p_type IN ('PROMO', 'SMALL')),
 icd_procs AS (SELECT * FROM code_table WHERE code_type = 'ICD10_PROC'),
 hcpcs_codes AS (SELECT * FROM code_table WHERE code_type = 'CPT_HCPCS'),
 drg AS (SELECT * FROM code_table WHERE code_type = 'MSDRG')"""
@@ -103,7 +113,7 @@ op_allowed AS (SELECT * FROM op_candidates WHERE ccs NOT IN (INPATIENT_ONLY))"""
 _SIGNALS = f"""
 visits AS (
   SELECT DISTINCT member_id, prm_fromdate AS day FROM claims
-  WHERE (hcpcs IN {_texts(fixed.EMERGENCY_HCPCS)} OR revcode IN {_texts(fixed.EMERGENCY_REVENUE)})
+  WHERE (hcpcs IN {_EMERGENCY_PROCEDURES} OR revcode IN {_EMERGENCY_REVENUE})
     AND member_id IS NOT NULL AND prm_fromdate IS NOT NULL),
 transfers AS (
   SELECT DISTINCT member_id, prm_todate AS day FROM claims
@@ -111,28 +121,25 @@ transfers AS (
     AND member_id IS NOT NULL AND prm_todate IS NOT NULL)"""
 
 
-def _flagged(name: str, candidates: str, signals: str, flag: str) -> str:
-    return f"""
-{name}_hits AS (
-  SELECT DISTINCT c.sequencenumber, c.ccs, c.position
-  FROM {candidates} c JOIN {signals} s ON c.member_id = s.member_id
-    AND s.day BETWEEN c.prm_fromdate - LOOKBACK AND c.prm_fromdate),
-{name} AS (
-  SELECT c.*, CASE WHEN h.sequencenumber IS NULL THEN 'N' ELSE 'Y' END AS {flag}
-  FROM {candidates} c LEFT JOIN {name}_hits h ON c.sequencenumber = h.sequencenumber
-    AND c.ccs = h.ccs AND c.position = h.position)"""
-
-
-_FLAGS = f"""{_flagged("ip_visits", "ip_allowed", "visits", "er_directed")},
-{_flagged("ip_flagged", "ip_visits", "transfers", "transfer_yn")},
-{_flagged("op_flagged", "op_candidates", "visits", "er_directed")},
-ip_preventable AS (
-  SELECT *, CASE WHEN transfer_yn = 'Y' OR er_directed = 'Y' THEN 'N' ELSE 'Y' END
-    AS preventable_yn
-  FROM ip_flagged),
-op_preventable AS (
-  SELECT *, CASE WHEN er_directed = 'Y' THEN 'N' ELSE 'Y' END AS preventable_yn
-  FROM op_flagged WHERE ccs NOT IN (INPATIENT_ONLY))"""
+def _led_to(signals: str) -> str:
+    """Whether a signal of the candidate's member came on its day or shortly before."""
+    return (
+        f"EXISTS (SELECT 1 FROM {signals} s WHERE s.member_id = c.member_id"
+        " AND s.day <= c.prm_fromdate AND s.day >= c.prm_fromdate - LOOKBACK)"
+    )
+
+
+_FLAGS = f"""
+ip_asked AS (
+  SELECT c.*, {_led_to("visits")} AS after_visit, {_led_to("transfers")} AS after_transfer
+  FROM ip_allowed c),
+op_asked AS (SELECT c.*, {_led_to("visits")} AS after_visit FROM op_candidates c),
+ip_judged AS (
+  SELECT *, CASE WHEN after_visit OR after_transfer THEN 'N' ELSE 'Y' END AS preventable_yn
+  FROM ip_asked),
+op_judged AS (
+  SELECT *, CASE WHEN after_visit THEN 'N' ELSE 'Y' END AS preventable_yn
+  FROM op_asked WHERE ccs NOT IN (INPATIENT_ONLY))"""
 
 _CASE_ORDER = (
     "PARTITION BY caseadmitid ORDER BY position ASC NULLS FIRST,"
@@ -154,10 +161,10 @@ def _first(candidates: str, order: str) -> str:
 _CHOSEN = f"""
 ip_chosen AS (
   SELECT member_id, caseadmitid, sequencenumber, prm_fromdate, ccs, position, preventable_yn
-  FROM {_first("ip_preventable", _CASE_ORDER)} f),
+  FROM {_first("ip_judged", _CASE_ORDER)} f),
 op_chosen AS (
   SELECT member_id, caseadmitid, sequencenumber, prm_fromdate, ccs, position, preventable_yn
-  FROM {_first("op_preventable", _DAY_ORDER)} f),
+  FROM {_first("op_judged", _DAY_ORDER)} f),
 chosen AS (SELECT * FROM ip_chosen UNION ALL SELECT * FROM op_chosen),
 decorated AS (
   SELECT l.sequencenumber,
@@ -169,8 +176,8 @@ decorated AS (
 _STEPS = [_CLAIMS, _CODES, _CANDIDATES, _SIGNALS, _FLAGS, _CHOSEN]
 
 
-def _filled(text: str, lookback: int = 1, only=fixed.INPATIENT_ONLY_CATEGORIES) -> str:
-    return text.replace("(INPATIENT_ONLY)", _texts(only)).replace("LOOKBACK", str(lookback))
+def _filled(text: str, lookback: int = 1, only: str = _INPATIENT_ONLY) -> str:
+    return text.replace("(INPATIENT_ONLY)", only).replace("LOOKBACK", str(lookback))
 
 
 def _sql(select: str, steps: int = len(_STEPS), **rules) -> str:
@@ -202,14 +209,14 @@ _ITEM_CATEGORIES = (
     " FROM lineitem JOIN part ON l_partkey = p_partkey"
 )
 _DECORATED = "SELECT * FROM decorated"
-_OTHER = {"lookback": 0, "only": ("ccs111",)}
+_OTHER = {"lookback": 0, "only": "('ccs111')"}
 
 
 def _after_error(days: int) -> str:
     return f"""
 WITH dated AS (SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events),
 errors AS (SELECT DISTINCT user_id, day FROM dated WHERE event_type = 'error')
-SELECT event_id, user_id, CAST(day AS STRING) AS day,
+SELECT event_id, user_id, CAST(day AS TIMESTAMP) AS day,
   CASE WHEN EXISTS (SELECT 1 FROM errors e WHERE e.user_id = d.user_id
     AND e.day BETWEEN d.day - {days} AND d.day) THEN 'Y' ELSE 'N' END AS after_error
 FROM dated d"""
@@ -283,7 +290,8 @@ WITH i AS (SELECT l_orderkey AS key, count(*) AS n FROM lineitem GROUP BY 1),
 o AS (SELECT o_orderkey AS key, count(*) AS n FROM orders GROUP BY 1)
 SELECT (SELECT count(*) FROM lineitem) AS n_lines,
   (SELECT count(*) FROM orders) AS n_result,
-  CAST(0 AS BIGINT) AS n_null_key_rows,
+  (SELECT count(*) FROM lineitem WHERE l_orderkey IS NULL)
+    + (SELECT count(*) FROM orders WHERE o_orderkey IS NULL) AS n_null_key_rows,
   (SELECT count(*) FROM i FULL JOIN o ON i.key = o.key WHERE i.n > 1 OR o.n > 1)
     AS n_repeated_keys,
   (SELECT count(*) FROM i WHERE key NOT IN (SELECT key FROM o)) AS n_missing_keys,
@@ -294,16 +302,17 @@ SELECT (SELECT count(*) FROM lineitem) AS n_lines,
 def stored_decoration_sql() -> str:
     """The full decoration over views claims, icd_procs, hcpcs_codes and drg.
 
-    In the form the steps are described in: each signal is joined by member and date
-    range, its flag is joined back, then one row per group is chosen. Runs on Spark too, so
-    that the library's plan can be timed against it.
+    Each candidate asks by EXISTS whether a signal of its member lies in its date range, then
+    one row per group is chosen. Runs on Spark too, so that the library's plan can be timed
+    against it.
     """
     return "WITH " + _filled(",".join(_STEPS[2:]) + "\n" + _DECORATED)
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for each registered query, over the driver's tables as views."""
-    days = "SELECT member_id, CAST(day AS STRING) AS day FROM {}"
+    days = "SELECT member_id, CAST(day AS TIMESTAMP) AS day FROM {}"
+    asked = f"SELECT {_FLAGGED}, CASE WHEN x.{{}} THEN 'Y' ELSE 'N' END AS {{}} FROM {{}} x"
     preventable = "SELECT sequencenumber, ccs, position, preventable_yn FROM {}"
     chosen = f"SELECT {_FLAGGED}, x.preventable_yn FROM {{}} x"
     shown_as_text = "prm_fromdate", "prm_todate", "paiddate", "mr_allowed"
@@ -320,8 +329,8 @@ def oracle_sql() -> dict[str, str]:
             1,
         ),
         "emergency_marker": _sql(
-            f"SELECT sequencenumber, CASE WHEN hcpcs IN {_texts(fixed.EMERGENCY_HCPCS)}"
-            f" OR revcode IN {_texts(fixed.EMERGENCY_REVENUE)} THEN 'Y' ELSE 'N' END AS er_flag"
+            f"SELECT sequencenumber, CASE WHEN hcpcs IN {_EMERGENCY_PROCEDURES}"
+            f" OR revcode IN {_EMERGENCY_REVENUE} THEN 'Y' ELSE 'N' END AS er_flag"
             " FROM claims",
             1,
         ),
@@ -341,19 +350,25 @@ def oracle_sql() -> dict[str, str]:
 , e AS (SELECT member_id, day FROM visits UNION SELECT member_id, day + 1 FROM visits),
 t AS (SELECT member_id, day FROM transfers UNION SELECT member_id, day + 1 FROM transfers)
 SELECT coalesce(e.member_id, t.member_id) AS member_id,
-  CAST(coalesce(e.day, t.day) AS STRING) AS day,
+  CAST(coalesce(e.day, t.day) AS TIMESTAMP) AS day,
   CASE WHEN e.day IS NULL THEN 'N' ELSE 'Y' END AS emergency,
   CASE WHEN t.day IS NULL THEN 'N' ELSE 'Y' END AS transfer
 FROM e FULL JOIN t ON e.member_id = t.member_id AND e.day = t.day""",
             4,
         ),
-        "emergency_flag_ip": _sql(f"SELECT {_FLAGGED}, x.er_directed FROM ip_flagged x", 5),
-        "transfer_flag_ip": _sql(f"SELECT {_FLAGGED}, x.transfer_yn FROM ip_flagged x", 5),
-        "emergency_flag_op": _sql(f"SELECT {_FLAGGED}, x.er_directed FROM op_flagged x", 5),
+        "emergency_flag_ip": _sql(
+            asked.format("after_visit", "er_directed", "ip_asked"), 5
+        ),
+        "transfer_flag_ip": _sql(
+            asked.format("after_transfer", "transfer_yn", "ip_asked"), 5
+        ),
+        "emergency_flag_op": _sql(
+            asked.format("after_visit", "er_directed", "op_asked"), 5
+        ),
         "event_error_lookback_1d": _after_error(1),
         "event_error_lookback_3d": _after_error(3),
-        "preventable_ip": _sql(preventable.format("ip_preventable"), 5),
-        "preventable_op": _sql(preventable.format("op_preventable"), 5),
+        "preventable_ip": _sql(preventable.format("ip_judged"), 5),
+        "preventable_op": _sql(preventable.format("op_judged"), 5),
         "case_primary": _sql(
             f"SELECT {_CANDIDATE_IP} FROM {_first('ip_allowed', _CASE_ORDER)} x", 3
         ),
@@ -365,10 +380,15 @@ FROM e FULL JOIN t ON e.member_id = t.member_id AND e.day = t.day""",
         "branch_union": _sql(chosen.format("chosen")),
         "decorate_claims": _sql(_DECORATED),
         "decorator_object": _sql(_DECORATED),
-        "decorate_stored": _sql(_DECORATED),
         "decorate_other_rules": _sql(_DECORATED, **_OTHER),
-        "code_table_all": _sql("SELECT * FROM code_table", 2),
+        "decorate_stored": _sql(_DECORATED),
         "code_table_from_files": _sql("SELECT * FROM code_table", 2),
+        "code_files_by_type": _sql(
+            "SELECT code_type, count(*) AS n_codes, min(code) AS first_code"
+            " FROM code_table GROUP BY code_type",
+            2,
+        ),
+        "code_table_all": _sql("SELECT * FROM code_table", 2),
         "code_table_split": _sql(_CODE_SPLIT, 2),
         "code_conflict_report": _sql(
             "SELECT code_type, code, count(DISTINCT ccs) AS n_categories,"
@@ -389,10 +409,4 @@ FROM e FULL JOIN t ON e.member_id = t.member_id AND e.day = t.day""",
         ),
         "output_contract": _sql(_CONTRACT),
         "broken_contract": _BROKEN,
-        "measured_sizes": _sql(
-            "SELECT table_name, count(*) AS n_rows, true AS fits FROM ("
-            + _CODE_SPLIT
-            + ") GROUP BY table_name",
-            2,
-        ),
     }

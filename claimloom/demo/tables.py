@@ -1,22 +1,21 @@
 """Claims and a code table derived from orders, lineitem and part.
 
-Every order is a claim line; the parts of its items fill the procedure slots. The code
-table has one code per part number modulo ``CODE_COUNT``, described by the first part
-with that number, so its size stays fixed while the claims grow with the orders.
+The items of an order, in order of their number, fill the procedure slots of its claim
+lines, ten to a line; an order has as many lines as its items need, at least one. The code
+table has one entry for every part of the types used, so it grows with the parts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from claimloom.functions import fixed_values as fixed
 from claimloom.sources import CLAIMS, CODES, read_parquet, split_codes
 from claimloom.sources.schemas import SLOT_COUNT
 
-CODE_COUNT = 2000
-FILLED_SLOTS = 7
-DAY_SPAN = 14
-FIRST_DAY = "2018-01-01"
+LINES_PER_ORDER = 1 << 20
+CODE_WIDTH = 10
 
 ICD_PART_TYPES = ("ECONOMY", "MEDIUM", "SMALL")
 HCPCS_PART_TYPES = ("LARGE", "PROMO", "STANDARD")
@@ -32,28 +31,40 @@ def _padded(number: Column, width: int) -> Column:
     return F.lpad(number.cast("string"), width, "0")
 
 
-def _slots(lineitem: DataFrame) -> DataFrame:
-    number = F.col("l_partkey") % CODE_COUNT
-    return lineitem.groupBy("l_orderkey").agg(
+def _one_of(values: tuple[str, ...], number: Column) -> Column:
+    """The value at a place that goes round and round."""
+    place = (number % len(values)).cast("int")
+    return F.element_at(F.array(*[F.lit(v) for v in values]), place + 1)
+
+
+def _lines(lineitem: DataFrame) -> DataFrame:
+    """Claim lines of each order with the part in each slot; equal items stay apart."""
+    in_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    place = F.row_number().over(in_order) - 1
+    items = lineitem.select("l_orderkey", "l_partkey", place.alias("place"))
+    line = F.floor(F.col("place") / SLOT_COUNT).alias("line")
+    return items.groupBy("l_orderkey", line).agg(
         *[
-            F.min(F.when(F.col("l_linenumber") == n, number)).alias(f"part{n}")
-            for n in range(1, FILLED_SLOTS + 1)
+            F.max(F.when(F.col("place") % SLOT_COUNT == n, F.col("l_partkey"))).alias(
+                f"part{n + 1}"
+            )
+            for n in range(SLOT_COUNT)
         ]
     )
 
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The claim lines, one per order, with nulls in every column that may be null."""
+    """The claim lines, with nulls in every column that may be null."""
     key = F.col("o_orderkey")
+    line = F.coalesce(F.col("line"), F.lit(0).cast("long"))
 
     def null_every(n: int, value: Column) -> Column:
         return F.when(key % n != 0, value)
 
     ordered = F.col("o_orderdate").cast("date")
-    offset = F.dayofyear(ordered) % DAY_SPAN
-    start = null_every(227, F.date_add(F.lit(FIRST_DAY).cast("date"), offset))
+    start = null_every(227, ordered)
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    urgent = (status == "P") & (priority == "1-URGENT")
+    urgent = priority == "1-URGENT"
     customer = F.col("o_custkey").cast("string")
 
     def days_after(n: int) -> Column:
@@ -63,26 +74,25 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.when(key % 2 == 0, F.lit(even)).otherwise(F.lit(odd))
 
     columns = {
-        "sequencenumber": key,
+        "sequencenumber": key * LINES_PER_ORDER + line,
         "member_id": null_every(223, F.concat(F.lit("M"), customer)),
         "caseadmitid": null_every(
             211, F.concat(F.lit("A"), customer, F.lit("_"), F.year(ordered).cast("string"))
         ),
         "claimid": F.concat(F.lit("C"), key.cast("string")),
-        "line_number": F.lit("1"),
+        "line_number": (line + 1).cast("string"),
         "prm_fromdate": start,
         "prm_todate": days_after(5),
-        "prm_drg": null_every(13, _padded(key % 25 + 1, 3)),
-        "hcpcs": F.when(urgent & (key % 2 == 0), F.lit("99283")).otherwise(
-            _padded(key * 7 % CODE_COUNT, 5)
-        ),
-        "revcode": F.when(urgent & (key % 2 == 1), F.lit("0450")).otherwise(
-            _padded(key % 1000, 4)
-        ),
-        **{f"icdproc{n}": _padded(F.col(f"part{n}"), 5) for n in range(1, FILLED_SLOTS + 1)},
+        "prm_drg": null_every(13, _padded(key % 45 + 11, 3)),
+        "hcpcs": F.when(
+            urgent & (status == "P"), _one_of(fixed.EMERGENCY_HCPCS, key)
+        ).otherwise(_padded(F.col("part1"), CODE_WIDTH)),
+        "revcode": F.when(
+            urgent & (key % 3 == 0), _one_of(fixed.EMERGENCY_REVENUE, key)
+        ).otherwise(_padded(key % 1000, 4)),
         **{
-            f"icdproc{n}": F.lit(None).cast("string")
-            for n in range(FILLED_SLOTS + 1, SLOT_COUNT + 1)
+            f"icdproc{n}": _padded(F.col(f"part{n}"), CODE_WIDTH)
+            for n in range(1, SLOT_COUNT + 1)
         },
         "mr_line_case": null_every(
             229,
@@ -97,42 +107,27 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         "prm_prv_id_operating": null_every(17, F.concat(F.lit("P"), (key % 100).cast("string"))),
         "paiddate": days_after(40),
     }
-    slots = _slots(table(spark, sf_dir, "lineitem"))
     lines = table(spark, sf_dir, "orders").join(
-        slots, F.col("o_orderkey") == F.col("l_orderkey"), "left"
+        _lines(table(spark, sf_dir, "lineitem")), F.col("o_orderkey") == F.col("l_orderkey"), "left"
     )
     return lines.select(*[columns[name].alias(name) for name in CLAIMS.names])
 
 
 def code_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All codes of all three types, as the category files would hold them together."""
-    number = (F.col("p_partkey") % CODE_COUNT).alias("number")
-    firsts = (
-        table(spark, sf_dir, "part")
-        .groupBy(number)
-        .agg(
-            *[
-                F.min_by(c, "p_partkey").alias(c)
-                for c in ("p_name", "p_brand", "p_type", "p_size")
-            ]
-        )
-    )
+    parts = table(spark, sf_dir, "part")
     category = F.concat(F.lit("ccs"), (F.col("p_size") + 110).cast("string"))
-    code = _padded(F.col("number"), 5)
+    code = _padded(F.col("p_partkey"), CODE_WIDTH)
     brand = F.lpad(F.regexp_replace("p_brand", "Brand#", ""), 3, "0")
 
-    def entry(part_types: tuple[str, ...], *fields: Column) -> Column:
+    def entries(part_types: tuple[str, ...], *fields: Column) -> DataFrame:
         named = [f.alias(n) for f, n in zip(fields, CODES.names, strict=True)]
-        return F.when(F.col("p_type").isin(*part_types), F.struct(*named))
-
-    entries = F.array_compact(
-        F.array(
-            entry(ICD_PART_TYPES, code, F.col("p_name"), F.lit("ICD10_PROC"), category),
-            entry(HCPCS_PART_TYPES, code, F.col("p_name"), F.lit("CPT_HCPCS"), category),
-            entry(DRG_PART_TYPES, brand, F.col("p_brand"), F.lit("MSDRG"), category),
-        )
-    )
-    return firsts.select(F.inline(entries)).distinct()
+        return parts.where(F.col("p_type").isin(*part_types)).select(*named)
+
+    icd = entries(ICD_PART_TYPES, code, F.col("p_name"), F.lit("ICD10_PROC"), category)
+    hcpcs = entries(HCPCS_PART_TYPES, code, F.col("p_name"), F.lit("CPT_HCPCS"), category)
+    drg = entries(DRG_PART_TYPES, brand, F.col("p_brand"), F.lit("MSDRG"), category)
+    return icd.unionAll(hcpcs).unionAll(drg.distinct())
 
 
 def code_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

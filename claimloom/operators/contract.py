@@ -20,6 +20,17 @@ def check_names(result: DataFrame, key: list[str], valid: Callable[[str], bool])
         raise ValueError(f"column names break the naming rule: {', '.join(bad)}")
 
 
+def require_unique(df: DataFrame, key: str) -> None:
+    """Raise if a key occurs twice; rows without a key do not count.
+
+    Runs one job that reads the key column only and shuffles each key once per task.
+    """
+    repeated = df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")
+    found = repeated.orderBy(key).limit(3).collect()
+    if found:
+        raise ValueError(f"{key} is not unique: {', '.join(str(r[key]) for r in found)}")
+
+
 def contract_report(
     lines: DataFrame, result: DataFrame, key: str, must_hold: Mapping[str, Column]
 ) -> DataFrame:

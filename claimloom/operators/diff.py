@@ -3,19 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions import with_prefix
+from claimloom.functions import holds, with_prefix
 
 
 def beside(expected: DataFrame, actual: DataFrame, key: Sequence[str]) -> DataFrame:
     """Each expected row with the actual one beside it, expected columns prefixed.
 
-    Expected rows without a partner stay, with nulls; keys are unique on both sides.
+    Expected rows without a partner stay, with nulls; keys are unique on both sides. Rows
+    with a null in the key have no partner and are not shuffled.
     """
-    return with_prefix(expected, "expected_", keep=key).join(actual, list(key), "left")
+    named = with_prefix(expected, "expected_", keep=key)
+    keyed = reduce(and_, [F.col(k).isNotNull() for k in key])
+    met = named.where(keyed).join(actual, list(key), "left")
+    alone = named.where(~holds(keyed)).select(
+        "*",
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in actual.schema if f.name not in key],
+    )
+    return met.unionByName(alone)
 
 
 def differences(expected: DataFrame, actual: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -23,10 +33,14 @@ def differences(expected: DataFrame, actual: DataFrame, key: Sequence[str]) -> D
 
     Values are shown as text. Rows on one side only show up with all their columns. There
     is no join: both tables go into one count per whole row, equal rows cancel, and only
-    the rest is taken apart by column. So repeated or null keys do no harm.
+    the rest is taken apart by column. So repeated or null keys do no harm. Tables with
+    key columns only show their rows with a null column and value. Both tables must have the
+    same columns with the same types.
     """
-    if sorted(expected.columns) != sorted(actual.columns):
-        raise ValueError("the two tables must have the same columns")
+    types = [{f.name: f.dataType for f in df.schema} for df in (expected, actual)]
+    if types[0] != types[1]:
+        odd = sorted({n for n, _ in set(types[0].items()) ^ set(types[1].items())})
+        raise ValueError(f"the two tables differ in the columns or types of: {', '.join(odd)}")
     columns = expected.columns
     values = [c for c in columns if c not in key]
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
@@ -43,6 +57,11 @@ def differences(expected: DataFrame, actual: DataFrame, key: Sequence[str]) -> D
     both = expected.select(*columns, one.alias("n_expected"), zero.alias("n_actual")).union(
         actual.select(*columns, zero.alias("n_expected"), one.alias("n_actual"))
     )
+    if not values:
+        text = F.lit(None).cast("string")
+        return counted(both, columns).select(
+            *key, text.alias("column"), text.alias("value"), "n_expected", "n_actual"
+        )
     cells = F.array(
         *[
             F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))

@@ -20,6 +20,8 @@ def slots_to_rows(
     Empty slots give no row but keep their number, so gaps show in the positions.
     A narrow step: no shuffle.
     """
+    if not slots:
+        raise ValueError("no slot columns to turn into rows")
     filled = F.coalesce(*[F.col(s) for s in slots]).isNotNull()
     return (
         df.where(filled)

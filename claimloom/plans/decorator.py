@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from claimloom.operators import check_names
+from claimloom.operators import check_names, require_unique
 from claimloom.plans.rules import Rules
 from claimloom.plans.surgery import KEY, decorate
 
@@ -26,10 +26,22 @@ class LineDecorator:
     ) -> DataFrame:
         raise NotImplementedError
 
+    def _check_input(self, dfs_input: Mapping[str, DataFrame]) -> None:
+        """Raise if the input breaks what the decoration relies on."""
+
     def calc_decorator(
-        self, dfs_input: Mapping[str, DataFrame], dfs_refs: Mapping[str, DataFrame], **kwargs
+        self,
+        dfs_input: Mapping[str, DataFrame],
+        dfs_refs: Mapping[str, DataFrame],
+        check: bool = True,
+        **kwargs,
     ) -> DataFrame:
-        """The decoration, after a check of its column names."""
+        """The decoration, after a check of its input and its column names.
+
+        ``check=False`` leaves out the check of the input, which runs a job.
+        """
+        if check:
+            self._check_input(dfs_input)
         result = self._calc_decorator(dfs_input, dfs_refs, **kwargs)
         check_names(result, self.key_fields, self.validate_decor_column_name)
         return result
@@ -45,5 +57,9 @@ class SurgeryDecorator(LineDecorator):
     def validate_decor_column_name(name: str) -> bool:
         return name.startswith("psp_")
 
+    def _check_input(self, dfs_input):
+        """Refuse lines whose key repeats; reads and shuffles the key column once."""
+        require_unique(dfs_input["outclaims"], KEY)
+
     def _calc_decorator(self, dfs_input, dfs_refs, **kwargs):
         return decorate(dfs_input["outclaims"], dfs_refs, self.rules)

@@ -9,7 +9,11 @@ from claimloom.functions import fixed_values as fixed
 
 @dataclass(frozen=True)
 class Rules:
-    """Code sets, line cases and lookback of the decoration."""
+    """Code sets, line cases and lookback of the decoration.
+
+    Every signal is written down for ``lookback_days`` + 1 days, which suits some days; for a
+    lookback of months the number of days would have to be cut into longer buckets.
+    """
 
     emergency_hcpcs: tuple[str, ...] = fixed.EMERGENCY_HCPCS
     emergency_revenue: tuple[str, ...] = fixed.EMERGENCY_REVENUE

@@ -12,10 +12,11 @@ carried along from the scan; nothing is joined back to the claims in between.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimloom.functions import as_yes_no, in_any_set, numbered_columns, starts_with_any
 from claimloom.operators import (
@@ -23,14 +24,15 @@ from claimloom.operators import (
     attach,
     contract_report,
     first_per_group,
-    fits_broadcast,
     has_signal,
     keep_pairs,
     lookup,
+    may_broadcast,
     signal_days,
     slots_to_rows,
 )
 from claimloom.plans.rules import Rules
+from claimloom.sources import CLAIMS, CODES, check_columns
 
 KEY = "sequencenumber"
 MEMBER = "member_id"
@@ -39,6 +41,33 @@ KINDS = ("emergency", "transfer")
 BRANCH_COLUMNS = (MEMBER, "caseadmitid", KEY, DAY, "ccs", "position", "preventable_yn")
 
 _IDENTITY = (MEMBER, "caseadmitid", KEY, DAY)
+_NEEDED = T.StructType(
+    [
+        CLAIMS[name]
+        for name in (
+            *_IDENTITY,
+            "prm_todate",
+            "prm_drg",
+            "hcpcs",
+            "revcode",
+            "mr_line_case",
+            "mr_allowed",
+            "prm_acute_transfer_to_acute_yn",
+            "paiddate",
+        )
+    ]
+)
+_INPATIENT_TABLES = ("icd_procs", "drg")
+_OUTPATIENT_TABLES = ("hcpcs",)
+
+
+def _small(
+    refs: Mapping[str, DataFrame], names: Sequence[str], small: Mapping[str, bool] | None
+) -> Mapping[str, bool]:
+    """Which code tables may be broadcast, measured unless it is known."""
+    if small is None:
+        small = may_broadcast({name: refs[name].select("code", "ccs") for name in names})
+    return small
 
 
 def _entries(codes: DataFrame) -> DataFrame:
@@ -49,12 +78,6 @@ def inpatient_candidates(
     lines: DataFrame, codes: DataFrame, rules: Rules = Rules(), small: bool | None = None
 ) -> DataFrame:
     """One row per inpatient line, slot and category of its code."""
-    return _by_slot(lines, _entries(codes), rules, small)
-
-
-def _by_slot(
-    lines: DataFrame, codes: DataFrame, rules: Rules, small: bool | None
-) -> DataFrame:
     surgical = lines.where(
         F.col("mr_line_case").startswith(rules.inpatient_case) & F.col(KEY).isNotNull()
     )
@@ -64,7 +87,7 @@ def _by_slot(
         keep=[*_IDENTITY, "prm_drg", "mr_allowed"],
         value="icd_proc",
     )
-    found = lookup(rows, codes, on="icd_proc", spread_by=[KEY, "position"], small=small)
+    found = lookup(rows, _entries(codes), on="icd_proc", spread_by=[KEY, "position"], small=small)
     return found.drop("icd_proc")
 
 
@@ -72,16 +95,10 @@ def outpatient_candidates(
     lines: DataFrame, codes: DataFrame, rules: Rules = Rules(), small: bool | None = None
 ) -> DataFrame:
     """One row per outpatient line and category of its procedure code."""
-    return _by_procedure(lines, _entries(codes), rules, small)
-
-
-def _by_procedure(
-    lines: DataFrame, codes: DataFrame, rules: Rules, small: bool | None
-) -> DataFrame:
     surgical = lines.where(
         F.col("mr_line_case").startswith(rules.outpatient_case) & F.col(KEY).isNotNull()
     ).select(*_IDENTITY, "hcpcs", "paiddate", "mr_allowed")
-    found = lookup(surgical, codes, on="hcpcs", spread_by=[KEY], small=small)
+    found = lookup(surgical, _entries(codes), on="hcpcs", spread_by=[KEY], small=small)
     return found.drop("hcpcs").withColumn("position", F.lit(0))
 
 
@@ -154,14 +171,15 @@ def inpatient_branch(
     refs: Mapping[str, DataFrame],
     rules: Rules = Rules(),
     signals: DataFrame | None = None,
-    small: bool | None = None,
+    small: Mapping[str, bool] | None = None,
 ) -> DataFrame:
     """The inpatient lines that get a category, at most one per admission.
 
-    A code listed twice does no harm here, as one row is chosen anyway.
+    ``small`` says which code tables may be broadcast; left out, they are measured.
     """
-    candidates = _by_slot(lines, refs["icd_procs"], rules, small)
-    chosen = primary_per_case(keep_allowed_drgs(candidates, refs["drg"], small))
+    small = _small(refs, _INPATIENT_TABLES, small)
+    candidates = inpatient_candidates(lines, refs["icd_procs"], rules, small["icd_procs"])
+    chosen = primary_per_case(keep_allowed_drgs(candidates, refs["drg"], small["drg"]))
     if signals is None:
         signals = claim_signals(lines, rules)
     flagged = add_signals(chosen, signals, MEMBER, DAY, spread_by=[KEY])
@@ -173,15 +191,17 @@ def outpatient_branch(
     refs: Mapping[str, DataFrame],
     rules: Rules = Rules(),
     signals: DataFrame | None = None,
-    small: bool | None = None,
+    small: Mapping[str, bool] | None = None,
 ) -> DataFrame:
     """The outpatient lines that get a category, at most one per member and day.
 
     Inpatient-only categories go before the choice, so another code of that day can win;
     a null category goes with them.
     """
-    candidates = _by_procedure(lines, refs["hcpcs"], rules, small)
-    allowed = candidates.where(~F.col("ccs").isin(list(rules.inpatient_only)))
+    small = _small(refs, _OUTPATIENT_TABLES, small)
+    candidates = outpatient_candidates(lines, refs["hcpcs"], rules, small["hcpcs"])
+    excluded = F.col("ccs").isin(list(rules.inpatient_only))
+    allowed = candidates.where(F.col("ccs").isNotNull() & ~excluded)
     chosen = latest_per_member_day(allowed)
     if signals is None:
         signals = claim_signals(lines, rules)
@@ -206,11 +226,14 @@ def decorate(
 ) -> DataFrame:
     """One row per line: its key, whether it is eligible, its category, preventable or not.
 
-    ``lines`` has a unique key; ``refs`` holds the code tables icd_procs, hcpcs and drg.
+    ``lines`` has a unique key, which is not checked here, and the columns of claims with
+    their types, which is; ``refs`` holds the code tables icd_procs, hcpcs and drg.
     The size of the code tables is measured here, in one small job; all else is lazy.
     """
-    tables = [refs[name].select("code", "ccs") for name in ("icd_procs", "hcpcs", "drg")]
-    small = fits_broadcast(*tables)
+    check_columns(lines, _NEEDED, "claims")
+    for name in (*_INPATIENT_TABLES, *_OUTPATIENT_TABLES):
+        check_columns(refs[name], T.StructType([CODES["code"], CODES["ccs"]]), name)
+    small = _small(refs, (*_INPATIENT_TABLES, *_OUTPATIENT_TABLES), None)
     signals = claim_signals(lines, rules)
     inpatient = inpatient_branch(lines, refs, rules, signals, small)
     outpatient = outpatient_branch(lines, refs, rules, signals, small)

@@ -2,6 +2,7 @@
 
 from claimloom.sources.code_tables import CODE_TYPES, read_code_tables, split_codes
 from claimloom.sources.files import (
+    check_columns,
     new_shared_folder,
     read_csv,
     read_folder,
@@ -24,6 +25,7 @@ __all__ = [
     "CODES",
     "CODE_TYPES",
     "DESCRIPTOR",
+    "check_columns",
     "new_shared_folder",
     "read_code_tables",
     "read_csv",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 from pathlib import PurePosixPath
@@ -15,9 +14,10 @@ from pyspark.sql import types as T
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """Comma-separated files with a header, read strictly.
 
-    A row that does not fit the schema fails the job, a header that differs from
-    the schema fails it too, and an empty field is null. Blanks before a field are
-    skipped: a blank before an opening quote would otherwise split the quoted text.
+    A row that does not fit the schema fails the job, whichever columns are asked for: every
+    row is parsed whole, so a broken one cannot pass as a shorter one. A header that
+    differs from the schema fails it too, and an empty field is null. Blanks before a field
+    are skipped: a blank before an opening quote would otherwise split the quoted text.
     """
     return (
         spark.read.schema(schema)
@@ -25,15 +25,36 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -
         .option("sep", ",")
         .option("mode", "FAILFAST")
         .option("enforceSchema", False)
+        .option("columnPruning", False)
         .option("ignoreLeadingWhiteSpace", True)
         .csv(path)
     )
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet, the format to keep claims in: only the needed columns are read."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    """Parquet, the format to keep claims in: only the needed columns are read.
+
+    With a schema, a column that the files lack or hold with another type is an error; Spark
+    by itself would read an absent column as null.
+    """
+    found = spark.read.parquet(path)
+    if schema is None:
+        return found
+    check_columns(found, schema, path)
+    return found.select(*schema.names)
+
+
+def check_columns(df: DataFrame, schema: T.StructType, name: str) -> None:
+    """Raise unless ``df`` has the schema's columns with their types; it may have more."""
+    types = {f.name: f.dataType for f in df.schema}
+    wrong = [
+        f"{f.name} ({types[f.name].simpleString() if f.name in types else 'absent'},"
+        f" not {f.dataType.simpleString()})"
+        for f in schema
+        if types.get(f.name) != f.dataType
+    ]
+    if wrong:
+        raise ValueError(f"columns of {name}: {', '.join(wrong)}")
 
 
 def tables_in(spark: SparkSession, folder: str, suffix: str = ".csv") -> dict[str, str]:
@@ -75,12 +96,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 def new_shared_folder(spark: SparkSession) -> str:
     """A new folder that every executor sees, for tables written between two steps.
 
-    It lies in ``spark.checkpoint.dir``. Where that is unset a local session gets a
-    temporary folder, and a cluster an error, as its machines share no local folder.
+    It lies in ``spark.checkpoint.dir`` or, where that is unset, in the warehouse, and goes
+    when the session's driver ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/claimloom-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="claimloom-")
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{shared.rstrip('/')}/claimloom-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

@@ -1,33 +1,33 @@
-"""Hand-made claims and code tables; every code and row is invented."""
+"""Hand-made claims and code tables: codes, members, days and amounts made up for these tests."""
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from claimloom.sources import CLAIMS, CODES
 
-DAY = date(2020, 3, 10)
+DAY = date(2021, 6, 15)
 
 # (code, type, category)
 CODE_ROWS = [
-    ("0XA1111", "ICD10_PROC", "ccs3"),
+    ("0XA1111", "ICD10_PROC", "ccs61"),
     ("0XB2222", "ICD10_PROC", "ccs152"),
     ("0XC3333", "ICD10_PROC", "ccs153"),
-    ("0XD4444", "ICD10_PROC", "ccs149"),
-    ("0XE5555", "ICD10_PROC", "ccs48"),
-    ("0XF6666", "ICD10_PROC", "ccs113"),
-    ("0XF7777", "ICD10_PROC", "ccs113"),
-    ("A1001", "CPT_HCPCS", "ccs45"),
-    ("A1002", "CPT_HCPCS", "ccs84"),
+    ("0XD4444", "ICD10_PROC", "ccs78"),
+    ("0XE5555", "ICD10_PROC", "ccs70"),
+    ("0XF6666", "ICD10_PROC", "ccs90"),
+    ("0XF7777", "ICD10_PROC", "ccs90"),
+    ("A1001", "CPT_HCPCS", "ccs33"),
+    ("A1002", "CPT_HCPCS", "ccs66"),
     ("A1003", "CPT_HCPCS", "ccs153"),
-    ("A1004", "CPT_HCPCS", "ccs244"),
-    ("A1005", "CPT_HCPCS", "ccs124"),
-    ("028", "MSDRG", "ccs3"),
-    ("467", "MSDRG", "ccs152"),
-    ("467", "MSDRG", "ccs153"),
-    ("509", "MSDRG", "ccs149"),
-    ("253", "MSDRG", "ccs48"),
-    ("668", "MSDRG", "ccs113"),
+    ("A1004", "CPT_HCPCS", "ccs120"),
+    ("A1005", "CPT_HCPCS", "ccs137"),
+    ("101", "MSDRG", "ccs61"),
+    ("202", "MSDRG", "ccs152"),
+    ("202", "MSDRG", "ccs153"),
+    ("330", "MSDRG", "ccs78"),
+    ("477", "MSDRG", "ccs70"),
+    ("515", "MSDRG", "ccs90"),
 ]
 
 
@@ -45,18 +45,18 @@ def line(number, case="I12", **values):
         "member_id": member,
         "caseadmitid": f"{member}_1",
         "prm_fromdate": DAY,
-        "prm_todate": date(2020, 3, 14),
+        "prm_todate": DAY + timedelta(days=6),
         "mr_line_case": case,
-        "mr_allowed": 50,
+        "mr_allowed": 400,
         "prm_acute_transfer_to_acute_yn": "N",
         "prm_prv_id_operating": "p",
-        "paiddate": date(2020, 4, 1),
+        "paiddate": date(2021, 7, 20),
     }
     made |= {f"icdproc{place}": code for place, code in enumerate(slots, 1)}
     return made | values
 
 
-def inpatient(number, *slots, drg="028", **values):
+def inpatient(number, *slots, drg="101", **values):
     return line(number, "I12", slots=slots, prm_drg=drg, **values)
 
 
@@ -68,45 +68,67 @@ def claims(spark, lines):
     return spark.createDataFrame([tuple(r[c] for c in CLAIMS.names) for r in lines], CLAIMS)
 
 
-# The cases every decoration must get right: a line, then the expected
-# (eligible, category, preventable).
+def _before(days):
+    return DAY - timedelta(days=days)
+
+
+# Cases every decoration must get right: a line, then (eligible, category, preventable) as the
+# rules have it. Most cases show several rules at once.
 GOLDEN = [
-    (inpatient(1, "0XA1111"), ("Y", "ccs3", "Y")),
-    (inpatient(2, "0XB2222", "0XC3333", drg="467"), ("Y", "ccs152", "Y")),
-    (inpatient(3, "0XF6666", "0XF7777", drg="668", member="two"), ("Y", None, None)),
+    # The dearer code of the day is for inpatients only, so the cheaper one gets the day; its
+    # own line is an emergency visit by its revenue code.
+    (outpatient(31, "A1003", member="pat", mr_allowed=900), ("Y", None, None)),
+    (outpatient(32, "A1002", member="pat", mr_allowed=10, revcode="0456"), ("Y", "ccs66", "N")),
+    # The DRG does not go with the first slot's category but with the second's; the visit the
+    # day before counts, on a line that is not eligible itself.
+    (inpatient(40, "0XD4444", "0XB2222", drg="202", member="eve"), ("Y", "ccs152", "N")),
+    (line(41, "O11", member="eve", hcpcs="99285", prm_fromdate=_before(1)), ("N", None, None)),
+    # One admission: the lower slot beats the amount, then the earlier day decides. A transfer
+    # that ended two days before is too early to count.
+    (
+        inpatient(51, "0XF6666", drg="515", member="sam", prm_fromdate=DAY + timedelta(days=1)),
+        ("Y", None, None),
+    ),
+    (inpatient(50, "0XF7777", drg="515", member="sam"), ("Y", "ccs90", "Y")),
     (
-        inpatient(4, "0XF6666", "0XF7777", drg="668", member="two", mr_allowed=100),
-        ("Y", "ccs113", "Y"),
+        inpatient(52, None, "0XF6666", drg="515", member="sam", mr_allowed=7000),
+        ("Y", None, None),
     ),
-    (inpatient(5, "0XD4444", drg="509", member="er"), ("Y", "ccs149", "N")),
-    (line(6, "O11", member="er", hcpcs="G0380"), ("N", None, None)),
-    (inpatient(7, "0XA1111", drg=None), ("Y", None, None)),
-    (inpatient(8, "0XE5555", drg="253", member="moved"), ("Y", "ccs48", "N")),
     (
         line(
-            9,
+            53,
             "I11",
-            member="moved",
-            prm_fromdate=date(2020, 3, 8),
-            prm_todate=DAY,
+            member="sam",
+            prm_fromdate=_before(9),
+            prm_todate=_before(2),
             prm_acute_transfer_to_acute_yn="Y",
         ),
         ("N", None, None),
     ),
-    (inpatient(10, "0XA1111", prm_prv_id_operating=None), ("Y", "ccs3", "Y")),
-    (outpatient(11, "A1001"), ("Y", "ccs45", "Y")),
-    (outpatient(12, "A1002", member="op"), ("Y", None, None)),
-    (outpatient(13, "A1002", member="op", mr_allowed=60), ("Y", "ccs84", "Y")),
-    (outpatient(14, "A1003"), ("Y", None, None)),
-    (outpatient(15, "A1004", member="oper"), ("Y", "ccs244", "N")),
-    (line(16, "O11", member="oper", revcode="0459"), ("N", None, None)),
-    (outpatient(17, "A1005", member="rev"), ("Y", None, None)),
+    # A transfer that ended the day before counts for inpatients, not for outpatients.
+    (inpatient(60, "0XE5555", drg="477", member="kim"), ("Y", "ccs70", "N")),
+    (outpatient(61, "A1001", member="kim"), ("Y", "ccs33", "Y")),
     (
-        outpatient(18, "A1005", member="rev", mr_allowed=-50, paiddate=date(2020, 5, 1)),
-        ("Y", None, None),
+        line(
+            62,
+            None,
+            member="kim",
+            prm_fromdate=_before(4),
+            prm_todate=_before(1),
+            prm_acute_transfer_to_acute_yn="Y",
+        ),
+        ("N", None, None),
     ),
+    # Without a paid date the highest amount loses; of the rest the amount decides.
+    (outpatient(70, "A1005", member="lou", mr_allowed=999, paiddate=None), ("Y", None, None)),
+    (outpatient(72, "A1005", member="lou", mr_allowed=5), ("Y", "ccs137", "Y")),
+    (outpatient(71, "A1005", member="lou", mr_allowed=-5), ("Y", None, None)),
+    # No DRG, no category; a longer case, a gap before the slot and no provider do no harm.
+    (inpatient(80, "0XA1111", drg=None), ("Y", None, None)),
     (
-        outpatient(19, "A1005", member="rev", mr_allowed=75, paiddate=date(2020, 5, 1)),
-        ("Y", "ccs124", "Y"),
+        inpatient(81, None, "0XA1111", mr_line_case="I12b", prm_prv_id_operating=None),
+        ("Y", "ccs61", "Y"),
     ),
+    # A code that no table lists.
+    (outpatient(90, "ZZZZZ"), ("Y", None, None)),
 ]

@@ -22,8 +22,10 @@ from claimloom.operators import (
     has_signal,
     keep_pairs,
     lookup,
+    may_broadcast,
     miss_counts,
     signal_days,
+    slots_to_rows,
     spread_join,
 )
 from claimloom.plans import LineDecorator, SurgeryDecorator
@@ -231,7 +233,7 @@ def test_differences_count_repeated_rows(spark):
     two = spark.createDataFrame([(1, "a"), (None, "b")], "id int, v string")
     rows = differences(one, two, ["id"]).collect()
     assert [(r["id"], r["value"], r["n_expected"], r["n_actual"]) for r in rows] == [(1, "a", 2, 1)]
-    with pytest.raises(ValueError, match="same columns"):
+    with pytest.raises(ValueError, match="columns or types of: v"):
         differences(one, two.drop("v"), ["id"])
 
 
@@ -286,7 +288,7 @@ def test_column_names_are_checked(spark):
             return good.withColumnRenamed("psp_a", "ccs_a")
 
     with pytest.raises(ValueError, match="ccs_a"):
-        Wrong().calc_decorator({}, {})
+        Wrong().calc_decorator({}, {}, check=False)
     with pytest.raises(NotImplementedError):
         LineDecorator().calc_decorator({}, {})
 
@@ -294,10 +296,54 @@ def test_column_names_are_checked(spark):
 def test_code_reports(spark):
     table = codes(spark)
     conflicts = code_conflicts(table).collect()
-    assert [tuple(r) for r in conflicts] == [("MSDRG", "467", 2, "ccs152", "ccs153")]
-    rows = code_coverage(table, CODE_TYPES, ["ccs158", "ccs3"]).collect()
+    assert [tuple(r) for r in conflicts] == [("MSDRG", "202", 2, "ccs152", "ccs153")]
+    rows = code_coverage(table, CODE_TYPES, ["ccs158", "ccs61"]).collect()
     found = {r["ccs"]: (r["n_icd_procs"], r["n_hcpcs"], r["n_drg"], r["missing"]) for r in rows}
-    assert found["ccs3"] == (1, 0, 1, "hcpcs")
+    assert found["ccs61"] == (1, 0, 1, "hcpcs")
     assert found["ccs153"] == (1, 1, 1, "")
     assert found["ccs158"] == (0, 0, 0, "icd_procs,hcpcs,drg")
     assert code_coverage(table, CODE_TYPES).where("ccs = 'ccs158'").count() == 0
+
+
+def test_differences_compare_types_and_key_only_tables(spark):
+    text = spark.createDataFrame([(1, "1")], "k long, v string")
+    number = spark.createDataFrame([(1, 1)], "k long, v int")
+    with pytest.raises(ValueError, match="types of: v"):
+        differences(text, number, ["k"])
+    rows = differences(text.select("k"), spark.createDataFrame([(2,)], "k long"), ["k"]).collect()
+    assert sorted(tuple(r) for r in rows) == [(1, None, None, 1, 0), (2, None, None, 0, 1)]
+
+
+def test_beside_keeps_rows_without_a_key(spark):
+    mine = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c")], "k long, v string")
+    other = spark.createDataFrame([(1, "x"), (None, "y")], "k long, v string")
+    rows = sorted(tuple(r) for r in beside(mine, other, ["k"]).collect() if r["k"] is None)
+    assert rows == [(None, "b", None), (None, "c", None)]
+    assert beside(mine, other, ["k"]).count() == 3
+
+
+def test_no_slot_columns(spark):
+    with pytest.raises(ValueError, match="slot"):
+        slots_to_rows(spark.range(1), [], keep=["id"])
+
+
+def test_list_of_split_keys_is_bounded(spark):
+    """More hot keys than may be sent: the hottest are split, the rest join whole."""
+    left = spark.createDataFrame(
+        [(k, n) for k in range(30) for n in range(5 + k)], "k long, n long"
+    )
+    right = spark.createDataFrame([(k, -k) for k in range(30)], "k long, v long")
+    found = spread_join(left, right, ["k"], "inner", ["n"], hot_rows=2, hot_keys=4)
+    meant = left.join(right, "k").select(*found.columns)
+    assert sorted(found.collect()) == sorted(meant.collect())
+    assert "LocalLimit 4" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_smallest_tables_are_broadcast_while_their_sum_fits(spark):
+    small, large = spark.range(10), spark.range(1000)
+    one = 10 * (64 + 16)
+    assert may_broadcast({"s": small, "l": large}, max_bytes=one) == {"s": True, "l": False}
+    assert may_broadcast({"a": small, "b": small}, max_bytes=2 * one - 1) == {
+        "a": True,
+        "b": False,
+    }

@@ -55,18 +55,18 @@ def test_descriptor_file_gives_the_claims_schema(spark, tmp_path):
 
 
 def test_leading_zeros_and_blanks_survive(spark, tmp_path):
-    (tmp_path / "a.csv").write_text(HEADER + '028,,MSDRG,ccs3\n0450,"a, b",CPT_HCPCS,\n')
+    (tmp_path / "a.csv").write_text(HEADER + '028,,MSDRG,ccs61\n0450,"a, b",CPT_HCPCS,\n')
     rows = read_csv(spark, str(tmp_path / "a.csv"), CODES).collect()
     assert [tuple(r) for r in rows] == [
-        ("028", None, "MSDRG", "ccs3"),
+        ("028", None, "MSDRG", "ccs61"),
         ("0450", "a, b", "CPT_HCPCS", None),
     ]
 
 
 def test_blank_before_a_quote_does_not_split_the_field(spark, tmp_path):
-    (tmp_path / "a.csv").write_text(HEADER + 'B2, "cut, lower; part",CPT_HCPCS,ccs149\n')
+    (tmp_path / "a.csv").write_text(HEADER + 'B2, "cut, lower; part",CPT_HCPCS,ccs78\n')
     row = read_csv(spark, str(tmp_path / "a.csv"), CODES).first()
-    assert tuple(row) == ("B2", "cut, lower; part", "CPT_HCPCS", "ccs149")
+    assert tuple(row) == ("B2", "cut, lower; part", "CPT_HCPCS", "ccs78")
 
 
 def test_bad_row_fails(spark, tmp_path):
@@ -77,30 +77,30 @@ def test_bad_row_fails(spark, tmp_path):
 
 
 def test_other_header_fails(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("code,ccs,code_type,code_description\n028,ccs3,MSDRG,x\n")
+    (tmp_path / "a.csv").write_text("code,ccs,code_type,code_description\n028,ccs61,MSDRG,x\n")
     with pytest.raises(Exception, match="header does not conform"):
         read_csv(spark, str(tmp_path / "a.csv"), CODES).collect()
 
 
 def test_folder_gives_named_tables(spark, tmp_path):
-    (tmp_path / "drg.csv").write_text(HEADER + "028,x,MSDRG,ccs3\n")
-    (tmp_path / "hcpcs.csv").write_text(HEADER + "A1001,y,CPT_HCPCS,ccs45\n")
+    (tmp_path / "drg.csv").write_text(HEADER + "101,x,MSDRG,ccs61\n")
+    (tmp_path / "hcpcs.csv").write_text(HEADER + "A1001,y,CPT_HCPCS,ccs33\n")
     (tmp_path / "notes.txt").write_text("not a table")
     assert set(tables_in(spark, str(tmp_path))) == {"drg", "hcpcs"}
     tables = read_folder(spark, str(tmp_path), {"drg": CODES, "hcpcs": CODES})
-    assert {n: df.first()["code"] for n, df in tables.items()} == {"drg": "028", "hcpcs": "A1001"}
+    assert {n: df.first()["code"] for n, df in tables.items()} == {"drg": "101", "hcpcs": "A1001"}
     with pytest.raises(ValueError, match="hcpcs"):
         read_folder(spark, str(tmp_path), {"drg": CODES})
 
 
 def test_code_tables_load_together_and_split(spark, tmp_path):
-    (tmp_path / "code_a.csv").write_text(HEADER + "028,x,MSDRG,ccs3\n0XA1111,y,ICD10_PROC,ccs3\n")
-    (tmp_path / "code_b.csv").write_text(HEADER + "A1001,z,CPT_HCPCS,ccs45\nZ9,z,OTHER,ccs45\n")
+    (tmp_path / "code_a.csv").write_text(HEADER + "101,x,MSDRG,ccs61\n0XA1111,y,ICD10_PROC,ccs61\n")
+    (tmp_path / "code_b.csv").write_text(HEADER + "A1001,z,CPT_HCPCS,ccs33\nZ9,z,OTHER,ccs33\n")
     tables = split_codes(read_code_tables(spark, str(tmp_path / "code_*.csv")))
     assert {n: [r["code"] for r in df.collect()] for n, df in tables.items()} == {
         "icd_procs": ["0XA1111"],
         "hcpcs": ["A1001"],
-        "drg": ["028"],
+        "drg": ["101"],
     }
 
 
@@ -110,19 +110,10 @@ def test_csv_write_and_read_back(spark, tmp_path):
     assert sorted(read_csv(spark, path, CODES).collect()) == sorted(codes(spark).collect())
 
 
-def _session_with(**settings):
-    named = {f"spark.{name.replace('_', '.')}": value for name, value in settings.items()}
-    return SimpleNamespace(conf=SimpleNamespace(get=named.get))
-
-
 def test_shared_folder_lies_where_the_session_says(spark):
-    assert new_shared_folder(spark) != new_shared_folder(spark)
-    cluster = _session_with(master="yarn", checkpoint_dir="hdfs:///shared/")
-    one, other = new_shared_folder(cluster), new_shared_folder(cluster)
+    one, other = new_shared_folder(spark), new_shared_folder(spark)
     assert one != other
-    assert one.startswith("hdfs:///shared/claimloom-")
-    with pytest.raises(ValueError, match="checkpoint"):
-        new_shared_folder(_session_with(master="yarn"))
+    assert one.startswith(spark.conf.get("spark.checkpoint.dir") + "/claimloom-")
 
 
 def test_write_and_read_back(spark, tmp_path):

@@ -313,7 +313,7 @@ def search(
     sampled = sorted((r.vec_id, r.vector) for r in sample.limit(2 * wanted).collect())
     # equal vectors say nothing more about the parts
     distinct = list(dict.fromkeys(tuple(v) for _, v in sampled))
-    vectors = np.array(distinct, dtype=np.float64).reshape(len(distinct), -1)
+    vectors = np.array(distinct, dtype=np.float64).reshape(len(distinct), size)
     mixed = np.random.default_rng(settings.seed).permutation(len(vectors))
     kept = mixed[: min(512, len(vectors) // 4)]
     router = fit_router(np.delete(vectors, kept, axis=0), parts, settings)

@@ -33,7 +33,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
+_BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 _IP_PARTS = rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"
 _RUN = r"[A-Za-z0-9_]"
 IDENTIFIER = rf"(?<!{_RUN})(?=[A-Za-z_]*+[0-9]){_RUN}{{12,}}+"

@@ -1,0 +1,555 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from claimloom.llm import (
+    components,
+    exact_dedup,
+    jaccard_join,
+    learned_search,
+    packing,
+    page_text,
+    private_data,
+    quality,
+    shared,
+    token_codes,
+    token_files,
+    word_shuffle_bpe,
+)
+from tests.llm import helpers
+
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+LONG = " ".join(f"word{n % 9000} , x\n" for n in range(60_000))
+ODD = [
+    (1, "alpha beta gamma delta epsilon zeta eta theta"),
+    (2, None),
+    (3, ""),
+    (4, " \t\n "),
+    (5, "alpha  beta\tgamma delta epsilon zeta eta theta"),
+    (None, "alpha beta gamma delta epsilon zeta eta theta"),
+    (None, "no id at all"),
+    (6, LONG),
+    (7, "one"),
+    (7, "one"),
+    (8, "ONE"),
+    (9, "  İstanbul don't   stop\n\n \nnow   é <|endoftext|> \U0001f642"),
+]
+
+
+@pytest.fixture(params=[False, True], ids=["plain", "clashing"])
+def odd(spark, request):
+    return helpers.documents(spark, ODD, clashes=request.param)
+
+
+@pytest.fixture
+def none(spark):
+    return helpers.documents(spark, [])
+
+
+def index(spark):
+    return exact_dedup.DigestIndex(spark, shared.new_folder(spark, "index"), buckets=4)
+
+
+# --- 1 ----------------------------------------------------------------------------------
+
+
+def test_exact_dedup_odd_rows(spark, odd):
+    rows = index(spark).deduplicate(odd).collect()
+    found = {(r.doc_id, r.text_sha256[:4]): (r.keep_id, r.group_size, r.kept) for r in rows}
+    assert len(rows) == len(ODD) - 1  # the repeated row is one document
+    by_id = {r.doc_id: r for r in rows if r.doc_id is not None}
+    assert (by_id[1].keep_id, by_id[1].group_size, by_id[1].kept) == (1, 3, True)
+    assert (by_id[5].keep_id, by_id[5].kept) == (1, False)
+    assert (by_id[3].keep_id, by_id[3].group_size, by_id[3].kept) == (2, 2, False)
+    assert by_id[4].group_size == 1  # white space alone is one space
+    assert (by_id[7].group_size, by_id[7].copies, by_id[8].group_size) == (1, 2, 1)
+    null_ids = [v for (d, _), v in found.items() if d is None]
+    assert sorted(null_ids, key=repr) == [(1, 3, False), (None, 1, True)]
+
+
+def test_exact_dedup_keeps_one_row_of_each_text(spark, odd):
+    kept = exact_dedup.keep_first(odd, index(spark))
+    assert kept.columns == odd.columns
+    ids = sorted((r.doc_id or 0) for r in kept.collect())
+    assert ids == [0, 1, 2, 4, 6, 7, 8, 9]
+
+
+def test_exact_dedup_of_later_batches(spark, none):
+    """The index remembers: of a text seen before nothing stays, not even a smaller id."""
+    folder = shared.new_folder(spark, "index")
+    first = exact_dedup.DigestIndex(spark, folder, buckets=4)
+    assert first.deduplicate(none).count() == 0
+    assert first.deduplicate(helpers.documents(spark, [(5, "a b"), (6, "c")])).count() == 2
+    # another session opens the same folder
+    again = exact_dedup.DigestIndex(spark, folder, buckets=4)
+    batch = helpers.documents(spark, [(1, "a\tb"), (2, "d"), (3, "d")])
+    rows = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in again.deduplicate(batch).collect()}
+    assert rows == {1: (5, 1, False), 2: (2, 2, True), 3: (2, 2, False)}
+    assert again.entries().count() == 3
+
+
+def test_exact_dedup_index_join_does_not_shuffle_the_index(spark):
+    own = index(spark)
+    own.deduplicate(helpers.documents(spark, [(1, "a"), (2, "b")]))
+    new = spark.createDataFrame([(bytearray(32),)], "digest binary").repartition(4, "digest")
+    joined = new.join(own.entries().hint("merge"), "digest", "left_anti")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    assert plan.count("Exchange") == 1  # that of the new rows
+    assert "Bucketed: true" in plan
+
+
+# --- 2 ----------------------------------------------------------------------------------
+
+PAGE = (
+    "<html><body><nav><a>Menu</a></nav><header>Site</header><article><h1>Title &amp; more</h1>"
+    "<p>First   one<br>goes on</p><div class='ad'>Buy</div><form><p>Mail?</p></form>"
+    "<script>x<y</script><style>p{}</style><p>Second <b>bold</b> one<p>Third &#233;</article>"
+    "<section id=comments><p>Nice!</p></section><aside>Side</aside><footer>End</footer></body></html>"
+)
+
+
+def pages(spark, rows, clashes=False):
+    schema = "page_id long, url string, html string"
+    if clashes:
+        schema += ", host string, token long, texts string, slot string, number long"
+        rows = [r + (None,) * 5 for r in rows]
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.mark.parametrize("clashes", [False, True])
+def test_page_text_odd_rows(spark, clashes):
+    plain = "<div><p>only text</p></div>"
+    rows = [
+        (1, "http://a.example/x", PAGE),
+        (2, "http://a.example/y", None),
+        (3, None, ""),
+        (None, "http://b.example", plain),
+        (4, "no url", "text without tags <b"),
+        (4, "no url", "text without tags <b"),
+        (5, "http://c.example/1", "<article>" + "<p>x</p>" * 30_000),
+    ]
+    found = page_text.extract_text(pages(spark, rows, clashes)).collect()
+    texts = {}
+    for r in found:
+        assert r.n_chars == len(r.text)
+        texts.setdefault(r.page_id, []).append(r.text)
+    assert texts[1] == [
+        "Title & more\n\nFirst one goes on\n\nSecond bold one\n\nThird é"
+    ]
+    assert texts[2] == texts[3] == [""]
+    assert texts[None] == ["only text"]
+    assert texts[4] == ["text without tags"] * 2
+    assert texts[5] == ["\n\n".join(["x"] * 30_000)]
+
+
+def test_page_text_deduces_the_template_of_a_host(spark):
+    """Without an article element: constant texts go, the slot with most text stays."""
+    rows = [
+        (
+            n,
+            f"https://t.example/{n}",
+            "<body><div>Site name</div><div id=top>Today's weather</div>"
+            f"<div id=main><p>Story {n} has a beginning.</p><p>And an end {n}.</p></div>"
+            "<div>All rights reserved</div></body>",
+        )
+        for n in range(6)
+    ]
+    found = {r.page_id: r.text for r in page_text.extract_text(pages(spark, rows)).collect()}
+    assert found == {n: f"Story {n} has a beginning.\n\nAnd an end {n}." for n in range(6)}
+
+
+def test_page_text_of_an_empty_table(spark):
+    assert page_text.extract_text(pages(spark, [])).collect() == []
+
+
+# --- 4 ----------------------------------------------------------------------------------
+
+
+def test_jaccard_join_odd_rows(spark, odd):
+    rows = jaccard_join.group_similar(odd).collect()
+    assert len(rows) == len(ODD)
+    found = {(r.doc_id, r.n_shingles): r.component_id for r in rows}
+    assert found[1, 5] == found[5, 5] == 1
+    assert found[2, 0] == 2 and found[3, 0] == 3 and found[4, 0] == 4
+    assert found[None, 5] is None
+    assert found[7, 1] == found[8, 1] == 7  # lower-cased, and one short sequence
+    assert found[6, len(helpers.shingles(LONG, 4))] == 6
+
+
+def test_jaccard_join_of_empty_tables(spark, none):
+    assert jaccard_join.group_similar(none).collect() == []
+    blank = helpers.documents(spark, [(1, None), (2, " ")])
+    found = sorted(tuple(r) for r in jaccard_join.group_similar(blank).collect())
+    assert found == [(1, 0, 1), (2, 0, 2)]
+
+
+@pytest.mark.parametrize("words, percent", [(4, 85), (5, 80), (2, 60)])
+def test_jaccard_join_against_all_pairs(spark, words, percent):
+    """Groups of near copies at all distances, passages that many share, chains; small tiles."""
+    chance = random.Random(words)
+
+    def text(n):
+        return [f"w{chance.randrange(400)}" for _ in range(n)]
+
+    passage = text(40)
+    texts = []
+    for size in (3, 6, 20, 60, 150):
+        for _ in range(4):
+            base = text(size)
+            for copy in range(12):
+                mine = list(base)
+                for _ in range(chance.randrange(0, max(2, size // 25) + copy // 3)):
+                    mine[chance.randrange(len(mine))] = f"w{chance.randrange(400)}"
+                texts.append(mine + (passage if chance.random() < 0.3 else []))
+    chance.shuffle(texts)
+    rows = [(n * 3, " ".join(t)) for n, t in enumerate(texts)]
+    settings = jaccard_join.Settings(
+        words=words, percent=percent, tile_rows=8, block_shingles=2000, common_share=1e-3
+    )
+    found = jaccard_join.group_similar(helpers.documents(spark, rows), settings).collect()
+    meant = helpers.similar_groups(dict(rows), words, percent)
+    assert {r.doc_id: r.component_id for r in found} == meant
+
+
+def test_keep_one_of_each_group(spark, odd):
+    kept = jaccard_join.keep_one(odd, jaccard_join.Settings(words=5, percent=80))
+    assert kept.columns == odd.columns
+    ids = sorted((r.doc_id or 0) for r in kept.collect())
+    assert ids == [0, 0, 1, 2, 3, 4, 6, 7, 7, 9]
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(n, n + 1) for n in range(1, 700)] + [(1000, n) for n in range(1001, 1400)]
+    edges += [(5000, 4000), (4000, 4500), (4500, 4000), (77777, 77777)]
+    chance = random.Random(1)
+    chance.shuffle(edges)
+    df = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    found = {r.node: r.component for r in components.components(df).collect()}
+    assert found == {
+        **{n: 1 for n in range(1, 701)},
+        **{n: 1000 for n in range(1000, 1400)},
+        **{4000: 4000, 4500: 4000, 5000: 4000},
+    }
+    assert components.components(df.limit(0)).collect() == []
+
+
+# --- 5 ----------------------------------------------------------------------------------
+
+
+def test_token_files_odd_rows(spark, odd):
+    tokenizer = Tokenizer.from_file(BYTES)
+    folder = shared.new_folder(spark, "tokens")
+    settings = token_files.Settings(BYTES, file_bytes=50_000)
+    token_files.write_tokens(odd, folder, settings)
+    digests = token_files.token_digests(spark, folder).collect()
+    assert len(digests) == len(ODD)
+    ids_of = {
+        (d, t): [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for d, t in ODD
+    }
+    meant = sorted((d or 0, len(i), zlib.crc32(np.array(i, "<u4"))) for (d, _), i in ids_of.items())
+    meant = sorted([*meant, next(m for m in meant if m[0] == 7)])
+    assert sorted((r.doc_id or 0, r.n_tokens, r.ids_crc32) for r in digests) == meant
+    at = 0
+    for r in sorted(digests, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    order = [r.doc_id or 0 for r in sorted(digests, key=lambda r: r.start)]
+    assert order == sorted(order)
+    whole = token_files.read_tokens(spark, folder).where("doc_id = 6").first()
+    assert np.frombuffer(whole.ids, "<u4").tolist() == ids_of[6, LONG]
+
+
+def test_one_short_document_is_read_by_the_index(spark):
+    rows = [(n, f"document number {n} " * 5) for n in range(2000)]
+    folder = shared.new_folder(spark, "tokens")
+    files = token_files.write_tokens(
+        helpers.documents(spark, rows), folder, token_files.Settings(BYTES)
+    ).collect()
+    tokenizer = Tokenizer.from_file(BYTES)
+    meant = [*tokenizer.encode(rows[1234][1], add_special_tokens=False).ids, 0]
+    found = [token_files.read_document(folder, f.file, 1234) for f in files]
+    assert [f for f in found if f] == [meant]
+    assert token_files._dictionary(f"{folder}/dictionary")[0]  # one was trained
+
+
+def test_token_files_of_an_empty_table(spark, none):
+    folder = shared.new_folder(spark, "tokens")
+    token_files.write_tokens(none, folder, token_files.Settings(BYTES))
+    assert token_files.token_digests(spark, folder).collect() == []
+
+
+def _mixed_texts(count: int) -> list[str]:
+    chance = random.Random(3)
+    parts = [*"abcDÉß'.,!?-#*$ \n\t  　\x1c\x85İſ日е́ 019"]
+    parts += ["'s", "don't", "<|endoftext|>", "  ", "\n\n", " \n", "\U0001f642", "ﬁ", " the "]
+    return ["".join(chance.choices(parts, k=chance.randrange(50))) for _ in range(count)]
+
+
+@pytest.mark.parametrize("kind, path", [("bytes", BYTES), ("words", WORDS)])
+def test_chunked_encoding_equals_whole_texts(kind, path):
+    """Also with a cache far too small, so that chunks come and go."""
+    tokenizer = Tokenizer.from_file(path)
+    texts = _mixed_texts(4000)
+    made = {"bytes": token_codes.ByteLevelCodes, "words": token_codes.WordCodes}[kind](path, 100)
+    found = [c for i in range(0, len(texts), 64) for c in made.encode(texts[i : i + 64])]
+    for text, code in zip(texts, found, strict=True):
+        meant = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(code, "<u4").tolist() == meant, repr(text)
+
+
+# --- 6 ----------------------------------------------------------------------------------
+
+
+def test_byte_bpe_round_trip_of_odd_rows(spark, odd, monkeypatch):
+    encoding = word_shuffle_bpe._encoding(RANKS)
+    rows = word_shuffle_bpe.decode(word_shuffle_bpe.encode(odd, RANKS), RANKS).collect()
+    found = sorted((r.doc_id or 0, bytes(r.decoded), bytes(r.ids)) for r in rows)
+    meant = sorted(
+        (d or 0, (t or "").encode(), np.array(encoding.encode_ordinary(t or ""), "<u4").tobytes())
+        for d, t in ODD
+    )
+    assert found == meant
+
+
+def test_byte_bpe_of_mixed_texts_in_many_blocks(spark):
+    encoding = word_shuffle_bpe._encoding(RANKS)
+    texts = _mixed_texts(1500)
+    docs = helpers.documents(spark, list(enumerate(texts))).repartition(9).cache()
+    found = {r.doc_id: bytes(r.ids) for r in word_shuffle_bpe.encode(docs, RANKS).collect()}
+    for n, text in enumerate(texts):
+        assert np.frombuffer(found[n], "<u4").tolist() == encoding.encode_ordinary(text)
+
+
+def test_byte_bpe_of_an_empty_table(spark, none):
+    assert word_shuffle_bpe.encode(none, RANKS).collect() == []
+
+
+# --- 7 ----------------------------------------------------------------------------------
+
+
+def test_packing_odd_rows(spark, odd):
+    rows = packing.pack_documents(odd, WORDS).collect()
+    tokenizer = Tokenizer.from_file(WORDS)
+    lengths = sorted(
+        len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in ODD
+    )
+    wholes = {}
+    for r in rows:
+        wholes.setdefault((r.doc_id, r.doc_tokens), 0)
+        wholes[r.doc_id, r.doc_tokens] += r.length
+    assert sum(r.length for r in rows) == sum(lengths)
+    used = {}
+    for r in rows:
+        used.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in used.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= packing.SEQUENCE_TOKENS
+
+
+def test_packing_of_an_empty_table(spark, none):
+    assert packing.pack_documents(none, WORDS).collect() == []
+
+
+def test_first_fit_decreasing_against_the_plain_search():
+    chance = random.Random(2)
+    for count in (0, 1, 2, 7, 300):
+        sizes = [chance.randrange(1, 101) for _ in range(count)]
+        bins, meant = [], [None] * count
+        for i in sorted(range(count), key=lambda i: -sizes[i]):
+            at = next((b for b, used in enumerate(bins) if used + sizes[i] <= 100), len(bins))
+            if at == len(bins):
+                bins.append(0)
+            meant[i] = (at, bins[at])
+            bins[at] += sizes[i]
+        assert packing.first_fit_decreasing(sizes, 100) == meant
+
+
+# --- 8 ----------------------------------------------------------------------------------
+
+
+def test_search_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 0.0]),
+        (1, [1.0, 0.0]),
+        (2, [1.0, 0.0]),
+        (3, [0.0, 0.0]),
+        (4, None),
+        (5, [1.0, None]),
+        (6, [nan, 1.0]),
+        (7, [inf, 1.0]),
+        (8, [3.0]),
+        (9, [0.0, -2.0]),
+        (None, [9.0, 9.0]),
+        (20, [0.0, 1.0]),
+        (20, [0.0, 1.0]),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    df = df.withColumns({"part": F.lit("x"), "vector": F.lit("y"), "place": F.lit(1)})
+    found = learned_search.search(df, F.col("vec_id") % 20 == 0, 3).collect()
+    by_query = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r["rank"])):
+        by_query.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert by_query == {
+        0: [(1, 1.0), (2, 1.0), (9, 0.0)],
+        20: [(0, 0.0), (1, 0.0), (2, 0.0)],
+    }
+    assert learned_search.search(df.limit(0), F.col("vec_id") % 20 == 0, 3).collect() == []
+
+
+def test_search_of_grouped_vectors_looks_into_few_parts(spark):
+    """Clear groups, one of them with a third of all rows and equal vectors."""
+    random_ = np.random.default_rng(4)
+    centres = random_.normal(size=(12, 16)) * 4
+    vectors = np.concatenate(
+        [c + random_.normal(size=(250, 16)) * 0.1 for c in centres] + [np.tile(centres[0], (1500, 1))]
+    )
+    ids = random_.permutation(len(vectors)).tolist()
+    df = spark.createDataFrame(
+        list(zip(ids, vectors.tolist(), strict=True)), "vec_id long, embedding array<double>"
+    )
+    settings = learned_search.Settings(part_rows=400, chunk_rows=500, recall=0.99)
+    found = learned_search.search(df, F.col("vec_id") % 20 == 0, 10, settings).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    order = np.argsort(ids)
+    ids, vectors = np.array(ids)[order], vectors[order]
+    hits = 0
+    for query, ranks in got.items():
+        scores = (vectors * vectors[query]).sum(axis=1)
+        scores[query] = -np.inf
+        best = np.lexsort((ids, -scores))[:10]
+        hits += len({v for v, _ in ranks.values()} & set(best.tolist()))
+    assert len(got) == len(range(0, len(ids), 20))
+    assert hits >= 0.95 * 10 * len(got)
+
+
+# --- 9 ----------------------------------------------------------------------------------
+
+
+def test_quality_odd_rows(spark, odd, none):
+    labels = spark.createDataFrame(
+        [(n, n % 2, 0) for n in range(1, 10)] + [(None, 1, 0), (5, None, 0), (7, 0, 0)],
+        "doc_id long, quality int, toxic int",
+    )
+    machine = quality.fit(odd, labels)
+    rows = quality.score(odd, machine).collect()
+    assert len(rows) == len(ODD)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    assert all(r.held_out is False for r in rows if r.doc_id is None)
+    kept = quality.keep_accepted(odd, machine)
+    assert kept.columns == odd.columns
+    assert kept.count() == sum(r.predicted for r in rows)
+    assert quality.score(none, machine).collect() == []
+    alone = quality.fit(odd, labels.limit(0))
+    assert {r.score for r in quality.score(odd, alone).collect()} == {0.5}
+
+
+def test_factorisation_machine_equals_its_definition():
+    random_ = np.random.default_rng(0)
+    machine = quality.Machine(0.3, random_.normal(size=20), random_.normal(size=(20, 4)))
+    places, values = np.array([1, 4, 7, 19]), np.array([0.5, 1.0, -0.2, 0.7])
+    pairs = sum(
+        float(machine.factors[a] @ machine.factors[b]) * x * y
+        for i, (a, x) in enumerate(zip(places, values, strict=True))
+        for b, y in list(zip(places, values, strict=True))[i + 1 :]
+    )
+    total = 0.3 + float(machine.weights[places] @ values) + pairs
+    assert machine.score(places, values) == pytest.approx(1 / (1 + np.exp(-total)))
+
+
+def test_factorisation_machine_learns_a_pair():
+    """Neither feature alone tells the label, both together do."""
+    settings = quality.Settings(buckets=8, rounds=200, rate=0.1)
+    rows = []
+    for n in range(400):
+        a, b = n % 2, n // 2 % 2
+        places = np.array([a, 2 + b], dtype="<u4")
+        rows.append((float(a ^ b), places.tobytes(), np.ones(2, "<f4").tobytes()))
+    machine = quality.train(rows, settings)
+    scores = [machine.score(np.array([a, 2 + b]), np.ones(2)) for a in (0, 1) for b in (0, 1)]
+    assert [s > 0.5 for s in scores] == [False, True, True, False]
+
+
+# --- 10 ---------------------------------------------------------------------------------
+
+PRIVATE = [
+    (1, "mail a.b+c@x-y.example.org, or a@b.com_x@c.org; not a@b or @c.d"),
+    (2, "at 1.2.3.4.5.6.7.8 and 999.1.1.1 and 00255.0.0.1 1.2.3"),
+    (3, "card 4111 1111 1111 1111, 4111-1111-1111-1112 and 4111  1111 1111 1111"),
+    (4, "call +1 (555) 010-9999 now or +12 or +1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6"),
+    (5, None),
+    (6, "é\U0001f642 x@y.zz é"),
+    (7, "1" * 50_000 + " " + "1 " * 30_000 + "a" * 50_000 + "." * 20_000 + "+" * 20_000),
+    (None, "x@y.zz"),
+    (6, "é\U0001f642 x@y.zz é"),
+]
+
+
+@pytest.mark.parametrize("clashes", [False, True])
+def test_private_data_odd_rows(spark, clashes):
+    docs = helpers.documents(spark, PRIVATE, clashes)
+    rows = private_data.find_private(docs).collect()
+    found = sorted(
+        ((r.doc_id or 0, [(s.start, s["rank"], s.kind, s.end) for s in r.base]) for r in rows),
+        key=repr,
+    )
+    meant = sorted(((d or 0, helpers.base_spans(t)) for d, t in PRIVATE), key=repr)
+    assert found == meant
+    assert private_data.find_private(docs.limit(0)).collect() == []
+
+
+def test_private_data_against_the_plain_patterns(spark):
+    chance = random.Random(9)
+    parts = [*"09 15.-+()@a%_", "4111111111111111", "1.2.3.4", "a@b.co", " ", "255", "+1"]
+    texts = ["".join(chance.choices(parts, k=chance.randrange(40))) for _ in range(1500)]
+    docs = helpers.documents(spark, list(enumerate(texts)))
+    rows = private_data.read_texts(docs).collect()
+    for r in rows:
+        base = [(s.start, s["rank"], s.kind, s.end) for s in r.base]
+        assert base == helpers.base_spans(texts[r.doc_id]), repr(texts[r.doc_id])
+
+
+def test_trusted_contexts_find_unseen_identifiers(spark):
+    """'account' stands before known data, 'model' before anything."""
+    known = [f"my account: p{n}q@mail.example rest" for n in range(20)]
+    other = [f"model AB{n:04d}CDEFGH{n}Z is out" for n in range(20)]
+    rows = known + other + ["my account: ZX81QQ99PLM42 rest", "model p@q.example x"]
+    docs = helpers.documents(spark, list(enumerate(rows)))
+    found = {r.doc_id: r for r in private_data.find_private(docs).collect()}
+    added = {d: [s.found for s in r.spans if s.kind == "id"] for d, r in found.items()}
+    assert added[40] == ["ZX81QQ99PLM42"]
+    assert sum(map(len, added.values())) == 1
+    masked = {r.doc_id: r.text for r in private_data.mask_private(docs).collect()}
+    assert masked[40] == "my account: [ID] rest"
+    assert masked[0] == "my account: [EMAIL] rest"
+    assert masked[20] == rows[20]
+
+
+def test_masking_keeps_rows_and_columns(spark):
+    docs = helpers.documents(spark, PRIVATE, clashes=True)
+    masked = private_data.mask_private(docs)
+    assert masked.columns == docs.columns
+    rows = masked.collect()
+    assert len(rows) == len(PRIVATE)
+    texts = sorted((r.doc_id or 0, r.text) for r in rows if r.doc_id in (6, None))
+    assert texts == [(0, "[EMAIL]")] + [(6, "é\U0001f642 [EMAIL] é")] * 2
+    assert all(r.n_chars == len(r.text) for r in rows if r.text is not None)
+    assert next(r.text for r in rows if r.doc_id == 5) is None

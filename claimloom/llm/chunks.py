@@ -22,34 +22,31 @@ def space_led_chunks(text: str) -> list[str]:
     return text.split(" ")
 
 
-class ChunkCache(dict):
-    """Encoded chunks, at most twice ``limit`` of them; the longest unused go first.
+class ChunkCache:
+    """Encoded chunks, at most about twice ``limit`` of them; the longest unused go first.
 
     ``encode_many`` gets a list of chunks and returns one ``bytes`` for each.
     """
 
     def __init__(self, encode_many: Callable[[list[str]], Iterable[bytes]], limit: int):
-        super().__init__()
         self._encode_many = encode_many
         self._limit = limit
+        self._codes: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        code = self._older.get(chunk)
-        if code is None:
-            code = next(iter(self._encode_many([chunk])))
-        self[chunk] = code
-        return code
-
-    def prepare(self, chunks: set[str]) -> None:
-        """Encode in one go what is not known yet."""
-        if len(self) + len(chunks) > self._limit:
-            self._older = dict(self)
-            self.clear()
-        wanted = list(chunks.difference(self.keys(), self._older.keys()))
+    def __len__(self) -> int:
+        return len(self._codes)
+
+    def codes_of(self, chunks: set[str]) -> Callable[[str], bytes]:
+        """A look-up that knows all these chunks; what is new is encoded in one go."""
+        if len(self._codes) + len(chunks) > self._limit:
+            self._older, self._codes = self._codes, {}
+        new = chunks.difference(self._codes)
+        if self._older:
+            again = new.intersection(self._older)
+            self._codes.update(zip(again, map(self._older.__getitem__, again), strict=True))
+            new -= again
+        wanted = list(new)
         if wanted:
-            self.update(zip(wanted, self._encode_many(wanted), strict=True))
-
-    def join(self, chunks: list[str]) -> bytes:
-        """The codes of the chunks, one after the other."""
-        return b"".join(map(self.__getitem__, chunks))
+            self._codes.update(zip(wanted, self._encode_many(wanted), strict=True))
+        return self._codes.__getitem__

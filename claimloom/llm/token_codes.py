@@ -7,6 +7,7 @@ worker's cache. The ids are those of the whole text encoded at once (see ``chunk
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -14,8 +15,8 @@ import numpy as np
 from claimloom.llm.chunks import ChunkCache, space_led_chunks
 
 ID_BYTES = 4
-CACHE_CHUNKS = 300_000
-_JOINED_CHUNKS = 200
+CACHE_CHUNKS = 600_000
+_JOINED_CHUNKS = 250
 
 
 def _load(path: str):
@@ -29,69 +30,113 @@ def _as_bytes(ids) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
-class ByteLevelCodes:
-    """Ids of a byte-level BPE tokenizer without a normaliser."""
+class _Codes:
+    """Shared part: chunks are joined to longer texts, as single ones cost more to encode.
+
+    ``_joined`` gives the text of several chunks, or None where they cannot be told apart
+    in it; ``_cuts`` gives where in the joined ids each chunk begins and ends.
+    """
 
     def __init__(self, path: str, limit: int = CACHE_CHUNKS):
         self._tokenizer = _load(path)
-        size = self._tokenizer.get_vocab_size()
-        tokens = map(self._tokenizer.id_to_token, range(size))
-        # the byte-level alphabet writes the space as this letter
-        self._led = np.array([bool(t) and t.startswith("Ġ") for t in tokens])
         self._cache = ChunkCache(self._encode_many, limit)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [f.ids for f in found]
 
+    def _joined(self, chunks: list[str]) -> str | None:
+        raise NotImplementedError
+
+    def _cuts(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raise NotImplementedError
+
+    def _alone(self, chunk: str) -> str:
+        raise NotImplementedError
+
     def _encode_many(self, chunks: list[str]) -> list[bytes]:
-        """Chunks joined with their spaces; an id that begins with a space begins a chunk."""
-        joined = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
-        alone = [c for c in chunks if not (c and not c[0].isspace() and not c[-1].isspace())]
-        codes: dict[str, bytes] = {}
-        parts = [
-            joined[i : i + _JOINED_CHUNKS] for i in range(0, len(joined), _JOINED_CHUNKS)
-        ]
-        texts = [" " + " ".join(p) for p in parts]
-        for part, ids in zip(parts, self._ids(texts), strict=True):
-            ids = np.asarray(ids, dtype="<u4")
-            starts = np.flatnonzero(self._led[ids])
-            if len(starts) != len(part):
-                alone.extend(part)
-                continue
-            ends = np.append(starts[1:], len(ids)) * ID_BYTES
-            data = ids.tobytes()
-            for chunk, start, end in zip(part, starts * ID_BYTES, ends, strict=True):
-                codes[chunk] = data[start:end]
-        for chunk, ids in zip(alone, self._ids([" " + c for c in alone]), strict=True):
-            codes[chunk] = _as_bytes(ids)
-        return [codes[c] for c in chunks]
+        parts = [chunks[i : i + _JOINED_CHUNKS] for i in range(0, len(chunks), _JOINED_CHUNKS)]
+        texts = [self._joined(p) for p in parts]
+        found = iter(self._ids([t for t in texts if t is not None]))
+        codes: list[bytes] = []
+        for part, text in zip(parts, texts, strict=True):
+            if text is not None:
+                ids = np.asarray(next(found), dtype="<u4")
+                starts, ends = self._cuts(ids)
+                if len(starts) == len(part):
+                    data = ids.tobytes()
+                    places = zip(
+                        (starts * ID_BYTES).tolist(), (ends * ID_BYTES).tolist(), strict=True
+                    )
+                    codes.extend([data[a:b] for a, b in places])
+                    continue
+            codes.extend(map(_as_bytes, self._ids([self._alone(c) for c in part])))
+        return codes
+
+
+class ByteLevelCodes(_Codes):
+    """Ids of a byte-level BPE tokenizer without a normaliser."""
+
+    _SPACES = re.compile(r"\s\s")
+
+    def __init__(self, path: str, limit: int = CACHE_CHUNKS):
+        super().__init__(path, limit)
+        size = self._tokenizer.get_vocab_size()
+        tokens = map(self._tokenizer.id_to_token, range(size))
+        # the byte-level alphabet writes the space as this letter
+        self._led = np.array([bool(t) and t.startswith("Ġ") for t in tokens])
+
+    def _joined(self, chunks: list[str]) -> str | None:
+        """With the spaces that begin the chunks: an id with a space begins a chunk."""
+        text = " " + " ".join(chunks)
+        return None if self._SPACES.search(text) or text[-1].isspace() else text
+
+    def _cuts(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts = np.flatnonzero(self._led[ids])
+        return starts, np.append(starts[1:], len(ids))
+
+    def _alone(self, chunk: str) -> str:
+        return " " + chunk
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
         split = [space_led_chunks(t) for t in texts]
-        self._cache.prepare({c for chunks in split for c in chunks[1:]})
-        firsts = self._ids([chunks[0] for chunks in split])
+        firsts = [chunks.pop(0) for chunks in split]
+        known = self._cache.codes_of(set().union(*split))
         return [
-            _as_bytes(first) + self._cache.join(chunks[1:])
-            for first, chunks in zip(firsts, split, strict=True)
+            _as_bytes(first) + b"".join(map(known, chunks))
+            for first, chunks in zip(self._ids(firsts), split, strict=True)
         ]
 
 
-class WordCodes:
+class WordCodes(_Codes):
     """Ids of a BPE tokenizer that drops white space; words do not influence each other."""
 
+    # A letter whose first byte begins no character that the pattern lets through, put
+    # between the chunks; those characters keep their number when normalised.
+    _MARK = "\u65e5"
+    _OTHER = re.compile("[^\x00-\u012f]")
+
     def __init__(self, path: str, limit: int = CACHE_CHUNKS):
-        self._tokenizer = _load(path)
-        self._cache = ChunkCache(self._encode_many, limit)
+        super().__init__(path, limit)
+        self._mark = np.asarray(self._ids([self._MARK])[0], dtype="<u4")
 
-    def _encode_many(self, chunks: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [_as_bytes(f.ids) for f in found]
+    def _joined(self, chunks: list[str]) -> str | None:
+        text = " ".join(chunks)
+        return None if self._OTHER.search(text) else f" {self._MARK} ".join(chunks)
+
+    def _cuts(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        marks = np.flatnonzero(ids == self._mark[0])
+        return np.append(0, marks + len(self._mark)), np.append(marks, len(ids))
+
+    def _alone(self, chunk: str) -> str:
+        return chunk
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        self._cache.prepare({c for chunks in split for c in chunks})
-        return [self._cache.join(chunks) for chunks in split]
+        known = self._cache.codes_of(set().union(*split))
+        return [b"".join(map(known, chunks)) for chunks in split]
 
 
 @lru_cache(maxsize=4)

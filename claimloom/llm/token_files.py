@@ -54,7 +54,7 @@ class Settings:
     tokenizer: str
     end_id: int = 0
     id_bytes: int = 2
-    level: int = 3
+    level: int = 1
     file_bytes: int = 64 << 20
     dictionary_bytes: int = 32 << 10
     sample_docs: int = 2000

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.chunks import ChunkCache, space_led_chunks
+from claimloom.llm.chunks import space_led_chunks
 from claimloom.llm.shared import row_slices, table_batches, whole_text
 
 # Fixed value: the pattern of the rank files.
@@ -60,29 +60,38 @@ def _encoding(path: str):
     )
 
 
+class _ChunkNumbers(dict):
+    """The numbers of the words of each chunk; words are numbered as they first come."""
+
+    def __init__(self, words: dict[str, int]):
+        super().__init__()
+        self._words = words
+        self._find = regex.compile(PATTERN).findall
+
+    def numbers(self, text: str) -> bytes:
+        number = self._words.setdefault
+        found = [number(w, len(self._words)) for w in self._find(text)]
+        return np.array(found, dtype="<u4").tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        self[chunk] = code = self.numbers(" " + chunk)
+        return code
+
+
 class _Block:
     """Documents of one partition with the numbers of their words."""
 
     def __init__(self) -> None:
-        self._pattern = regex.compile(PATTERN)
         self.words: dict[str, int] = {}
-        self._cache = ChunkCache(self._numbers, 2 * BLOCK_WORDS)
+        self._chunks = _ChunkNumbers(self.words)
         self._hash = hashlib.blake2b(digest_size=8)
         self.documents: list[tuple[int | None, bytes, int]] = []
         self.size = 0
 
-    def _number(self, word: str) -> int:
-        return self.words.setdefault(word, len(self.words))
-
-    def _numbers(self, chunks: list[str]) -> Iterator[bytes]:
-        for chunk in chunks:
-            found = self._pattern.findall(" " + chunk)
-            yield np.array([self._number(w) for w in found], dtype="<u4").tobytes()
-
     def add(self, doc_id: int | None, text: str, keep: bool) -> None:
         chunks = space_led_chunks(text)
-        first = [self._number(w) for w in self._pattern.findall(chunks[0])]
-        places = np.array(first, dtype="<u4").tobytes() + self._cache.join(chunks[1:])
+        rest = map(self._chunks.__getitem__, chunks[1:])
+        places = self._chunks.numbers(chunks[0]) + b"".join(rest)
         self._hash.update(f"{doc_id} {len(places)} {len(self.words)};".encode())
         self.size += len(places)
         if keep:
@@ -92,7 +101,7 @@ class _Block:
             self.documents.append((doc_id, packed, len(places) // 4))
 
     def full(self) -> bool:
-        many = len(self.words) >= BLOCK_WORDS or len(self._cache) >= 2 * BLOCK_WORDS
+        many = len(self.words) >= BLOCK_WORDS or len(self._chunks) >= 2 * BLOCK_WORDS
         return many or self.size >= BLOCK_BYTES
 
     def key(self) -> int:

@@ -309,6 +309,39 @@ def stored_decoration_sql() -> str:
     return "WITH " + _filled(",".join(_STEPS[2:]) + "\n" + _DECORATED)
 
 
+def range_join_sql() -> str:
+    """The same result with the signals found by a join over member and date range."""
+    pairs = {
+        name: f"""
+{name}_days AS (
+  SELECT DISTINCT c.member_id, c.prm_fromdate FROM {candidates} c
+  JOIN {signals} s ON s.member_id = c.member_id
+    AND s.day <= c.prm_fromdate AND s.day >= c.prm_fromdate - LOOKBACK)"""
+        for name, candidates, signals in (
+            ("ip_visit", "ip_allowed", "visits"),
+            ("ip_transfer", "ip_allowed", "transfers"),
+            ("op_visit", "op_candidates", "visits"),
+        )
+    }
+
+    def found(name: str, alias: str) -> str:
+        return (
+            f"LEFT JOIN {name}_days {alias} ON {alias}.member_id = c.member_id"
+            f" AND {alias}.prm_fromdate = c.prm_fromdate"
+        )
+
+    judged = f"""
+ip_judged AS (
+  SELECT c.*, CASE WHEN v.member_id IS NOT NULL OR t.member_id IS NOT NULL
+    THEN 'N' ELSE 'Y' END AS preventable_yn
+  FROM ip_allowed c {found("ip_visit", "v")} {found("ip_transfer", "t")}),
+op_judged AS (
+  SELECT c.*, CASE WHEN v.member_id IS NOT NULL THEN 'N' ELSE 'Y' END AS preventable_yn
+  FROM op_candidates c {found("op_visit", "v")} WHERE c.ccs NOT IN (INPATIENT_ONLY))"""
+    steps = [_CANDIDATES, _SIGNALS, *pairs.values(), judged, _CHOSEN]
+    return "WITH " + _filled(",".join(steps) + "\n" + _DECORATED)
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for each registered query, over the driver's tables as views."""
     days = "SELECT member_id, CAST(day AS TIMESTAMP) AS day FROM {}"

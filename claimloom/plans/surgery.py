@@ -222,18 +222,22 @@ def eligible_lines(lines: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def decorate(
-    lines: DataFrame, refs: Mapping[str, DataFrame], rules: Rules = Rules()
+    lines: DataFrame,
+    refs: Mapping[str, DataFrame],
+    rules: Rules = Rules(),
+    small: Mapping[str, bool] | None = None,
 ) -> DataFrame:
     """One row per line: its key, whether it is eligible, its category, preventable or not.
 
     ``lines`` has a unique key, which is not checked here, and the columns of claims with
     their types, which is; ``refs`` holds the code tables icd_procs, hcpcs and drg.
-    The size of the code tables is measured here, in one small job; all else is lazy.
+    The size of the code tables is measured here, in one small job, unless ``small`` says which
+    of them may be broadcast; all else is lazy.
     """
     check_columns(lines, _NEEDED, "claims")
     for name in (*_INPATIENT_TABLES, *_OUTPATIENT_TABLES):
         check_columns(refs[name], T.StructType([CODES["code"], CODES["ccs"]]), name)
-    small = _small(refs, (*_INPATIENT_TABLES, *_OUTPATIENT_TABLES), None)
+    small = _small(refs, (*_INPATIENT_TABLES, *_OUTPATIENT_TABLES), small)
     signals = claim_signals(lines, rules)
     inpatient = inpatient_branch(lines, refs, rules, signals, small)
     outpatient = outpatient_branch(lines, refs, rules, signals, small)

@@ -1,11 +1,11 @@
 """Byte-level BPE by a shuffle of distinct words, and its decoding (operator 6).
 
 Texts are cut into pre-tokens (words). A task takes the documents of its partition in
-blocks, and sends each distinct word of a block once, with its number there. Dealt out by
-word and sorted, equal words of all blocks lie together, so every distinct word of the whole
-corpus is encoded once. Its ids go back to the blocks, where the documents' lists of word
-numbers turn them into ids by position. Decoding joins the ids with the token table, whose
-size is that of the vocabulary.
+blocks and numbers the distinct words of a block. The words are dealt out by hash, each
+block's words of a bucket in one packed row, so equal words of all blocks meet in one task
+and every distinct word of the whole corpus is encoded once. The ids go back to the blocks,
+where the documents' lists of word numbers turn them into ids by position. Decoding joins the
+ids with the token table, whose size is that of the vocabulary.
 
 The lists of word numbers come from a second pass over the texts rather than from a
 stored copy. A block's key is a hash of its words and documents, so a source that does not
@@ -19,14 +19,15 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,12 +37,18 @@ from claimloom.llm.shared import row_slices, table_batches, whole_text
 
 # Fixed value: the pattern of the rank files.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BLOCK_WORDS = 150_000
-BLOCK_BYTES = 48 << 20
-
-_WORDS = "block long, word_no int, word string"
-_CODES = "block long, word_no int, code binary"
-_PLACES = "block long, doc_id long, places binary, n_places int"
+# A word and signs behind it: both are pre-tokens, the first with the space before it. Letters
+# and signs here are such in every version of Unicode.
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]*)")
+
+BLOCK_WORDS = 600_000
+BLOCK_BYTES = 24 << 20
+BUCKETS = 256
+RUN_DOCS = 64
+
+_WORDS = "bucket int, block long, words binary"
+_CODES = "block long, bucket int, codes binary"
+_PLACES = "block long, run int, doc_ids array<long>, counts array<int>, places binary"
 _IDS = "doc_id long, ids binary"
 
 
@@ -60,6 +67,37 @@ def _encoding(path: str):
     )
 
 
+def _packed(parts: list[bytes], width: int = 1) -> bytes:
+    """Byte strings in one compressed piece: their number, lengths, and contents.
+
+    Contents of numbers with ``width`` bytes are laid out by byte, which compresses better.
+    """
+    lengths = np.fromiter(map(len, parts), dtype="<u4", count=len(parts))
+    data = _planes(b"".join(parts), width)
+    head = len(parts).to_bytes(4, "little") + _planes(lengths.tobytes(), 4)
+    return zstandard.compress(head + data, 3)
+
+
+def _unpacked(data: bytes, width: int = 1) -> tuple[np.ndarray, bytes]:
+    """The lengths and the joined contents of a packed piece."""
+    data = zstandard.decompress(data)
+    count = int.from_bytes(data[:4], "little")
+    lengths = np.frombuffer(_joined(data[4 : 4 + 4 * count], 4), dtype="<u4")
+    return lengths, _joined(data[4 + 4 * count :], width)
+
+
+def _planes(data: bytes, width: int) -> bytes:
+    if width == 1:
+        return data
+    return np.frombuffer(data, dtype=np.uint8).reshape(-1, width).T.tobytes()
+
+
+def _joined(data: bytes, width: int) -> bytes:
+    if width == 1:
+        return data
+    return np.frombuffer(data, dtype=np.uint8).reshape(width, -1).T.tobytes()
+
+
 class _ChunkNumbers(dict):
     """The numbers of the words of each chunk; words are numbered as they first come."""
 
@@ -74,7 +112,15 @@ class _ChunkNumbers(dict):
         return np.array(found, dtype="<u4").tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
-        self[chunk] = code = self.numbers(" " + chunk)
+        plain = _PLAIN.fullmatch(chunk)
+        if plain:
+            words = self._words
+            code = words.setdefault(" " + plain[1], len(words)).to_bytes(4, "little")
+            if plain[2]:
+                code += words.setdefault(plain[2], len(words)).to_bytes(4, "little")
+        else:
+            code = self.numbers(" " + chunk)
+        self[chunk] = code
         return code
 
 
@@ -85,7 +131,7 @@ class _Block:
         self.words: dict[str, int] = {}
         self._chunks = _ChunkNumbers(self.words)
         self._hash = hashlib.blake2b(digest_size=8)
-        self.documents: list[tuple[int | None, bytes, int]] = []
+        self.documents: list[tuple[int | None, bytes]] = []
         self.size = 0
 
     def add(self, doc_id: int | None, text: str, keep: bool) -> None:
@@ -95,10 +141,7 @@ class _Block:
         self._hash.update(f"{doc_id} {len(places)} {len(self.words)};".encode())
         self.size += len(places)
         if keep:
-            # planes of equal bytes compress better than the numbers as they are
-            planes = np.frombuffer(places, dtype=np.uint8).reshape(-1, 4).T.tobytes()
-            packed = zstandard.compress(planes, 3)
-            self.documents.append((doc_id, packed, len(places) // 4))
+            self.documents.append((doc_id, places))
 
     def full(self) -> bool:
         many = len(self.words) >= BLOCK_WORDS or len(self._chunks) >= 2 * BLOCK_WORDS
@@ -106,8 +149,15 @@ class _Block:
 
     def key(self) -> int:
         last = next(reversed(self.words), "")
-        self._hash.update(last.encode("utf-8", "surrogatepass"))
-        return int.from_bytes(self._hash.digest(), "little", signed=True)
+        ended = self._hash.copy()
+        ended.update(last.encode())
+        return int.from_bytes(ended.digest(), "little", signed=True)
+
+    def buckets(self) -> np.ndarray:
+        """The bucket of each word, in the order of their numbers."""
+        hashes = map(xxhash.xxh3_64_intdigest, self.words)
+        found = np.fromiter(hashes, dtype=np.uint64, count=len(self.words))
+        return (found % np.uint64(BUCKETS)).astype(np.int64)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], keep: bool) -> Iterator[_Block]:
@@ -121,51 +171,71 @@ def _blocks(batches: Iterator[pa.RecordBatch], keep: bool) -> Iterator[_Block]:
                 if block.full():
                     yield block
                     block = _Block()
-    if block.size or block.documents or block.words:
+    if block.size or block.documents:
         yield block
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in _blocks(batches, keep=False):
-        words = pa.array(block.words.keys(), type=pa.string())
-        numbers = pa.array(np.arange(len(words), dtype=np.int32))
-        keys = pa.array(np.full(len(words), block.key(), dtype=np.int64))
-        batch = pa.RecordBatch.from_arrays(
-            [keys, numbers, words], names=["block", "word_no", "word"]
-        )
-        for start in range(0, len(words), 20_000):
-            yield batch.slice(start, 20_000)
+    def rows() -> Iterator[tuple]:
+        for block in _blocks(batches, keep=False):
+            key, buckets = block.key(), block.buckets()
+            words = list(block.words)
+            order = np.argsort(buckets, kind="stable")
+            ends = np.searchsorted(buckets[order], np.arange(BUCKETS), side="right")
+            start = 0
+            for bucket, end in enumerate(ends.tolist()):
+                if end > start:
+                    yield bucket, key, _packed([words[i].encode() for i in order[start:end]])
+                start = end
+
+    schema = pa.schema(
+        [("bucket", pa.int32()), ("block", pa.int64()), ("words", pa.binary())]
+    )
+    yield from table_batches(rows(), schema, 1000)
 
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents' word numbers, in runs; run -1 holds the buckets of the block's words."""
+
     def rows() -> Iterator[tuple]:
         for block in _blocks(batches, keep=True):
             key = block.key()
-            for doc_id, places, n in block.documents:
-                yield key, doc_id, places, n
+            yield key, -1, [], [], _packed([block.buckets().astype("<u2").tobytes()], 2)
+            for start in range(0, len(block.documents), RUN_DOCS):
+                ids, places = zip(*block.documents[start : start + RUN_DOCS], strict=True)
+                counts = [len(p) // 4 for p in places]
+                yield key, start, list(ids), counts, _packed([b"".join(places)], 4)
 
     schema = pa.schema(
-        [("block", pa.int64()), ("doc_id", pa.int64())]
-        + [("places", pa.binary()), ("n_places", pa.int32())]
+        [("block", pa.int64()), ("run", pa.int32()), ("doc_ids", pa.list_(pa.int64()))]
+        + [("counts", pa.list_(pa.int32())), ("places", pa.binary())]
     )
-    yield from table_batches(rows(), schema, 2000)
+    yield from table_batches(rows(), schema, 100)
 
 
 def _codes(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.RecordBatch]:
-    """Words sorted, equal ones together; the last word of a batch is kept for the next."""
+    """Rows sorted by bucket; within a bucket every distinct word is encoded once."""
     encode = _encoding(ranks).encode_ordinary
-    last, last_code = None, b""
-    for batch in batches:
-        coded = pc.dictionary_encode(batch.column(2))
-        codes = []
-        for word in coded.dictionary.to_pylist():
-            if word != last:
-                last, last_code = word, np.array(encode(word), dtype="<u4").tobytes()
-            codes.append(last_code)
-        column = pc.take(pa.array(codes, type=pa.binary()), coded.indices)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), column], names=["block", "word_no", "code"]
-        )
+
+    def rows() -> Iterator[tuple]:
+        known: dict[bytes, bytes] = {}
+        now = None
+        for batch in batches:
+            for bucket, block, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != now:
+                    now, known = bucket, {}
+                lengths, data = _unpacked(packed)
+                ends = np.cumsum(lengths, dtype=np.int64).tolist()
+                words = [data[a:b] for a, b in zip([0, *ends], ends)]
+                for word in words:
+                    if word not in known:
+                        known[word] = np.array(encode(word.decode()), dtype="<u4").tobytes()
+                yield block, bucket, _packed([known[w] for w in words], 4)
+
+    schema = pa.schema(
+        [("block", pa.int64()), ("bucket", pa.int32()), ("codes", pa.binary())]
+    )
+    yield from table_batches(rows(), schema, 1000)
 
 
 def _gather(
@@ -179,31 +249,49 @@ def _gather(
     return data[shift + np.arange(total, dtype=shift.dtype)]
 
 
-def _stretches(column: pa.ChunkedArray | pa.Array, width: int) -> tuple[np.ndarray, ...]:
-    """Data, starts and lengths of a binary column, counted in items of ``width`` bytes."""
-    values = column.to_pylist()
+def _stretches(values: list[bytes], width: int) -> tuple[np.ndarray, ...]:
+    """Data, starts and lengths of byte strings, counted in items of ``width`` bytes."""
     lengths = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // width
     starts = np.cumsum(lengths) - lengths
     return np.frombuffer(b"".join(values), dtype=f"<u{width}"), starts, lengths
 
 
+def _block_codes(codes: pa.Table, buckets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ids of a block's words with start and length of each, in the order of their numbers."""
+    by_bucket = sorted(
+        zip(codes.column("bucket").to_pylist(), codes.column("codes").to_pylist(), strict=True)
+    )
+    pieces = [_unpacked(packed, 4) for _, packed in by_bucket]
+    counts = np.bincount(buckets, minlength=BUCKETS)
+    if [(b, len(p[0])) for (b, _), p in zip(by_bucket, pieces, strict=True)] != [
+        (b, n) for b, n in enumerate(counts.tolist()) if n
+    ]:
+        raise ValueError("the texts changed between two passes: store them first")
+    sizes = np.concatenate([np.zeros(0, dtype="<u4"), *[p[0] for p in pieces]]) // 4
+    data = np.frombuffer(b"".join(p[1] for p in pieces), dtype="<u4")
+    order = np.argsort(buckets, kind="stable")
+    lengths, starts = np.zeros(len(buckets), np.int64), np.zeros(len(buckets), np.int64)
+    lengths[order] = sizes
+    starts[order] = np.cumsum(sizes, dtype=np.int64) - sizes
+    return data, starts, lengths
+
+
 def _reassemble(codes: pa.Table, places: pa.Table) -> pa.Table:
     """The documents of one block with their ids."""
-    order = np.argsort(codes.column("word_no").to_numpy())
-    data, starts, lengths = _stretches(codes.column("code"), 4)
-    starts, lengths = starts[order], lengths[order]
-    ids = []
-    for packed, n in zip(
-        places.column("places").to_pylist(), places.column("n_places").to_pylist(), strict=True
-    ):
-        planes = np.frombuffer(zstandard.decompress(packed), dtype=np.uint8).reshape(4, n)
-        chosen = np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
-        if n and int(chosen.max()) >= len(starts):
-            raise ValueError("the texts changed between two passes: store them first")
-        ids.append(_gather(data, starts, lengths, chosen).tobytes())
-    if len(codes) and not len(places):
+    if not len(places):
         raise ValueError("the texts changed between two passes: store them first")
-    columns = [places.column("doc_id"), pa.array(ids, type=pa.binary())]
+    rows = sorted(places.to_pylist(), key=lambda r: r["run"])
+    buckets = np.frombuffer(_unpacked(rows[0]["places"], 2)[1], dtype="<u2").astype(np.int64)
+    data, starts, lengths = _block_codes(codes, buckets)
+    doc_ids: list[int | None] = []
+    ids: list[bytes] = []
+    for row in rows[1:]:
+        chosen = np.frombuffer(_unpacked(row["places"], 4)[1], dtype="<u4")
+        doc_ids.extend(row["doc_ids"])
+        ends = np.cumsum(row["counts"]).tolist()
+        for a, b in zip([0, *ends], ends):
+            ids.append(_gather(data, starts, lengths, chosen[a:b]).tobytes())
+    columns = [pa.array(doc_ids, type=pa.int64()), pa.array(ids, type=pa.binary())]
     return pa.Table.from_arrays(columns, names=["doc_id", "ids"])
 
 
@@ -215,7 +303,8 @@ def encode(docs: DataFrame, ranks: str) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")
     )
-    words = rows.mapInArrow(_words, _WORDS).repartition("word").sortWithinPartitions("word")
+    words = rows.mapInArrow(_words, _WORDS)
+    words = words.repartition("bucket").sortWithinPartitions("bucket")
     codes = words.mapInArrow(partial(_codes, ranks=ranks), _CODES)
     places = rows.mapInArrow(_places, _PLACES)
     return (
@@ -235,7 +324,7 @@ def token_bytes(ranks: str) -> pa.Table:
 @lru_cache(maxsize=2)
 def _token_stretches(ranks: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     table = token_bytes(ranks)
-    data, starts, lengths = _stretches(table.column("token"), 1)
+    data, starts, lengths = _stretches(table.column("token").to_pylist(), 1)
     at = np.full(int(table.column("id")[-1].as_py()) + 1, -1, dtype=np.int64)
     size = np.zeros_like(at)
     ids = table.column("id").to_numpy()

@@ -16,5 +16,46 @@ FROM texts JOIN copies USING (digest)
 """
 
 
+NGRAM_JACCARD_JOIN = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(
+            range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+        END AS s
+    FROM words
+), items AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n + b.n) AS both_sizes, count(*) AS common
+    FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT x, y FROM shared WHERE 100 * common >= 85 * (both_sizes - common)
+    UNION ALL
+    SELECT y, x FROM shared WHERE 100 * common >= 85 * (both_sizes - common)
+), reach AS (
+    SELECT x, y FROM links
+    UNION
+    SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), lowest AS (
+    SELECT x, min(y) AS low FROM reach GROUP BY x
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles,
+       least(doc_id, coalesce(low, doc_id)) AS component_id
+FROM sets LEFT JOIN lowest ON doc_id = x
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP}
+    return {
+        "op1_exact_dedup": EXACT_DEDUP,
+        "op4_ngram_jaccard_join": NGRAM_JACCARD_JOIN,
+    }

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -11,20 +9,12 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHARED_SETTING = "spark.checkpoint.dir"
+from claimloom.sources import new_shared_folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that the cluster shares (``spark.checkpoint.dir``).
-
-    Only a local session without that setting, as in tests, gets a folder of its own.
-    """
-    shared = spark.conf.get(SHARED_SETTING, None)
-    if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"set {SHARED_SETTING} to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="claimloom-llm-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder that all executors share; it goes when the session's driver ends."""
+    return f"{new_shared_folder(spark)}/{name}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

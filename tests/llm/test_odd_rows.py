@@ -171,6 +171,26 @@ def test_page_text_deduces_the_template_of_a_host(spark):
     assert found == {n: f"Story {n} has a beginning.\n\nAnd an end {n}." for n in range(6)}
 
 
+def test_page_text_of_lists_and_open_elements():
+    source = (
+        "<main><ul><li>One<li>Two <b>b</b><ul><li>Three</ul></ul><table><tr><td>a<td>b<tr><td>c"
+        "</table><p>P<div>D</div>tail<header>Kept</header></main><div class='x comments'>no</div>"
+    )
+    page = page_text.read_page(source)
+    assert page_text.main_blocks(page, set(), "") == [
+        "One",
+        "Two b",
+        "Three",
+        "a",
+        "b",
+        "c",
+        "P",
+        "D",
+        "tail",
+        "Kept",
+    ]
+
+
 def test_page_text_of_an_empty_table(spark):
     assert page_text.extract_text(pages(spark, [])).collect() == []
 

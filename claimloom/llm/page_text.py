@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.shared import row_slices, table_batches
+from claimloom.llm.shared import row_slices, stored, table_batches
 
 # Fixed values.
 VOID = frozenset(
@@ -37,11 +37,18 @@ BLOCKS = frozenset(
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li "
     "main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
+# Elements that end an open one before them without its end tag.
+ENDS = {
+    "li": ("li",),
+    "dt": ("dt", "dd"),
+    "dd": ("dt", "dd"),
+    "td": ("td", "th"),
+    "th": ("td", "th"),
+    "tr": ("tr", "td", "th"),
+}
 RAW = frozenset("script style noscript template textarea iframe svg math title".split())
 MAIN = frozenset(("article", "main"))
-LEFT_OUT = frozenset(
-    "nav aside footer form menu dialog button select head".split()
-)
+LEFT_OUT = frozenset("nav aside footer form menu dialog button select head".split())
 LEFT_OUT_NAMES = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments "
     "cookie cookies disqus footer menu modal nav navbar navigation newsletter notice "
@@ -119,6 +126,15 @@ def read_page(source: str) -> Page:
             if stack[i].name in MAIN and name not in ("body", "html"):
                 return
 
+    def end_implied(name: str) -> None:
+        """A block ends an open paragraph; some also end open elements of their kind."""
+        ended = {"p", *ENDS.get(name, ())}
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i].name in ended:
+                del stack[i:]
+            elif stack[i].name in BLOCKS:
+                return
+
     at, end = 0, len(source)
     while at < end:
         tag = _TAG.search(source, at)
@@ -141,15 +157,7 @@ def read_page(source: str) -> Page:
             continue
         if name in BLOCKS:
             finish()
-            while stack[-1].name in ("p", name) and name in ("p", "li", "dt", "dd", "tr", "td"):
-                stack.pop()
-            if name in BLOCKS:
-                for i in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-                    if stack[i].name == "p":
-                        del stack[i:]
-                        break
-                    if stack[i].name in BLOCKS:
-                        break
+            end_implied(name)
         above = stack[-1]
         own = _names(attributes) if attributes else []
         label = name + "".join("." + n for n in own[:4])
@@ -217,7 +225,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     row[3] += 1
                     row[4] += times
                     row[5] += chars
-            if len(found) > 200_000:
+            if len(found) > 50_000:
                 yield from table_batches(rows(), schema)
     yield from table_batches(rows(), schema)
 
@@ -296,10 +304,10 @@ def templates(classes: DataFrame) -> DataFrame:
 
 def main_blocks(page: Page, texts: set[int], slot: str) -> list[str]:
     """Texts of the main slots: below the article, or else of the template's largest slot."""
-    mains = {b.main for b in page.blocks if b.main and not b.out}
     kept = [b for b in page.blocks if not b.out]
-    if mains:
-        return [b.text for b in kept if b.main]
+    main = [b.text for b in kept if b.main]
+    if main:
+        return main
     rest = [b for b in kept if _text_token(b) not in texts]
     below = [b for b in rest if slot and (b.path == slot or b.path.startswith(slot + "/"))]
     return [b.text for b in below or rest]
@@ -322,7 +330,9 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_text(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page, from its whole html."""
     rows = _rows(pages)
-    template = templates(equivalence_classes(rows, support))
+    # read several times, and small: what most pages of a host have in common
+    classes = stored(equivalence_classes(rows, support), "token-classes")
+    template = templates(classes)
     joined = rows.join(template, F.col("host") == F.col("template_host"), "left")
     return (
         joined.select("page_id", "url", "html", "texts", "slot")

@@ -436,7 +436,7 @@ def rules_beside(spark, sf_dir):
 
 
 def _kept_claims(spark, sf_dir):
-    """Claims that a query reads many times, derived once; what does not fit memory is spilled."""
+    """Claims that a query reads many times, derived once; Spark spills what is too much."""
     return claims(spark, sf_dir).persist()
 
 

@@ -73,5 +73,5 @@ def test_outpatient_flags_need_no_further_shuffle(spark, lines, no_small_joins):
     """One exchange for the choice, one for the signals, none to bring them together."""
     plan = plan_of(outpatient_branch(lines, split_codes(codes(spark)), small={"hcpcs": True}))
     # the code table's own one, for its distinct entries, is small
-    of_lines = [e for e in re.findall(r"Exchange hashpartitioning\((.*?)\)", plan) if "code" not in e]
-    assert len(of_lines) == 2
+    keys = re.findall(r"Exchange hashpartitioning\((.*?)\)", plan)
+    assert len([k for k in keys if "code" not in k]) == 2

@@ -1,7 +1,5 @@
 """Schemas from descriptors, strict CSV, folders of tables, code tables, writing."""
 
-from types import SimpleNamespace
-
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import types as T

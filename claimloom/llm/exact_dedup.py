@@ -94,6 +94,9 @@ class DigestIndex:
         groups = groups.select(
             "digest", keep_id.alias("keep_id"), "group_size", F.col("was").isNull().alias("new")
         )
+        # stored, so that the join below has nothing but two shuffles and Spark can split
+        # the partition of a digest with very many documents
+        groups = stored(groups, "digest-groups")
         kept = F.col("new") & F.col("doc_id").eqNullSafe(F.col("keep_id"))
         return digests.join(groups, "digest").select(
             "doc_id",

@@ -6,10 +6,11 @@ Two texts link if the Jaccard similarity of their shingle sets is at least ``per
 2. Every set gives its first shingles under one order of all shingles, so many that two
    similar sets must have one in common. Shingles that a large share of the corpus has
    come last in that order; their list is bounded, as each has at least that share.
-3. The sets with a shingle form a tile, sorted by size: only sizes within the threshold are
-   compared. Neighbours in a tile are tried first, so that groups of copies become one component.
-   Then, between different components only, all pairs of a tile that fit are compared by
-   their bitmaps: each set's shingles hashed into a bit string about as long as the set. Bits
+3. The sets with a shingle form a tile, in bands by size: only sizes within the threshold are
+   compared. Each set is tried with the leader of its band, so that groups of copies become
+   one component. Then, between different components only, all pairs of a tile that fit are
+   compared by their bitmaps: each set's shingles hashed into a bit string some times as long
+   as the set (in the tiles folded to 2048 bits at most, for the pairs found there whole). Bits
    that differ bound the overlap from above, and few pairs pass that have too little.
 4. What passes is decided by intersecting the sorted arrays of hashes, for both texts read
    again and whole. Documents are connected by the links found; pairs within a component are
@@ -49,11 +50,13 @@ from claimloom.llm.shared import (
 )
 
 _SIGNATURES = (
-    "doc_id long, n long, set_key binary, bitmap binary, shingles array<long>, first int"
+    "doc_id long, n long, set_key binary, bitmap binary, tile_bitmap binary, "
+    "shingles array<long>, first int"
 )
 _PAIRS = "a long, b long"
 _SETS = "doc long, hashes binary"
-_TILE_ROWS = "shingle long, part int, doc long, size long, before long, before_size long"
+_TILE_ROWS = "shingle long, part int, doc long, size long, parts int"
+TILE_WORDS = 32  # 64-bit words of a bitmap in a tile, at most
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93],
     dtype=np.uint64,
@@ -86,7 +89,7 @@ class Settings:
 
 
 class _WordHashes(dict):
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self._limit = limit
 
@@ -115,9 +118,17 @@ def shingle_set(text: bytes, size: int, known: dict) -> np.ndarray:
     return np.unique(mixed)
 
 
+def _power_of_two(least: int) -> int:
+    return 1 << (least - 1).bit_length()
+
+
 def _bitmap(hashes: np.ndarray) -> bytes:
-    """Bits set by the hashes; their number is the power of two at or above that of the set."""
-    width = max(64, 1 << (len(hashes) - 1).bit_length())
+    """Bits set by the hashes: four or more to each for small sets, one or two for large.
+
+    The width is a power of two and never smaller for a larger set.
+    """
+    n = len(hashes)
+    width = max(64, _power_of_two(n), min(_power_of_two(4 * n), 64 * TILE_WORDS))
     bits = np.zeros(width, dtype=np.uint8)
     bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -205,14 +216,15 @@ def _signatures(
     last = common.value
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n", pa.int64()), ("set_key", pa.binary())]
-        + [("bitmap", pa.binary()), ("shingles", pa.list_(pa.int64())), ("first", pa.int32())]
+        + [("bitmap", pa.binary()), ("tile_bitmap", pa.binary())]
+        + [("shingles", pa.list_(pa.int64())), ("first", pa.int32())]
     )
 
     def rows() -> Iterator[tuple]:
         for doc_id, hashes in _sets_of(batches, settings.words):
             n = len(hashes)
             if not n:
-                yield doc_id, 0, None, None, None, None
+                yield doc_id, 0, None, None, None, None, None
                 continue
             order = hashes
             if len(last):
@@ -221,7 +233,9 @@ def _signatures(
                 order = np.concatenate([hashes[~is_common], hashes[is_common]])
             first = order[: settings.probe_length(n)].view(np.int64)
             key = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
-            yield doc_id, n, key, _bitmap(hashes), first, settings.index_length(n)
+            bitmap = _bitmap(hashes)
+            small = _folded(_as_words(bitmap), TILE_WORDS).tobytes()
+            yield doc_id, n, key, bitmap, small, first, settings.index_length(n)
 
     yield from table_batches(rows(), schema, 1000)
 
@@ -238,7 +252,8 @@ def signatures(docs: DataFrame, common: dict[int, int], settings: Settings) -> D
 
 def distinct_sets(signed: DataFrame) -> DataFrame:
     """One row per distinct set, under the smallest ``doc_id`` that has it."""
-    same = ["n", "bitmap", "shingles", "first"]  # equal keys have equal values
+    # equal keys have equal values
+    same = ["n", "bitmap", "tile_bitmap", "shingles", "first"]
     return (
         signed.where("set_key is not null and doc_id is not null")
         .groupBy("set_key")
@@ -262,7 +277,7 @@ def tile_rows(sets: DataFrame, common: dict[int, int], settings: Settings) -> Da
     parts = sets.sparkSession.createDataFrame(split, "shingle long, parts int")
     return rows.join(F.broadcast(parts), "shingle", "left").select(
         "shingle",
-        F.coalesce("parts", F.lit(1)).alias("parts"),
+        F.coalesce("parts", F.lit(1)).cast("int").alias("parts"),
         F.pmod(F.xxhash64("doc"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"),
         "doc",
         "size",
@@ -270,51 +285,83 @@ def tile_rows(sets: DataFrame, common: dict[int, int], settings: Settings) -> Da
 
 
 def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of tiles with two sets or more, each with the set before it; rows come sorted.
+    """Rows of tiles with two sets or more; rows come sorted by tile.
 
-    The last row of a batch is held back until its successor is known.
+    A set alone in its part of a split tile stays: others are in the other parts. The last
+    row of a batch is held back until its successor is known.
     """
-    names = [c.split()[0] for c in _TILE_ROWS.split(", ")]
-
-    def out(batch: pa.RecordBatch, before, before_size, joined, keep) -> pa.RecordBatch:
-        places = [pa.array(x, mask=~joined) for x in (before, before_size)]
-        rows = pa.RecordBatch.from_arrays([*batch.columns, *places], names=names)
-        return rows.filter(pa.array(keep))
-
-    held = None  # the row, the set before it and that set's size, and whether there is one
+    held: pa.RecordBatch | None = None
+    held_joined = False  # whether the held row is in one tile with the row before it
     for batch in batches:
         if not batch.num_rows:
             continue
         if held is not None:
-            table = pa.Table.from_batches([held[0], batch.cast(held[0].schema)])
+            table = pa.Table.from_batches([held, batch.cast(held.schema)])
             batch = table.combine_chunks().to_batches()[0]
-        shingle, part, doc, size = (batch.column(i).to_numpy() for i in range(4))
+        shingle, part = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         same = (shingle[1:] == shingle[:-1]) & (part[1:] == part[:-1])
-        joined = np.append(False, same)
-        before, before_size = np.roll(doc, 1), np.roll(size, 1)
-        if held is not None:
-            before[0], before_size[0], joined[0] = held[1:]
-        keep = joined | np.append(same, False)
-        keep[-1] = False
-        yield out(batch, before, before_size, joined, keep)
-        held = (batch.slice(batch.num_rows - 1), before[-1], before_size[-1], joined[-1])
-    if held is not None:
-        one = [np.array([x]) for x in held[1:]]
-        yield out(held[0], *one, one[2])
+        joined = np.append(held_joined, same)
+        keep = joined | np.append(same, False) | (batch.column(4).to_numpy() > 1)
+        held, held_joined = batch.slice(batch.num_rows - 1), bool(joined[-1])
+        yield batch.slice(0, batch.num_rows - 1).filter(pa.array(keep[:-1]))
+    if held is not None and (held_joined or held.column(4)[0].as_py() > 1):
+        yield held
 
 
 def shared_rows(rows: DataFrame) -> DataFrame:
-    """Rows of tiles with two sets or more, each with the set before it in the tile."""
+    """Rows of tiles with two sets or more."""
     ordered = (
-        rows.select("shingle", "part", "doc", "size")
+        rows.select("shingle", "part", "doc", "size", "parts")
         .repartition("shingle", "part")
-        .sortWithinPartitions("shingle", "part", "size", "doc")
+        .sortWithinPartitions("shingle", "part")
     )
     return ordered.mapInArrow(_shared_rows, _TILE_ROWS)
 
 
-def _fits(small: np.ndarray, large: np.ndarray, percent: int) -> np.ndarray:
-    return 100 * small >= percent * large
+def _led(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Each set of a tile with its leader; rows come sorted by tile and rank.
+
+    A tile's first set is a leader, and so is each set whose size fits none of the leaders
+    before it.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def pairs() -> Iterator[tuple[int, int]]:
+        tile, leaders = None, []
+        for batch in batches:
+            columns = (c.to_pylist() for c in batch.columns[:4])
+            for shingle, part, doc, size in zip(*columns, strict=True):
+                n = size >> 1
+                if tile != (shingle, part):
+                    tile, leaders = (shingle, part), [(doc, n)]
+                    continue
+                for leader, m in leaders:
+                    if 100 * min(n, m) >= percent * max(n, m):
+                        if leader != doc:
+                            yield (leader, doc) if leader < doc else (doc, leader)
+                        break
+                else:
+                    leaders.append((doc, n))
+
+    yield from table_batches(pairs(), schema)
+
+
+def leader_pairs(shared: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Sets and their leaders, if their bitmaps allow a link; the sizes do.
+
+    Sets are ranked by the share of their first shingles that others have too. Of a group of
+    copies that differ from one text here and there, the text itself shares most, so it
+    leads in nearly all tiles of the group and the copies close to it meet it.
+    """
+    ranks = shared.groupBy("doc").agg((F.count("*") / F.max("size")).alias("rank"))
+    ordered = (
+        shared.join(ranks, "doc")
+        .select("shingle", "part", "doc", "size", "rank")
+        .repartition("shingle", "part")
+        .sortWithinPartitions("shingle", "part", F.desc("rank"), "doc")
+    )
+    pairs = ordered.mapInArrow(partial(_led, percent=settings.percent), _PAIRS).distinct()
+    return bits_allow(pairs, sets, settings)
 
 
 def _enough_bits(a: np.ndarray, b: np.ndarray, n_a, n_b, percent: int) -> np.ndarray:
@@ -345,15 +392,8 @@ def _passing(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield batch.select(["a", "b"]).filter(pa.array(keep, type=pa.bool_()))
 
 
-def neighbour_pairs(shared: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """Sets next to each other in a tile whose sizes and bitmaps allow a link."""
-    small, large = F.floor(F.col("before_size") / 2), F.floor(F.col("size") / 2)
-    pairs = (
-        shared.where(F.col("before").isNotNull() & (F.col("before") != F.col("doc")))
-        .where(100 * small >= settings.percent * large)
-        .select(F.least("before", "doc").alias("a"), F.greatest("before", "doc").alias("b"))
-        .distinct()
-    )
+def bits_allow(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs that the whole bitmaps of both sets allow."""
     bits = sets.select("doc", "n", "bitmap")
     of_a = bits.toDF("a", "n_a", "bits_a")
     of_b = bits.toDF("b", "n_b", "bits_b")
@@ -427,24 +467,24 @@ def _all_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
 
 
 def remaining_pairs(
-    shared: DataFrame, parts: DataFrame, sets: DataFrame, known: DataFrame, settings: Settings
+    shared: DataFrame, sets: DataFrame, known: DataFrame, settings: Settings
 ) -> DataFrame:
     """Pairs between components that may link: from every tile that has two components."""
     group = F.coalesce("component", "doc").alias("group")
     rows = shared.join(known.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "shingle", "part", "doc", "size", group
+        "shingle", "part", "parts", "doc", "size", group
     )
     mixed = (
         rows.groupBy("shingle")
-        .agg(F.min("group").alias("low"), F.max("group").alias("high"))
-        .where("low < high")
+        .agg(
+            F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("n")
+        )
+        .where("low < high and n > 2")  # the pair of a tile of two has been tried
         .select("shingle")
     )
-    rows = rows.join(mixed, "shingle").join(F.broadcast(parts), "shingle", "left")
-    count = F.coalesce("parts", F.lit(1))
     # a set meets the sets of its own part and those of every other part
-    others = F.explode(F.sequence(F.lit(0), count - 1))
-    rows = rows.select(
+    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    rows = rows.join(mixed, "shingle").select(
         "shingle", "doc", "size", "group", F.col("part").alias("p"), others.alias("o")
     ).select(
         "shingle",
@@ -455,12 +495,13 @@ def remaining_pairs(
         "group",
     )
     tiles = (
-        rows.join(sets.select("doc", "bitmap"), "doc")
-        .select("shingle", "s", "t", "doc", "size", "group", "bitmap")
+        rows.join(sets.select("doc", "tile_bitmap"), "doc")
+        .select("shingle", "s", "t", "doc", "size", "group", "tile_bitmap")
         .repartition("shingle", "s", "t")
         .sortWithinPartitions("shingle", "s", "t")
     )
-    return tiles.mapInArrow(partial(_all_pairs, percent=settings.percent), _PAIRS).distinct()
+    pairs = tiles.mapInArrow(partial(_all_pairs, percent=settings.percent), _PAIRS).distinct()
+    return bits_allow(pairs, sets, settings)
 
 
 # --- exact check ------------------------------------------------------------------------
@@ -545,15 +586,11 @@ def group_similar(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
     sets = stored(distinct_sets(signed), "distinct-sets")
     rows = tile_rows(sets, common, settings)
     shared = stored(shared_rows(rows), "tiles")
-    parts = docs.sparkSession.createDataFrame(
-        [(s, -(-n // settings.tile_rows)) for s, n in common.items() if n > settings.tile_rows],
-        "shingle long, parts int",
-    )
 
-    pairs = stored(neighbour_pairs(shared, sets, settings), "pairs")
+    pairs = stored(leader_pairs(shared, sets, settings), "pairs")
     links = stored(linked(docs, pairs, settings), "links")
     known = _known(links)
-    more = stored(remaining_pairs(shared, parts, sets, known, settings), "pairs")
+    more = stored(remaining_pairs(shared, sets, known, settings), "pairs")
     more_links = stored(linked(docs, more, settings), "links")
     if not more_links.isEmpty():
         stars = known.select(F.col("node").alias("a"), F.col("component").alias("b"))

@@ -79,9 +79,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 class _WordPlaces(dict):
-    """Bucket of each word; forgets all when it has grown too large."""
+    """Bucket of each word; the first ones to come are remembered."""
 
-    def __init__(self, buckets: int, limit: int = 500_000):
+    def __init__(self, buckets: int, limit: int = 100_000):
         super().__init__()
         self._buckets, self._limit = buckets, limit
 
@@ -188,7 +188,7 @@ def _batches_of(order: np.ndarray, size: int) -> Iterator[np.ndarray]:
 
 
 def train(rows: list[tuple[float, bytes, bytes]], settings: Settings) -> Machine:
-    """Logistic loss, AdaGrad, mini-batches. Equal rows give equal machines, whatever their order."""
+    """Logistic loss, AdaGrad, mini-batches. The order of the rows does not matter."""
     rows = sorted(rows)
     labels = np.array([r[0] for r in rows])
     total = _places_in_all(settings)

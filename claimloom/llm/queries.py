@@ -16,6 +16,7 @@ from claimloom.llm import (
     page_text,
     private_data,
     quality,
+    quotations,
     token_files,
     word_shuffle_bpe,
 )
@@ -38,6 +39,10 @@ def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def reply_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.in_reply_order(table(spark, sf_dir, "conversations"))
+
+
 def similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.group_similar(table(spark, sf_dir, "documents"))
 
@@ -85,6 +90,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": exact_duplicates,
         "op2_html_extraction": main_text,
+        "op3_quotation_linking": reply_ordered,
         "op4_ngram_jaccard_join": similar_documents,
         "op5_token_files": token_id_files,
         "op6_byte_bpe": byte_bpe,

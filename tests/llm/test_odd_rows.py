@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -20,6 +21,7 @@ from claimloom.llm import (
     page_text,
     private_data,
     quality,
+    quotations,
     shared,
     token_codes,
     token_files,
@@ -117,7 +119,8 @@ PAGE = (
     "<html><body><nav><a>Menu</a></nav><header>Site</header><article><h1>Title &amp; more</h1>"
     "<p>First   one<br>goes on</p><div class='ad'>Buy</div><form><p>Mail?</p></form>"
     "<script>x<y</script><style>p{}</style><p>Second <b>bold</b> one<p>Third &#233;</article>"
-    "<section id=comments><p>Nice!</p></section><aside>Side</aside><footer>End</footer></body></html>"
+    "<section id=comments><p>Nice!</p></section><aside>Side</aside><footer>End</footer>"
+    "</body></html>"
 )
 
 
@@ -195,6 +198,73 @@ def test_page_text_of_an_empty_table(spark):
     assert page_text.extract_text(pages(spark, [])).collect() == []
 
 
+# --- 3 ----------------------------------------------------------------------------------
+
+MAILS = [
+    (1, 0, "ann", "How are you?\nShall we meet?"),
+    (1, 1, "bob", "Another matter\n\nentirely"),
+    (1, 2, "cat", "ann wrote:\n> how  are you?\nFine.\n> Shall we meet?\nYes."),
+    (1, 3, "bob", "> ann wrote:\n>> How are you?\n> Fine.\nGood to hear"),
+    (1, 4, "dan", ">entirely\nIndeed\n> never said"),
+    (1, 5, "eve", "> > Fine.\n>good to HEAR\nSo do I"),
+    (2, 0, "ann", "> How are you?\nquoted from elsewhere"),
+    (None, 1, "ann", "> x\ny"),
+    (None, 0, "ann", "x"),
+    (3, None, "ann", "> a"),
+    (3, 0, "ann", None),
+    (3, 0, "ann", None),
+]
+
+
+@pytest.mark.parametrize("clashes", [False, True])
+def test_quotations_odd_rows(spark, clashes):
+    schema = "conv_id long, turn long, role string, text string"
+    rows = MAILS
+    if clashes:
+        schema += ", lines string, own string, source long, thread long, parent long, depth int"
+        rows = [r + (None,) * 6 for r in MAILS]
+    df = spark.createDataFrame(rows, schema)
+    found = quotations.in_reply_order(df).collect()
+    assert len(found) == len(MAILS)
+    first = sorted((r for r in found if r.conv_id == 1), key=lambda r: r.position)
+    assert [(r.turn, r.parent_turn, r.thread_turn, r.n_quoted, r.n_linked) for r in first] == [
+        (0, None, 0, 0, 0),
+        (2, 0, 0, 2, 2),
+        (3, 2, 0, 3, 2),
+        (5, 3, 0, 2, 2),
+        (1, None, 1, 0, 0),
+        (4, 1, 1, 2, 1),
+    ]
+    assert [r.text for r in first] == [
+        "How are you?\nShall we meet?",
+        "Fine.\nYes.",
+        "Good to hear",
+        "So do I",
+        "Another matter\n\nentirely",
+        "Indeed",
+    ]
+    others = {(r.conv_id, r.turn, r.text): r.parent_turn for r in found if r.conv_id != 1}
+    assert others == {
+        (2, 0, "quoted from elsewhere"): None,
+        (None, 1, "y"): 0,
+        (None, 0, "x"): None,
+        (3, None, ""): None,
+        (3, 0, ""): None,
+    }
+    assert quotations.in_reply_order(df.limit(0)).collect() == []
+
+
+def test_quotations_of_a_long_thread(spark):
+    """Everyone quotes the message before; a common line is said and quoted by all."""
+    rows = [(1, 0, "a", "hello\nnote 0")]
+    rows += [(1, n, "a", f"> note {n - 1}\n> hello\nhello\nnote {n}") for n in range(1, 300)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = sorted(quotations.in_reply_order(df).collect(), key=lambda r: r.position)
+    assert [r.parent_turn for r in found] == [None, *range(299)]
+    assert {r.thread_turn for r in found} == {0}
+    assert all(r.n_linked == 2 for r in found[1:])
+
+
 # --- 4 ----------------------------------------------------------------------------------
 
 
@@ -324,7 +394,9 @@ def test_chunked_encoding_equals_whole_texts(kind, path):
     tokenizer = Tokenizer.from_file(path)
     texts = _mixed_texts(4000)
     made = {"bytes": token_codes.ByteLevelCodes, "words": token_codes.WordCodes}[kind](path, 100)
-    found = [c for i in range(0, len(texts), 64) for c in made.encode(texts[i : i + 64])]
+    parts = [pa.array(texts[i : i + 64]) for i in range(0, len(texts), 64)]
+    found = [code for part in parts for code in made.encode(part)]
+    assert made.encode(pa.array([], pa.string())) == []
     for text, code in zip(texts, found, strict=True):
         meant = tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(code, "<u4").tolist() == meant, repr(text)
@@ -437,9 +509,8 @@ def test_search_of_grouped_vectors_looks_into_few_parts(spark):
     """Clear groups, one of them with a third of all rows and equal vectors."""
     random_ = np.random.default_rng(4)
     centres = random_.normal(size=(12, 16)) * 4
-    vectors = np.concatenate(
-        [c + random_.normal(size=(250, 16)) * 0.1 for c in centres] + [np.tile(centres[0], (1500, 1))]
-    )
+    groups = [c + random_.normal(size=(250, 16)) * 0.1 for c in centres]
+    vectors = np.concatenate([*groups, np.tile(centres[0], (1500, 1))])
     ids = random_.permutation(len(vectors)).tolist()
     df = spark.createDataFrame(
         list(zip(ids, vectors.tolist(), strict=True)), "vec_id long, embedding array<double>"

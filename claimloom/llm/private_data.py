@@ -217,7 +217,7 @@ def find_private(docs: DataFrame, trust: Trust = Trust()) -> DataFrame:
     added = (
         read.where(F.size("candidates") > 0)
         .select(*row_key, F.explode("candidates").alias("span"))
-        .join(cues.withColumnRenamed("cue", "good"), F.col("span.cue") == F.col("good"), "left_semi")
+        .join(cues.toDF("good"), F.col("span.cue") == F.col("good"), "left_semi")
         .groupBy(*row_key)
         .agg(F.collect_set("span").alias("added"))
         .withColumnsRenamed({"doc_id": "added_id", "text_hash": "added_hash"})

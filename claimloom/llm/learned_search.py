@@ -38,10 +38,10 @@ class Settings:
     """``sample_rows`` bounds the rows that the parts and the network are fitted on, and
     ``most_parts`` their number; ``neighbours`` are the edges per vector of the graph."""
 
-    part_rows: int = 4096
+    part_rows: int = 1024
     most_parts: int = 512
     recall: float = 0.95
-    chunk_rows: int = 4096
+    chunk_rows: int = 2048
     query_rows: int = 20_000
     sample_rows: int = 8192
     sample_per_part: int = 128

@@ -34,7 +34,7 @@ def _parsed(text: Column) -> Column:
     return F.transform(
         F.split(text, r"\r\n|\r|\n", -1),
         lambda line: F.struct(
-            F.length(F.regexp_replace(F.regexp_extract(line, _SIGNS, 1), "[^>]", "")).alias("depth"),
+            F.length(F.translate(F.regexp_extract(line, _SIGNS, 1), " \t", "")).alias("depth"),
             F.regexp_replace(line, _SIGNS, "").alias("said"),
         ),
     )

@@ -15,7 +15,7 @@ import numpy as np
 from claimloom.llm.chunks import ChunkCache, space_led_chunks
 
 ID_BYTES = 4
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 400_000
 _JOINED_CHUNKS = 250
 
 

@@ -264,15 +264,34 @@ def distinct_sets(signed: DataFrame) -> DataFrame:
 # --- tiles ------------------------------------------------------------------------------
 
 
+def tile_parts(
+    rows: DataFrame, common: dict[int, int], settings: Settings
+) -> list[tuple[int, int]]:
+    """Shingles whose tiles are split, and into how many parts: by the sets in the tile.
+
+    Documents that hold a shingle are more than that, as copies have one set and most sets
+    do not have it among their first.
+    """
+    many = [(s,) for s, n in common.items() if n > settings.tile_rows]
+    if not many:
+        return []
+    listed = rows.sparkSession.createDataFrame(many, "shingle long")
+    counts = (
+        rows.join(F.broadcast(listed), "shingle", "left_semi")
+        .groupBy("shingle")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") > settings.tile_rows)
+    )
+    return [(r.shingle, -(-r.n // settings.tile_rows)) for r in counts.collect()]
+
+
 def tile_rows(sets: DataFrame, common: dict[int, int], settings: Settings) -> DataFrame:
     """A row per set and first shingle. ``size`` is twice the set's size, plus one where the
     shingle is among those that a similar set that is not smaller must have."""
-    split = [
-        (s, -(-n // settings.tile_rows)) for s, n in common.items() if n > settings.tile_rows
-    ]
     rows = sets.select("doc", "n", "first", F.posexplode("shingles").alias("place", "shingle"))
     size = F.col("n") * 2 + (F.col("place") < F.col("first")).cast("long")
     rows = rows.select("shingle", "doc", size.alias("size"))
+    split = tile_parts(rows, common, settings)
     # at most 1 / common_share rows
     parts = sets.sparkSession.createDataFrame(split, "shingle long, parts int")
     return rows.join(F.broadcast(parts), "shingle", "left").select(
@@ -477,9 +496,13 @@ def remaining_pairs(
     mixed = (
         rows.groupBy("shingle")
         .agg(
-            F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("n")
+            F.min("group").alias("low"),
+            F.max("group").alias("high"),
+            F.count("*").alias("n"),
+            F.max("parts").alias("parts"),
         )
-        .where("low < high and n > 2")  # the pair of a tile of two has been tried
+        # the pair of a tile of two has been tried, unless it lies in two parts
+        .where("low < high and (n > 2 or parts > 1)")
         .select("shingle")
     )
     # a set meets the sets of its own part and those of every other part

@@ -313,6 +313,55 @@ def test_jaccard_join_against_all_pairs(spark, words, percent):
     assert {r.doc_id: r.component_id for r in found} == meant
 
 
+def _near(words, place):
+    """The text with the word at that place changed."""
+    return [*words[:place], f"{words[place]}x", *words[place + 1 :]]
+
+
+def test_jaccard_join_of_a_near_copy_of_many_exact_copies(spark):
+    """Many documents hold the shingles, two sets do."""
+    chance = random.Random(3)
+    texts = []
+    for _ in range(8):
+        base = [f"w{chance.randrange(10_000)}" for _ in range(100)]
+        texts += [base] * 20 + [_near(base, 50)]
+    rows = [(n, " ".join(t)) for n, t in enumerate(texts)]
+    settings = jaccard_join.Settings(tile_rows=8)
+    found = jaccard_join.group_similar(helpers.documents(spark, rows), settings).collect()
+    assert {r.doc_id: r.component_id for r in found} == {n: n - n % 21 for n, _ in rows}
+
+
+def test_jaccard_join_of_two_sets_that_have_common_shingles_first(spark):
+    """Many sets hold the passage, only in two it is among the first shingles."""
+    chance = random.Random(4)
+
+    def text(n):
+        return [f"w{chance.randrange(100_000)}" for _ in range(n)]
+
+    texts = []
+    for _ in range(8):
+        passage = text(60)
+        texts += [passage + text(300) for _ in range(30)] + [passage, _near(passage, 30)]
+    rows = [(n, " ".join(t)) for n, t in enumerate(texts)]
+    settings = jaccard_join.Settings(tile_rows=8)
+    found = jaccard_join.group_similar(helpers.documents(spark, rows), settings).collect()
+    meant = {n: n - 1 if n % 32 == 31 else n for n, _ in rows}
+    assert {r.doc_id: r.component_id for r in found} == meant
+
+
+def test_jaccard_join_of_two_sets_in_two_parts(spark):
+    """A tile of two rows that lie in different parts is compared too."""
+    base = [f"w{n}" for n in range(60)]
+    docs = helpers.documents(spark, [(1, " ".join(base)), (2, " ".join(_near(base, 30)))])
+    settings = jaccard_join.Settings()
+    sets = jaccard_join.distinct_sets(jaccard_join.signatures(docs, {}, settings))
+    rows = jaccard_join.tile_rows(sets, {}, settings)
+    dealt = rows.withColumns({"parts": F.lit(2), "part": (F.col("doc") % 2).cast("int")})
+    known = spark.createDataFrame([], "node long, component long")
+    found = jaccard_join.remaining_pairs(dealt, sets, known, settings)
+    assert [tuple(r) for r in found.collect()] == [(1, 2)]
+
+
 def test_keep_one_of_each_group(spark, odd):
     kept = jaccard_join.keep_one(odd, jaccard_join.Settings(words=5, percent=80))
     assert kept.columns == odd.columns

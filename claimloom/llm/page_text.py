@@ -1,13 +1,13 @@
 """Main text of web pages by equivalence classes of tokens (operator 2).
 
-Pages of a host come from a template. Its tokens are tags with their path, and texts that
-stand outside the article; tokens that occur equally often on each page of the host share
+Pages of a host come from a template. Its tokens are tags with their path, and texts;
+tokens that occur equally often on each page of the host share
 their occurrence vector and form a class. Vectors are compared by a hash that is combined
 page by page, so a host with a third of all pages is merged in every task before the shuffle
 and no vector is ever built. Classes that are on enough pages and whose tokens nest into
 each other's paths make the template; the slots between its tokens hold what differs
-from page to page. The slots below the article (by tag, or else the slot with most text) are
-the main text, without blocks that menus, forms, adverts and the like hold.
+from page to page. Of what the slots hold, that below the article (by tag, or else the slot
+with most text) is the main text, without blocks that menus, forms, adverts and the like hold.
 
 Defined results: a null html is empty and has an empty text; a null ``page_id`` or ``url``
 stays; pages without a host share one; repeated rows are each returned; an empty table gives no
@@ -192,9 +192,8 @@ def _page_tokens(page: Page) -> Iterator[tuple[int, str, bool, int, int]]:
     texts: dict[int, tuple[str, int]] = {}
     for block in page.blocks:
         chars[block.path] = chars.get(block.path, 0) + (0 if block.out else len(block.text))
-        if not block.main:
-            token = _text_token(block)
-            texts[token] = (block.path, texts.get(token, ("", 0))[1] + 1)
+        token = _text_token(block)
+        texts[token] = (block.path, texts.get(token, ("", 0))[1] + 1)
     for path, times in page.tags.items():
         below = sum(n for p, n in chars.items() if p == path or p.startswith(path + "/"))
         yield xxhash.xxh3_64_intdigest(path) >> 1, path, False, times, below
@@ -303,12 +302,11 @@ def templates(classes: DataFrame) -> DataFrame:
 
 
 def main_blocks(page: Page, texts: set[int], slot: str) -> list[str]:
-    """Texts of the main slots: below the article, or else of the template's largest slot."""
-    kept = [b for b in page.blocks if not b.out]
-    main = [b.text for b in kept if b.main]
+    """What the template leaves: below the article, or else in the template's largest slot."""
+    rest = [b for b in page.blocks if not b.out and _text_token(b) not in texts]
+    main = [b.text for b in rest if b.main]
     if main:
         return main
-    rest = [b for b in kept if _text_token(b) not in texts]
     below = [b for b in rest if slot and (b.path == slot or b.path.startswith(slot + "/"))]
     return [b.text for b in below or rest]
 

@@ -173,6 +173,20 @@ def test_page_text_deduces_the_template_of_a_host(spark):
     assert found == {n: f"Story {n} has a beginning.\n\nAnd an end {n}." for n in range(6)}
 
 
+def test_page_text_cuts_the_template_inside_the_article(spark):
+    rows = [
+        (
+            n,
+            f"https://t.example/{n}",
+            f"<body><article><h1>Title {n}</h1><div class=byline>By our staff</div>"
+            f"<p>Story {n}.</p><p>And an end {n}.</p><p>Tell your friends</p></article></body>",
+        )
+        for n in range(6)
+    ]
+    found = {r.page_id: r.text for r in page_text.extract_text(pages(spark, rows)).collect()}
+    assert found == {n: f"Title {n}\n\nStory {n}.\n\nAnd an end {n}." for n in range(6)}
+
+
 def test_page_text_of_lists_and_open_elements():
     source = (
         "<main><ul><li>One<li>Two <b>b</b><ul><li>Three</ul></ul><table><tr><td>a<td>b<tr><td>c"

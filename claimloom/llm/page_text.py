@@ -4,9 +4,10 @@ Pages of a host come from a template. Its tokens are tags with their path, and t
 tokens that occur equally often on each page of the host share
 their occurrence vector and form a class. Vectors are compared by a hash that is combined
 page by page, so a host with a third of all pages is merged in every task before the shuffle
-and no vector is ever built. Classes that are on enough pages and whose tokens nest into
-each other's paths make the template; the slots between its tokens hold what differs
-from page to page. Of what the slots hold, that below the article (by tag, or else the slot
+and no vector is ever built. A class counts if it is on enough pages and has tags, and of its
+texts those that nest in the path of one of its tags; all such classes make the template, nested
+by their paths. On a page, a token that stands once counts where it is in the class's order;
+the slots between the template's tokens hold what differs from page to page. Of what the slots hold, that below the article (by tag, or else the slot
 with most text) is the main text, without blocks that menus, forms, adverts and the like hold.
 
 Defined results: a null html is empty and has an empty text; a null ``page_id`` or ``url``
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -70,7 +72,7 @@ SUPPORT = 0.5
 
 _TOKENS = (
     "host string, token long, path string, is_text boolean, vector long, pages long, "
-    "times long, chars long"
+    "times long, chars long, place long"
 )
 _TEXTS = "page_id long, url string, text string"
 
@@ -89,12 +91,19 @@ class Block:
     path: str
     out: bool
     main: str
+    place: int  # in the order of the page's tags and blocks
 
 
 @dataclass
 class Page:
     blocks: list[Block] = field(default_factory=list)
     tags: dict[str, int] = field(default_factory=dict)
+    places: dict[str, int] = field(default_factory=dict)  # where a tag stands first
+    length: int = 0
+
+    def next_place(self) -> int:
+        self.length += 1
+        return self.length
 
 
 def _names(attributes: str) -> list[str]:
@@ -113,7 +122,7 @@ def read_page(source: str) -> Page:
         parts.clear()
         if text:
             top = stack[-1]
-            page.blocks.append(Block(text, top.path, top.out, top.main))
+            page.blocks.append(Block(text, top.path, top.out, top.main, page.next_place()))
 
     def close(name: str) -> None:
         """End the innermost element of that name, but not from inside an article."""
@@ -163,6 +172,7 @@ def read_page(source: str) -> Page:
         label = name + "".join("." + n for n in own[:4])
         path = f"{above.path}/{label}"
         page.tags[path] = page.tags.get(path, 0) + 1
+        page.places.setdefault(path, page.next_place())
         if name in VOID or attributes.endswith("/"):
             continue
         if name in RAW:
@@ -186,26 +196,31 @@ def _text_token(block: Block) -> int:
     return xxhash.xxh3_64_intdigest(f"{block.path}\0{block.text}") >> 1
 
 
-def _page_tokens(page: Page) -> Iterator[tuple[int, str, bool, int, int]]:
-    """Token, path, whether it is a text, times on the page, characters below the path."""
+def _tag_token(path: str) -> int:
+    return xxhash.xxh3_64_intdigest(path) >> 1
+
+
+def _page_tokens(page: Page) -> Iterator[tuple[int, str, bool, int, int, int]]:
+    """Token, path, whether it is a text, times on the page, characters below the path, place."""
     chars: dict[str, int] = {}
-    texts: dict[int, tuple[str, int]] = {}
+    texts: dict[int, tuple[str, int, int]] = {}
     for block in page.blocks:
         chars[block.path] = chars.get(block.path, 0) + (0 if block.out else len(block.text))
         token = _text_token(block)
-        texts[token] = (block.path, texts.get(token, ("", 0))[1] + 1)
+        _, times, place = texts.get(token, ("", 0, block.place))
+        texts[token] = (block.path, times + 1, place)
     for path, times in page.tags.items():
         below = sum(n for p, n in chars.items() if p == path or p.startswith(path + "/"))
-        yield xxhash.xxh3_64_intdigest(path) >> 1, path, False, times, below
-    for token, (path, times) in texts.items():
-        yield token, path, True, times, 0
+        yield _tag_token(path), path, False, times, below, page.places[path]
+    for token, (path, times, place) in texts.items():
+        yield token, path, True, times, 0, place
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [("host", pa.string()), ("token", pa.int64()), ("path", pa.string())]
         + [("is_text", pa.bool_())]
-        + [(c, pa.int64()) for c in ("vector", "pages", "times", "chars")]
+        + [(c, pa.int64()) for c in ("vector", "pages", "times", "chars", "place")]
     )
     found: dict[tuple[str, int], list] = {}
 
@@ -217,13 +232,14 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in row_slices(batch, 1):
             for host, source, number in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                for token, path, is_text, times, chars in _page_tokens(read_page(source)):
+                for token, path, is_text, times, *sums in _page_tokens(read_page(source)):
                     seen = xxhash.xxh3_64_intdigest(f"{number} {times}") >> 1
-                    row = found.setdefault((host, token), [path, is_text, 0, 0, 0, 0])
+                    row = found.setdefault((host, token), [path, is_text, 0, 0, 0, 0, 0])
                     row[2] ^= seen
                     row[3] += 1
                     row[4] += times
-                    row[5] += chars
+                    row[5] += sums[0]
+                    row[6] += sums[1]
             if len(found) > 50_000:
                 yield from table_batches(rows(), schema)
     yield from table_batches(rows(), schema)
@@ -262,6 +278,7 @@ def equivalence_classes(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
             F.sum("pages").alias("pages"),
             F.sum("times").alias("times"),
             F.sum("chars").alias("chars"),
+            F.sum("place").alias("place"),
         )
     )
     hosts = rows.groupBy("host").agg(F.count("*").alias("host_pages"))
@@ -269,20 +286,36 @@ def equivalence_classes(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
 
 
 def templates(classes: DataFrame) -> DataFrame:
-    """One row per host: ``texts``, the hashes of its constant texts, and ``slot``, the path
-    of the template element that holds most text.
-
-    Text tokens belong to the template if they stand on more than two pages, in a class whose
-    tokens nest: all on the same number of pages, each in a template element. Of the
-    elements once per page the slot is the deepest with over half of the host's text.
+    """One row per host: ``tokens`` of the template with their ``groups``, and ``slot``, the
+    path of the template element that holds most text.
+
+    A class is what has one occurrence vector, on more than two pages. It needs a tag and a
+    text, and its texts must lie in the path of one of its tags; what lies around such a tag
+    is on these pages too, so that all classes nest. Tokens that stand once on their pages
+    come in the order of their class, which is their group; others have none. Of the elements
+    once per page the slot is the deepest with over half of the host's text.
     """
     alike = ["host", "vector", "pages", "times"]
-    nested = classes.groupBy(*alike).agg(F.count("*").alias("tokens")).where("pages > 2")
-    texts = (
-        classes.where("is_text")
-        .join(nested, alike, "left_semi")
+    tag = F.when(~F.col("is_text"), F.col("path"))
+    valid = (
+        classes.where("pages > 2")
+        .groupBy(*alike)
+        .agg(F.collect_set(tag).alias("tags"), F.max("is_text").alias("has_text"))
+        .where(F.col("has_text") & (F.size("tags") > 0))
+    )
+    nests = F.exists(
+        "tags", lambda t: (F.col("path") == t) | F.col("path").startswith(F.concat(t, F.lit("/")))
+    )
+    # all of a class are on the same pages, so their sums of places are in its order
+    group = F.when(F.col("times") == F.col("pages"), F.col("vector"))
+    member = F.struct("place", "token", group.alias("group"))
+    members = (
+        classes.join(valid, alike)
+        .where(~F.col("is_text") | nests)
         .groupBy("host")
-        .agg(F.array_sort(F.collect_set("token")).alias("texts"))
+        .agg(F.array_sort(F.collect_list(member)).alias("members"))
+        .withColumns({"tokens": F.col("members.token"), "groups": F.col("members.group")})
+        .drop("members")
     )
     once = classes.where("not is_text and times = pages")
     all_chars = once.groupBy("host").agg(F.max("chars").alias("most"))
@@ -295,15 +328,55 @@ def templates(classes: DataFrame) -> DataFrame:
     return (
         classes.select("host")
         .distinct()
-        .join(texts, "host", "left")
+        .join(members, "host", "left")
         .join(slots, "host", "left")
         .withColumnRenamed("host", "template_host")
     )
 
 
-def main_blocks(page: Page, texts: set[int], slot: str) -> list[str]:
+def longest_rising(values: list[int]) -> list[int]:
+    """Places of a longest rising part of the values, which are distinct."""
+    lasts: list[int] = []  # least last value of a rising part, by its length
+    at: list[int] = []
+    before: list[int] = []
+    for i, value in enumerate(values):
+        n = bisect_left(lasts, value)
+        lasts[n : n + 1] = [value]
+        at[n : n + 1] = [i]
+        before.append(at[n - 1] if n else -1)
+    found, i = [], at[-1] if at else -1
+    while i >= 0:
+        found.append(i)
+        i = before[i]
+    return found[::-1]
+
+
+def template_blocks(page: Page, tokens: list[int], groups: list[int | None]) -> set[int]:
+    """Numbers of the blocks that are the template's: texts in the order of their class."""
+    ranks = {token: rank for rank, token in enumerate(tokens)}
+    cut: set[int] = set()
+    seen: dict[int, list[tuple[int, int, int]]] = {}
+    for number, block in enumerate(page.blocks):
+        rank = ranks.get(_text_token(block)) if ranks else None
+        if rank is None:
+            continue
+        if groups[rank] is None:
+            cut.add(number)
+        else:
+            seen.setdefault(groups[rank], []).append((block.place, rank, number))
+    for path, place in page.places.items() if seen else ():
+        rank = ranks.get(_tag_token(path))
+        if rank is not None and groups[rank] in seen:
+            seen[groups[rank]].append((place, rank, -1))
+    for events in seen.values():
+        events.sort()
+        cut.update(events[i][2] for i in longest_rising([rank for _, rank, _ in events]))
+    return cut - {-1}
+
+
+def main_blocks(page: Page, cut: set[int], slot: str) -> list[str]:
     """What the template leaves: below the article, or else in the template's largest slot."""
-    rest = [b for b in page.blocks if not b.out and _text_token(b) not in texts]
+    rest = [b for i, b in enumerate(page.blocks) if i not in cut and not b.out]
     main = [b.text for b in rest if b.main]
     if main:
         return main
@@ -314,13 +387,12 @@ def main_blocks(page: Page, texts: set[int], slot: str) -> list[str]:
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in row_slices(batch, 2):
-            page_id, url, sources, texts, slots = part.columns
-            found = [
-                "\n\n".join(main_blocks(read_page(s), set(t or ()), slot or ""))
-                for s, t, slot in zip(
-                    sources.to_pylist(), texts.to_pylist(), slots.to_pylist(), strict=True
-                )
-            ]
+            page_id, url, *read = part.columns
+            found = []
+            for source, tokens, groups, slot in zip(*(c.to_pylist() for c in read), strict=True):
+                page = read_page(source)
+                cut = template_blocks(page, tokens or [], groups or [])
+                found.append("\n\n".join(main_blocks(page, cut, slot or "")))
             columns = [page_id, url, pa.array(found, type=pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text"])
 
@@ -333,7 +405,7 @@ def extract_text(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     template = templates(classes)
     joined = rows.join(template, F.col("host") == F.col("template_host"), "left")
     return (
-        joined.select("page_id", "url", "html", "texts", "slot")
+        joined.select("page_id", "url", "html", "tokens", "groups", "slot")
         .mapInArrow(_extract, _TEXTS)
         .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
     )

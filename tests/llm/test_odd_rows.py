@@ -187,6 +187,37 @@ def test_page_text_cuts_the_template_inside_the_article(spark):
     assert found == {n: f"Title {n}\n\nStory {n}.\n\nAnd an end {n}." for n in range(6)}
 
 
+def test_page_text_cuts_only_texts_of_classes_with_tags(spark):
+    """A box on four of six pages has a tag of its own, a paragraph on four others has none."""
+    said = "A sentence that four of the stories say."
+    rows = [
+        (
+            n,
+            f"https://t.example/{n}",
+            f"<body><div id=main><p>Story {n} is here.</p>"
+            + (f"<p>{said}</p>" if n != 1 and n != 2 else "")
+            + ("<div class=box>Read this too</div>" if n < 4 else "")
+            + "</div></body>",
+        )
+        for n in range(6)
+    ]
+    found = {r.page_id: r.text for r in page_text.extract_text(pages(spark, rows)).collect()}
+    assert found == {
+        n: f"Story {n} is here." + (f"\n\n{said}" if n not in (1, 2) else "") for n in range(6)
+    }
+
+
+def test_page_text_cuts_texts_in_the_order_of_their_class():
+    assert page_text.longest_rising([]) == []
+    assert page_text.longest_rising([0, 5, 1, 2, 4, 3]) in ([0, 2, 3, 4], [0, 2, 3, 5])
+    page = page_text.read_page("<div id=a><p>One</p></div><div id=b><p>Two</p></div>")
+    one, two = (page_text._text_token(b) for b in page.blocks)
+    tags = [page_text._tag_token(p) for p in ("/div.a", "/div.b")]
+    assert page_text.template_blocks(page, [tags[0], one, tags[1], two], [7] * 4) == {0, 1}
+    assert page_text.template_blocks(page, [two, tags[0], one, tags[1]], [7] * 4) == {0}
+    assert page_text.template_blocks(page, [two, one], [None, None]) == {0, 1}
+
+
 def test_page_text_of_lists_and_open_elements():
     source = (
         "<main><ul><li>One<li>Two <b>b</b><ul><li>Three</ul></ul><table><tr><td>a<td>b<tr><td>c"

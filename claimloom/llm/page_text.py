@@ -9,6 +9,9 @@ texts those that nest in the path of one of its tags; all such classes make the
 by their paths. On a page, a token that stands once counts where it is in the class's order;
 the slots between the template's tokens hold what differs from page to page. Of what the slots hold, that below the article (by tag, or else the slot
 with most text) is the main text, without blocks that menus, forms, adverts and the like hold.
+Marks of elements around the article do not hold inside it, unless articles without such marks
+hold more text. Forms and names (whole classes, ids and roles) mark by degrees: where nothing
+unmarked is left, what has the fewest marks is taken.
 
 Defined results: a null html is empty and has an empty text; a null ``page_id`` or ``url``
 stays; pages without a host share one; repeated rows are each returned; an empty table gives no
@@ -50,7 +53,7 @@ ENDS = {
 }
 RAW = frozenset("script style noscript template textarea iframe svg math title".split())
 MAIN = frozenset(("article", "main"))
-LEFT_OUT = frozenset("nav aside footer form menu dialog button select head".split())
+LEFT_OUT = frozenset("nav aside footer menu dialog button select head".split())
 LEFT_OUT_NAMES = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments "
     "cookie cookies disqus footer menu modal nav navbar navigation newsletter notice "
@@ -64,7 +67,6 @@ _TAG = re.compile(
     re.S,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_WORD = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 _HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 
@@ -83,6 +85,9 @@ class _Element:
     path: str
     out: bool  # in a part that is left out
     main: str  # path of the main element it is in, or ""
+    marks: int = 0  # forms and elements with a name that is left out, around it
+    named: bool = False  # whether one of these has such a name
+    wrapped: bool = False  # whether the main element is in a part that is left out
 
 
 @dataclass
@@ -92,6 +97,8 @@ class Block:
     out: bool
     main: str
     place: int  # in the order of the page's tags and blocks
+    marks: int
+    wrapped: bool
 
 
 @dataclass
@@ -108,7 +115,7 @@ class Page:
 
 def _names(attributes: str) -> list[str]:
     found = " ".join("".join(m) for m in _NAMES.findall(attributes)).lower()
-    return _WORD.findall(found)
+    return found.replace("/", "_").split()  # paths are split at "/"
 
 
 def read_page(source: str) -> Page:
@@ -122,7 +129,10 @@ def read_page(source: str) -> Page:
         parts.clear()
         if text:
             top = stack[-1]
-            page.blocks.append(Block(text, top.path, top.out, top.main, page.next_place()))
+            place = page.next_place()
+            page.blocks.append(
+                Block(text, top.path, top.out, top.main, place, top.marks, top.wrapped)
+            )
 
     def close(name: str) -> None:
         """End the innermost element of that name, but not from inside an article."""
@@ -180,14 +190,16 @@ def read_page(source: str) -> Page:
             stop = re.compile(rf"</{name}\s*>", re.I).search(source, at)
             at = stop.end() if stop else end
             continue
-        main = above.main or (path if name in MAIN else "")
-        out = (
-            above.out
-            or name in LEFT_OUT
-            or (name == "header" and not above.main)
-            or (name not in ("html", "body", *MAIN) and not LEFT_OUT_NAMES.isdisjoint(own))
+        if name in MAIN and not above.main:
+            wrapped = name == "article" and (above.out or above.named)
+            stack.append(_Element(name, path, False, path, wrapped=wrapped))
+            continue
+        out = above.out or name in LEFT_OUT or (name == "header" and not above.main)
+        named = name not in ("html", "body", *MAIN) and not LEFT_OUT_NAMES.isdisjoint(own)
+        marks = above.marks + (named or name == "form")
+        stack.append(
+            _Element(name, path, out, above.main, marks, above.named or named, above.wrapped)
         )
-        stack.append(_Element(name, path, out, main))
     finish()
     return page
 
@@ -196,6 +208,10 @@ def _text_token(block: Block) -> int:
     return xxhash.xxh3_64_intdigest(f"{block.path}\0{block.text}") >> 1
 
 
+def _least_marks(blocks: list[Block]) -> int:
+    return min((b.marks for b in blocks if not b.out), default=0)
+
+
 def _tag_token(path: str) -> int:
     return xxhash.xxh3_64_intdigest(path) >> 1
 
@@ -204,8 +220,11 @@ def _page_tokens(page: Page) -> Iterator[tuple[int, str, bool, int, int, int]]:
     """Token, path, whether it is a text, times on the page, characters below the path, place."""
     chars: dict[str, int] = {}
     texts: dict[int, tuple[str, int, int]] = {}
+    least = _least_marks(page.blocks)
     for block in page.blocks:
-        chars[block.path] = chars.get(block.path, 0) + (0 if block.out else len(block.text))
+        chars[block.path] = chars.get(block.path, 0) + (
+            0 if block.out or block.marks > least else len(block.text)
+        )
         token = _text_token(block)
         _, times, place = texts.get(token, ("", 0, block.place))
         texts[token] = (block.path, times + 1, place)
@@ -376,10 +395,18 @@ def template_blocks(page: Page, tokens: list[int], groups: list[int | None]) ->
 
 def main_blocks(page: Page, cut: set[int], slot: str) -> list[str]:
     """What the template leaves: below the article, or else in the template's largest slot."""
-    rest = [b for i, b in enumerate(page.blocks) if i not in cut and not b.out]
-    main = [b.text for b in rest if b.main]
+    left = [b for i, b in enumerate(page.blocks) if i not in cut and not b.out]
+    # an article whose own texts are all the template's has no others
+    least = _least_marks([b for b in page.blocks if b.main])
+    main = [b for b in left if b.main and b.marks == least]
+    free = [b for b in main if not b.wrapped]
+    if sum(len(b.text) for b in free) * 2 >= sum(len(b.text) for b in main):
+        main = free
     if main:
-        return main
+        return [b.text for b in main]
+    rest = [b for b in left if not b.main]
+    least = _least_marks(rest)
+    rest = [b for b in rest if b.marks == least]
     below = [b for b in rest if slot and (b.path == slot or b.path.startswith(slot + "/"))]
     return [b.text for b in below or rest]
 
@@ -402,7 +429,8 @@ def extract_text(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     rows = _rows(pages)
     # read several times, and small: what most pages of a host have in common
     classes = stored(equivalence_classes(rows, support), "token-classes")
-    template = templates(classes)
+    # stored, so that Spark knows its size and joins a small one without a shuffle of the pages
+    template = stored(templates(classes), "templates")
     joined = rows.join(template, F.col("host") == F.col("template_host"), "left")
     return (
         joined.select("page_id", "url", "html", "tokens", "groups", "slot")

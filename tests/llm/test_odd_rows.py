@@ -218,6 +218,37 @@ def test_page_text_cuts_texts_in_the_order_of_their_class():
     assert page_text.template_blocks(page, [two, one], [None, None]) == {0, 1}
 
 
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("<div class='content has-sidebar'>", "</div>"),
+        ("<div class='no-sidebar with-banner ad-free'>", "</div>"),
+        ("<div class='page sidebar'>", "</div>"),
+        ("<form id=aspnet>", "</form>"),
+        ("<form><div class=widget><nav>Menu</nav>", "</div></form>"),
+    ],
+)
+@pytest.mark.parametrize("element", ["article", "main", "div"])
+def test_page_text_inside_wrappers_that_are_left_out(spark, before, after, element):
+    text = (
+        "<p>A story.</p><section id=related-work>Others</section><h2 id=social-history>Then</h2>"
+        "<div class=share>Tell</div><nav>Next</nav>"
+    )
+    source = f"<body>{before}<{element}>{text}</{element}>{after}<footer>End</footer></body>"
+    rows = [(1, "http://a.example/x", source)]
+    found = page_text.extract_text(pages(spark, rows)).collect()
+    assert [r.text for r in found] == ["A story.\n\nOthers\n\nThen"]
+
+
+def test_page_text_leaves_out_comments_that_are_articles():
+    source = (
+        "<article><p>The story itself.</p><section id=comments><article>No</article></section>"
+        "</article><div class=comments><article>Nice</article></div>"
+    )
+    page = page_text.read_page(source)
+    assert page_text.main_blocks(page, set(), "") == ["The story itself."]
+
+
 def test_page_text_of_lists_and_open_elements():
     source = (
         "<main><ul><li>One<li>Two <b>b</b><ul><li>Three</ul></ul><table><tr><td>a<td>b<tr><td>c"

@@ -7,8 +7,10 @@ known, an instance is known by the cues it stands behind, and a few rounds carry
 Unseen instances behind trusted cues are added as spans of kind ``id``. DataFrame code only:
 the text is read once, what it holds is stored, and the graph works on that.
 
-Spans are code points, end exclusive. An ``id`` is a run of letters, digits and ``_`` with
-at least 12 characters, two letters and two digits, outside all base spans.
+Spans are code points, end exclusive. Strings that may be an ``id`` lie outside all base spans:
+runs of letters, digits and ``_`` with at least 12 characters, two letters and two digits;
+sequences of any length with a digit, joined by ``-``, ``.``, ``/``, and to groups of digits also
+by brackets and blanks; addresses with ``at`` and ``dot``. They may overlap.
 
 Defined results: a null text is empty and has no spans; a null ``doc_id`` stays; repeated
 rows are each returned; ties in ``start`` go by kind; an empty table gives no rows;
@@ -17,6 +19,7 @@ other columns are not read, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,6 +40,15 @@ _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 _IP_PARTS = rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"
 _RUN = r"[A-Za-z0-9_]"
 IDENTIFIER = rf"(?<!{_RUN})(?=[A-Za-z_]*+[0-9]){_RUN}{{12,}}+"
+_WORD = rf"{_RUN}++(?:[./-]{_RUN}++)*+"
+_DIGIT_AHEAD = r"(?=[A-Za-z_]*+(?:[./-][A-Za-z_]++)*+[./-]?+[0-9])"
+SEQUENCE = (
+    rf"(?<!{_RUN})(?<!{_RUN}[./-])[(\[]?+{_DIGIT_AHEAD}{_WORD}"
+    rf"(?:[)\]]?+[\x20./-]?+[(\[]?+(?=[0-9]){_WORD})*+"
+)
+_AT = r"(?:\x20at\x20|\x20?[(\[{]\x20?(?:at|@)\x20?[)\]}]\x20?|\x20?@\x20?)"
+_DOT = r"(?:\x20dot\x20|\x20?[(\[{]\x20?(?:dot|\.)\x20?[)\]}]\x20?|\.)"
+WRITTEN = rf"(?i)(?<!{_LOCAL}){_LOCAL}++{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)++"
 _CUE = r"([\p{L}]*[^\p{L}]*)$"
 _CUE_CHARS = 40
 
@@ -85,8 +97,11 @@ def _holds(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(kind: str, pattern: str, text: Column, needs: str) -> Column:
-    """All matches that hold, with place and cue. ``needs`` is what a match must contain."""
+def _spans(
+    kind: str, pattern: str, text: Column, needs: str, holds: Callable[..., Column] = _holds
+) -> Column:
+    """All matches that hold, with place and cue. ``needs`` is what a match must contain, a
+    digit if it is empty."""
     rank = (*KINDS, ADDED).index(kind)
     none = F.array().cast(f"array<{_SPAN}>")
     begin = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
@@ -110,12 +125,35 @@ def _spans(kind: str, pattern: str, text: Column, needs: str) -> Column:
             found.alias("found"),
         ).cast(_SPAN)
         out = F.when(
-            found.isNotNull() & _holds(kind, found), F.concat(state["out"], F.array(span))
+            found.isNotNull() & holds(kind, found), F.concat(state["out"], F.array(span))
         ).otherwise(state["out"])
         return F.struct(end.alias("at"), out.alias("out"))
 
     spans = F.aggregate(pairs, begin, step, lambda state: state["out"])
-    return F.when(text.contains(needs) if needs else text.rlike("[0-9]"), spans).otherwise(none)
+    contains = F.lower(text).contains(needs) if needs else text.rlike("[0-9]")
+    return F.when(contains, spans).otherwise(none)
+
+
+def _has_digit(kind: str, found: Column) -> Column:
+    return found.rlike("[0-9]")
+
+
+def _any(kind: str, found: Column) -> Column:
+    return F.lit(True)
+
+
+def candidate_spans(text: Column) -> Column:
+    """Spans of all strings that may be an identifier, where cues decide."""
+    runs = _spans(ADDED, IDENTIFIER, text, "")
+    sequences = _spans(ADDED, SEQUENCE, text, "", _has_digit)
+    written = F.concat(
+        _spans(ADDED, WRITTEN, text, "at", _any),
+        # those with "@" only, where base patterns do not match
+        F.when(
+            ~F.lower(text).contains("at"), _spans(ADDED, WRITTEN, text, "@", _any)
+        ).otherwise(F.array().cast(f"array<{_SPAN}>")),
+    )
+    return F.array_distinct(F.concat(runs, sequences, written))
 
 
 _NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
@@ -197,7 +235,7 @@ def read_texts(docs: DataFrame) -> DataFrame:
         "doc_id",
         F.xxhash64("text").alias("text_hash"),
         base_spans(F.col("text")).alias("base"),
-        _spans(ADDED, IDENTIFIER, F.col("text"), "").alias("runs"),
+        candidate_spans(F.col("text")).alias("runs"),
     )
     outside = F.filter(
         "runs",

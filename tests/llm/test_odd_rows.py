@@ -758,6 +758,26 @@ def test_trusted_contexts_find_unseen_identifiers(spark):
     assert masked[20] == rows[20]
 
 
+def test_trusted_contexts_find_identifiers_of_other_shapes(spark):
+    shapes = [
+        "123-45-6789",
+        "(212) 555-0100",
+        "0301234567",
+        "AB123456",
+        "DE89 3704 0044 0532",
+        "12.345.678/9",
+        "jo at example dot com",
+        "jo (at) example.com",
+        "jo [AT] example [DOT] com",
+    ]
+    rows = [f"my account: p{n}q@mail.example rest" for n in range(30)]
+    rows += [f"my account: {x} rest" for x in shapes] + [f"we saw {x} there" for x in shapes]
+    docs = helpers.documents(spark, list(enumerate(rows)))
+    found = {r.doc_id: r for r in private_data.find_private(docs).collect()}
+    added = [[s.found for s in found[d].spans if s.kind == "id"] for d in sorted(found)]
+    assert added == [[]] * 30 + [[x] for x in shapes] + [[]] * len(shapes)
+
+
 def test_masking_keeps_rows_and_columns(spark):
     docs = helpers.documents(spark, PRIVATE, clashes=True)
     masked = private_data.mask_private(docs)

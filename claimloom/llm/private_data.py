@@ -202,29 +202,31 @@ def trusted_cues(read: DataFrame, trust: Trust) -> DataFrame:
         heard = (
             unseen.join(known, "found")
             .groupBy("cue")
-            .agg(F.sum("known").alias("known"), F.count("*").alias("others"))
-        )
-        share = (F.col("seeds") + F.coalesce("known", F.lit(0.0))) / (
-            F.col("seeds") + F.coalesce("others", F.lit(0))
+            .agg(
+                F.sum("known").alias("known"),
+                F.count("*").alias("others"),
+                F.count_if(F.col("known") >= trust.share).alias("sure"),
+            )
         )
+        base, sure = F.coalesce("seeds", F.lit(0)), F.coalesce("sure", F.lit(0))
+        share = (base + F.coalesce("known", F.lit(0.0))) / (base + F.coalesce("others", F.lit(0)))
         # rounded, so that the order of the sums does not matter
         cues = stored(
-            seeds.join(heard, "cue", "left").select(
-                "cue", "seeds", F.round(share, 6).alias("share")
-            ),
+            # instances found for sure in the rounds before count as seeds too
+            seeds.join(heard, "cue", "full")
+            .select("cue", (base + sure).alias("seeds"), F.round(share, 6).alias("share"))
+            .where(F.col("seeds") >= trust.seeds),
             "cues",
         )
-        enough = cues.where(F.col("seeds") >= trust.seeds)
         # an instance is unknown only if all its cues are wrong about it
         doubt = F.sum(F.log(1.0000001 - F.coalesce("share", F.lit(0.0))))
         known = stored(
-            unseen.join(enough, "cue", "left")
+            unseen.join(cues, "cue", "left")
             .groupBy("found")
             .agg((1 - F.exp(doubt)).alias("known")),
             "instances",
         )
-    good = (F.col("seeds") >= trust.seeds) & (F.col("share") >= trust.share)
-    return cues.where(good).select("cue")
+    return cues.where(F.col("share") >= trust.share).select("cue")
 
 
 def read_texts(docs: DataFrame) -> DataFrame:

@@ -771,13 +771,24 @@ def test_trusted_contexts_find_identifiers_of_other_shapes(spark):
         "jo [AT] example [DOT] com",
     ]
     rows = [f"my account: p{n}q@mail.example rest" for n in range(30)]
-    rows += [f"my account: {x} rest" for x in shapes] + [f"we saw {x} there" for x in shapes]
+    rows += [f"my account: {x} rest" for x in shapes] + [f"{'q' * n} {x} there" for n, x in enumerate(shapes, 1)]
     docs = helpers.documents(spark, list(enumerate(rows)))
     found = {r.doc_id: r for r in private_data.find_private(docs).collect()}
     added = [[s.found for s in found[d].spans if s.kind == "id"] for d in sorted(found)]
     assert added == [[]] * 30 + [[x] for x in shapes] + [[]] * len(shapes)
 
 
+def test_discovered_identifiers_make_cues_known(spark):
+    """No base data stands before 'iban', but identifiers that 'account' made known."""
+    rows = [f"my account: p{n}q@mail.example rest" for n in range(100)]
+    rows += [f"my {cue}: AB{n}99XYZ rest" for n in range(20) for cue in ("account", "iban")]
+    rows += ["my iban: ZX81QQ99 rest", "my model: ZX81QQ77 rest"]
+    docs = helpers.documents(spark, list(enumerate(rows)))
+    found = {r.doc_id: r for r in private_data.find_private(docs).collect()}
+    added = [[s.found for s in found[d].spans if s.kind == "id"] for d in (140, 141)]
+    assert added == [["ZX81QQ99"], []]
+
+
 def test_masking_keeps_rows_and_columns(spark):
     docs = helpers.documents(spark, PRIVATE, clashes=True)
     masked = private_data.mask_private(docs)

@@ -54,8 +54,35 @@ FROM sets LEFT JOIN lowest ON doc_id = x
 """
 
 
+URL_RULES = r"""
+WITH rules(host, path, verdict) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+           ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), rests AS (
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0
+        THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), urls AS (
+    SELECT page_id,
+           translate(regexp_extract(rest, '^[^/?#]*'),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rests
+), best AS (
+    SELECT u.host, u.path, r.host || r.path AS rule, r.verdict
+    FROM (SELECT DISTINCT host, path FROM urls) u JOIN rules r
+        ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)
+    QUALIFY row_number() OVER (
+        PARTITION BY u.host, u.path ORDER BY length(r.host || r.path) DESC) = 1
+)
+SELECT page_id, u.host, u.path, rule, coalesce(verdict, 'allow') AS verdict
+FROM urls u LEFT JOIN best b ON u.host = b.host AND u.path = b.path
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP,
         "op4_ngram_jaccard_join": NGRAM_JACCARD_JOIN,
+        "op12_url_rules": URL_RULES,
     }

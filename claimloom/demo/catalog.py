@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 from claimloom.demo.tables import claims, code_table, code_tables, table
 from claimloom.functions import as_yes_no, numbered_columns
 from claimloom.operators import (
+    add_last_signals,
     add_signals,
     beside,
+    came_within,
     code_conflicts,
     code_coverage,
     contract_report,
@@ -22,6 +24,7 @@ from claimloom.operators import (
     has_signal,
     lookup,
     miss_counts,
+    signal_blocks,
     signal_days,
     slots_to_rows,
 )
@@ -36,6 +39,7 @@ from claimloom.plans import (
     inpatient_candidates,
     is_emergency,
     keep_allowed_drgs,
+    keep_outpatient,
     latest_per_member_day,
     outpatient_branch,
     outpatient_candidates,
@@ -142,7 +146,7 @@ def _allowed_inpatient(spark, sf_dir):
 
 
 def _allowed_outpatient(spark, sf_dir):
-    return _outpatient(spark, sf_dir).where(~F.col("ccs").isin(list(RULES.inpatient_only)))
+    return keep_outpatient(_outpatient(spark, sf_dir), RULES)
 
 
 @registered
@@ -261,9 +265,7 @@ def emergency_flag_op(spark, sf_dir):
 
 
 def _after_error(spark, sf_dir, days):
-    events = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", F.col("ts").cast("date").alias("day")
-    )
+    events = _event_days(spark, sf_dir)
     kinds = {"error": (F.col("event_type") == "error", "day")}
     covered = signal_days(events, "user_id", kinds, days)
     found = add_signals(events, covered, "user_id", "day", spread_by=["event_id"])
@@ -284,6 +286,33 @@ def event_error_lookback_3d(spark, sf_dir):
     return _after_error(spark, sf_dir, 3)
 
 
+def _event_days(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", F.col("ts").cast("date").alias("day")
+    )
+
+
+def _with_last_error(spark, sf_dir):
+    events = _event_days(spark, sf_dir)
+    kinds = {"error": (F.col("event_type") == "error", "day")}
+    blocks = signal_blocks(events, "user_id", kinds)
+    return add_last_signals(events, blocks, ["error"], "user_id", "day", spread_by=["event_id"])
+
+
+@registered
+def event_error_lookback_90d(spark, sf_dir):
+    """Events with an error of the same user on the day or up to 90 days before."""
+    flag = as_yes_no(came_within("error", "day", 90)).alias("after_error")
+    return _with_last_error(spark, sf_dir).select("event_id", "user_id", "day", flag)
+
+
+@registered
+def event_days_since_error(spark, sf_dir):
+    """How many days ago the same user's last error was; null where there was none."""
+    since = F.datediff("day", "last_error").alias("days_since")
+    return _with_last_error(spark, sf_dir).select("event_id", "user_id", since)
+
+
 @registered
 def preventable_ip(spark, sf_dir):
     """Inpatient candidates with the preventable flag."""
@@ -353,6 +382,13 @@ def decorate_other_rules(spark, sf_dir):
     return decorate(claims(spark, sf_dir), code_tables(spark, sf_dir), NO_LOOKBACK)
 
 
+@registered
+def decorate_long_lookback(spark, sf_dir):
+    """The decoration with a lookback of 90 days."""
+    rules = replace(RULES, lookback_days=90)
+    return decorate(claims(spark, sf_dir), code_tables(spark, sf_dir), rules)
+
+
 @registered
 def decorate_stored(spark, sf_dir):
     """The full decoration of claims that were written and read back, as in production."""

@@ -222,6 +222,14 @@ SELECT event_id, user_id, CAST(day AS TIMESTAMP) AS day,
 FROM dated d"""
 
 
+_DAYS_SINCE = """
+WITH dated AS (SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events),
+errors AS (SELECT DISTINCT user_id, day FROM dated WHERE event_type = 'error')
+SELECT event_id, user_id, CAST((SELECT d.day - max(e.day) FROM errors e
+  WHERE e.user_id = d.user_id AND e.day <= d.day) AS INTEGER) AS days_since
+FROM dated d"""
+
+
 def _both_rules(select: str) -> str:
     return (
         f"WITH e AS ({_sql(_DECORATED)}), a AS ({_sql(_DECORATED, **_OTHER)}),\n"
@@ -400,6 +408,8 @@ FROM e FULL JOIN t ON e.member_id = t.member_id AND e.day = t.day""",
         ),
         "event_error_lookback_1d": _after_error(1),
         "event_error_lookback_3d": _after_error(3),
+        "event_error_lookback_90d": _after_error(90),
+        "event_days_since_error": _DAYS_SINCE,
         "preventable_ip": _sql(preventable.format("ip_judged"), 5),
         "preventable_op": _sql(preventable.format("op_judged"), 5),
         "case_primary": _sql(
@@ -414,6 +424,7 @@ FROM e FULL JOIN t ON e.member_id = t.member_id AND e.day = t.day""",
         "decorate_claims": _sql(_DECORATED),
         "decorator_object": _sql(_DECORATED),
         "decorate_other_rules": _sql(_DECORATED, **_OTHER),
+        "decorate_long_lookback": _sql(_DECORATED, lookback=90),
         "decorate_stored": _sql(_DECORATED),
         "code_table_from_files": _sql("SELECT * FROM code_table", 2),
         "code_files_by_type": _sql(

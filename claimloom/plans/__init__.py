@@ -3,6 +3,7 @@
 from claimloom.plans.decorator import LineDecorator, SurgeryDecorator
 from claimloom.plans.rules import Rules
 from claimloom.plans.surgery import (
+    claim_signal_blocks,
     claim_signals,
     decorate,
     decoration_report,
@@ -11,6 +12,7 @@ from claimloom.plans.surgery import (
     inpatient_candidates,
     is_emergency,
     keep_allowed_drgs,
+    keep_outpatient,
     latest_per_member_day,
     outpatient_branch,
     outpatient_candidates,
@@ -22,6 +24,7 @@ __all__ = [
     "LineDecorator",
     "Rules",
     "SurgeryDecorator",
+    "claim_signal_blocks",
     "claim_signals",
     "decorate",
     "decoration_report",
@@ -30,6 +33,7 @@ __all__ = [
     "inpatient_candidates",
     "is_emergency",
     "keep_allowed_drgs",
+    "keep_outpatient",
     "latest_per_member_day",
     "outpatient_branch",
     "outpatient_candidates",

@@ -7,12 +7,15 @@ from dataclasses import dataclass
 from claimloom.functions import fixed_values as fixed
 
 
+SHORT_LOOKBACK = 7
+
+
 @dataclass(frozen=True)
 class Rules:
     """Code sets, line cases and lookback of the decoration.
 
-    Every signal is written down for ``lookback_days`` + 1 days, which suits some days; for a
-    lookback of months the number of days would have to be cut into longer buckets.
+    Up to ``SHORT_LOOKBACK`` days a signal is written down for each day it covers; for a
+    longer lookback each line finds the last signal before it, whatever the number of days.
     """
 
     emergency_hcpcs: tuple[str, ...] = fixed.EMERGENCY_HCPCS
@@ -22,3 +25,11 @@ class Rules:
     outpatient_case: str = fixed.OUTPATIENT_CASE
     slot_stem: str = "icdproc"
     lookback_days: int = 1
+
+    def __post_init__(self):
+        if self.lookback_days < 0:
+            raise ValueError("lookback_days must not be negative")
+
+    @property
+    def is_short(self) -> bool:
+        return self.lookback_days <= SHORT_LOOKBACK

@@ -13,6 +13,8 @@ carried along from the scan; nothing is joined back to the claims in between.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,14 +22,17 @@ from pyspark.sql import types as T
 
 from claimloom.functions import as_yes_no, in_any_set, numbered_columns, starts_with_any
 from claimloom.operators import (
+    add_last_signals,
     add_signals,
     attach,
+    came_within,
     contract_report,
     first_per_group,
     has_signal,
     keep_pairs,
     lookup,
     may_broadcast,
+    signal_blocks,
     signal_days,
     slots_to_rows,
 )
@@ -70,14 +75,24 @@ def _small(
     return small
 
 
-def _entries(codes: DataFrame) -> DataFrame:
-    return codes.select("code", "ccs").distinct()
+def _entries(codes: DataFrame, distinct: bool) -> DataFrame:
+    """Codes and categories; where one candidate is chosen anyway, repeated ones do no harm."""
+    entries = codes.select("code", "ccs")
+    return entries.distinct() if distinct else entries
 
 
 def inpatient_candidates(
-    lines: DataFrame, codes: DataFrame, rules: Rules = Rules(), small: bool | None = None
+    lines: DataFrame,
+    codes: DataFrame,
+    rules: Rules = Rules(),
+    small: bool | None = None,
+    distinct: bool = True,
 ) -> DataFrame:
-    """One row per inpatient line, slot and category of its code."""
+    """One row per inpatient line, slot and category of its code.
+
+    ``distinct=False`` spares the shuffle of the code table; an entry that comes repeatedly
+    then gives repeated rows.
+    """
     surgical = lines.where(
         F.col("mr_line_case").startswith(rules.inpatient_case) & F.col(KEY).isNotNull()
     )
@@ -87,18 +102,24 @@ def inpatient_candidates(
         keep=[*_IDENTITY, "prm_drg", "mr_allowed"],
         value="icd_proc",
     )
-    found = lookup(rows, _entries(codes), on="icd_proc", spread_by=[KEY, "position"], small=small)
+    entries = _entries(codes, distinct)
+    found = lookup(rows, entries, on="icd_proc", spread_by=[KEY, "position"], small=small)
     return found.drop("icd_proc")
 
 
 def outpatient_candidates(
-    lines: DataFrame, codes: DataFrame, rules: Rules = Rules(), small: bool | None = None
+    lines: DataFrame,
+    codes: DataFrame,
+    rules: Rules = Rules(),
+    small: bool | None = None,
+    distinct: bool = True,
 ) -> DataFrame:
-    """One row per outpatient line and category of its procedure code."""
+    """One row per outpatient line and category of its procedure code; see above."""
     surgical = lines.where(
         F.col("mr_line_case").startswith(rules.outpatient_case) & F.col(KEY).isNotNull()
     ).select(*_IDENTITY, "hcpcs", "paiddate", "mr_allowed")
-    found = lookup(surgical, _entries(codes), on="hcpcs", spread_by=[KEY], small=small)
+    entries = _entries(codes, distinct)
+    found = lookup(surgical, entries, on="hcpcs", spread_by=[KEY], small=small)
     return found.drop("hcpcs").withColumn("position", F.lit(0))
 
 
@@ -126,9 +147,38 @@ def claim_signals(lines: DataFrame, rules: Rules = Rules()) -> DataFrame:
     All lines count, whatever their case, the surgery's own line included. A visit is
     dated by the start of its line, a transfer by the end.
     """
+    return signal_days(lines, MEMBER, _kinds(rules), rules.lookback_days, day=DAY)
+
+
+def _kinds(rules: Rules) -> dict[str, tuple[Column, str]]:
     transfer = F.col("prm_acute_transfer_to_acute_yn") == "Y"
-    kinds = {"emergency": (is_emergency(rules), DAY), "transfer": (transfer, "prm_todate")}
-    return signal_days(lines, MEMBER, kinds, rules.lookback_days, day=DAY)
+    return {"emergency": (is_emergency(rules), DAY), "transfer": (transfer, "prm_todate")}
+
+
+def claim_signal_blocks(lines: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The same signals as blocks of days, for lookbacks of any length."""
+    return signal_blocks(lines, MEMBER, _kinds(rules))
+
+
+def _signals(lines: DataFrame, rules: Rules) -> DataFrame:
+    return claim_signals(lines, rules) if rules.is_short else claim_signal_blocks(lines, rules)
+
+
+def _flagged(
+    chosen: DataFrame, signals: DataFrame, rules: Rules, against: Sequence[str]
+) -> DataFrame:
+    """Chosen lines with the flag: N where one of the given kinds led to it.
+
+    At most one line of an admission or of a member's day is chosen, so few rows share a
+    key and one plain join will do; where some member has very many, Spark splits them.
+    """
+    if rules.is_short:
+        joined = add_signals(chosen, signals, MEMBER, DAY, spread_by=[KEY], unique=True)
+        return with_preventable(joined, *against)
+    joined = add_last_signals(chosen, signals, KINDS, MEMBER, DAY, spread_by=[KEY])
+    led_to = reduce(or_, [came_within(kind, DAY, rules.lookback_days) for kind in against])
+    flag = F.when(led_to, F.lit("N")).otherwise(F.lit("Y"))
+    return joined.withColumn("preventable_yn", flag)
 
 
 def with_preventable(df: DataFrame, *against: str) -> DataFrame:
@@ -166,6 +216,12 @@ def latest_per_member_day(candidates: DataFrame) -> DataFrame:
     )
 
 
+def keep_outpatient(candidates: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Candidates of a category that is not inpatient-only; a null category goes too."""
+    excluded = F.col("ccs").isin(list(rules.inpatient_only))
+    return candidates.where(F.col("ccs").isNotNull() & ~excluded)
+
+
 def inpatient_branch(
     lines: DataFrame,
     refs: Mapping[str, DataFrame],
@@ -178,12 +234,14 @@ def inpatient_branch(
     ``small`` says which code tables may be broadcast; left out, they are measured.
     """
     small = _small(refs, _INPATIENT_TABLES, small)
-    candidates = inpatient_candidates(lines, refs["icd_procs"], rules, small["icd_procs"])
+    candidates = inpatient_candidates(
+        lines, refs["icd_procs"], rules, small["icd_procs"], distinct=False
+    )
     chosen = primary_per_case(keep_allowed_drgs(candidates, refs["drg"], small["drg"]))
     if signals is None:
-        signals = claim_signals(lines, rules)
-    flagged = add_signals(chosen, signals, MEMBER, DAY, spread_by=[KEY])
-    return with_preventable(flagged, "transfer", "emergency").select(*BRANCH_COLUMNS)
+        signals = _signals(lines, rules)
+    flagged = _flagged(chosen, signals, rules, ("transfer", "emergency"))
+    return flagged.select(*BRANCH_COLUMNS)
 
 
 def outpatient_branch(
@@ -199,14 +257,13 @@ def outpatient_branch(
     a null category goes with them.
     """
     small = _small(refs, _OUTPATIENT_TABLES, small)
-    candidates = outpatient_candidates(lines, refs["hcpcs"], rules, small["hcpcs"])
-    excluded = F.col("ccs").isin(list(rules.inpatient_only))
-    allowed = candidates.where(F.col("ccs").isNotNull() & ~excluded)
-    chosen = latest_per_member_day(allowed)
+    candidates = outpatient_candidates(
+        lines, refs["hcpcs"], rules, small["hcpcs"], distinct=False
+    )
+    chosen = latest_per_member_day(keep_outpatient(candidates, rules))
     if signals is None:
-        signals = claim_signals(lines, rules)
-    flagged = add_signals(chosen, signals, MEMBER, DAY, spread_by=[KEY], unique=True)
-    return with_preventable(flagged, "emergency").select(*BRANCH_COLUMNS)
+        signals = _signals(lines, rules)
+    return _flagged(chosen, signals, rules, ("emergency",)).select(*BRANCH_COLUMNS)
 
 
 def is_eligible(rules: Rules = Rules()) -> Column:
@@ -238,7 +295,7 @@ def decorate(
     for name in (*_INPATIENT_TABLES, *_OUTPATIENT_TABLES):
         check_columns(refs[name], T.StructType([CODES["code"], CODES["ccs"]]), name)
     small = _small(refs, (*_INPATIENT_TABLES, *_OUTPATIENT_TABLES), small)
-    signals = claim_signals(lines, rules)
+    signals = _signals(lines, rules)
     inpatient = inpatient_branch(lines, refs, rules, signals, small)
     outpatient = outpatient_branch(lines, refs, rules, signals, small)
     chosen = inpatient.unionByName(outpatient).select(

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import as_yes_no, holds, in_any_set, numbered_columns, with_prefix
 from claimloom.operators import (
+    add_last_signals,
     add_signals,
     attach,
     beside,
+    came_within,
     check_names,
     code_conflicts,
     code_coverage,
@@ -24,6 +26,7 @@ from claimloom.operators import (
     lookup,
     may_broadcast,
     miss_counts,
+    signal_blocks,
     signal_days,
     slots_to_rows,
     spread_join,
@@ -193,6 +196,42 @@ def test_signals_for_unique_rows_are_the_same(spark):
     assert differences(one, other, ["id"]).count() == 0
 
 
+@pytest.mark.parametrize("hot_rows", [3, 10_000])
+@pytest.mark.parametrize("spread", [3, 40, 400])
+def test_last_signals_equal_brute_force(spark, spread, hot_rows):
+    """Days on both sides of block borders and of 1970, nulls, hot keys split."""
+    schema = "id int, m string, day date, kind string"
+    moved = timedelta(days=18_350)  # START is then some days before 1970-02-01
+
+    def events(seed, n):
+        return [
+            (i, m, d and d - moved, k) for i, m, d, k in _events(seed, n, spread)
+        ]
+
+    asked, signals = events(spread, 200), events(spread + 1, 60)
+    kinds = {k: (F.col("kind") == k, "day") for k in ("red", "blue")}
+    blocks = signal_blocks(spark.createDataFrame(signals, schema), "m", kinds)
+    assert blocks.groupBy("m", "_block").count().where("count > 1").count() == 0
+    found = add_last_signals(
+        spark.createDataFrame(asked, schema), blocks, list(kinds), "m", "day", ["id"], hot_rows
+    )
+    rows = found.select("*", came_within("red", "day", 45).alias("near")).collect()
+
+    def last(member, day, kind):
+        days = [
+            d for _, m, d, k in signals
+            if m is not None and m == member and d and day and kind == k and d <= day
+        ]
+        return max(days, default=None)
+
+    assert {r["id"]: (r["last_red"], r["last_blue"]) for r in rows} == {
+        i: (last(m, d, "red"), last(m, d, "blue")) for i, m, d, _ in asked
+    }
+    assert len(rows) == len(asked)
+    for r in rows:
+        assert r["near"] == (r["last_red"] is not None and (r["day"] - r["last_red"]).days <= 45)
+
+
 def test_signal_days_refuses_negative_days(spark):
     with pytest.raises(ValueError, match="negative"):
         signal_days(_skewed(spark), "k", {"a": (F.lit(True), "day")}, -1)

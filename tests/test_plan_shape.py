@@ -5,7 +5,7 @@ import re
 import pytest
 
 from claimloom import decorate
-from claimloom.plans import claim_signals, outpatient_branch
+from claimloom.plans import Rules, claim_signal_blocks, claim_signals, outpatient_branch
 from claimloom.sources import read_parquet, split_codes, write_parquet
 from tests.made_claims import GOLDEN, claims, codes
 
@@ -43,8 +43,8 @@ def test_decoration(spark, lines, no_small_joins):
     assert "Python" not in plan
     assert plan.count("WindowGroupLimit") >= 4
     final = executed(df)
-    # Signals and the inpatient choice are each computed once and used twice.
-    assert final.count("ReusedExchange") >= 2
+    # The signals are computed once and used twice, the choices used once.
+    assert final.count("ReusedExchange") == 1
     assert final.count("FileScan parquet") == 5
 
 
@@ -69,9 +69,21 @@ def test_signal_tests_reach_the_scan(lines, capsys):
     assert plan_of(claim_signals(lines)).count("Exchange") == 1
 
 
+def test_signals_of_long_lookbacks_are_shuffled_once_whatever_the_days(spark, lines):
+    """The rows of signals that are shuffled do not depend on the number of days."""
+    blocks = claim_signal_blocks(lines)
+    plan = plan_of(blocks)
+    assert plan.count("Exchange") == 1
+    assert "Generate explode(array(CASE" in plan and "sequence" not in plan
+
+    def signal_rows(days):
+        df = decorate(lines, split_codes(codes(spark)), Rules(lookback_days=days))
+        return re.findall(r"HashAggregate\(keys=\[member_id#\d+, _block.*", plan_of(df))
+
+    assert len(signal_rows(90)) == len(signal_rows(3650)) > 0
+
+
 def test_outpatient_flags_need_no_further_shuffle(spark, lines, no_small_joins):
     """One exchange for the choice, one for the signals, none to bring them together."""
     plan = plan_of(outpatient_branch(lines, split_codes(codes(spark)), small={"hcpcs": True}))
-    # the code table's own one, for its distinct entries, is small
-    keys = re.findall(r"Exchange hashpartitioning\((.*?)\)", plan)
-    assert len([k for k in keys if "code" not in k]) == 2
+    assert len(re.findall(r"Exchange hashpartitioning\((.*?)\)", plan)) == 2

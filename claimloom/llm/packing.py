@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm.shared import row_slices, stored, table_batches, whole_text
-from claimloom.llm.token_codes import ID_BYTES, codes
+from claimloom.llm.token_codes import CACHE_CHUNKS, ID_BYTES, codes
 
 SEQUENCE_TOKENS = 4096
 GROUP_DOCS = 8192
@@ -77,9 +77,9 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> list[tuple[int, int
 
 
 def _pieces(
-    batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capacity: int
+    batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capacity: int, cached: int
 ) -> Iterator[pa.RecordBatch]:
-    encoder = codes("words", tokenizer)
+    encoder = codes("words", tokenizer, cached)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def rows() -> Iterator[tuple]:
@@ -99,13 +99,20 @@ def _pieces(
 
 
 def cut_documents(
-    docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = SEQUENCE_TOKENS
+    docs: DataFrame,
+    tokenizer: str,
+    end_id: int = 2,
+    capacity: int = SEQUENCE_TOKENS,
+    cached: int = CACHE_CHUNKS,
 ) -> DataFrame:
-    """Every document's tokens in pieces of ``capacity`` and a rest, which may be full too."""
+    """Every document's tokens in pieces of ``capacity`` and a rest, which may be full too.
+
+    ``cached`` is how many encoded chunks a worker remembers; it changes time and memory only.
+    """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")
     )
-    cut = partial(_pieces, tokenizer=tokenizer, end_id=end_id, capacity=capacity)
+    cut = partial(_pieces, tokenizer=tokenizer, end_id=end_id, capacity=capacity, cached=cached)
     return rows.mapInArrow(cut, _PIECES)
 
 
@@ -160,6 +167,8 @@ def pack_documents(
     end_id: int = 2,
     capacity: int = SEQUENCE_TOKENS,
     group_docs: int = GROUP_DOCS,
+    cached: int = CACHE_CHUNKS,
 ) -> DataFrame:
     """Pieces of all documents with their place: the two steps above."""
-    return pack(cut_documents(docs, tokenizer, end_id, capacity), capacity, group_docs)
+    pieces = cut_documents(docs, tokenizer, end_id, capacity, cached)
+    return pack(pieces, capacity, group_docs)

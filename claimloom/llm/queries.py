@@ -71,7 +71,8 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer)
+    # nothing else is in these workers, so they may remember more than in a pipeline
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer, cached=800_000)
 
 
 def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -26,6 +27,10 @@ def _load(path: str):
     return Tokenizer.from_file(path)
 
 
+# where each chunk begins and ends, from the joined ids
+Cuts = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
 def _as_bytes(ids) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
@@ -33,8 +38,8 @@ def _as_bytes(ids) -> bytes:
 class _Codes:
     """Shared part: chunks are joined to longer texts, as single ones cost more to encode.
 
-    ``_joined`` gives the text of several chunks, or None where they cannot be told apart
-    in it; ``_cuts`` gives where in the joined ids each chunk begins and ends.
+    ``_joined`` gives the text of several chunks, or None where they cannot be told apart in
+    it, and a function that gives where in the joined ids each chunk begins and ends.
     """
 
     def __init__(self, path: str, limit: int = CACHE_CHUNKS):
@@ -45,10 +50,7 @@ class _Codes:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [f.ids for f in found]
 
-    def _joined(self, chunks: list[str]) -> str | None:
-        raise NotImplementedError
-
-    def _cuts(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _joined(self, chunks: list[str]) -> tuple[str, Cuts] | None:
         raise NotImplementedError
 
     def _alone(self, chunk: str) -> str:
@@ -56,13 +58,13 @@ class _Codes:
 
     def _encode_many(self, chunks: list[str]) -> list[bytes]:
         parts = [chunks[i : i + _JOINED_CHUNKS] for i in range(0, len(chunks), _JOINED_CHUNKS)]
-        texts = [self._joined(p) for p in parts]
-        found = iter(self._ids([t for t in texts if t is not None]))
+        joined = [self._joined(p) for p in parts]
+        found = iter(self._ids([j[0] for j in joined if j]))
         codes: list[bytes] = []
-        for part, text in zip(parts, texts, strict=True):
-            if text is not None:
+        for part, text in zip(parts, joined, strict=True):
+            if text:
                 ids = np.asarray(next(found), dtype="<u4")
-                starts, ends = self._cuts(ids)
+                starts, ends = text[1](ids)
                 if len(starts) == len(part):
                     data = ids.tobytes()
                     places = zip(
@@ -86,10 +88,10 @@ class ByteLevelCodes(_Codes):
         # the byte-level alphabet writes the space as this letter
         self._led = np.array([bool(t) and t.startswith("Ġ") for t in tokens])
 
-    def _joined(self, chunks: list[str]) -> str | None:
+    def _joined(self, chunks: list[str]) -> tuple[str, Cuts] | None:
         """With the spaces that begin the chunks: an id with a space begins a chunk."""
         text = " " + " ".join(chunks)
-        return None if self._SPACES.search(text) or text[-1].isspace() else text
+        return None if self._SPACES.search(text) or text[-1].isspace() else (text, self._cuts)
 
     def _cuts(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = np.flatnonzero(self._led[ids])
@@ -120,12 +122,24 @@ class WordCodes(_Codes):
     def __init__(self, path: str, limit: int = CACHE_CHUNKS):
         super().__init__(path, limit)
         self._mark = np.asarray(self._ids([self._MARK])[0], dtype="<u4")
+        size = self._tokenizer.get_vocab_size()
+        tokens = map(self._tokenizer.id_to_token, range(size))
+        self._ends = np.array([bool(t) and t.endswith("</w>") for t in tokens])
 
-    def _joined(self, chunks: list[str]) -> str | None:
+    def _joined(self, chunks: list[str]) -> tuple[str, Cuts] | None:
+        """Words of letters only end with an id that ends a word; others get marks between."""
         text = " ".join(chunks)
-        return None if self._OTHER.search(text) else f" {self._MARK} ".join(chunks)
+        if self._OTHER.search(text):
+            return None
+        if text.replace(" ", "").isalpha() and all(chunks):
+            return text, self._word_ends
+        return f" {self._MARK} ".join(chunks), self._marks
 
-    def _cuts(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _word_ends(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        return np.append(0, ends[:-1]), ends
+
+    def _marks(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         marks = np.flatnonzero(ids == self._mark[0])
         return np.append(0, marks + len(self._mark)), np.append(marks, len(ids))
 
@@ -140,6 +154,6 @@ class WordCodes(_Codes):
 
 
 @lru_cache(maxsize=4)
-def codes(kind: str, path: str) -> ByteLevelCodes | WordCodes:
+def codes(kind: str, path: str, limit: int = CACHE_CHUNKS) -> ByteLevelCodes | WordCodes:
     """One encoder per worker and tokenizer file; ``kind`` is ``bytes`` or ``words``."""
-    return {"bytes": ByteLevelCodes, "words": WordCodes}[kind](path)
+    return {"bytes": ByteLevelCodes, "words": WordCodes}[kind](path, limit)

@@ -258,7 +258,9 @@ def stitched(fragments: DataFrame) -> DataFrame:
 def find_runs(texts: DataFrame) -> DataFrame:
     """All runs (``digest, start, length, period``) of distinct texts (``digest, text``)."""
     tiles = texts.select("digest", "text").mapInArrow(_exploded, _TILES)
-    dealt = tiles.repartition(F.xxhash64("digest", "octave", "start"))
+    # a number, as tiles are small for the time they take: Spark would merge partitions
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = tiles.repartition(tasks, F.xxhash64("digest", "octave", "start"))
     return stitched(dealt.mapInArrow(_solved, _FRAGMENTS))
 
 

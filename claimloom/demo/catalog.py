@@ -21,6 +21,8 @@ from claimloom.operators import (
     code_coverage,
     contract_report,
     differences,
+    field_differences,
+    field_miss_counts,
     has_signal,
     lookup,
     miss_counts,
@@ -33,7 +35,9 @@ from claimloom.plans import (
     SurgeryDecorator,
     claim_signals,
     decorate,
-    decoration_report,
+    decorate_bucketed,
+    decorate_under,
+    decoration_checks,
     eligible_lines,
     inpatient_branch,
     inpatient_candidates,
@@ -44,9 +48,10 @@ from claimloom.plans import (
     outpatient_branch,
     outpatient_candidates,
     primary_per_case,
+    publish_decoration,
     with_preventable,
 )
-from claimloom.plans.surgery import DAY, KEY, KINDS, MEMBER
+from claimloom.plans.surgery import DAY, KEY, KINDS, MEMBER, RESULT
 from claimloom.sources import (
     CLAIMS,
     CODE_TYPES,
@@ -55,10 +60,14 @@ from claimloom.sources import (
     read_code_tables,
     read_folder,
     read_parquet,
+    read_published,
     split_codes,
     tables_in,
+    write_bucketed,
     write_csv,
+    write_observed,
     write_parquet,
+    written_report,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +78,8 @@ MAY_BE_NULL = tuple(
 )
 RULES = Rules()
 NO_LOOKBACK = replace(RULES, lookback_days=0, inpatient_only=("ccs111",))
+LONG_LOOKBACK = replace(RULES, lookback_days=90)
+BUCKETS = 8  # of the small tables here
 NAMED_CATEGORIES = (*RULES.inpatient_only, "ccs44")
 
 _QUERIES: dict[str, Query] = {}
@@ -385,16 +396,14 @@ def decorate_other_rules(spark, sf_dir):
 @registered
 def decorate_long_lookback(spark, sf_dir):
     """The decoration with a lookback of 90 days."""
-    rules = replace(RULES, lookback_days=90)
-    return decorate(claims(spark, sf_dir), code_tables(spark, sf_dir), rules)
+    return decorate(claims(spark, sf_dir), code_tables(spark, sf_dir), LONG_LOOKBACK)
 
 
 @registered
 def decorate_stored(spark, sf_dir):
     """The full decoration of claims that were written and read back, as in production."""
     folder = new_shared_folder(spark)
-    write_parquet(claims(spark, sf_dir), f"{folder}/claims")
-    lines = read_parquet(spark, f"{folder}/claims", CLAIMS)
+    lines = _stored_claims(spark, sf_dir, folder)
     return decorate(lines, split_codes(_codes_from_files(spark, sf_dir, folder)))
 
 
@@ -453,40 +462,118 @@ def code_coverage_report(spark, sf_dir):
 # Comparisons and checks
 
 
+def _stored_claims(spark, sf_dir, folder):
+    """Claims written and read back, as a user would have them."""
+    write_parquet(claims(spark, sf_dir), f"{folder}/claims")
+    return read_parquet(spark, f"{folder}/claims", CLAIMS)
+
+
+def _under_rule_sets(spark, sf_dir, **rule_sets):
+    lines = _stored_claims(spark, sf_dir, new_shared_folder(spark))
+    return decorate_under(lines, code_tables(spark, sf_dir), rule_sets)
+
+
+@registered
+def decorate_rule_sets(spark, sf_dir):
+    """The decoration under three rule sets at once, one row per line and rule set."""
+    sets = {"default": RULES, "other": NO_LOOKBACK, "long": LONG_LOOKBACK}
+    both = _under_rule_sets(spark, sf_dir, **sets)
+    named = [F.struct(F.lit(name).alias("rule_set"), F.col(name).alias("r")) for name in sets]
+    return both.select(KEY, F.inline(F.array(*named))).select(KEY, "rule_set", "r.*")
+
+
 @registered
 def rules_difference(spark, sf_dir):
     """Where the decoration changes when the rules do, cell by cell."""
-    return differences(*_two_decorations(spark, sf_dir), [KEY])
+    both = _under_rule_sets(spark, sf_dir, default=RULES, other=NO_LOOKBACK)
+    return field_differences(both, [KEY], "default", "other")
 
 
 @registered
 def rules_difference_counts(spark, sf_dir):
     """Number of lines that change, per column."""
-    return miss_counts(differences(*_two_decorations(spark, sf_dir), [KEY]), [KEY])
+    both = _under_rule_sets(spark, sf_dir, default=RULES, other=NO_LOOKBACK)
+    return field_miss_counts(both, "default", "other")
 
 
 @registered
 def rules_beside(spark, sf_dir):
     """The decorations of both rules beside each other."""
-    return beside(*_two_decorations(spark, sf_dir), [KEY])
+    lines = _stored_claims(spark, sf_dir, new_shared_folder(spark))
+    refs = code_tables(spark, sf_dir)
+    return beside(decorate(lines, refs), decorate(lines, refs, NO_LOOKBACK), [KEY])
+
+
+def _changed_items(spark, sf_dir):
+    """Items, and the same with some quantities changed and some rows left out or twice."""
+    items = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_orderkey") % 3 != 0, F.col("l_orderkey")).alias("l_orderkey"),
+        "l_linenumber",
+        "l_partkey",
+        F.col("l_quantity").cast("long").alias("l_quantity"),
+    )
+    order, part = F.col("l_orderkey"), F.col("l_partkey")
+    quantity = F.col("l_quantity") + F.when(order % 400 == 1, 1).otherwise(0)
+    times = F.when(part % 97 == 5, 0).when(part % 89 == 7, 2).otherwise(1)
+    copies = F.explode(F.array_repeat(F.lit(0), times))
+    changed = items.select(
+        "l_orderkey", "l_linenumber", "l_partkey", quantity.alias("l_quantity"), copies
+    ).drop("col")
+    return items, changed
 
 
-def _kept_claims(spark, sf_dir):
-    """Claims that a query reads many times, derived once; Spark spills what is too much."""
-    return claims(spark, sf_dir).persist()
+@registered
+def item_differences(spark, sf_dir):
+    """Differences of two tables with repeated keys, a third of which are null."""
+    return differences(*_changed_items(spark, sf_dir), ["l_orderkey", "l_linenumber"])
 
 
-def _two_decorations(spark, sf_dir):
-    """Decorations by both rules; what does not depend on the rules is computed once."""
-    lines, refs = _kept_claims(spark, sf_dir), code_tables(spark, sf_dir)
-    return decorate(lines, refs), decorate(lines, refs, NO_LOOKBACK)
+@registered
+def item_difference_counts(spark, sf_dir):
+    """Number of keys that differ in these tables, per column."""
+    key = ["l_orderkey", "l_linenumber"]
+    return miss_counts(differences(*_changed_items(spark, sf_dir), key), key)
+
+
+@registered
+def claims_with_decoration(spark, sf_dir):
+    """Claims and their decoration, both kept in buckets of the key, beside each other."""
+    folder = new_shared_folder(spark)
+    lines = write_bucketed(claims(spark, sf_dir), f"{folder}/claims", KEY, BUCKETS)
+    decorated = decorate_bucketed(lines, code_tables(spark, sf_dir))
+    stored = write_bucketed(decorated, f"{folder}/decorated", KEY, BUCKETS)
+    return lines.beside(stored).select(KEY, MEMBER, DAY, "hcpcs", *RESULT[1:])
+
+
+@registered
+def published_versions(spark, sf_dir):
+    """Lines per category and flag in two published versions of a decoration."""
+    folder = new_shared_folder(spark)
+    lines, refs = _stored_claims(spark, sf_dir, folder), code_tables(spark, sf_dir)
+    for rules in (RULES, NO_LOOKBACK):
+        publish_decoration(lines, decorate(lines, refs, rules), f"{folder}/decorated")
+    versions = [
+        read_published(spark, f"{folder}/decorated", number)
+        .groupBy("psp_category", "psp_preventable_yn")
+        .agg(F.count("*").alias("n_lines"))
+        .withColumn("version", F.lit(number))
+        for number in (1, 2)
+    ]
+    return versions[0].unionByName(versions[1])
 
 
 @registered
 def output_contract(spark, sf_dir):
-    """What is wrong with the decoration: nothing, so all counts of faults are 0."""
-    lines = _kept_claims(spark, sf_dir)
-    return decoration_report(lines, decorate(lines, code_tables(spark, sf_dir)))
+    """What is wrong with the decoration: nothing, so all counts of faults are 0.
+
+    The faults are counted while the decoration is written.
+    """
+    folder = new_shared_folder(spark)
+    lines = _stored_claims(spark, sf_dir, folder)
+    decorated = decorate(lines, code_tables(spark, sf_dir))
+    checks, path = decoration_checks(), f"{folder}/decorated"
+    counts = write_observed(decorated, path, checks, KEY)
+    return written_report(lines, read_parquet(spark, path), counts, checks, KEY)
 
 
 @registered

@@ -293,6 +293,54 @@ SELECT (SELECT count(*) FROM claims) AS n_lines,
   (SELECT count(*) FROM decorated WHERE psp_category IS NOT NULL AND psp_eligible_yn = 'N')
     AS n_broken_category_only_if_eligible"""
 
+_RULE_SETS = "\nUNION ALL\n".join(
+    f"SELECT sequencenumber, '{name}' AS rule_set, psp_eligible_yn, psp_category,"
+    f" psp_preventable_yn FROM {name}_rules"
+    for name in ("default", "other", "long")
+)
+
+
+def _three_rules() -> str:
+    rules = {"default": {}, "other": _OTHER, "long": {"lookback": 90}}
+    parts = [f"{name}_rules AS ({_sql(_DECORATED, **r)})" for name, r in rules.items()]
+    return "WITH " + ",\n".join(parts) + "\n" + _RULE_SETS
+
+
+def _versions() -> str:
+    counted = (
+        "SELECT psp_category, psp_preventable_yn, count(*) AS n_lines,"
+        " CAST({} AS INTEGER) AS version FROM ({}) GROUP BY 1, 2"
+    )
+    both = counted.format(1, _sql(_DECORATED)), counted.format(2, _sql(_DECORATED, **_OTHER))
+    return "\nUNION ALL\n".join(both)
+
+
+_ITEM_DIFFERENCES = """
+WITH items AS (
+  SELECT CASE WHEN l_orderkey % 3 <> 0 THEN l_orderkey END AS l_orderkey, l_linenumber,
+    l_partkey, CAST(l_quantity AS BIGINT) AS l_quantity FROM lineitem),
+changed AS (
+  SELECT l_orderkey, l_linenumber, l_partkey,
+    l_quantity + CASE WHEN l_orderkey % 400 = 1 THEN 1 ELSE 0 END AS l_quantity
+  FROM items, range(2) copies(copy)
+  WHERE copy < CASE WHEN l_partkey % 97 = 5 THEN 0 WHEN l_partkey % 89 = 7 THEN 2 ELSE 1 END),
+sides AS (
+  SELECT *, 1 AS e, 0 AS a FROM items UNION ALL SELECT *, 0, 1 FROM changed),
+rows_left AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, sum(e) AS e, sum(a) AS a
+  FROM sides GROUP BY 1, 2, 3, 4 HAVING sum(e) <> sum(a)),
+cells AS (
+  SELECT l_orderkey, l_linenumber, 'l_partkey' AS "column", CAST(l_partkey AS STRING) AS value,
+    e, a FROM rows_left
+  UNION ALL
+  SELECT l_orderkey, l_linenumber, 'l_quantity', CAST(l_quantity AS STRING), e, a
+  FROM rows_left),
+found AS (
+  SELECT l_orderkey, l_linenumber, "column", value, CAST(sum(e) AS BIGINT) AS n_expected,
+    CAST(sum(a) AS BIGINT) AS n_actual
+  FROM cells GROUP BY 1, 2, 3, 4 HAVING sum(e) <> sum(a))
+"""
+
 _BROKEN = """
 WITH i AS (SELECT l_orderkey AS key, count(*) AS n FROM lineitem GROUP BY 1),
 o AS (SELECT o_orderkey AS key, count(*) AS n FROM orders GROUP BY 1)
@@ -451,6 +499,17 @@ FROM e FULL JOIN t ON e.member_id = t.member_id AND e.day = t.day""",
             )
             + " FROM joined"
         ),
+        "decorate_rule_sets": _three_rules(),
+        "item_differences": _ITEM_DIFFERENCES + "SELECT * FROM found",
+        "item_difference_counts": _ITEM_DIFFERENCES
+        + "SELECT \"column\", count(*) AS n_misses FROM (SELECT DISTINCT l_orderkey,"
+        " l_linenumber, \"column\" FROM found) GROUP BY \"column\"",
+        "claims_with_decoration": _sql(
+            "SELECT sequencenumber, member_id, CAST(prm_fromdate AS STRING) AS prm_fromdate,"
+            " hcpcs, psp_eligible_yn, psp_category, psp_preventable_yn"
+            " FROM claims JOIN decorated USING (sequencenumber)"
+        ),
+        "published_versions": _versions(),
         "output_contract": _sql(_CONTRACT),
         "broken_contract": _BROKEN,
     }

@@ -3,7 +3,14 @@
 from claimloom.operators.attach import attach
 from claimloom.operators.code_reports import code_conflicts, code_coverage
 from claimloom.operators.contract import check_names, contract_report, enforce, require_unique
-from claimloom.operators.diff import beside, differences, miss_counts
+from claimloom.operators.diff import (
+    beside,
+    differences,
+    differing_blocks,
+    field_differences,
+    field_miss_counts,
+    miss_counts,
+)
 from claimloom.operators.lookback import (
     add_last_signals,
     add_signals,
@@ -28,7 +35,10 @@ __all__ = [
     "code_coverage",
     "contract_report",
     "differences",
+    "differing_blocks",
     "enforce",
+    "field_differences",
+    "field_miss_counts",
     "first_per_group",
     "fits_broadcast",
     "has_signal",

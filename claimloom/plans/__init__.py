@@ -1,11 +1,14 @@
 """The composed decoration of claim lines."""
 
 from claimloom.plans.decorator import LineDecorator, SurgeryDecorator
+from claimloom.plans.rule_sets import decorate_under, under
 from claimloom.plans.rules import Rules
 from claimloom.plans.surgery import (
     claim_signal_blocks,
     claim_signals,
     decorate,
+    decorate_bucketed,
+    decoration_checks,
     decoration_report,
     eligible_lines,
     inpatient_branch,
@@ -17,6 +20,7 @@ from claimloom.plans.surgery import (
     outpatient_branch,
     outpatient_candidates,
     primary_per_case,
+    publish_decoration,
     with_preventable,
 )
 
@@ -27,6 +31,9 @@ __all__ = [
     "claim_signal_blocks",
     "claim_signals",
     "decorate",
+    "decorate_bucketed",
+    "decorate_under",
+    "decoration_checks",
     "decoration_report",
     "eligible_lines",
     "inpatient_branch",
@@ -38,5 +45,7 @@ __all__ = [
     "outpatient_branch",
     "outpatient_candidates",
     "primary_per_case",
+    "publish_decoration",
+    "under",
     "with_preventable",
 ]

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from claimloom.operators import check_names, require_unique
 from claimloom.plans.rules import Rules
-from claimloom.plans.surgery import KEY, decorate
+from claimloom.plans.surgery import KEY, decorate, decoration_checks
+from claimloom.sources import publish
 
 
 class LineDecorator:
@@ -47,6 +48,29 @@ class LineDecorator:
         return result
 
 
+    def _checks(self) -> Mapping[str, Column]:
+        """What must hold for every row of the result when it is published."""
+        return {}
+
+    def publish_decorator(
+        self,
+        dfs_input: Mapping[str, DataFrame],
+        dfs_refs: Mapping[str, DataFrame],
+        folder: str,
+        lines: str = "outclaims",
+        **kwargs,
+    ) -> dict[str, int]:
+        """Write the decoration below ``folder`` and publish it if it is right.
+
+        The check is taken while the result is written and costs no job over the lines but a scan
+        of their key: the result must hold each key of the table ``lines`` as often
+        as that does. Returns what was counted; a result that breaks a rule is an error.
+        """
+        result = self.calc_decorator(dfs_input, dfs_refs, check=False, **kwargs)
+        (key,) = self.key_fields
+        return publish(result, folder, self._checks(), key, same_keys_as=dfs_input[lines])
+
+
 class SurgeryDecorator(LineDecorator):
     """Decorates the table ``outclaims`` with the preventable surgery columns."""
 
@@ -61,5 +85,8 @@ class SurgeryDecorator(LineDecorator):
         """Refuse lines whose key repeats; reads and shuffles the key column once."""
         require_unique(dfs_input["outclaims"], KEY)
 
+    def _checks(self):
+        return decoration_checks()
+
     def _calc_decorator(self, dfs_input, dfs_refs, **kwargs):
         return decorate(dfs_input["outclaims"], dfs_refs, self.rules)

@@ -37,12 +37,13 @@ from claimloom.operators import (
     slots_to_rows,
 )
 from claimloom.plans.rules import Rules
-from claimloom.sources import CLAIMS, CODES, check_columns
+from claimloom.sources import CLAIMS, CODES, BucketedTable, check_columns, publish
 
 KEY = "sequencenumber"
 MEMBER = "member_id"
 DAY = "prm_fromdate"
 KINDS = ("emergency", "transfer")
+RESULT = (KEY, "psp_eligible_yn", "psp_category", "psp_preventable_yn")
 BRANCH_COLUMNS = (MEMBER, "caseadmitid", KEY, DAY, "ccs", "position", "preventable_yn")
 
 _IDENTITY = (MEMBER, "caseadmitid", KEY, DAY)
@@ -87,19 +88,21 @@ def inpatient_candidates(
     rules: Rules = Rules(),
     small: bool | None = None,
     distinct: bool = True,
+    cases: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per inpatient line, slot and category of its code.
 
     ``distinct=False`` spares the shuffle of the code table; an entry that comes repeatedly
-    then gives repeated rows.
+    then gives repeated rows. With ``cases`` lines of any of these cases are candidates and
+    keep the column that tells them apart.
     """
     surgical = lines.where(
-        F.col("mr_line_case").startswith(rules.inpatient_case) & F.col(KEY).isNotNull()
+        starts_with_any("mr_line_case", cases or [rules.inpatient_case]) & F.col(KEY).isNotNull()
     )
     rows = slots_to_rows(
         surgical,
         numbered_columns(lines, rules.slot_stem),
-        keep=[*_IDENTITY, "prm_drg", "mr_allowed"],
+        keep=[*_IDENTITY, "prm_drg", "mr_allowed", *(["mr_line_case"] if cases else [])],
         value="icd_proc",
     )
     entries = _entries(codes, distinct)
@@ -113,11 +116,15 @@ def outpatient_candidates(
     rules: Rules = Rules(),
     small: bool | None = None,
     distinct: bool = True,
+    cases: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per outpatient line and category of its procedure code; see above."""
     surgical = lines.where(
-        F.col("mr_line_case").startswith(rules.outpatient_case) & F.col(KEY).isNotNull()
-    ).select(*_IDENTITY, "hcpcs", "paiddate", "mr_allowed")
+        starts_with_any("mr_line_case", cases or [rules.outpatient_case])
+        & F.col(KEY).isNotNull()
+    ).select(
+        *_IDENTITY, "hcpcs", "paiddate", "mr_allowed", *(["mr_line_case"] if cases else [])
+    )
     entries = _entries(codes, distinct)
     found = lookup(surgical, entries, on="hcpcs", spread_by=[KEY], small=small)
     return found.drop("hcpcs").withColumn("position", F.lit(0))
@@ -150,9 +157,13 @@ def claim_signals(lines: DataFrame, rules: Rules = Rules()) -> DataFrame:
     return signal_days(lines, MEMBER, _kinds(rules), rules.lookback_days, day=DAY)
 
 
+def is_transfer() -> Column:
+    """Whether a line is an acute transfer."""
+    return F.col("prm_acute_transfer_to_acute_yn") == "Y"
+
+
 def _kinds(rules: Rules) -> dict[str, tuple[Column, str]]:
-    transfer = F.col("prm_acute_transfer_to_acute_yn") == "Y"
-    return {"emergency": (is_emergency(rules), DAY), "transfer": (transfer, "prm_todate")}
+    return {"emergency": (is_emergency(rules), DAY), "transfer": (is_transfer(), "prm_todate")}
 
 
 def claim_signal_blocks(lines: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -187,33 +198,33 @@ def with_preventable(df: DataFrame, *against: str) -> DataFrame:
     return df.withColumn("preventable_yn", flag)
 
 
+def case_order() -> list[Column]:
+    return [
+        F.col("position").asc_nulls_first(),
+        F.col("mr_allowed").desc_nulls_last(),
+        F.col(DAY).asc_nulls_first(),
+        F.col(KEY).asc_nulls_first(),
+        F.col("ccs").asc_nulls_first(),
+    ]
+
+
+def day_order() -> list[Column]:
+    return [
+        F.col("paiddate").desc_nulls_last(),
+        F.col("mr_allowed").desc_nulls_last(),
+        F.col(KEY).asc_nulls_first(),
+        F.col("ccs").asc_nulls_first(),
+    ]
+
+
 def primary_per_case(candidates: DataFrame) -> DataFrame:
     """One candidate per admission: lowest slot, then highest amount, then earliest."""
-    return first_per_group(
-        candidates,
-        by=["caseadmitid"],
-        order=[
-            F.col("position").asc_nulls_first(),
-            F.col("mr_allowed").desc_nulls_last(),
-            F.col(DAY).asc_nulls_first(),
-            F.col(KEY).asc_nulls_first(),
-            F.col("ccs").asc_nulls_first(),
-        ],
-    )
+    return first_per_group(candidates, by=["caseadmitid"], order=case_order())
 
 
 def latest_per_member_day(candidates: DataFrame) -> DataFrame:
     """One candidate per member and day: latest paid, then highest amount."""
-    return first_per_group(
-        candidates,
-        by=[MEMBER, DAY],
-        order=[
-            F.col("paiddate").desc_nulls_last(),
-            F.col("mr_allowed").desc_nulls_last(),
-            F.col(KEY).asc_nulls_first(),
-            F.col("ccs").asc_nulls_first(),
-        ],
-    )
+    return first_per_group(candidates, by=[MEMBER, DAY], order=day_order())
 
 
 def keep_outpatient(candidates: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -291,31 +302,81 @@ def decorate(
     The size of the code tables is measured here, in one small job, unless ``small`` says which
     of them may be broadcast; all else is lazy.
     """
+    chosen = chosen_lines(lines, refs, rules, small)
+    decorated = attach(eligible_lines(lines, rules), chosen, KEY, is_eligible(rules))
+    return decorated.select(*RESULT)
+
+
+def decorate_bucketed(
+    lines: BucketedTable,
+    refs: Mapping[str, DataFrame],
+    rules: Rules = Rules(),
+    small: Mapping[str, bool] | None = None,
+) -> DataFrame:
+    """The same for claims that are stored in buckets of their key.
+
+    The few chosen lines are shuffled to the buckets of the claims, which stay where they are.
+    """
+    if lines.key != KEY:
+        raise ValueError(f"claims are stored by {lines.key}, not by {KEY}")
+    chosen = chosen_lines(lines.rows(), refs, rules, small)
+    keyed = attach(eligible_lines(lines.keyed, rules), chosen, KEY, is_eligible(rules))
+    # without a key there is nothing to put back
+    nothing = [F.lit(None).cast("string").alias(c) for c in RESULT[2:]]
+    loose = eligible_lines(lines.loose, rules).select(*RESULT[:2], *nothing)
+    return keyed.select(*RESULT).unionByName(loose)
+
+
+def check_inputs(lines: DataFrame, refs: Mapping[str, DataFrame]) -> None:
+    """Raise unless lines and code tables have the columns that a decoration needs."""
     check_columns(lines, _NEEDED, "claims")
     for name in (*_INPATIENT_TABLES, *_OUTPATIENT_TABLES):
         check_columns(refs[name], T.StructType([CODES["code"], CODES["ccs"]]), name)
-    small = _small(refs, (*_INPATIENT_TABLES, *_OUTPATIENT_TABLES), small)
+
+
+def code_sizes(
+    refs: Mapping[str, DataFrame], small: Mapping[str, bool] | None = None
+) -> Mapping[str, bool]:
+    """Which of the three code tables may be broadcast, measured in one job unless given."""
+    return _small(refs, (*_INPATIENT_TABLES, *_OUTPATIENT_TABLES), small)
+
+
+def chosen_lines(
+    lines: DataFrame,
+    refs: Mapping[str, DataFrame],
+    rules: Rules = Rules(),
+    small: Mapping[str, bool] | None = None,
+) -> DataFrame:
+    """Key, category and flag of the lines that get a category; see ``decorate``."""
+    check_inputs(lines, refs)
+    small = code_sizes(refs, small)
     signals = _signals(lines, rules)
     inpatient = inpatient_branch(lines, refs, rules, signals, small)
     outpatient = outpatient_branch(lines, refs, rules, signals, small)
-    chosen = inpatient.unionByName(outpatient).select(
+    return inpatient.unionByName(outpatient).select(
         KEY, F.col("ccs").alias("psp_category"), F.col("preventable_yn").alias("psp_preventable_yn")
     )
-    decorated = attach(eligible_lines(lines, rules), chosen, KEY, is_eligible(rules))
-    return decorated.select(KEY, "psp_eligible_yn", "psp_category", "psp_preventable_yn")
+
+
+def decoration_checks() -> dict[str, Column]:
+    """What must hold for every row of a decoration."""
+    category, flag = F.col("psp_category"), F.col("psp_preventable_yn")
+    return {
+        "eligible_value": F.col("psp_eligible_yn").isin("Y", "N"),
+        "preventable_value": flag.isNull() | flag.isin("Y", "N"),
+        "flag_with_category": category.isNull() == flag.isNull(),
+        "category_only_if_eligible": category.isNull() | (F.col("psp_eligible_yn") == "Y"),
+    }
 
 
 def decoration_report(lines: DataFrame, decorated: DataFrame) -> DataFrame:
     """Counts of everything that may be wrong with a decoration; all 0 if it is right."""
-    category, flag = F.col("psp_category"), F.col("psp_preventable_yn")
-    return contract_report(
-        lines,
-        decorated,
-        KEY,
-        must_hold={
-            "eligible_value": F.col("psp_eligible_yn").isin("Y", "N"),
-            "preventable_value": flag.isNull() | flag.isin("Y", "N"),
-            "flag_with_category": category.isNull() == flag.isNull(),
-            "category_only_if_eligible": category.isNull() | (F.col("psp_eligible_yn") == "Y"),
-        },
-    )
+    return contract_report(lines, decorated, KEY, must_hold=decoration_checks())
+
+
+def publish_decoration(lines: DataFrame, decorated: DataFrame, folder: str) -> dict[str, int]:
+    """Write a decoration, check it on the way and publish it if it is right.
+
+    One job over the decoration and a scan of the lines' keys; see ``publish``.
+    """
+    return publish(decorated, folder, decoration_checks(), KEY, same_keys_as=lines)

@@ -49,7 +49,8 @@ _IDS = "doc_id long, start long, ids binary"
 @dataclass(frozen=True)
 class Settings:
     """``sample_docs`` and ``sample_ids`` bound what the dictionary is trained on: at most
-    about so many documents, chosen by hash, and so many ids from a random place of each."""
+    about so many documents, chosen by hash, and so many ids from a random place of each.
+    ``cached`` is how many encoded chunks a worker remembers: time and memory, no results."""
 
     tokenizer: str
     end_id: int = 0
@@ -59,6 +60,7 @@ class Settings:
     dictionary_bytes: int = 32 << 10
     sample_docs: int = 2000
     sample_ids: int = 1024
+    cached: int = 800_000
 
 
 def _opened(path: str) -> tuple[fs.FileSystem, str]:
@@ -88,7 +90,7 @@ def _serialised(code: bytes, end_id: int, id_bytes: int) -> bytes:
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[tuple]:
-    encoder = codes("bytes", settings.tokenizer)
+    encoder = codes("bytes", settings.tokenizer, settings.cached)
     for batch in batches:
         for part in row_slices(batch, 1):
             found = encoder.encode(part.column(1).to_pylist())

@@ -10,7 +10,8 @@ the text is read once, what it holds is stored, and the graph works on that.
 Spans are code points, end exclusive. Strings that may be an ``id`` lie outside all base spans:
 runs of letters, digits and ``_`` with at least 12 characters, two letters and two digits;
 sequences of any length with a digit, joined by ``-``, ``.``, ``/``, and to groups of digits also
-by brackets and blanks; addresses with ``at`` and ``dot``. They may overlap.
+by brackets and blanks; addresses with ``at`` and ``dot``. They may overlap. A cue is the last
+word within 40 characters before a string, with the signs between them.
 
 Defined results: a null text is empty and has no spans; a null ``doc_id`` stays; repeated
 rows are each returned; ties in ``start`` go by kind; an empty table gives no rows;
@@ -21,10 +22,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.llm.array_scans import bound, cut, distinct_sorted, running, text_blocks
 from claimloom.llm.shared import free_name, stored, whole_text
 
 # Fixed values. Possessive and anchored forms of the base patterns: they match the same
@@ -51,6 +54,8 @@ _DOT = r"(?:\x20dot\x20|\x20?[(\[{]\x20?(?:dot|\.)\x20?[)\]}]\x20?|\.)"
 WRITTEN = rf"(?i)(?<!{_LOCAL}){_LOCAL}++{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)++"
 _CUE = r"([\p{L}]*[^\p{L}]*)$"
 _CUE_CHARS = 40
+_FEW_PAIRS = 4096  # more pairs of spans of one text are not compared one by one
+_FAR = 1 << 62
 
 KINDS = tuple(PATTERNS)
 ADDED = "id"
@@ -97,6 +102,11 @@ def _holds(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
+def _pair_length(pair: Column) -> Column:
+    found = F.coalesce(pair["found"], F.lit(""))
+    return (F.length(pair["gap"]) + F.length(found)).cast("long")
+
+
 def _spans(
     kind: str, pattern: str, text: Column, needs: str, holds: Callable[..., Column] = _holds
 ) -> Column:
@@ -104,32 +114,34 @@ def _spans(
     digit if it is empty."""
     rank = (*KINDS, ADDED).index(kind)
     none = F.array().cast(f"array<{_SPAN}>")
-    begin = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
     # the parts between the matches give the places: one more part than matches
     pairs = F.arrays_zip(
         F.split(text, pattern, -1).alias("gap"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"),
     )
 
-    def step(state: Column, pair: Column) -> Column:
+    def span(pair: Column, end: Column) -> Column:
         gap, found = pair["gap"], pair["found"]
-        start = state["at"] + F.length(gap)
-        end = start + F.length(found)
         cue = F.lower(F.regexp_extract(F.right(gap, F.lit(_CUE_CHARS)), _CUE, 1))
-        span = F.struct(
-            start.alias("start"),
+        made = F.struct(
+            (end - F.length(found)).alias("start"),
             F.lit(rank).alias("rank"),
             F.lit(kind).alias("kind"),
             end.alias("end"),
             F.regexp_replace(cue, r"\s+", " ").alias("cue"),
             found.alias("found"),
         ).cast(_SPAN)
-        out = F.when(
-            found.isNotNull() & holds(kind, found), F.concat(state["out"], F.array(span))
-        ).otherwise(state["out"])
-        return F.struct(end.alias("at"), out.alias("out"))
+        return F.when(found.isNotNull() & holds(kind, found), made)
 
-    spans = F.aggregate(pairs, begin, step, lambda state: state["out"])
+    def located(parts: Column) -> Column:
+        lengths = F.transform(parts, _pair_length)
+        spans = bound(
+            running(lengths, 0, add),
+            lambda ends: F.transform(parts, lambda p, i: span(p, F.get(ends, i))),
+        )
+        return F.array_compact(spans)
+
+    spans = bound(pairs, located)
     contains = F.lower(text).contains(needs) if needs else text.rlike("[0-9]")
     return F.when(contains, spans).otherwise(none)
 
@@ -153,7 +165,7 @@ def candidate_spans(text: Column) -> Column:
             ~F.lower(text).contains("at"), _spans(ADDED, WRITTEN, text, "@", _any)
         ).otherwise(F.array().cast(f"array<{_SPAN}>")),
     )
-    return F.array_distinct(F.concat(runs, sequences, written))
+    return distinct_sorted(F.concat(runs, sequences, written))
 
 
 _NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
@@ -239,15 +251,51 @@ def read_texts(docs: DataFrame) -> DataFrame:
         base_spans(F.col("text")).alias("base"),
         candidate_spans(F.col("text")).alias("runs"),
     )
-    outside = F.filter(
-        "runs",
-        lambda c: ~F.exists(
-            "base", lambda b: (c["start"] < b["end"]) & (b["start"] < c["end"])
-        ),
+    few = F.size("base") * F.size("runs") <= _FEW_PAIRS
+    outside = F.when(few, _outside_by_pairs(F.col("base"), F.col("runs"))).otherwise(
+        _outside_in_order(F.col("base"), F.col("runs"))
     )
     return read.select("doc_id", "text_hash", "base", outside.alias("candidates"))
 
 
+def _outside_by_pairs(base: Column, runs: Column) -> Column:
+    """The runs that overlap no base span, for few of both."""
+    return F.filter(
+        runs,
+        lambda c: ~F.exists(base, lambda b: (c["start"] < b["end"]) & (b["start"] < c["end"])),
+    )
+
+
+def _outside_in_order(base: Column, runs: Column) -> Column:
+    """The same by going over all spans by their start, once forwards and once backwards."""
+
+    def mark(is_run: int) -> Callable[[Column], Column]:
+        return lambda s: F.struct(
+            s["start"].alias("at"), F.lit(is_run).alias("is_run"), s.alias("span")
+        )
+
+    marks = F.array_sort(F.concat(F.transform(base, mark(0)), F.transform(runs, mark(1))))
+
+    def kept(m: Column) -> Column:
+        none = F.lit(_FAR).cast("long")
+        ends = F.transform(m, lambda x: F.when(x["is_run"] == 0, x["span"]["end"]).otherwise(-none))
+        starts = F.transform(m, lambda x: F.when(x["is_run"] == 0, x["at"]).otherwise(none))
+        before = running(ends, -_FAR, F.greatest)
+        after = running(F.reverse(starts), _FAR, F.least)
+
+        def free(ended: Column, to_come: Column) -> Column:
+            def test(x: Column, i: Column) -> Column:
+                next_start = F.get(to_come, F.size(to_come) - 1 - i)
+                apart = (F.get(ended, i) <= x["at"]) & (next_start >= x["span"]["end"])
+                return F.when((x["is_run"] == 1) & apart, x["span"])
+
+            return F.array_compact(F.transform(m, test))
+
+        return bound(before, lambda ended: bound(after, lambda to_come: free(ended, to_come)))
+
+    return bound(marks, kept)
+
+
 def find_private(docs: DataFrame, trust: Trust = Trust()) -> DataFrame:
     """``doc_id, text_hash, base, spans`` of each row; spans are the base ones and the added."""
     read = stored(read_texts(docs), "private-data")
@@ -287,22 +335,20 @@ def describe(found: DataFrame) -> DataFrame:
 
 def _masked(text: Column, spans: Column) -> Column:
     """Each span replaced by its kind in brackets; spans that overlap become one."""
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    reach = running(F.transform(spans, lambda s: s["end"]), 0, F.greatest)
 
-    def step(state: Column, span: Column) -> Column:
-        apart = span["start"] >= state["at"]
-        between = F.substr(
-            text, (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int")
-        )
-        mark = F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        out = F.when(apart, F.concat(state["out"], between, mark)).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
+    def masked(blocks: Column, ends: Column) -> Column:
+        def piece(span: Column, i: Column) -> Column:
+            at = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get(ends, i - 1))
+            mark = F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
+            between = cut(blocks, at, span["start"] - at)
+            return F.when(span["start"] >= at, F.concat(between, mark))
 
-    def finish(state: Column) -> Column:
-        rest = F.substr(text, (state["at"] + 1).cast("int"), F.length(text))
-        return F.concat(state["out"], rest)
+        at = F.element_at(ends, -1)
+        rest = cut(blocks, at, F.length(text) - at)
+        return F.concat(F.array_join(F.transform(spans, piece), ""), rest)
 
-    return F.aggregate(spans, begin, step, finish)
+    return bound(text_blocks(text), lambda b: bound(reach, lambda ends: masked(b, ends)))
 
 
 def mask_private(docs: DataFrame, trust: Trust = Trust()) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from claimloom.llm import (
+    array_scans,
     components,
     exact_dedup,
     jaccard_join,
@@ -789,6 +793,134 @@ def test_discovered_identifiers_make_cues_known(spark):
     assert added == [["ZX81QQ99"], []]
 
 
+def test_running_and_cutting_of_long_arrays(spark):
+    """On both sides of the length from which blocks are used."""
+    chance = random.Random(8)
+    for n in (1, 2, 63, 64, 65, 130, 1000, 5000):
+        values = [chance.randrange(-50, 50) for _ in range(n)]
+        text = "".join(chance.choices("ab\n\u00e9\U0001f642", k=n))
+        at = chance.randrange(n)
+        row = (
+            spark.createDataFrame([(values, text)], "v array<bigint>, t string")
+            .select(
+                array_scans.running(F.col("v"), 0, lambda a, b: a + b).alias("sums"),
+                array_scans.running(F.col("v"), -99, F.greatest).alias("most"),
+                array_scans.distinct_sorted(
+                    F.transform("v", lambda x: F.struct(x.alias("x")))
+                ).alias("distinct"),
+                array_scans.cut(
+                    array_scans.text_blocks(F.col("t")), F.lit(at), F.lit(n // 2)
+                ).alias("cut"),
+            )
+            .first()
+        )
+        assert row.sums == list(itertools.accumulate(values))
+        assert row.most == list(itertools.accumulate(values, max))
+        assert [x.x for x in row.distinct] == sorted(set(values))
+        assert row.cut == text[at : at + n // 2]
+
+
+def test_overlaps_in_order_equal_those_by_pairs(spark):
+    chance = random.Random(6)
+    parts = ["a@b.co", "1.2.3.4", "+4912345678", "AB12CD34EF56GH", "4111111111111111", "x", " ", "-"]
+    texts = ["".join(chance.choices(parts, k=chance.randrange(30))) for _ in range(300)]
+    text = F.col("text")
+    rows = helpers.documents(spark, list(enumerate(texts))).select(
+        private_data.base_spans(text).alias("b"), private_data.candidate_spans(text).alias("c")
+    )
+    both = rows.select(
+        private_data._outside_by_pairs(F.col("b"), F.col("c")).alias("one"),
+        private_data._outside_in_order(F.col("b"), F.col("c")).alias("two"),
+    ).collect()
+    assert all(sorted(r.one) == sorted(r.two) for r in both)
+    assert any(r.one for r in both)
+
+
+def test_private_data_of_one_text_with_very_many_spans(spark):
+    """Time in proportion to the spans: four times as many may take some six times as long."""
+
+    def text(n):
+        return " ".join(f"mail u{i}@host{i}.example or 10.0.{i % 256}.{i % 250}, id {i}" for i in range(n))
+
+    def seconds(n):
+        docs = helpers.documents(spark, [(1, text(n))])
+        start = time.perf_counter()
+        (row,) = private_data.read_texts(docs).collect()
+        base = [(s.start, s["rank"], s.kind, s.end) for s in row.base]
+        took = time.perf_counter() - start
+        assert base == helpers.base_spans(text(n))
+        return took
+
+    seconds(500)
+    short, long = seconds(2_500), seconds(10_000)
+    assert long < 10 * short + 1
+    masked = private_data.mask_private(helpers.documents(spark, [(1, text(3_000))])).first().text
+    assert masked.count("[EMAIL]") == masked.count("[IP]") == 3_000
+    assert "@" not in masked and "10.0." not in masked and ", id 2999" in masked
+
+
+def plain_cues(rows: list[str], trust) -> dict[int, set[str]]:
+    """Added strings of each text by the rounds of the module's docstring, on plain dicts."""
+
+    def spans(text):
+        base = [(s, e, text[s:e]) for s, _, _, e in helpers.base_spans(text)]
+        return base
+
+    def cue(text, start):
+        gap = text[max(0, start - 40) : start]
+        found = re.search(r"([^\W\d_]*(?:[\W\d_])*)$", gap)
+        return re.sub(r"\s+", " ", found[1].lower())
+
+    seeds, unseen, places = {}, {}, []
+    for n, text in enumerate(rows):
+        base = spans(text)
+        for start, _, found in base:
+            seeds.setdefault(cue(text, start), set()).add(found)
+        for m in re.finditer(r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{6}(?![A-Za-z0-9_])", text):
+            name = cue(text, m.start())
+            unseen.setdefault(name, set()).add(m[0])
+            places.append((n, name, m[0]))
+    known = {f: 0.0 for fs in unseen.values() for f in fs}
+    good = {}
+    for _ in range(trust.rounds):
+        good = {}
+        for name in {*seeds, *unseen} - {""}:
+            others = unseen.get(name, set())
+            base = len(seeds.get(name, set()))
+            sure = sum(known[f] >= trust.share for f in others)
+            if base + sure >= trust.seeds:
+                share = (base + sum(known[f] for f in others)) / (base + len(others))
+                good[name] = round(share, 6)
+        doubts = {f: 1.0 for f in known}
+        for name, others in unseen.items():
+            for f in others:
+                doubts[f] *= 1.0000001 - good.get(name, 0.0)
+        known = {f: 1 - d for f, d in doubts.items()}
+    added = {n: set() for n in range(len(rows))}
+    for n, name, found in places:
+        if good.get(name, 0) >= trust.share:
+            added[n].add(found)
+    return added
+
+
+def test_cue_graph_against_plain_rounds(spark):
+    chance = random.Random(21)
+    cues = ["account", "iban", "model", "badge", "ticket"]
+    mails = {"account": 0.95, "badge": 0.9, "ticket": 0.5}
+    rows = []
+    for n in range(700):
+        name = chance.choice(cues)
+        is_known = chance.random() < mails.get(name, 0.0)
+        value = f"p{n}q@mail.example" if is_known else f"AB{chance.randrange(120):06d}"
+        rows.append(f"the {name}: {value} rest")
+    trust = private_data.Trust()
+    docs = helpers.documents(spark, list(enumerate(rows)))
+    found = {r.doc_id: r for r in private_data.find_private(docs, trust).collect()}
+    added = {d: {s.found for s in r.spans if s.kind == "id"} for d, r in found.items()}
+    assert added == plain_cues(rows, trust)
+    assert any(added.values())
+
+
 def test_masking_keeps_rows_and_columns(spark):
     docs = helpers.documents(spark, PRIVATE, clashes=True)
     masked = private_data.mask_private(docs)

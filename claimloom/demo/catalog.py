@@ -33,6 +33,7 @@ from claimloom.operators import (
 from claimloom.plans import (
     Rules,
     SurgeryDecorator,
+    calc_decorators,
     claim_signals,
     decorate,
     decorate_bucketed,
@@ -56,6 +57,7 @@ from claimloom.sources import (
     CLAIMS,
     CODE_TYPES,
     CODES,
+    bad_rows,
     new_shared_folder,
     read_code_tables,
     read_folder,
@@ -387,6 +389,37 @@ def decorator_object(spark, sf_dir):
     )
 
 
+@registered
+def two_decorators(spark, sf_dir):
+    """Two decorators with other rules each, their columns put back in one join."""
+    decorators = [SurgeryDecorator(), SurgeryDecorator(LONG_LOOKBACK, prefix="psp90_")]
+    return calc_decorators(
+        decorators, {"outclaims": claims(spark, sf_dir)}, code_tables(spark, sf_dir)
+    )
+
+
+ORDER_FIELDS = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderdate", T.DateType()),
+    ]
+)
+
+
+@registered
+def bad_order_rows(spark, sf_dir):
+    """Rows of written files that a strict read would refuse, and why."""
+    folder = f"{new_shared_folder(spark)}/orders"
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date").cast("string")
+    customer = F.when(key % 50 == 0, "n/a").otherwise(F.col("o_custkey").cast("string"))
+    shown = F.when(key % 70 == 0, "soon").otherwise(day)
+    orders = table(spark, sf_dir, "orders")
+    written = orders.select(key, customer.alias("o_custkey"), shown.alias("o_orderdate"))
+    write_csv(written, folder)
+    return bad_rows(spark, folder, ORDER_FIELDS).select("row", "reason")
+
+
 @registered
 def decorate_other_rules(spark, sf_dir):
     """The decoration without lookback and with another inpatient-only category."""

@@ -306,6 +306,29 @@ def _three_rules() -> str:
     return "WITH " + ",\n".join(parts) + "\n" + _RULE_SETS
 
 
+_BAD_ORDERS = """
+WITH written AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN 'n/a' ELSE CAST(o_custkey AS STRING) END
+    AS customer,
+    CASE WHEN o_orderkey % 70 = 0 THEN 'soon' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END
+    AS day FROM orders)
+SELECT o_orderkey || ',' || customer || ',' || day AS "row",
+  concat_ws('; ', CASE WHEN customer = 'n/a' THEN 'o_custkey: n/a is no bigint' END,
+    CASE WHEN day = 'soon' THEN 'o_orderdate: soon is no date' END) AS reason
+FROM written WHERE customer = 'n/a' OR day = 'soon'"""
+
+
+def _two_decorators() -> str:
+    return (
+        f"WITH p AS ({_sql(_DECORATED)}), q AS ({_sql(_DECORATED, lookback=90)})\n"
+        "SELECT p.*, "
+        + ", ".join(
+            f"q.psp_{c} AS psp90_{c}" for c in ("eligible_yn", "category", "preventable_yn")
+        )
+        + " FROM p JOIN q USING (sequencenumber)"
+    )
+
+
 def _versions() -> str:
     counted = (
         "SELECT psp_category, psp_preventable_yn, count(*) AS n_lines,"
@@ -499,6 +522,8 @@ FROM e FULL JOIN t ON e.member_id = t.member_id AND e.day = t.day""",
             )
             + " FROM joined"
         ),
+        "bad_order_rows": _BAD_ORDERS,
+        "two_decorators": _two_decorators(),
         "decorate_rule_sets": _three_rules(),
         "item_differences": _ITEM_DIFFERENCES + "SELECT * FROM found",
         "item_difference_counts": _ITEM_DIFFERENCES

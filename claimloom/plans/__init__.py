@@ -1,6 +1,6 @@
 """The composed decoration of claim lines."""
 
-from claimloom.plans.decorator import LineDecorator, SurgeryDecorator
+from claimloom.plans.decorator import LineDecorator, SurgeryDecorator, calc_decorators
 from claimloom.plans.rule_sets import decorate_under, under
 from claimloom.plans.rules import Rules
 from claimloom.plans.surgery import (
@@ -28,6 +28,7 @@ __all__ = [
     "LineDecorator",
     "Rules",
     "SurgeryDecorator",
+    "calc_decorators",
     "claim_signal_blocks",
     "claim_signals",
     "decorate",

@@ -2,18 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from claimloom.operators import check_names, require_unique
+from claimloom.functions import as_yes_no, holds
+from claimloom.operators import attach, check_names, require_unique
 from claimloom.plans.rules import Rules
-from claimloom.plans.surgery import KEY, decorate, decoration_checks
+from claimloom.plans.surgery import (
+    KEY,
+    RESULT,
+    chosen_lines,
+    decorate,
+    decoration_checks,
+    is_eligible,
+)
 from claimloom.sources import publish
 
+_MATCH = "_match"
+
 
 class LineDecorator:
-    """Base to derive from: fill in ``_calc_decorator`` and the naming rule."""
+    """Base to derive from: fill in ``_calc_decorator`` and the naming rule.
+
+    A decorator that also fills in ``_line_columns``, ``_can_match`` and ``_chosen`` can be
+    calculated together with others, see ``calc_decorators``.
+    """
 
     key_fields: list[str] = [KEY]
 
@@ -30,6 +47,20 @@ class LineDecorator:
     def _check_input(self, dfs_input: Mapping[str, DataFrame]) -> None:
         """Raise if the input breaks what the decoration relies on."""
 
+    def _line_columns(self) -> dict[str, Column]:
+        """Added columns that a line tells by itself."""
+        raise NotImplementedError
+
+    def _can_match(self) -> Column:
+        """Whether a line may be among the chosen ones."""
+        raise NotImplementedError
+
+    def _chosen(
+        self, dfs_input: Mapping[str, DataFrame], dfs_refs: Mapping[str, DataFrame]
+    ) -> DataFrame:
+        """The key and the other added columns, one row for each line that has them."""
+        raise NotImplementedError
+
     def calc_decorator(
         self,
         dfs_input: Mapping[str, DataFrame],
@@ -47,7 +78,6 @@ class LineDecorator:
         check_names(result, self.key_fields, self.validate_decor_column_name)
         return result
 
-
     def _checks(self) -> Mapping[str, Column]:
         """What must hold for every row of the result when it is published."""
         return {}
@@ -72,21 +102,80 @@ class LineDecorator:
 
 
 class SurgeryDecorator(LineDecorator):
-    """Decorates the table ``outclaims`` with the preventable surgery columns."""
+    """Decorates the table ``outclaims`` with the preventable surgery columns.
+
+    With another ``prefix`` than ``psp_`` its columns stand beside those of other rules.
+    """
 
-    def __init__(self, rules: Rules = Rules()):
+    def __init__(self, rules: Rules = Rules(), prefix: str = "psp_"):
         self.rules = rules
+        self.prefix = prefix
 
-    @staticmethod
-    def validate_decor_column_name(name: str) -> bool:
-        return name.startswith("psp_")
+    def validate_decor_column_name(self, name: str) -> bool:
+        return name.startswith(self.prefix)
+
+    def _named(self, name: str) -> str:
+        return self.prefix + name.removeprefix("psp_")
 
     def _check_input(self, dfs_input):
         """Refuse lines whose key repeats; reads and shuffles the key column once."""
         require_unique(dfs_input["outclaims"], KEY)
 
     def _checks(self):
-        return decoration_checks()
+        return decoration_checks(self._named)
+
+    def _line_columns(self):
+        return {self._named(RESULT[1]): as_yes_no(is_eligible(self.rules))}
+
+    def _can_match(self):
+        return is_eligible(self.rules)
+
+    def _chosen(self, dfs_input, dfs_refs):
+        chosen = chosen_lines(dfs_input["outclaims"], dfs_refs, self.rules)
+        return chosen.withColumnsRenamed({c: self._named(c) for c in RESULT[2:]})
 
     def _calc_decorator(self, dfs_input, dfs_refs, **kwargs):
-        return decorate(dfs_input["outclaims"], dfs_refs, self.rules)
+        result = decorate(dfs_input["outclaims"], dfs_refs, self.rules)
+        return result.withColumnsRenamed({c: self._named(c) for c in RESULT[1:]})
+
+
+def calc_decorators(
+    decorators: Sequence[LineDecorator],
+    dfs_input: Mapping[str, DataFrame],
+    dfs_refs: Mapping[str, DataFrame],
+    lines: str = "outclaims",
+    check: bool = True,
+) -> DataFrame:
+    """The columns of several decorators of one table, put back in one join.
+
+    All have the same key, and no two add a column of the same name. The chosen lines of all
+    are brought to one row per key, so the lines are shuffled once, however many decorators
+    there are; the input is checked once for each kind of decorator.
+    """
+    keys = {tuple(d.key_fields) for d in decorators}
+    if len(keys) != 1:
+        raise ValueError(f"decorators with other keys or none at all: {sorted(keys)}")
+    ((key,),) = keys
+    if check:
+        for first in {type(d): d for d in reversed(decorators)}.values():
+            first._check_input(dfs_input)
+    flags: dict[str, Column] = {}
+    chosen: list[DataFrame] = []
+    for decorator in decorators:
+        own = decorator._chosen(dfs_input, dfs_refs)
+        added = [*decorator._line_columns(), *[c for c in own.columns if c != key]]
+        check_names(own, [key], decorator.validate_decor_column_name)
+        taken = {*flags, *(c for df in chosen for c in df.columns if c != key)}
+        if twice := sorted(taken.intersection(added)):
+            raise ValueError(f"columns of two decorators: {', '.join(twice)}")
+        flags |= decorator._line_columns()
+        chosen.append(own)
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), chosen)
+    names = [c for c in rows.columns if c != key]
+    # one decorator has a key once, so there is one value to take
+    per_key = rows.groupBy(key).agg(*[F.max(c).alias(c) for c in names])
+    match = reduce(or_, [holds(d._can_match()) for d in decorators])
+    flagged = dfs_input[lines].select(
+        key, match.alias(_MATCH), *[column.alias(name) for name, column in flags.items()]
+    )
+    return attach(flagged, per_key, key, F.col(_MATCH)).drop(_MATCH)

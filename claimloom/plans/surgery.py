@@ -12,7 +12,7 @@ carried along from the scan; nothing is joined back to the claims in between.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -358,14 +358,14 @@ def chosen_lines(
     )
 
 
-def decoration_checks() -> dict[str, Column]:
-    """What must hold for every row of a decoration."""
-    category, flag = F.col("psp_category"), F.col("psp_preventable_yn")
+def decoration_checks(named: Callable[[str], str] = str) -> dict[str, Column]:
+    """What must hold for every row of a decoration; ``named`` gives its columns' names."""
+    eligible, category, flag = (F.col(named(c)) for c in RESULT[1:])
     return {
-        "eligible_value": F.col("psp_eligible_yn").isin("Y", "N"),
+        "eligible_value": eligible.isin("Y", "N"),
         "preventable_value": flag.isNull() | flag.isin("Y", "N"),
         "flag_with_category": category.isNull() == flag.isNull(),
-        "category_only_if_eligible": category.isNull() | (F.col("psp_eligible_yn") == "Y"),
+        "category_only_if_eligible": category.isNull() | (eligible == "Y"),
     }
 
 

@@ -3,6 +3,7 @@
 from claimloom.sources.buckets import BucketedTable, read_bucketed, write_bucketed
 from claimloom.sources.code_tables import CODE_TYPES, read_code_tables, split_codes
 from claimloom.sources.files import (
+    bad_rows,
     check_columns,
     new_shared_folder,
     read_csv,
@@ -38,6 +39,7 @@ __all__ = [
     "CODES",
     "CODE_TYPES",
     "DESCRIPTOR",
+    "bad_rows",
     "check_columns",
     "key_digest",
     "new_shared_folder",

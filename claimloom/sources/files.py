@@ -4,33 +4,90 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 from pathlib import PurePosixPath
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+# how fields are told apart, the same in the strict read and in the report
+_CSV = {"header": True, "sep": ",", "columnPruning": False}
+_BAD = "_bad_row"
+_END = "\ue000"  # put behind a row as one field more, to see how many there are before it
+
+
+def _csv_options(skip_blanks: bool) -> dict:
+    return {**_CSV, "ignoreLeadingWhiteSpace": skip_blanks}
+
+
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, skip_blanks: bool = True
+) -> DataFrame:
     """Comma-separated files with a header, read strictly.
 
     A row that does not fit the schema fails the job, whichever columns are asked for: every
     row is parsed whole, so a broken one cannot pass as a shorter one. A header that
     differs from the schema fails it too, and an empty field is null. Blanks before a field
     are skipped: a blank before an opening quote would otherwise split the quoted text.
+    ``bad_rows`` tells which rows make the read fail.
     """
     return (
         spark.read.schema(schema)
-        .option("header", True)
-        .option("sep", ",")
+        .options(**_csv_options(skip_blanks))
         .option("mode", "FAILFAST")
         .option("enforceSchema", False)
-        .option("columnPruning", False)
-        .option("ignoreLeadingWhiteSpace", True)
         .csv(path)
     )
 
 
+def bad_rows(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, skip_blanks: bool = True
+) -> DataFrame:
+    """The rows that make ``read_csv`` fail: file, the row as it stands there, and why.
+
+    Columns ``path, row, reason``; the reason is the number of fields or else the columns whose
+    field does not fit their type. No rows if all is well. A header that differs is not
+    reported here: the strict read says so itself.
+    """
+    read = (
+        spark.read.schema(T.StructType([*schema, T.StructField(_BAD, T.StringType())]))
+        .options(**_csv_options(skip_blanks))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _BAD)
+        .csv(path)
+    )
+    # one field more than there may be, for the end, all as text
+    wide = T.StructType([T.StructField(f"f{n}", T.StringType()) for n in range(len(schema) + 1)])
+    options = {"sep": ",", "ignoreLeadingWhiteSpace": str(skip_blanks).lower()}
+    ended = F.concat(F.col(_BAD), F.lit("," + _END))
+    fields = F.from_csv(ended, F.lit(wide.toDDL()), options)
+    bad = read.where(F.col(_BAD).isNotNull()).select(
+        F.col("_metadata.file_path").alias("path"), "*", fields.alias("_fields")
+    )
+    given = [F.col("_fields")[f.name] for f in wide]
+    count = (F.array_position(F.array(*given), _END) - 1).cast("int")
+    open_quote = reduce(or_, [F.coalesce(g.endswith(_END), F.lit(False)) for g in given])
+    wrong = [
+        F.when(
+            given[n].isNotNull() & F.col(f"`{f.name}`").isNull(),
+            F.concat(F.lit(f"{f.name}: "), given[n], F.lit(f" is no {f.dataType.simpleString()}")),
+        )
+        for n, f in enumerate(schema)
+    ]
+    unfit = F.array_join(F.array_compact(F.array(*wrong)), "; ")
+    reason = (
+        F.when((count < 0) & open_quote, "a quote that is not closed")
+        .when(count < 0, f"more than {len(schema)} fields")
+        .when(count < len(schema), F.format_string(f"%d fields, not {len(schema)}", count))
+        .otherwise(unfit)
+    )
+    return bad.select("path", F.col(_BAD).alias("row"), reason.alias("reason"))
+
+
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet, the format to keep claims in: only the needed columns are read.
 

@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 from claimloom import SurgeryDecorator, decorate
 from claimloom.operators import contract_report, differences, differing_blocks
 from claimloom.plans import (
+    Rules,
+    calc_decorators,
     decorate_bucketed,
     decoration_checks,
     decoration_report,
@@ -16,9 +19,12 @@ from claimloom.plans import (
 )
 from claimloom.plans.surgery import KEY
 from claimloom.sources import (
+    CODES,
     BrokenResult,
+    bad_rows,
     publish,
     read_bucketed,
+    read_csv,
     read_manifest,
     read_published,
     remove_unlisted,
@@ -214,6 +220,67 @@ def test_written_report_equals_the_contract_report(spark, tmp_path, change):
     assert found.first().asDict() == decoration_report(lines, stored).first().asDict()
 
 
+# Several decorators
+
+
+def test_two_decorators_cost_one_put_back(spark, tmp_path, no_small_joins):
+    golden(spark).write.parquet(f"{tmp_path}/c")
+    lines, refs = spark.read.parquet(f"{tmp_path}/c"), split_codes(codes(spark))
+    inputs = {"outclaims": lines}
+    other = SurgeryDecorator(Rules(lookback_days=0), prefix="own_")
+    both = calc_decorators([SurgeryDecorator(), other], inputs, refs)
+    joined = [other.calc_decorator(inputs, refs), SurgeryDecorator().calc_decorator(inputs, refs)]
+    assert sorted(both.columns) == sorted([*joined[1].columns, *joined[0].columns[1:]])
+    for alone in joined:
+        assert rows_of(both.select(alone.columns)) == rows_of(alone)
+    plan = plan_of(both)
+    # the lines with their flags meet the results of both in one join
+    assert len(re.findall(r"Join \[sequencenumber#\d+L\], \[sequencenumber", plan)) == 1
+    with pytest.raises(ValueError, match="columns of two decorators: psp_category"):
+        calc_decorators([SurgeryDecorator(), SurgeryDecorator()], inputs, refs)
+    with pytest.raises(ValueError, match="none at all"):
+        calc_decorators([], inputs, refs)
+
+
+# Rows that do not fit
+
+
+def test_bad_rows_are_named_with_their_file_and_reason(spark, tmp_path):
+    schema = "n long, day date, name string"
+    fields = spark.createDataFrame([], schema).schema
+    (tmp_path / "a.csv").write_text(
+        "n,day,name\n1,2020-01-02,x\nx1,2020-01-02,y\n3,2020-01-04\n"
+        '4,soon,\n5,2020-01-05,"a, b"\n6,2020-01-06,c,d\n,,\nz,later,\n,2020-01-08\n'
+    )
+    (tmp_path / "b.csv").write_text("n,day,name\n7,2020-01-07,fine\n")
+    found = bad_rows(spark, str(tmp_path), fields).collect()
+    assert {(r["row"], r["reason"]) for r in found} == {
+        ("x1,2020-01-02,y", "n: x1 is no bigint"),
+        ("3,2020-01-04", "2 fields, not 3"),
+        ("4,soon,", "day: soon is no date"),
+        ("6,2020-01-06,c,d", "more than 3 fields"),
+        (",2020-01-08", "2 fields, not 3"),
+        ("z,later,", "n: z is no bigint; day: later is no date"),
+    }
+    assert all(r["path"].endswith("/a.csv") for r in found)
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        read_csv(spark, str(tmp_path), fields).collect()
+    assert bad_rows(spark, f"{tmp_path}/b.csv", fields).collect() == []
+
+
+def test_blank_before_a_quote_is_bad_only_where_blanks_count(spark, tmp_path):
+    row = 'A1, "knee, both sides",CPT_HCPCS,ccs149'
+    (tmp_path / "c.csv").write_text(f"code,code_description,code_type,ccs\n{row}\n")
+    path = f"{tmp_path}/c.csv"
+    assert bad_rows(spark, path, CODES).collect() == []
+    assert read_csv(spark, path, CODES).first()["code_description"] == "knee, both sides"
+    (found,) = bad_rows(spark, path, CODES, skip_blanks=False).collect()
+    assert found["row"] == row and found["path"].endswith("/c.csv")
+    assert found["reason"] == "more than 4 fields"
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        read_csv(spark, path, CODES, skip_blanks=False).collect()
+
+
 # Comparison by digests
 
 

@@ -485,10 +485,12 @@ def _all_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
     yield from table_batches(rows(), schema)
 
 
-def remaining_pairs(
-    shared: DataFrame, sets: DataFrame, known: DataFrame, settings: Settings
-) -> DataFrame:
-    """Pairs between components that may link: from every tile that has two components."""
+def mixed_tiles(shared: DataFrame, known: DataFrame, settings: Settings) -> DataFrame:
+    """Rows of all tiles that have two components: ``shingle, s, t, doc, size, group``.
+
+    A tile is dealt out into as many parts as its own rows ask for, whatever its shingle, and
+    each pair of parts ``s, t`` is a task's work: some twice ``tile_rows`` sets at most.
+    """
     group = F.coalesce("component", "doc").alias("group")
     rows = shared.join(known.withColumnRenamed("node", "doc"), "doc", "left").select(
         "shingle", "part", "parts", "doc", "size", group
@@ -503,12 +505,13 @@ def remaining_pairs(
         )
         # the pair of a tile of two has been tried, unless it lies in two parts
         .where("low < high and (n > 2 or parts > 1)")
-        .select("shingle")
+        .select("shingle", F.ceil(F.col("n") / settings.tile_rows).alias("split"))
     )
     # a set meets the sets of its own part and those of every other part
-    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    rows = rows.join(mixed, "shingle").select(
-        "shingle", "doc", "size", "group", F.col("part").alias("p"), others.alias("o")
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("split") - 1))
+    own = F.pmod(F.xxhash64("doc"), F.col("split"))
+    return rows.join(mixed, "shingle").select(
+        "shingle", "doc", "size", "group", own.alias("p"), others.alias("o")
     ).select(
         "shingle",
         F.least("p", "o").alias("s"),
@@ -517,8 +520,15 @@ def remaining_pairs(
         "size",
         "group",
     )
+
+
+def remaining_pairs(
+    shared: DataFrame, sets: DataFrame, known: DataFrame, settings: Settings
+) -> DataFrame:
+    """Pairs between components that may link: from every tile that has two components."""
     tiles = (
-        rows.join(sets.select("doc", "tile_bitmap"), "doc")
+        mixed_tiles(shared, known, settings)
+        .join(sets.select("doc", "tile_bitmap"), "doc")
         .select("shingle", "s", "t", "doc", "size", "group", "tile_bitmap")
         .repartition("shingle", "s", "t")
         .sortWithinPartitions("shingle", "s", "t")

@@ -442,6 +442,32 @@ def test_jaccard_join_of_two_sets_in_two_parts(spark):
     assert [tuple(r) for r in found.collect()] == [(1, 2)]
 
 
+def test_jaccard_join_splits_tiles_whose_shingle_is_not_common(spark):
+    """No shingle counts as common here, yet no task gets more than two parts of a tile."""
+    chance = random.Random(31)
+    base = [f"w{n}" for n in range(40)]
+    texts = []
+    for _ in range(300):
+        words = base[: chance.randrange(28, 40)]
+        words[chance.randrange(len(words))] = f"x{chance.randrange(9)}"
+        texts.append(" ".join(words + [f"y{chance.randrange(200)}"]))
+    docs = helpers.documents(spark, list(enumerate(texts)))
+    settings = jaccard_join.Settings(tile_rows=20, common_share=1.0)
+    assert not jaccard_join.common_shingles(docs, settings)
+    sets = jaccard_join.distinct_sets(jaccard_join.signatures(docs, {}, settings)).cache()
+    rows = jaccard_join.tile_rows(sets, {}, settings)
+    shared = jaccard_join.shared_rows(rows).cache()
+    assert shared.groupBy("shingle").count().agg(F.max("count")).first()[0] > 150
+    known = spark.createDataFrame([], "node long, component long")
+    tiles = jaccard_join.mixed_tiles(shared, known, settings)
+    largest = tiles.groupBy("shingle", "s", "t").count().agg(F.max("count")).first()[0]
+    assert largest <= 4 * settings.tile_rows
+    found = jaccard_join.group_similar(docs, settings).collect()
+    meant = helpers.similar_groups(dict(enumerate(texts)), 4, 85)
+    assert {r.doc_id: r.component_id for r in found} == meant
+    assert len(set(meant.values())) < 300
+
+
 def test_keep_one_of_each_group(spark, odd):
     kept = jaccard_join.keep_one(odd, jaccard_join.Settings(words=5, percent=80))
     assert kept.columns == odd.columns

@@ -98,13 +98,49 @@ def test_exact_dedup_of_later_batches(spark, none):
     assert first.deduplicate(none).count() == 0
     assert first.deduplicate(helpers.documents(spark, [(5, "a b"), (6, "c")])).count() == 2
     # another session opens the same folder
-    again = exact_dedup.DigestIndex(spark, folder, buckets=4)
+    again = exact_dedup.DigestIndex(spark, folder)
+    with pytest.raises(ValueError, match="has 4 buckets"):
+        exact_dedup.DigestIndex(spark, folder, buckets=8)
     batch = helpers.documents(spark, [(1, "a\tb"), (2, "d"), (3, "d")])
     rows = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in again.deduplicate(batch).collect()}
     assert rows == {1: (5, 1, False), 2: (2, 2, True), 3: (2, 2, False)}
     assert again.entries().count() == 3
 
 
+def test_exact_dedup_batch_can_be_repeated(spark):
+    """As after a driver was lost between registering a batch and using the result."""
+    own = index(spark)
+    old = helpers.documents(spark, [(1, "a"), (2, "b")])
+    new = helpers.documents(spark, [(3, "b"), (4, "c"), (5, "c"), (6, "d")])
+    own.deduplicate(old, "monday")
+    once = helpers.rows_of(own.deduplicate(new, "tuesday"))
+    assert helpers.rows_of(own.deduplicate(new, "tuesday")) == once
+    assert sorted(r.doc_id for r in exact_dedup.keep_first(new, own, "tuesday").collect()) == [4, 6]
+    assert own.entries().count() == 4
+    # under another name they are copies
+    assert exact_dedup.keep_first(new, own, "wednesday").count() == 0
+    assert exact_dedup.keep_first(new, own).count() == 0
+
+
+def test_exact_dedup_index_grows_and_is_compacted(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(exact_dedup, "LEAST_BUCKETS", 2)
+    folder = shared.new_folder(spark, "index")
+    own = exact_dedup.DigestIndex(spark, folder)
+    assert own.entries().count() == 0
+    for part in range(3):
+        docs = helpers.documents(spark, [(n, f"text {n}") for n in range(part * 35, part * 35 + 40)])
+        own.deduplicate(docs)
+    assert own._buckets == 4
+    small = own.compacted(shared.new_folder(spark, "index"), 3)
+    assert helpers.rows_of(small.entries()) == helpers.rows_of(own.entries())
+    files = small.entries().select(F.input_file_name()).distinct().count()
+    assert files <= 3 < own.entries().select(F.input_file_name()).distinct().count()
+    assert small.deduplicate(helpers.documents(spark, [(500, "text 7")])).first().keep_id == 7
+    small.close()
+    assert exact_dedup.DigestIndex(spark, small._folder).entries().count() == 110
+
+
 def test_exact_dedup_index_join_does_not_shuffle_the_index(spark):
     own = index(spark)
     own.deduplicate(helpers.documents(spark, [(1, "a"), (2, "b")]))

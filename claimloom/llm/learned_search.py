@@ -6,7 +6,8 @@ probable part, and every query to its most probable parts, whose rows are ranked
 exact inner product. How many parts a query looks into is measured: a share of the sample
 is kept from the fit, and the fewest parts are taken in which those vectors find ``recall``
 of their true neighbours. Vectors with clear groups need few, vectors that are mostly
-noise need most parts. A part with very many rows is dealt out in chunks of ``chunk_rows``;
+noise need most parts. A query whose parts hold too few rows looks into further ones, so that
+it always gets as many rows as it asks for, if there are so many. A part with very many rows is dealt out in chunks of ``chunk_rows``;
 nothing is left out of it.
 
 Defined results: vectors that are null, zero, of another length than most, or that hold a
@@ -236,27 +237,35 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def _route(
-    batches: Iterator[pa.RecordBatch], router: Router, probes: int
+    batches: Iterator[pa.RecordBatch], router: Router, probes: int, held: np.ndarray, least: int
 ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        parts = router.parts(_matrix(batch.column(1)), probes)
-        rows = pa.array(np.repeat(np.arange(batch.num_rows), parts.shape[1]))
-        places = np.tile(np.arange(parts.shape[1], dtype=np.int32), batch.num_rows)
+        order = router.parts(_matrix(batch.column(1)), len(held))
+        short = np.cumsum(held[order], axis=1) < least
+        taken = np.maximum(short.sum(axis=1) + 1, probes)
+        rows, places = np.nonzero(np.arange(order.shape[1]) < taken[:, None])
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0).take(rows),
-                batch.column(1).take(rows),
-                pa.array(parts.reshape(-1).astype(np.int32)),
-                pa.array(places),
+                batch.column(0).take(pa.array(rows)),
+                batch.column(1).take(pa.array(rows)),
+                pa.array(order[rows, places].astype(np.int32)),
+                pa.array(places.astype(np.int32)),
             ],
             names=["vec_id", "vector", "part", "place"],
         )
 
 
-def _routed(rows: DataFrame, router: Router, probes: int) -> DataFrame:
-    return rows.mapInArrow(partial(_route, router=router, probes=probes), _ROUTED)
+def _routed(
+    rows: DataFrame, router: Router, probes: int, held: np.ndarray, least: int = 0
+) -> DataFrame:
+    """Rows with their ``probes`` most probable parts, and as many more as hold ``least`` rows.
+
+    ``held`` is the number of rows in each part.
+    """
+    route = partial(_route, router=router, probes=probes, held=held, least=least)
+    return rows.mapInArrow(route, _ROUTED)
 
 
 def _nearest(queries: pa.Table, rows: pa.Table, top: int) -> pa.Table:
@@ -319,8 +328,11 @@ def search(
     router = fit_router(np.delete(vectors, kept, axis=0), parts, settings)
     probes = probes_needed(vectors, kept, router, top, settings.recall)
 
-    index = stored(_routed(rows, router, 1).drop("place"), "index")
+    held = np.zeros(len(router.second_bias), dtype=np.int64)
+    index = stored(_routed(rows, router, 1, held).drop("place"), "index")
     counts = index.groupBy("part").agg(F.count("*").alias("n"))
+    for row in counts.collect():  # at most ``most_parts``
+        held[row["part"]] = row["n"]
     chunks = counts.select(
         F.col("part").alias("chunk_part"),
         F.ceil(F.col("n") / settings.chunk_rows).cast("int").alias("chunks"),
@@ -339,7 +351,8 @@ def search(
     )
     every_chunk = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     asked = (
-        _routed(chosen, router, probes)
+        # one more than wanted, for the query's own row
+        _routed(chosen, router, probes, held, top + 1)
         .join(chunks, F.col("part") == F.col("chunk_part"))
         .select("vec_id", "vector", "part", every_chunk.alias("chunk"), batch.alias("batch"))
     )

@@ -9,6 +9,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -722,6 +723,55 @@ def test_search_of_grouped_vectors_looks_into_few_parts(spark):
     assert hits >= 0.95 * 10 * len(got)
 
 
+def brute_search(ids: np.ndarray, vectors: np.ndarray, top: int) -> dict[int, list[int]]:
+    found = {}
+    for at in np.flatnonzero(ids % 20 == 0):
+        scores = (vectors * vectors[at]).sum(axis=1)
+        scores[at] = -np.inf
+        found[int(ids[at])] = ids[np.lexsort((ids, -scores))[:top]].tolist()
+    return found
+
+
+def test_search_always_finds_as_many_rows_as_asked_for(spark):
+    """Parts of a few rows each, one probe: the router goes on until there are enough."""
+    random_ = np.random.default_rng(7)
+    centres = random_.normal(size=(40, 8)) * 9
+    vectors = np.repeat(centres, 6, axis=0) + random_.normal(size=(240, 8)) * 0.01
+    df = spark.createDataFrame(
+        list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>"
+    )
+    settings = learned_search.Settings(part_rows=6, recall=0.1)
+    found = learned_search.search(df, F.col("vec_id") % 20 == 0, 20, settings).collect()
+    ranks = {}
+    for r in found:
+        ranks.setdefault(r.query_id, []).append(r["rank"])
+    assert set(ranks) == set(range(0, 240, 20))
+    assert all(sorted(r) == list(range(1, 21)) for r in ranks.values())
+
+
+@pytest.mark.skipif(not helpers.SF_DIR.exists(), reason="the driver's tables are absent")
+def test_search_with_many_parts_of_the_given_vectors(spark):
+    """The learned parts are really used: many of them, recall measured against all rows."""
+    rows = pq.read_table(helpers.SF_DIR.parent / "sf0.01" / "embeddings.parquet").to_pylist()
+    rows = [r for r in rows if r["embedding"] and all(x is not None for x in r["embedding"])]
+    ids = np.array([r["vec_id"] for r in rows])
+    vectors = np.array([r["embedding"] for r in rows], dtype=np.float64)
+    df = spark.createDataFrame(
+        [(int(i), v.tolist()) for i, v in zip(ids, vectors, strict=True)],
+        "vec_id long, embedding array<double>",
+    )
+    settings = learned_search.Settings(part_rows=20)
+    found = learned_search.search(df, F.col("vec_id") % 20 == 0, 20, settings).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    meant = brute_search(ids, vectors, 20)
+    assert set(got) == set(meant)
+    assert all(len(v) == 20 for v in got.values())
+    hits = sum(len(got[q] & set(best)) for q, best in meant.items())
+    assert hits >= 0.9 * sum(map(len, meant.values()))
+
+
 # --- 9 ----------------------------------------------------------------------------------
 
 

@@ -1,21 +1,25 @@
 """Main text of web pages by equivalence classes of tokens (operator 2).
 
 Pages of a host come from a template. Its tokens are tags with their path, and texts;
-tokens that occur equally often on each page of the host share
-their occurrence vector and form a class. Vectors are compared by a hash that is combined
-page by page, so a host with a third of all pages is merged in every task before the shuffle
-and no vector is ever built. A class counts if it is on enough pages and has tags, and of its
-texts those that nest in the path of one of its tags; all such classes make the template, nested
+tokens that occur equally often on each page of the host share their occurrence vector and form
+a class. Vectors are compared by sums of hashes, added up page by page, so a host with a third
+of all pages is merged in every task before the shuffle and no vector is ever built. A class
+counts if it is on enough pages, on more than two that differ, and has tags; of its texts
+count those that nest in the path of one of its tags. All such classes make the template, nested
 by their paths. On a page, a token that stands once counts where it is in the class's order;
-the slots between the template's tokens hold what differs from page to page. Of what the slots hold, that below the article (by tag, or else the slot
-with most text) is the main text, without blocks that menus, forms, adverts and the like hold.
+the slots between the template's tokens hold what differs from page to page. Of what the slots
+hold, that below the article (by tag, or else the slot with most text) is the main text, without
+blocks that menus, forms, adverts and the like hold. A text that the template would take nearly
+all of is an article that many pages have, and stays.
 Marks of elements around the article do not hold inside it, unless articles without such marks
 hold more text. Forms and names (whole classes, ids and roles) mark by degrees: where nothing
 unmarked is left, what has the fewest marks is taken.
 
 Defined results: a null html is empty and has an empty text; a null ``page_id`` or ``url``
-stays; pages without a host share one; repeated rows are each returned; an empty table gives no
-rows; other columns are not read, whatever their names.
+stays; pages without a host share one; repeated rows are each returned, and pages with the same
+tags and texts count as one page where a class needs different ones; elements nested deeper than
+``DEEPEST`` share a path; an empty table gives no rows; other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -61,20 +65,27 @@ LEFT_OUT_NAMES = frozenset(
     "subscribe toolbar widget".split()
 )
 
+# A quotation mark opens a value only behind an equals sign; elsewhere it is a character.
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
+    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>",
     re.S,
 )
+_BARE_VALUE = re.compile(r"=\s*[^\s\"'>]+\Z")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _SPACE = re.compile(r"\s+")
 _HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 
 SUPPORT = 0.5
+OWN_SHARE = 0.25  # less of an article than this is left only where it is no template's
+DEEPEST = 256
+_DEEP = "~"
+_PAGE_BITS = 62
+_VECTOR_BITS = 31
 
 _TOKENS = (
-    "host string, token long, path string, is_text boolean, vector long, pages long, "
-    "times long, chars long, place long"
+    "host string, token long, path string, is_text boolean, vector long, vector2 long, "
+    "differing long, pages long, times long, chars long, place long"
 )
 _TEXTS = "page_id long, url string, text string"
 
@@ -180,10 +191,13 @@ def read_page(source: str) -> Page:
         above = stack[-1]
         own = _names(attributes) if attributes else []
         label = name + "".join("." + n for n in own[:4])
-        path = f"{above.path}/{label}"
+        if len(stack) <= DEEPEST:
+            path = f"{above.path}/{label}"
+        else:
+            path = above.path if above.path.endswith(_DEEP) else f"{above.path}/{_DEEP}"
         page.tags[path] = page.tags.get(path, 0) + 1
         page.places.setdefault(path, page.next_place())
-        if name in VOID or attributes.endswith("/"):
+        if name in VOID or (attributes.endswith("/") and not _BARE_VALUE.search(attributes)):
             continue
         if name in RAW:
             # what is inside is no markup, and no text of the page
@@ -228,20 +242,33 @@ def _page_tokens(page: Page) -> Iterator[tuple[int, str, bool, int, int, int]]:
         token = _text_token(block)
         _, times, place = texts.get(token, ("", 0, block.place))
         texts[token] = (block.path, times + 1, place)
+    # a path comes after the one around it, so backwards all below it has been added up
+    for path in reversed(page.tags):
+        around = path.rpartition("/")[0]
+        chars[around] = chars.get(around, 0) + chars.get(path, 0)
     for path, times in page.tags.items():
-        below = sum(n for p, n in chars.items() if p == path or p.startswith(path + "/"))
-        yield _tag_token(path), path, False, times, below, page.places[path]
+        yield _tag_token(path), path, False, times, chars.get(path, 0), page.places[path]
     for token, (path, times, place) in texts.items():
         yield token, path, True, times, 0, place
 
 
+def _content_bit(tokens: list[tuple]) -> int:
+    """One bit by what the page holds: pages with other bits have other tags or texts."""
+    held = ",".join(f"{token}x{times}" for token, _, _, times, *_ in tokens)
+    return 1 << xxhash.xxh3_64_intdigest(held) % _PAGE_BITS
+
+
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [("host", pa.string()), ("token", pa.int64()), ("path", pa.string())]
         + [("is_text", pa.bool_())]
-        + [(c, pa.int64()) for c in ("vector", "pages", "times", "chars", "place")]
+        + [
+            (c, pa.int64())
+            for c in ("vector", "vector2", "differing", "pages", "times", "chars", "place")
+        ]
     )
     found: dict[tuple[str, int], list] = {}
+    low = (1 << _VECTOR_BITS) - 1
 
     def rows() -> Iterator[tuple]:
         for (host, token), row in found.items():
@@ -251,14 +278,18 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in row_slices(batch, 1):
             for host, source, number in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                for token, path, is_text, times, *sums in _page_tokens(read_page(source)):
-                    seen = xxhash.xxh3_64_intdigest(f"{number} {times}") >> 1
-                    row = found.setdefault((host, token), [path, is_text, 0, 0, 0, 0, 0])
-                    row[2] ^= seen
-                    row[3] += 1
-                    row[4] += times
-                    row[5] += sums[0]
-                    row[6] += sums[1]
+                tokens = list(_page_tokens(read_page(source)))
+                content = _content_bit(tokens)
+                for token, path, is_text, times, *sums in tokens:
+                    seen = xxhash.xxh3_64_intdigest(f"{number} {times}")
+                    row = found.setdefault((host, token), [path, is_text, 0, 0, 0, 0, 0, 0, 0])
+                    row[2] += seen & low
+                    row[3] += (seen >> _VECTOR_BITS) & low
+                    row[4] |= content
+                    row[5] += 1
+                    row[6] += times
+                    row[7] += sums[0]
+                    row[8] += sums[1]
             if len(found) > 50_000:
                 yield from table_batches(rows(), schema)
     yield from table_batches(rows(), schema)
@@ -282,8 +313,9 @@ def _rows(pages: DataFrame) -> DataFrame:
 def equivalence_classes(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
     """Tokens on enough pages of their host, with the class they are in.
 
-    A class is named by its hash of the occurrence vector. The share of pages keeps what a
-    few pages have in common, copies of an article for instance, out of the template.
+    A class is named by sums of hashes of the occurrence vector. The share of pages keeps what a
+    few pages have in common out of the template; ``differing`` has a bit for each different
+    page, as long as they are few, and keeps out what only copies of one page have.
     """
     number = F.xxhash64("page_id", "url").alias("number")
     tokens = (
@@ -293,7 +325,9 @@ def equivalence_classes(rows: DataFrame, support: float = SUPPORT) -> DataFrame:
         .agg(
             F.min("path").alias("path"),
             F.max("is_text").alias("is_text"),
-            F.bit_xor("vector").alias("vector"),
+            F.sum("vector").alias("vector"),
+            F.sum("vector2").alias("vector2"),
+            F.bit_or("differing").alias("differing"),
             F.sum("pages").alias("pages"),
             F.sum("times").alias("times"),
             F.sum("chars").alias("chars"),
@@ -308,16 +342,16 @@ def templates(classes: DataFrame) -> DataFrame:
     """One row per host: ``tokens`` of the template with their ``groups``, and ``slot``, the
     path of the template element that holds most text.
 
-    A class is what has one occurrence vector, on more than two pages. It needs a tag and a
-    text, and its texts must lie in the path of one of its tags; what lies around such a tag
-    is on these pages too, so that all classes nest. Tokens that stand once on their pages
+    A class is what has one occurrence vector, on more than two different pages. It needs a tag
+    and a text, and its texts must lie in the path of one of its tags; what lies around such a
+    tag is on these pages too, so that all classes nest. Tokens that stand once on their pages
     come in the order of their class, which is their group; others have none. Of the elements
     once per page the slot is the deepest with over half of the host's text.
     """
-    alike = ["host", "vector", "pages", "times"]
+    alike = ["host", "vector", "vector2", "pages", "times"]
     tag = F.when(~F.col("is_text"), F.col("path"))
     valid = (
-        classes.where("pages > 2")
+        classes.where("bit_count(differing) > 2")
         .groupBy(*alike)
         .agg(F.collect_set(tag).alias("tags"), F.max("is_text").alias("has_text"))
         .where(F.col("has_text") & (F.size("tags") > 0))
@@ -393,22 +427,42 @@ def template_blocks(page: Page, tokens: list[int], groups: list[int | None]) ->
     return cut - {-1}
 
 
+def _chars(blocks: list[Block]) -> int:
+    return sum(len(b.text) for b in blocks)
+
+
 def main_blocks(page: Page, cut: set[int], slot: str) -> list[str]:
-    """What the template leaves: below the article, or else in the template's largest slot."""
+    """What the template leaves: below the article, or else in the template's largest slot.
+
+    What the template holds and is yet nearly all of the article, or of the page's text below
+    the slot, is an article that many pages have, and stays.
+    """
+    left = _main_blocks(page, cut, slot)
+    if cut:
+        whole = _main_blocks(page, set(), slot)
+        held = [b for b in whole if b.main]
+        # outside an article menus and notices may well be most of the text
+        share = OWN_SHARE if held else 0
+        if not left or _chars(left) < share * _chars(whole):
+            left = whole
+    return [b.text for b in left]
+
+
+def _main_blocks(page: Page, cut: set[int], slot: str) -> list[Block]:
     left = [b for i, b in enumerate(page.blocks) if i not in cut and not b.out]
     # an article whose own texts are all the template's has no others
     least = _least_marks([b for b in page.blocks if b.main])
     main = [b for b in left if b.main and b.marks == least]
     free = [b for b in main if not b.wrapped]
-    if sum(len(b.text) for b in free) * 2 >= sum(len(b.text) for b in main):
+    if _chars(free) * 2 >= _chars(main):
         main = free
     if main:
-        return [b.text for b in main]
+        return main
     rest = [b for b in left if not b.main]
     least = _least_marks(rest)
     rest = [b for b in rest if b.marks == least]
     below = [b for b in rest if slot and (b.path == slot or b.path.startswith(slot + "/"))]
-    return [b.text for b in below or rest]
+    return below or rest
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

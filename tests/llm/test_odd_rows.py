@@ -281,6 +281,98 @@ def test_page_text_inside_wrappers_that_are_left_out(spark, before, after, eleme
     assert [r.text for r in found] == ["A story.\n\nOthers\n\nThen"]
 
 
+def story(n: int, again: int = 1) -> str:
+    said = f"Story {n} is long enough to be told in some words, and has an end {n}."
+    return f"<p>{said}</p>" * again
+
+
+def texts_of(spark, sources: list[str]) -> list[str]:
+    rows = [(n, f"https://t.example/{n}", s) for n, s in enumerate(sources)]
+    found = {r.page_id: r.text for r in page_text.extract_text(pages(spark, rows)).collect()}
+    return [found[n] for n in range(len(sources))]
+
+
+@pytest.mark.parametrize("element", ["article", "div class=story"])
+def test_page_text_keeps_repeated_and_mirrored_articles(spark, element):
+    """Rows of one page, or several urls of it, make no template."""
+    close = element.split()[0]
+    page = f"<body><h1>Title</h1><{element}>{story(1)}</{close}></body>"
+    meant = texts_of(spark, [page])
+    assert "Story 1" in meant[0]
+    assert texts_of(spark, [page] * 3) == meant * 3
+    rows = [(1, "https://t.example/1", page)] * 4
+    found = page_text.extract_text(pages(spark, rows)).collect()
+    assert [r.text for r in found] == meant * 4
+    # three of six pages are one article, the others their own
+    others = [f"<body><h1>Title {n}</h1><{element}>{story(n)}</{close}></body>" for n in (2, 3, 4)]
+    found = texts_of(spark, [page] * 3 + others)
+    assert found[:3] == meant * 3
+    assert all(f"Story {n}" in t for n, t in zip((2, 3, 4), found[3:], strict=True))
+
+
+def test_page_text_keeps_an_article_that_many_pages_have(spark):
+    """Six pages with own headlines and one text: most of each article is the common text."""
+    sources = [
+        f"<body><div>Site</div><article><h2>Day {n}</h2><div class=text>{story(0)}</div></article></body>"
+        for n in range(6)
+    ]
+    assert all("Story 0" in t and f"Day {n}" in t for n, t in enumerate(texts_of(spark, sources)))
+
+
+@pytest.mark.parametrize(
+    "source, meant",
+    [
+        ("<p title=it's>First.</p><p>Don't drop me.</p><p>Last.</p>", "First.|Don't drop me.|Last."),
+        ('<p>A <img alt="5" wide"> picture</p>', "A picture"),
+        ("<p title='a>b' class=\"x>y\">One</p><p>Two</p>", "One|Two"),
+        ("<p a=\"x' y\" b='\"'>One</p><p c = \"1>2\" >Two</p>", "One|Two"),
+        ("<p>say \"no\" to 'it'</p><p x=\"never closed>Two</p><p>Three</p>", "say \"no\" to 'it'|Two|Three"),
+        ("<div><a href=/x/>link</a> and</div><p>on</p>", "link and|on"),
+    ],
+)
+def test_page_text_of_odd_quotes(source, meant):
+    page = page_text.read_page(f"<article>{source}</article>")
+    assert page_text.main_blocks(page, set(), "") == meant.split("|")
+
+
+def test_page_text_takes_time_in_proportion_to_the_elements():
+    def seconds(source):
+        start = time.perf_counter()
+        tokens = list(page_text._page_tokens(page_text.read_page(source)))
+        return time.perf_counter() - start, len(tokens)
+
+    took, tokens = seconds("".join(f"<div id=i{n}>Text {n}</div>" for n in range(8_000)))
+    assert tokens == 16_000 and took < 0.5
+    # nested and never closed
+    took, _ = seconds("".join(f"<div id=i{n}>Text {n} " for n in range(8_000)))
+    assert took < 2
+    page = page_text.read_page("<div>deep " * 2_000)
+    assert sum(b.text.count("deep") for b in page.blocks) == 2_000
+    assert max(len(p) for p in page.tags) < 2_000
+
+
+def test_page_text_classes_against_whole_vectors(spark):
+    """Classes by sums of hashes are those by the occurrence vectors written out."""
+    chance = random.Random(17)
+    parts = [f"<div class=c{n}><p>text {n}</p></div>" for n in range(12)]
+    sources = ["".join(chance.choices(parts, k=chance.randrange(1, 14))) for _ in range(30)]
+    sources += sources[:4] * 2  # repeated pages do not cancel out
+    rows = [(n, f"https://t.example/{n}", s) for n, s in enumerate(sources)]
+    rows += rows[:5]
+    vectors: dict[int, list[int]] = {}
+    for at, (_, _, source) in enumerate(rows):
+        for token, _, _, times, *_ in page_text._page_tokens(page_text.read_page(source)):
+            vectors.setdefault(token, [0] * len(rows))[at] = times
+    meant: dict[tuple, set] = {}
+    for token, vector in vectors.items():
+        meant.setdefault(tuple(vector), set()).add(token)
+    classes: dict[tuple, set] = {}
+    table_ = page_text.equivalence_classes(page_text._rows(pages(spark, rows)), support=0.0)
+    for r in table_.collect():
+        classes.setdefault((r.vector, r.vector2, r.pages, r.times), set()).add(r.token)
+    assert sorted(map(sorted, classes.values())) == sorted(map(sorted, meant.values()))
+
+
 def test_page_text_leaves_out_comments_that_are_articles():
     source = (
         "<article><p>The story itself.</p><section id=comments><article>No</article></section>"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import itertools
 import random
 import re
@@ -449,14 +450,14 @@ def test_quotations_odd_rows(spark, clashes):
         "Good to hear",
         "So do I",
         "Another matter\n\nentirely",
-        "Indeed",
+        "Indeed\n> never said",
     ]
     others = {(r.conv_id, r.turn, r.text): r.parent_turn for r in found if r.conv_id != 1}
     assert others == {
-        (2, 0, "quoted from elsewhere"): None,
+        (2, 0, "> How are you?\nquoted from elsewhere"): None,
         (None, 1, "y"): 0,
         (None, 0, "x"): None,
-        (3, None, ""): None,
+        (3, None, "> a"): None,
         (3, 0, ""): None,
     }
     assert quotations.in_reply_order(df.limit(0)).collect() == []
@@ -473,6 +474,110 @@ def test_quotations_of_a_long_thread(spark):
     assert all(r.n_linked == 2 for r in found[1:])
 
 
+def replies(spark, texts: list[str]) -> list[tuple]:
+    rows = [(1, n, "a", t) for n, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = sorted(quotations.in_reply_order(df).collect(), key=lambda r: r.position)
+    return [(r.turn, r.parent_turn, r.text) for r in found]
+
+
+def test_quotations_that_were_wrapped_anew_or_taken_from_a_message(spark):
+    said = (
+        "The first sentence is long enough to be wrapped. The second one asks: why?\n"
+        "A line without an end\n\nA paragraph of its own"
+    )
+    found = replies(
+        spark,
+        [
+            said,
+            "Bob wrote:\n> The first sentence is long\n> enough to be wrapped.\n\nRight.",
+            "> The second one asks: why? A line without\n> an end\n>\n> A paragraph of its own\nBecause.",
+            "> why? A line\nNot a quotation of whole sentences.",
+            "> The second one\n> asks: why?\n> and something else\nHalf of it.",
+            ">>> x = 1\n> 5 is the bound\nSo it is.",
+        ],
+    )
+    assert sorted(found) == [
+        (0, None, said),
+        (1, 0, "Right."),
+        (2, 0, "Because."),
+        (3, None, "> why? A line\nNot a quotation of whole sentences."),
+        (4, 0, "> and something else\nHalf of it."),
+        (5, None, ">>> x = 1\n> 5 is the bound\nSo it is."),
+    ]
+
+
+def test_quotations_put_replies_under_their_parent(spark):
+    texts = ["root one", "root two", "> root one\nreply a", "> root two\nreply b"]
+    texts += ["> reply a\nunder a", "> root one\nreply c", "> reply a\nmore under a", "alone"]
+    found = [turn for turn, _, _ in replies(spark, texts)]
+    assert found == [0, 2, 4, 6, 5, 1, 3, 7]
+
+
+def plain_conversation(messages: list[tuple[int, str]]) -> list[tuple]:
+    """(turn, parent, text, linked lines) in reply order, by looking everything up in turn."""
+    said: dict[str, list[int]] = {}
+    read = []
+    for turn, text in messages:
+        lines = quotations.read_lines(text)
+        links = {}
+        for n, passage in enumerate(quotations.passages(lines, quoted=True)):
+            for u in quotations.units(lines, passage):
+                if u.text in said:
+                    links[n, u.first, u.last, quotations._hash(u.text)] = said[u.text][-1]
+        linked = quotations.linked_lines(lines, links)
+        votes = collections.Counter((lines[at].depth, s) for at, s in linked.items())
+        best = max(votes, key=lambda v: (-v[0], votes[v], v[1]), default=(0, None))
+        read.append((turn, best[1], quotations.own_text(lines, linked), len(linked)))
+        for passage in quotations.passages(lines, quoted=False):
+            for u in quotations.units(lines, passage):
+                said.setdefault(u.text, []).append(turn)
+    under: dict[int | None, list[tuple]] = {}
+    for row in read:
+        under.setdefault(row[1], []).append(row)
+    order, stack = [], under.get(None, [])[::-1]
+    while stack:
+        order.append(stack.pop())
+        stack += under.get(order[-1][0], [])[::-1]
+    return order
+
+
+def made_conversation(chance: random.Random) -> list[tuple[int, str]]:
+    messages: list[tuple[int, str]] = []
+    for n in range(chance.randrange(1, 14)):
+        parts = []
+        for _ in range(chance.randrange(0, 3)):
+            if messages:
+                source = chance.choice(messages)[1]
+                words = chance.choice(source.split("\n")).split(" ")
+                if chance.random() < 0.4:  # wrapped anew
+                    half = len(words) // 2
+                    lines = [" ".join(words[:half]), " ".join(words[half:])]
+                else:
+                    lines = source.split("\n")[: chance.randrange(1, 4)]
+                parts += [f"> {line}" if line else ">" for line in lines]
+            parts.append(chance.choice(["Yes.", "Well", "", f"Own {n} words. And {n} more!"]))
+        parts.append(f"Line {n} of {n % 3}. So what? Nothing")
+        messages.append((n, "\n".join(parts)))
+    return messages
+
+
+def test_quotations_against_looking_up_in_turn(spark):
+    chance = random.Random(33)
+    chats = {n: made_conversation(chance) for n in range(120)}
+    rows = [(c, t, "a", text) for c, chat in chats.items() for t, text in chat]
+    chance.shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found: dict[int, list] = {}
+    for r in quotations.in_reply_order(df).collect():
+        found.setdefault(r.conv_id, []).append(
+            (r.position, (r.turn, r.parent_turn, r.text, r.n_linked))
+        )
+    for conv_id, chat in chats.items():
+        assert [row for _, row in sorted(found[conv_id])] == plain_conversation(chat)
+    assert sum(row[3] for rows_ in found.values() for _, row in rows_) > 200
+
+
 # --- 4 ----------------------------------------------------------------------------------
 
 

@@ -133,7 +133,7 @@ def eligible_flag(spark, sf_dir):
 @registered
 def emergency_marker(spark, sf_dir):
     """Whether each line is an emergency visit by one of its two codes."""
-    return claims(spark, sf_dir).select(KEY, as_yes_no(is_emergency()).alias("er_flag"))
+    return claims(spark, sf_dir).select(KEY, as_yes_no(is_emergency()).alias("emergency_yn"))
 
 
 @registered
@@ -260,21 +260,21 @@ def _flag(df, kind, name):
 def emergency_flag_ip(spark, sf_dir):
     """Inpatient candidates with the emergency flag."""
     found = _with_signals(spark, sf_dir, _allowed_inpatient(spark, sf_dir))
-    return _flag(found, "emergency", "er_directed")
+    return _flag(found, "emergency", "after_visit_yn")
 
 
 @registered
 def transfer_flag_ip(spark, sf_dir):
     """Inpatient candidates with the transfer flag."""
     found = _with_signals(spark, sf_dir, _allowed_inpatient(spark, sf_dir))
-    return _flag(found, "transfer", "transfer_yn")
+    return _flag(found, "transfer", "after_transfer_yn")
 
 
 @registered
 def emergency_flag_op(spark, sf_dir):
     """Outpatient candidates with the emergency flag."""
     found = _with_signals(spark, sf_dir, _outpatient(spark, sf_dir))
-    return _flag(found, "emergency", "er_directed")
+    return _flag(found, "emergency", "after_visit_yn")
 
 
 def _after_error(spark, sf_dir, days):

@@ -442,7 +442,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "emergency_marker": _sql(
             f"SELECT sequencenumber, CASE WHEN hcpcs IN {_EMERGENCY_PROCEDURES}"
-            f" OR revcode IN {_EMERGENCY_REVENUE} THEN 'Y' ELSE 'N' END AS er_flag"
+            f" OR revcode IN {_EMERGENCY_REVENUE} THEN 'Y' ELSE 'N' END AS emergency_yn"
             " FROM claims",
             1,
         ),
@@ -469,13 +469,13 @@ FROM e FULL JOIN t ON e.member_id = t.member_id AND e.day = t.day""",
             4,
         ),
         "emergency_flag_ip": _sql(
-            asked.format("after_visit", "er_directed", "ip_asked"), 5
+            asked.format("after_visit", "after_visit_yn", "ip_asked"), 5
         ),
-        "transfer_flag_ip": _sql(
-            asked.format("after_transfer", "transfer_yn", "ip_asked"), 5
+        "transfemergency_yn_ip": _sql(
+            asked.format("after_transfer", "after_transfer_yn", "ip_asked"), 5
         ),
         "emergency_flag_op": _sql(
-            asked.format("after_visit", "er_directed", "op_asked"), 5
+            asked.format("after_visit", "after_visit_yn", "op_asked"), 5
         ),
         "event_error_lookback_1d": _after_error(1),
         "event_error_lookback_3d": _after_error(3),

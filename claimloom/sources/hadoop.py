@@ -15,6 +15,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(where)
 
 
+def made_folder(spark: SparkSession, path: str) -> str:
+    """The folder, made if it is not there, by its full name in the store that really holds it."""
+    system, where = _system(spark, path)
+    system.mkdirs(where)
+    return system.resolvePath(where).toString()
+
+
 def files_in(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
     """Path below the folder and size of every file in it, hidden ones left out; sorted."""
     system, where = _system(spark, folder)

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from claimloom.llm.shared import row_slices, table_batches, whole_text
 from claimloom.llm.token_codes import ID_BYTES, codes
+from claimloom.sources import hadoop
 
 MAGIC = b"LOOMIDS1"
 _HEAD = struct.Struct("<8sB32s")  # magic, bytes per id, sha256 of the dictionary
@@ -63,8 +64,19 @@ class Settings:
     cached: int = 800_000
 
 
+def arrow_uri(path: str) -> str:
+    """The path as pyarrow names it: Hadoop's ``s3a`` is its ``s3``, and ``file:/`` has two more."""
+    scheme, colon, rest = path.partition(":")
+    if not colon:
+        return path
+    if rest.startswith("/") and not rest.startswith("//"):
+        rest = "//" + rest
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    return f"{scheme}:{rest}"
+
+
 def _opened(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path)
+    return fs.FileSystem.from_uri(arrow_uri(path))
 
 
 @lru_cache(maxsize=8)
@@ -200,16 +212,17 @@ def write_tokens(docs: DataFrame, folder: str, settings: Settings) -> DataFrame:
     The texts are dealt out by ranges of ``doc_id``, so tasks of equal size write in order
     without any of them seeing all. Returns the manifest, one row per file in that order.
     """
-    system, path = _opened(folder)
-    system.create_dir(path, recursive=True)
+    # Spark knows the folder by any name it has, the tasks need the store's own
+    where = hadoop.made_folder(docs.sparkSession, folder)
     content = train_dictionary(docs, settings)
-    dictionary = f"{folder}/dictionary"
-    with system.open_output_stream(f"{path}/dictionary") as f:
+    dictionary = f"{where}/dictionary"
+    system, path = _opened(dictionary)
+    with system.open_output_stream(path) as f:
         f.write(content)
 
     order = ["doc_id", F.xxhash64("text")]  # the second splits a key with very many rows
     ordered = _rows(docs).repartitionByRange(*order).sortWithinPartitions(*order)
-    write = partial(_write, folder=folder, dictionary=dictionary, settings=settings)
+    write = partial(_write, folder=where, dictionary=dictionary, settings=settings)
     ordered.mapInArrow(write, _MANIFEST).write.parquet(f"{folder}/manifest")
     return manifest(docs.sparkSession, folder)
 
@@ -278,12 +291,13 @@ def _whole(doc_id: int | None, start: int, ids: bytes) -> tuple:
 
 def _read_files(spark: SparkSession, folder: str, row, schema: str) -> DataFrame:
     files = manifest(spark, folder).select("file", "start")
+    where = hadoop.made_folder(spark, folder)
     tasks = spark.sparkContext.defaultParallelism
     kinds = {"long": pa.int64(), "binary": pa.binary()}
     arrow = pa.schema([(n, kinds[t]) for n, t in (c.split() for c in schema.split(", "))])
     # round robin after the window's one partition of file names
     return files.repartition(max(2, tasks)).mapInArrow(
-        partial(_read, folder=folder, row=row, schema=arrow), schema
+        partial(_read, folder=where, row=row, schema=arrow), schema
     )
 
 

@@ -763,6 +763,19 @@ def test_one_short_document_is_read_by_the_index(spark):
     assert token_files._dictionary(f"{folder}/dictionary")[0]  # one was trained
 
 
+def test_token_files_in_folders_by_any_name(spark, tmp_path):
+    assert token_files.arrow_uri("s3a://bucket/a/b") == "s3://bucket/a/b"
+    assert token_files.arrow_uri("file:/a/b") == "file:///a/b"
+    assert token_files.arrow_uri("hdfs://host:8020/a") == "hdfs://host:8020/a"
+    assert token_files.arrow_uri("/a/b") == "/a/b"
+    docs = helpers.documents(spark, [(1, "one two"), (2, None)])
+    found = []
+    for folder in (f"{tmp_path}/plain", f"file:{tmp_path}/one", f"file://{tmp_path}/three"):
+        token_files.write_tokens(docs, folder, token_files.Settings(BYTES))
+        found.append(helpers.rows_of(token_files.token_digests(spark, folder)))
+    assert found[0] == found[1] == found[2] != []
+
+
 def test_token_files_of_an_empty_table(spark, none):
     folder = shared.new_folder(spark, "tokens")
     token_files.write_tokens(none, folder, token_files.Settings(BYTES))

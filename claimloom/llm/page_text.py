@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm.shared import row_slices, stored, table_batches
+from claimloom.operators.sizing import fits_broadcast, spread_join
 
 # Fixed values.
 VOID = frozenset(
@@ -483,9 +484,13 @@ def extract_text(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     rows = _rows(pages)
     # read several times, and small: what most pages of a host have in common
     classes = stored(equivalence_classes(rows, support), "token-classes")
-    # stored, so that Spark knows its size and joins a small one without a shuffle of the pages
     template = stored(templates(classes), "templates")
-    joined = rows.join(template, F.col("host") == F.col("template_host"), "left")
+    template = template.withColumnRenamed("template_host", "host")
+    if fits_broadcast(template):
+        joined = rows.join(F.broadcast(template), "host", "left")
+    else:
+        # a host with a third of all pages is dealt out to many tasks
+        joined = spread_join(rows, template, ["host"], "left", spread_by=["page_id", "url"])
     return (
         joined.select("page_id", "url", "html", "tokens", "groups", "slot")
         .mapInArrow(_extract, _TEXTS)

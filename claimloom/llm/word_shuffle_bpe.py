@@ -43,7 +43,8 @@ _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@
 
 BLOCK_WORDS = 600_000
 BLOCK_BYTES = 24 << 20
-BUCKETS = 256
+BUCKET_BYTES = 64 << 20  # of texts, whose distinct words one worker remembers at a time
+LEAST_BUCKETS, MOST_BUCKETS = 256, 1 << 16  # a bucket's number has two bytes
 RUN_DOCS = 64
 
 _WORDS = "bucket int, block long, words binary"
@@ -153,11 +154,11 @@ class _Block:
         ended.update(last.encode())
         return int.from_bytes(ended.digest(), "little", signed=True)
 
-    def buckets(self) -> np.ndarray:
+    def buckets(self, count: int) -> np.ndarray:
         """The bucket of each word, in the order of their numbers."""
         hashes = map(xxhash.xxh3_64_intdigest, self.words)
         found = np.fromiter(hashes, dtype=np.uint64, count=len(self.words))
-        return (found % np.uint64(BUCKETS)).astype(np.int64)
+        return (found % np.uint64(count)).astype(np.int64)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], keep: bool) -> Iterator[_Block]:
@@ -175,18 +176,16 @@ def _blocks(batches: Iterator[pa.RecordBatch], keep: bool) -> Iterator[_Block]:
         yield block
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _words(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         for block in _blocks(batches, keep=False):
-            key, buckets = block.key(), block.buckets()
+            key, buckets = block.key(), block.buckets(count)
             words = list(block.words)
             order = np.argsort(buckets, kind="stable")
-            ends = np.searchsorted(buckets[order], np.arange(BUCKETS), side="right")
-            start = 0
-            for bucket, end in enumerate(ends.tolist()):
-                if end > start:
-                    yield bucket, key, _packed([words[i].encode() for i in order[start:end]])
-                start = end
+            held, starts = np.unique(buckets[order], return_index=True)
+            ends = np.append(starts[1:], len(order))
+            for bucket, start, end in zip(*(x.tolist() for x in (held, starts, ends)), strict=True):
+                yield bucket, key, _packed([words[i].encode() for i in order[start:end]])
 
     schema = pa.schema(
         [("bucket", pa.int32()), ("block", pa.int64()), ("words", pa.binary())]
@@ -194,13 +193,13 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from table_batches(rows(), schema, 1000)
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _places(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.RecordBatch]:
     """Documents' word numbers, in runs; run -1 holds the buckets of the block's words."""
 
     def rows() -> Iterator[tuple]:
         for block in _blocks(batches, keep=True):
             key = block.key()
-            yield key, -1, [], [], _packed([block.buckets().astype("<u2").tobytes()], 2)
+            yield key, -1, [], [], _packed([block.buckets(count).astype("<u2").tobytes()], 2)
             for start in range(0, len(block.documents), RUN_DOCS):
                 ids, places = zip(*block.documents[start : start + RUN_DOCS], strict=True)
                 counts = [len(p) // 4 for p in places]
@@ -262,7 +261,7 @@ def _block_codes(codes: pa.Table, buckets: np.ndarray) -> tuple[np.ndarray, ...]
         zip(codes.column("bucket").to_pylist(), codes.column("codes").to_pylist(), strict=True)
     )
     pieces = [_unpacked(packed, 4) for _, packed in by_bucket]
-    counts = np.bincount(buckets, minlength=BUCKETS)
+    counts = np.bincount(buckets)
     if [(b, len(p[0])) for (b, _), p in zip(by_bucket, pieces, strict=True)] != [
         (b, n) for b, n in enumerate(counts.tolist()) if n
     ]:
@@ -295,6 +294,12 @@ def _reassemble(codes: pa.Table, places: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(columns, names=["doc_id", "ids"])
 
 
+def bucket_count(rows: DataFrame) -> int:
+    """How many buckets the words are dealt out to, by the bytes of all texts."""
+    total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-total // BUCKET_BYTES)))
+
+
 def encode(docs: DataFrame, ranks: str) -> DataFrame:
     """``doc_id, ids`` of every row; ids as little-endian 32-bit numbers.
 
@@ -303,10 +308,11 @@ def encode(docs: DataFrame, ranks: str) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")
     )
-    words = rows.mapInArrow(_words, _WORDS)
+    count = bucket_count(rows)
+    words = rows.mapInArrow(partial(_words, count=count), _WORDS)
     words = words.repartition("bucket").sortWithinPartitions("bucket")
     codes = words.mapInArrow(partial(_codes, ranks=ranks), _CODES)
-    places = rows.mapInArrow(_places, _PLACES)
+    places = rows.mapInArrow(partial(_places, count=count), _PLACES)
     return (
         codes.groupBy("block")
         .cogroup(places.groupBy("block"))

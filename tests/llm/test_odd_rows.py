@@ -826,6 +826,17 @@ def test_byte_bpe_of_mixed_texts_in_many_blocks(spark):
         assert np.frombuffer(found[n], "<u4").tolist() == encoding.encode_ordinary(text)
 
 
+def test_byte_bpe_buckets_grow_with_the_texts(spark, odd, monkeypatch):
+    assert word_shuffle_bpe.bucket_count(odd) == word_shuffle_bpe.LEAST_BUCKETS
+    few = helpers.rows_of(word_shuffle_bpe.encode(odd, RANKS))
+    monkeypatch.setattr(word_shuffle_bpe, "BUCKET_BYTES", 1000)
+    assert word_shuffle_bpe.bucket_count(odd) > 500
+    assert helpers.rows_of(word_shuffle_bpe.encode(odd, RANKS)) == few
+    monkeypatch.setattr(word_shuffle_bpe, "BUCKET_BYTES", 1)
+    assert word_shuffle_bpe.bucket_count(odd) == word_shuffle_bpe.MOST_BUCKETS
+    assert helpers.rows_of(word_shuffle_bpe.encode(odd, RANKS)) == few
+
+
 def test_byte_bpe_of_an_empty_table(spark, none):
     assert word_shuffle_bpe.encode(none, RANKS).collect() == []
 

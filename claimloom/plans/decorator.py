@@ -110,9 +110,12 @@ class SurgeryDecorator(LineDecorator):
     def __init__(self, rules: Rules = Rules(), prefix: str = "psp_"):
         self.rules = rules
         self.prefix = prefix
+        if prefix != "psp_":
+            self.validate_decor_column_name = lambda name: name.startswith(prefix)
 
-    def validate_decor_column_name(self, name: str) -> bool:
-        return name.startswith(self.prefix)
+    @staticmethod
+    def validate_decor_column_name(name: str) -> bool:
+        return name.startswith("psp_")
 
     def _named(self, name: str) -> str:
         return self.prefix + name.removeprefix("psp_")

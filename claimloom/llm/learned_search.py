@@ -7,8 +7,8 @@ exact inner product. How many parts a query looks into is measured: a share of t
 is kept from the fit, and the fewest parts are taken in which those vectors find ``recall``
 of their true neighbours. Vectors with clear groups need few, vectors that are mostly
 noise need most parts. A query whose parts hold too few rows looks into further ones, so that
-it always gets as many rows as it asks for, if there are so many. A part with very many rows is dealt out in chunks of ``chunk_rows``;
-nothing is left out of it.
+it always gets as many rows as it asks for, if there are so many. A part with very many rows
+is dealt out in chunks of ``chunk_rows``; nothing is left out of it.
 
 Defined results: vectors that are null, zero, of another length than most, or that hold a
 null or non-finite component take no part, nor do rows without ``vec_id``; of rows with

@@ -314,7 +314,8 @@ def test_page_text_keeps_repeated_and_mirrored_articles(spark, element):
 def test_page_text_keeps_an_article_that_many_pages_have(spark):
     """Six pages with own headlines and one text: most of each article is the common text."""
     sources = [
-        f"<body><div>Site</div><article><h2>Day {n}</h2><div class=text>{story(0)}</div></article></body>"
+        f"<body><div>Site</div><article><h2>Day {n}</h2><div class=text>{story(0)}</div>"
+        "</article></body>"
         for n in range(6)
     ]
     assert all("Story 0" in t and f"Day {n}" in t for n, t in enumerate(texts_of(spark, sources)))
@@ -327,7 +328,10 @@ def test_page_text_keeps_an_article_that_many_pages_have(spark):
         ('<p>A <img alt="5" wide"> picture</p>', "A picture"),
         ("<p title='a>b' class=\"x>y\">One</p><p>Two</p>", "One|Two"),
         ("<p a=\"x' y\" b='\"'>One</p><p c = \"1>2\" >Two</p>", "One|Two"),
-        ("<p>say \"no\" to 'it'</p><p x=\"never closed>Two</p><p>Three</p>", "say \"no\" to 'it'|Two|Three"),
+        (
+            "<p>say \"no\" to 'it'</p><p x=\"never closed>Two</p><p>Three</p>",
+            "say \"no\" to 'it'|Two|Three",
+        ),
         ("<div><a href=/x/>link</a> and</div><p>on</p>", "link and|on"),
     ],
 )
@@ -491,7 +495,8 @@ def test_quotations_that_were_wrapped_anew_or_taken_from_a_message(spark):
         [
             said,
             "Bob wrote:\n> The first sentence is long\n> enough to be wrapped.\n\nRight.",
-            "> The second one asks: why? A line without\n> an end\n>\n> A paragraph of its own\nBecause.",
+            "> The second one asks: why? A line without\n> an end\n>\n> A paragraph of its own\n"
+            "Because.",
             "> why? A line\nNot a quotation of whole sentences.",
             "> The second one\n> asks: why?\n> and something else\nHalf of it.",
             ">>> x = 1\n> 5 is the bound\nSo it is.",
@@ -1108,7 +1113,8 @@ def test_trusted_contexts_find_identifiers_of_other_shapes(spark):
         "jo [AT] example [DOT] com",
     ]
     rows = [f"my account: p{n}q@mail.example rest" for n in range(30)]
-    rows += [f"my account: {x} rest" for x in shapes] + [f"{'q' * n} {x} there" for n, x in enumerate(shapes, 1)]
+    rows += [f"my account: {x} rest" for x in shapes]
+    rows += [f"{'q' * n} {x} there" for n, x in enumerate(shapes, 1)]
     docs = helpers.documents(spark, list(enumerate(rows)))
     found = {r.doc_id: r for r in private_data.find_private(docs).collect()}
     added = [[s.found for s in found[d].spans if s.kind == "id"] for d in sorted(found)]
@@ -1173,7 +1179,9 @@ def test_private_data_of_one_text_with_very_many_spans(spark):
     """Time in proportion to the spans: four times as many may take some six times as long."""
 
     def text(n):
-        return " ".join(f"mail u{i}@host{i}.example or 10.0.{i % 256}.{i % 250}, id {i}" for i in range(n))
+        return " ".join(
+            f"mail u{i}@host{i}.example or 10.0.{i % 256}.{i % 250}, id {i}" for i in range(n)
+        )
 
     def seconds(n):
         docs = helpers.documents(spark, [(1, text(n))])

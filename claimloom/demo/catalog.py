@@ -458,7 +458,7 @@ def code_table_from_files(spark, sf_dir):
 def code_files_by_type(spark, sf_dir):
     """Codes per type over a folder of files, each read as a table of its own."""
     folder = f"{new_shared_folder(spark)}/codes"
-    write_csv(code_table(spark, sf_dir).coalesce(3), folder)
+    write_csv(code_table(spark, sf_dir), folder)
     tables = read_folder(spark, folder, dict.fromkeys(tables_in(spark, folder), CODES))
     codes = reduce(DataFrame.unionAll, tables.values())
     return codes.groupBy("code_type").agg(

@@ -41,8 +41,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # and signs here are such in every version of Unicode.
 _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]*)")
 
-BLOCK_WORDS = 400_000
-BLOCK_BYTES = 18 << 20
+BLOCK_WORDS = 250_000
+BLOCK_BYTES = 12 << 20
 BUCKET_BYTES = 64 << 20  # of texts, whose distinct words one worker remembers at a time
 LEAST_BUCKETS, MOST_BUCKETS = 256, 1 << 16  # a bucket's number has two bytes
 RUN_DOCS = 64

@@ -41,9 +41,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # and signs here are such in every version of Unicode.
 _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]*)")
 
-BLOCK_WORDS = 250_000
-BLOCK_BYTES = 12 << 20
-BUCKET_BYTES = 64 << 20  # of texts, whose distinct words one worker remembers at a time
+BLOCK_WORDS = 400_000
+BLOCK_BYTES = 18 << 20
+BUCKET_DOCS = 20_000  # whose distinct words in a bucket one worker remembers at a time
 LEAST_BUCKETS, MOST_BUCKETS = 256, 1 << 16  # a bucket's number has two bytes
 RUN_DOCS = 64
 
@@ -295,9 +295,11 @@ def _reassemble(codes: pa.Table, places: pa.Table) -> pa.Table:
 
 
 def bucket_count(rows: DataFrame) -> int:
-    """How many buckets the words are dealt out to, by the bytes of all texts."""
-    total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    return min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-total // BUCKET_BYTES)))
+    """How many buckets the words are dealt out to, by the number of documents.
+
+    Counting rows reads no text where they come from Parquet.
+    """
+    return min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-rows.count() // BUCKET_DOCS)))
 
 
 def encode(docs: DataFrame, ranks: str) -> DataFrame:

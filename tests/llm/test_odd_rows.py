@@ -834,11 +834,13 @@ def test_byte_bpe_of_mixed_texts_in_many_blocks(spark):
 def test_byte_bpe_buckets_grow_with_the_texts(spark, odd, monkeypatch):
     assert word_shuffle_bpe.bucket_count(odd) == word_shuffle_bpe.LEAST_BUCKETS
     few = helpers.rows_of(word_shuffle_bpe.encode(odd, RANKS))
-    monkeypatch.setattr(word_shuffle_bpe, "BUCKET_BYTES", 1000)
-    assert word_shuffle_bpe.bucket_count(odd) > 500
+    monkeypatch.setattr(word_shuffle_bpe, "BUCKET_DOCS", 1)
+    monkeypatch.setattr(word_shuffle_bpe, "LEAST_BUCKETS", 2)
+    assert word_shuffle_bpe.bucket_count(odd) == len(ODD)
     assert helpers.rows_of(word_shuffle_bpe.encode(odd, RANKS)) == few
-    monkeypatch.setattr(word_shuffle_bpe, "BUCKET_BYTES", 1)
-    assert word_shuffle_bpe.bucket_count(odd) == word_shuffle_bpe.MOST_BUCKETS
+    many = word_shuffle_bpe.MOST_BUCKETS
+    monkeypatch.setattr(word_shuffle_bpe, "LEAST_BUCKETS", many)
+    assert word_shuffle_bpe.bucket_count(odd) == many
     assert helpers.rows_of(word_shuffle_bpe.encode(odd, RANKS)) == few
 
 

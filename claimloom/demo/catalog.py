@@ -393,9 +393,8 @@ def decorator_object(spark, sf_dir):
 def two_decorators(spark, sf_dir):
     """Two decorators with other rules each, their columns put back in one join."""
     decorators = [SurgeryDecorator(), SurgeryDecorator(LONG_LOOKBACK, prefix="psp90_")]
-    return calc_decorators(
-        decorators, {"outclaims": claims(spark, sf_dir)}, code_tables(spark, sf_dir)
-    )
+    lines = _stored_claims(spark, sf_dir, new_shared_folder(spark))
+    return calc_decorators(decorators, {"outclaims": lines}, code_tables(spark, sf_dir))
 
 
 ORDER_FIELDS = T.StructType(

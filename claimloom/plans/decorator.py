@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import as_yes_no, holds
 from claimloom.operators import attach, check_names, require_unique
+from claimloom.plans.rule_sets import chosen_under
 from claimloom.plans.rules import Rules
 from claimloom.plans.surgery import (
     KEY,
@@ -23,6 +24,14 @@ from claimloom.plans.surgery import (
 from claimloom.sources import publish
 
 _MATCH = "_match"
+_OF = "_of_"
+
+
+def _one_per_key(tables: Sequence[DataFrame], key: str) -> DataFrame:
+    """Tables with other columns each, in which a key comes once, as one such table."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    # each column has a key once, so there is one value to take
+    return rows.groupBy(key).agg(*[F.max(c).alias(c) for c in rows.columns if c != key])
 
 
 class LineDecorator:
@@ -61,6 +70,27 @@ class LineDecorator:
         """The key and the other added columns, one row for each line that has them."""
         raise NotImplementedError
 
+    @classmethod
+    def _chosen_together(
+        cls,
+        decorators: Mapping[str, LineDecorator],
+        dfs_input: Mapping[str, DataFrame],
+        dfs_refs: Mapping[str, DataFrame],
+    ) -> DataFrame:
+        """What decorators of this class chose: the key and a struct under each one's name.
+
+        A struct holds the columns that ``_chosen`` adds and is null where its decorator did not
+        choose the line. A class whose decorators have work in common does it once here.
+        """
+        tables = []
+        for name, decorator in decorators.items():
+            (key,) = decorator.key_fields
+            chosen = decorator._chosen(dfs_input, dfs_refs)
+            check_names(chosen, [key], decorator.validate_decor_column_name)
+            added = [c for c in chosen.columns if c != key]
+            tables.append(chosen.select(key, F.struct(*added).alias(name)))
+        return _one_per_key(tables, key)
+
     def calc_decorator(
         self,
         dfs_input: Mapping[str, DataFrame],
@@ -137,6 +167,20 @@ class SurgeryDecorator(LineDecorator):
         chosen = chosen_lines(dfs_input["outclaims"], dfs_refs, self.rules)
         return chosen.withColumnsRenamed({c: self._named(c) for c in RESULT[2:]})
 
+    @classmethod
+    def _chosen_together(cls, decorators, dfs_input, dfs_refs):
+        """The lines are read once for all rule sets, see ``chosen_under``."""
+        if len(decorators) == 1 or cls._chosen is not SurgeryDecorator._chosen:
+            return super()._chosen_together(decorators, dfs_input, dfs_refs)
+        rule_sets = {name: d.rules for name, d in decorators.items()}
+        chosen = chosen_under(dfs_input["outclaims"], dfs_refs, rule_sets)
+
+        def renamed(name: str, decorator: SurgeryDecorator) -> Column:
+            fields = [F.col(name)[c].alias(decorator._named(c)) for c in RESULT[2:]]
+            return F.when(F.col(name).isNotNull(), F.struct(*fields)).alias(name)
+
+        return chosen.select(KEY, *[renamed(name, d) for name, d in decorators.items()])
+
     def _calc_decorator(self, dfs_input, dfs_refs, **kwargs):
         result = decorate(dfs_input["outclaims"], dfs_refs, self.rules)
         return result.withColumnsRenamed({c: self._named(c) for c in RESULT[1:]})
@@ -153,30 +197,34 @@ def calc_decorators(
 
     All have the same key, and no two add a column of the same name. The chosen lines of all
     are brought to one row per key, so the lines are shuffled once, however many decorators
-    there are; the input is checked once for each kind of decorator.
+    there are; the input is checked once for each kind of decorator, and what decorators of
+    one kind have in common is calculated once.
     """
     keys = {tuple(d.key_fields) for d in decorators}
     if len(keys) != 1:
         raise ValueError(f"decorators with other keys or none at all: {sorted(keys)}")
     ((key,),) = keys
+    kinds: dict[type[LineDecorator], dict[str, LineDecorator]] = {}
+    for n, decorator in enumerate(decorators):
+        kinds.setdefault(type(decorator), {})[f"{_OF}{n}"] = decorator
     if check:
-        for first in {type(d): d for d in reversed(decorators)}.values():
-            first._check_input(dfs_input)
+        for alike in kinds.values():
+            next(iter(alike.values()))._check_input(dfs_input)
     flags: dict[str, Column] = {}
+    fields: dict[str, Column] = {}
     chosen: list[DataFrame] = []
-    for decorator in decorators:
-        own = decorator._chosen(dfs_input, dfs_refs)
-        added = [*decorator._line_columns(), *[c for c in own.columns if c != key]]
-        check_names(own, [key], decorator.validate_decor_column_name)
-        taken = {*flags, *(c for df in chosen for c in df.columns if c != key)}
-        if twice := sorted(taken.intersection(added)):
-            raise ValueError(f"columns of two decorators: {', '.join(twice)}")
-        flags |= decorator._line_columns()
-        chosen.append(own)
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), chosen)
-    names = [c for c in rows.columns if c != key]
-    # one decorator has a key once, so there is one value to take
-    per_key = rows.groupBy(key).agg(*[F.max(c).alias(c) for c in names])
+    for kind, alike in kinds.items():
+        chosen.append(kind._chosen_together(alike, dfs_input, dfs_refs))
+        for name, decorator in alike.items():
+            own = chosen[-1].select(f"{name}.*")
+            check_names(own, [], decorator.validate_decor_column_name)
+            line_columns = decorator._line_columns()
+            if twice := sorted({*flags, *fields}.intersection([*line_columns, *own.columns])):
+                raise ValueError(f"columns of two decorators: {', '.join(twice)}")
+            flags |= line_columns
+            fields |= {c: F.col(name)[c].alias(c) for c in own.columns}
+    rows = chosen[0] if len(chosen) == 1 else _one_per_key(chosen, key)
+    per_key = rows.select(key, *fields.values())
     match = reduce(or_, [holds(d._can_match()) for d in decorators])
     flagged = dfs_input[lines].select(
         key, match.alias(_MATCH), *[column.alias(name) for name, column in flags.items()]

@@ -112,16 +112,15 @@ def _outpatient(lines, refs, rule_sets, numbers, small) -> DataFrame:
     return first_per_group(_per_choice(candidates, part), [_CHOICE, MEMBER, DAY], day_order())
 
 
-def decorate_under(
+def chosen_under(
     lines: DataFrame,
     refs: Mapping[str, DataFrame],
     rule_sets: Mapping[str, Rules],
     small: Mapping[str, bool] | None = None,
 ) -> DataFrame:
-    """One row per line: its key and for each rule set, under its name, a struct of results.
+    """The key and for each rule set, under its name, a struct of category and flag.
 
-    The structs hold ``FIELDS``, the same values as ``decorate`` gives under that rule set.
-    Lines have a unique key, as for ``decorate``.
+    One row for each line that some rule set chose; the struct of one that did not is null.
     """
     if not rule_sets:
         raise ValueError("no rule sets")
@@ -159,9 +158,23 @@ def decorate_under(
             F.struct(F.col("ccs").alias("psp_category"), flag.alias("psp_preventable_yn")),
         )
 
-    per_line = dated.groupBy(KEY).agg(
+    return dated.groupBy(KEY).agg(
         *[F.max(result(name, rules)).alias(name) for name, rules in rule_sets.items()]
     )
+
+
+def decorate_under(
+    lines: DataFrame,
+    refs: Mapping[str, DataFrame],
+    rule_sets: Mapping[str, Rules],
+    small: Mapping[str, bool] | None = None,
+) -> DataFrame:
+    """One row per line: its key and for each rule set, under its name, a struct of results.
+
+    The structs hold ``FIELDS``, the same values as ``decorate`` gives under that rule set.
+    Lines have a unique key, as for ``decorate``.
+    """
+    per_line = chosen_under(lines, refs, rule_sets, small)
     every = reduce(or_, [holds(is_eligible(rules)) for rules in rule_sets.values()])
     eligible = {n: as_yes_no(is_eligible(r)).alias(f"_eligible_{n}") for n, r in rule_sets.items()}
     flagged = lines.select(KEY, _CASE, *eligible.values())

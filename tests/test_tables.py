@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimloom import SurgeryDecorator, decorate
+from claimloom.demo import catalog
 from claimloom.operators import contract_report, differences, differing_blocks
 from claimloom.plans import (
     Rules,
@@ -242,6 +243,51 @@ def test_two_decorators_cost_one_put_back(spark, tmp_path, no_small_joins):
         calc_decorators([], inputs, refs)
 
 
+def scans_of(df):
+    df.collect()
+    final = plan_of(df)
+    return final[: final.index("Initial Plan")].count("FileScan parquet")
+
+
+class OwnChoice(SurgeryDecorator):
+    """Chooses only lines that get one category."""
+
+    def _chosen(self, dfs_input, dfs_refs):
+        chosen = super()._chosen(dfs_input, dfs_refs)
+        return chosen.where(F.col(self._named("psp_category")) == "ccs66")
+
+
+def test_decorators_of_one_kind_read_the_lines_once(spark, tmp_path, no_small_joins):
+    golden(spark).write.parquet(f"{tmp_path}/c")
+    inputs = {"outclaims": spark.read.parquet(f"{tmp_path}/c")}
+    refs = split_codes(codes(spark))
+    rules = [Rules(), Rules(lookback_days=90), Rules(inpatient_only=("ccs33",))]
+    many = [SurgeryDecorator(r, prefix=f"own{n}_") for n, r in enumerate(rules)]
+    both = calc_decorators(many, inputs, refs)
+    for decorator in many:
+        alone = decorator.calc_decorator(inputs, refs)
+        assert rows_of(both.select(alone.columns)) == rows_of(alone)
+    assert scans_of(both) <= scans_of(calc_decorators(many[:1], inputs, refs)) + 1
+
+
+def test_decorators_of_several_kinds_keep_their_own_choice(spark):
+    inputs, refs = {"outclaims": golden(spark)}, split_codes(codes(spark))
+    plain, longer = SurgeryDecorator(), SurgeryDecorator(Rules(lookback_days=90), "long_")
+    own, other = OwnChoice(prefix="own_"), OwnChoice(Rules(lookback_days=0), "other_")
+    found = calc_decorators([plain, own, longer, other], inputs, refs)
+    alone = [d.calc_decorator(inputs, refs) for d in (plain, longer)]
+    alone += [calc_decorators([d], inputs, refs) for d in (own, other)]
+    for one in alone:
+        assert rows_of(found.select(one.columns)) == rows_of(one)
+    named = {r["own_category"] for r in found.collect()}
+    assert named == {None, "ccs66"}
+
+
+def test_two_decorators_query_derives_its_claims_once(spark):
+    query = catalog.queries()["two_decorators"](spark, "/root/testdata/sf0.001")
+    assert "lineitem.parquet" not in plan_of(query)
+
+
 # Rows that do not fit
 
 

@@ -15,11 +15,14 @@ _UNSAFE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<!\s) ")
 
 
+def cut_at_each_space(text: str) -> bool:
+    """Whether every space of the text begins a chunk."""
+    return not _UNSAFE.search(text)
+
+
 def space_led_chunks(text: str) -> list[str]:
     """The text's chunks; all but the first have lost the space they begin with."""
-    if _UNSAFE.search(text):
-        return _CUT.split(text)
-    return text.split(" ")
+    return text.split(" ") if cut_at_each_space(text) else _CUT.split(text)
 
 
 class ChunkCache:

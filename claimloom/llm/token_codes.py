@@ -1,23 +1,28 @@
 """Token ids of whole texts by the tokenizers library, as little-endian 32-bit numbers.
 
-The library encodes every distinct chunk; a chunk that comes again is looked up in the
-worker's cache. The ids are those of the whole text encoded at once (see ``chunks``).
+The library encodes every distinct chunk, by its model alone where the chunk's split is plain;
+a chunk that comes again is looked up in the worker's cache. The ids are those of the whole
+text encoded at once (see ``chunks``).
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from claimloom.llm.chunks import ChunkCache, space_led_chunks
+from claimloom.llm.chunks import ChunkCache, cut_at_each_space, space_led_chunks
 
 ID_BYTES = 4
 CACHE_CHUNKS = 400_000
 _JOINED_CHUNKS = 250
+_PLACED_CHUNKS = 500_000
 
 
 def _load(path: str):
@@ -76,6 +81,76 @@ class _Codes:
         return codes
 
 
+def _byte_letters() -> list[str]:
+    """The letter that the byte-level alphabet writes for each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    letters = {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+    return [letters[b] for b in range(256)]
+
+
+class _PlainChunks:
+    """Ids of chunks of ASCII and Latin letters, from the library's model directly.
+
+    The library's own splitting by its pattern costs more than its model. On these
+    characters, which Python's pattern takes to be the same letters, digits and white space,
+    the split is made here. A chunk that holds another character, or one that an added
+    token has, has no code here.
+    """
+
+    _SETTINGS = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    _LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
+    _BLANKS = r"\t\n\r "
+    _WORD = re.compile(f"[{_LETTERS}]+")
+    _MATCHES = re.compile(
+        f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^{_BLANKS}{_LETTERS}0-9]+"
+        f"|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
+    )
+
+    def __init__(self, tokenizer):
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values() if t.content]
+        # one character of each is enough, a sign where there is one: words are the most
+        self._barred = {next((c for c in a if not c.isalpha()), a[:1]) for a in added}
+        barred = "".join(f"(?!{re.escape(c)})" for c in sorted(self._barred))
+        self._plain = re.compile(f"(?:{barred}[\\t\\n\\r -~{self._LETTERS}])*")
+        self._bars_letters = any(c.isalpha() for c in self._barred)
+        self._tokens_of = tokenizer.model.tokenize
+        self._id_bytes = [_as_bytes([n]) for n in range(tokenizer.get_vocab_size())]
+        letters = _byte_letters()
+        self._spelled = {
+            n: "".join(letters[b] for b in chr(n).encode()) for n in range(ord("ſ") + 1)
+        }
+        self._space = self._spelled[ord(" ")]
+        # what follows a word is mostly one of few signs
+        self._kept = lru_cache(1 << 14)(lambda text: self._match(self._spell(text)))
+
+    @classmethod
+    def of(cls, tokenizer) -> _PlainChunks | None:
+        """None where the library does more to a text than to split and to merge."""
+        model, splits = tokenizer.model, tokenizer.pre_tokenizer
+        if tokenizer.normalizer or not splits or not hasattr(model, "dropout") or model.dropout:
+            return None
+        settings = json.loads(splits.__getstate__())
+        return cls(tokenizer) if cls._SETTINGS.items() <= settings.items() else None
+
+    def _spell(self, text: str) -> str:
+        return text.translate(self._spelled)
+
+    def _match(self, text: str) -> bytes:
+        return b"".join([self._id_bytes[t.id] for t in self._tokens_of(text)])
+
+    def code(self, chunk: str) -> bytes | None:
+        """The ids of the chunk with a space before it."""
+        if not self._bars_letters and self._WORD.fullmatch(chunk):
+            # ASCII letters are spelled as they are
+            plain = chunk.isascii()
+            return self._match(self._space + chunk if plain else self._spell(" " + chunk))
+        if not self._plain.fullmatch(chunk):
+            return None
+        first, *more = self._MATCHES.findall(" " + chunk)
+        return self._match(self._spell(first)) + b"".join(map(self._kept, more))
+
+
 class ByteLevelCodes(_Codes):
     """Ids of a byte-level BPE tokenizer without a normaliser."""
 
@@ -87,6 +162,17 @@ class ByteLevelCodes(_Codes):
         tokens = map(self._tokenizer.id_to_token, range(size))
         # the byte-level alphabet writes the space as this letter
         self._led = np.array([bool(t) and t.startswith("Ġ") for t in tokens])
+        self._plain = _PlainChunks.of(self._tokenizer)
+
+    def _encode_many(self, chunks: list[str]) -> list[bytes]:
+        if not self._plain:
+            return super()._encode_many(chunks)
+        codes = list(map(self._plain.code, chunks))
+        places = [n for n, code in enumerate(codes) if code is None]
+        others = super()._encode_many([chunks[n] for n in places])
+        for n, code in zip(places, others, strict=True):
+            codes[n] = code
+        return codes
 
     def _joined(self, chunks: list[str]) -> tuple[str, Cuts] | None:
         """With the spaces that begin the chunks: an id with a space begins a chunk."""
@@ -102,13 +188,53 @@ class ByteLevelCodes(_Codes):
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        split = [space_led_chunks(t) for t in texts]
-        firsts = [chunks.pop(0) for chunks in split]
-        known = self._cache.codes_of(set().union(*split))
-        return [
-            _as_bytes(first) + b"".join(map(known, chunks))
-            for first, chunks in zip(self._ids(firsts), split, strict=True)
-        ]
+        firsts, rests, places = [], [], []
+        codes: list[bytes] = [b""] * len(texts)
+        for n, text in enumerate(texts):
+            if cut_at_each_space(text):
+                first, space, rest = text.partition(" ")
+                firsts.append(first)
+                rests.append(rest if space else None)
+                places.append(n)
+            else:
+                codes[n] = self._encode_one(text)
+        heads = map(_as_bytes, self._ids(firsts))
+        for n, head, tail in zip(places, heads, self._space_led(rests), strict=True):
+            codes[n] = head + tail
+        return codes
+
+    def _encode_one(self, text: str) -> bytes:
+        first, *chunks = space_led_chunks(text)
+        known = self._cache.codes_of(set(chunks))
+        return _as_bytes(self._ids([first])[0]) + b"".join(map(known, chunks))
+
+    def _space_led(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of texts of which every chunk is led by a space; a null has no chunk.
+
+        Arrow splits the texts and numbers the chunks, so Python sees only distinct ones.
+        """
+        # short offsets are numbered in half the time; four bytes a character at most
+        short = sum(len(t) for t in texts if t) < 1 << 28
+        lists = pc.split_pattern(pa.array(texts, pa.string() if short else pa.large_string()), " ")
+        counts = lists.value_lengths().fill_null(0).to_numpy()
+        numbered = lists.flatten().dictionary_encode()
+        chunks = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        codes = list(map(self._cache.codes_of(set(chunks)), chunks))
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // ID_BYTES
+        starts = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b"".join(codes), dtype="<u4")
+        numbers = numbered.indices.to_numpy()
+        parts = [b""]
+        for at in range(0, len(numbers), _PLACED_CHUNKS):
+            part = numbers[at : at + _PLACED_CHUNKS]
+            n = sizes[part]
+            ends = np.cumsum(n)
+            # where each id lies in data: its chunk's start and its place in the chunk
+            parts.append(data[np.arange(ends[-1]) + np.repeat(starts[part] - ends + n, n)].tobytes())
+        ids = b"".join(parts)
+        before = np.append(0, np.cumsum(sizes[numbers]))[np.append(0, np.cumsum(counts))] * ID_BYTES
+        cuts = before.tolist()
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 class WordCodes(_Codes):

@@ -14,7 +14,7 @@ import pyarrow.parquet as pq
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
 from claimloom.llm import (
     array_scans,
@@ -808,6 +808,36 @@ def test_chunked_encoding_equals_whole_texts(kind, path):
         assert np.frombuffer(code, "<u4").tolist() == meant, repr(text)
 
 
+def test_plain_chunks_go_to_the_model_and_get_the_ids_of_the_text(monkeypatch):
+    """The library's own splitting sees firsts and chunks of other characters only."""
+    made = token_codes.ByteLevelCodes(BYTES)
+    seen = []
+    ids_of = made._ids
+    monkeypatch.setattr(made, "_ids", lambda texts: seen.extend(texts) or ids_of(texts))
+    rare = "x 日本 y<|endoftext|>z \x1c1 \x85a"
+    plain = "a déjà-vu, l'œuvre's\n\n12.5% don't_ \t'llx ŉſ;\r\n(Ünï)"
+    texts = [plain, f"{plain} {rare}", "", " ", "one ", f"{plain}  two \n {plain}", plain * 3]
+    monkeypatch.setattr(token_codes, "_PLACED_CHUNKS", 3)
+    found = made.encode(texts)
+    for text, code in zip(texts, found, strict=True):
+        meant = made._tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(code, "<u4").tolist() == meant, repr(text)
+    assert not any("-vu" in t or "don't" in t for t in seen)
+    assert any("日本" in t for t in seen)
+
+
+def test_chunks_with_added_tokens_are_not_taken_for_plain():
+    tokenizer = Tokenizer.from_file(BYTES)
+    tokenizer.add_tokens(["zebra", "c++"])
+    plain = token_codes._PlainChunks.of(tokenizer)
+    for text in ("azebrab", "zebra", "c++", "<|endoftext|>"):
+        assert plain.code(text) is None
+    meant = tokenizer.encode(" horse,", add_special_tokens=False).ids
+    assert np.frombuffer(plain.code("horse,"), "<u4").tolist() == meant
+    tokenizer.normalizer = normalizers.Lowercase()
+    assert token_codes._PlainChunks.of(tokenizer) is None
+
+
 # --- 6 ----------------------------------------------------------------------------------
 
 

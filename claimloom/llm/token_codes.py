@@ -110,10 +110,12 @@ class _PlainChunks:
     def __init__(self, tokenizer):
         added = [t.content for t in tokenizer.get_added_tokens_decoder().values() if t.content]
         # one character of each is enough, a sign where there is one: words are the most
-        self._barred = {next((c for c in a if not c.isalpha()), a[:1]) for a in added}
-        barred = "".join(f"(?!{re.escape(c)})" for c in sorted(self._barred))
-        self._plain = re.compile(f"(?:{barred}[\\t\\n\\r -~{self._LETTERS}])*")
-        self._bars_letters = any(c.isalpha() for c in self._barred)
+        barred = {next((c for c in a if not c.isalpha()), a[0]) for a in added}
+        taken = re.compile(f"[\\t\\n\\r -~{self._LETTERS}]")
+        plain = {c for c in map(chr, range(ord("ſ") + 1)) if taken.match(c)} - barred
+        # one class without a group, which needs no memory for a chunk of any length
+        self._plain = re.compile(f"[{re.escape(''.join(sorted(plain)))}]*")
+        self._bars_letters = any(c.isalpha() for c in barred)
         self._tokens_of = tokenizer.model.tokenize
         self._id_bytes = [_as_bytes([n]) for n in range(tokenizer.get_vocab_size())]
         letters = _byte_letters()
@@ -188,25 +190,23 @@ class ByteLevelCodes(_Codes):
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        firsts, rests, places = [], [], []
-        codes: list[bytes] = [b""] * len(texts)
-        for n, text in enumerate(texts):
-            if cut_at_each_space(text):
-                first, space, rest = text.partition(" ")
-                firsts.append(first)
-                rests.append(rest if space else None)
-                places.append(n)
-            else:
-                codes[n] = self._encode_one(text)
-        heads = map(_as_bytes, self._ids(firsts))
-        for n, head, tail in zip(places, heads, self._space_led(rests), strict=True):
-            codes[n] = head + tail
-        return codes
-
-    def _encode_one(self, text: str) -> bytes:
-        first, *chunks = space_led_chunks(text)
-        known = self._cache.codes_of(set(chunks))
-        return _as_bytes(self._ids([first])[0]) + b"".join(map(known, chunks))
+        regular = [cut_at_each_space(t) for t in texts]
+        cuts = [t.partition(" ") for t, each in zip(texts, regular, strict=True) if each]
+        heads = map(_as_bytes, self._ids([first for first, _, _ in cuts]))
+        tails = self._space_led([rest if space else None for _, space, rest in cuts])
+        found = iter([head + tail for head, tail in zip(heads, tails, strict=True)])
+        others = iter(self._chunked([t for t, each in zip(texts, regular, strict=True) if not each]))
+        return [next(found if each else others) for each in regular]
+
+    def _chunked(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that are not cut at each space."""
+        split = [space_led_chunks(t) for t in texts]
+        firsts = [chunks.pop(0) for chunks in split]
+        known = self._cache.codes_of(set().union(*split))
+        return [
+            _as_bytes(first) + b"".join(map(known, chunks))
+            for first, chunks in zip(self._ids(firsts), split, strict=True)
+        ]
 
     def _space_led(self, texts: list[str | None]) -> list[bytes]:
         """The ids of texts of which every chunk is led by a space; a null has no chunk.

@@ -7,6 +7,7 @@ import itertools
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -826,6 +827,15 @@ def test_plain_chunks_go_to_the_model_and_get_the_ids_of_the_text(monkeypatch):
     assert any("日本" in t for t in seen)
 
 
+def test_a_very_long_plain_chunk_needs_little_memory():
+    plain = token_codes._PlainChunks.of(Tokenizer.from_file(BYTES))
+    tracemalloc.start()
+    assert plain._plain.fullmatch("ab1-" * 1_000_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000_000
+
+
 def test_chunks_with_added_tokens_are_not_taken_for_plain():
     tokenizer = Tokenizer.from_file(BYTES)
     tokenizer.add_tokens(["zebra", "c++"])

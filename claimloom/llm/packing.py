@@ -22,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.shared import row_slices, stored, table_batches, whole_text
+from claimloom.llm.shared import row_groups, stored, table_batches, whole_text
 from claimloom.llm.token_codes import CACHE_CHUNKS, ID_BYTES, codes
 
 SEQUENCE_TOKENS = 4096
 GROUP_DOCS = 8192
+# texts encoded at once: of larger parts fewer chunks come again in the next
+_PART_BYTES = 16_000_000
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PACKED = "row long, bin long, offset long"
@@ -83,16 +85,15 @@ def _pieces(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def rows() -> Iterator[tuple]:
-        for batch in batches:
-            for part in row_slices(batch, 1):
-                found = encoder.encode(part.column(1).to_pylist())
-                for doc_id, code in zip(part.column(0).to_pylist(), found, strict=True):
-                    ids = code + end
-                    total = len(ids) // ID_BYTES
-                    for start in range(0, total, capacity):
-                        piece = ids[start * ID_BYTES : (start + capacity) * ID_BYTES]
-                        length = len(piece) // ID_BYTES
-                        yield doc_id, start, length, zlib.crc32(piece), total
+        for part in row_groups(batches, 1, _PART_BYTES):
+            found = encoder.encode(part.column(1).to_pylist())
+            for doc_id, code in zip(part.column(0).to_pylist(), found, strict=True):
+                ids = code + end
+                total = len(ids) // ID_BYTES
+                for start in range(0, total, capacity):
+                    piece = ids[start * ID_BYTES : (start + capacity) * ID_BYTES]
+                    length = len(piece) // ID_BYTES
+                    yield doc_id, start, length, zlib.crc32(piece), total
 
     names = [c.split()[0] for c in _PIECES.split(", ")]
     yield from table_batches(rows(), pa.schema([(n, pa.int64()) for n in names]))

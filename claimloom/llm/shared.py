@@ -74,3 +74,20 @@ def row_slices(batch: pa.RecordBatch, texts: int, most: int = 4_000_000):
             start, total = i + 1, 0
     if start < len(sizes):
         yield batch.slice(start)
+
+
+def row_groups(batches: Iterable[pa.RecordBatch], texts: int, most: int) -> Iterator[pa.Table]:
+    """Rows with ``most`` bytes or so, but twice that at most, unless one text has more.
+
+    Large batches are cut, by their texts (column number ``texts``), small ones put together.
+    """
+    kept, size = [], 0
+    for batch in batches:
+        for part in row_slices(batch, texts, most):
+            kept.append(part)
+            size += part.nbytes
+            if size >= most:
+                yield pa.Table.from_batches(kept)
+                kept, size = [], 0
+    if kept:
+        yield pa.Table.from_batches(kept)

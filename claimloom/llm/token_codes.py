@@ -1,8 +1,9 @@
 """Token ids of whole texts by the tokenizers library, as little-endian 32-bit numbers.
 
 The library encodes every distinct chunk, by its model alone where the chunk's split is plain;
-a chunk that comes again is looked up in the worker's cache. The ids are those of the whole
-text encoded at once (see ``chunks``).
+a chunk that comes again is looked up in the worker's cache (plain chunks of words are
+distinct within a call only). The ids are those of the whole text encoded at once (see
+``chunks``).
 """
 
 from __future__ import annotations
@@ -22,7 +23,10 @@ from claimloom.llm.chunks import ChunkCache, cut_at_each_space, space_led_chunks
 ID_BYTES = 4
 CACHE_CHUNKS = 400_000
 _JOINED_CHUNKS = 250
+_JOINED_TEXTS = 64
 _PLACED_CHUNKS = 500_000
+_SHORT_CHARS = 1 << 28
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
 
 
 def _load(path: str):
@@ -40,6 +44,49 @@ def _as_bytes(ids) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
+def _arrow(texts: list[str | None]) -> pa.Array:
+    """Short offsets are numbered in half the time; four bytes a character at most."""
+    short = sum(len(t) for t in texts if t) < _SHORT_CHARS
+    return pa.array(texts, pa.string() if short else pa.large_string())
+
+
+def _placed(
+    data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, numbers: np.ndarray
+) -> np.ndarray:
+    """One after the other, the ids in ``data`` of the chunks with these numbers."""
+    found = np.empty(sizes[numbers].sum(), dtype="<u4")
+    done = 0
+    for at in range(0, len(numbers), _PLACED_CHUNKS):
+        part = numbers[at : at + _PLACED_CHUNKS]
+        n = sizes[part]
+        ends = np.cumsum(n)
+        # where each id lies in data: its chunk's start and its place in the chunk
+        places = np.arange(ends[-1]) + np.repeat(starts[part] - ends + n, n)
+        found[done : done + len(places)] = data[places]
+        done += len(places)
+    return found
+
+
+def _bounds(sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Where each list's ids begin, and their end, from its chunks' sizes and their count."""
+    return np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))]
+
+
+def _texts(
+    data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, numbers: np.ndarray, counts: np.ndarray
+) -> list[bytes]:
+    """The ids of each text, which has ``counts`` of the numbered chunks."""
+    ids = _placed(data, starts, sizes, numbers)
+    cuts = _bounds(sizes[numbers], counts).tolist()
+    return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _laid(codes: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The chunks' ids, one chunk after the other, where each begins, and how many it has."""
+    sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // ID_BYTES
+    return np.frombuffer(b"".join(codes), dtype="<u4"), np.cumsum(sizes) - sizes, sizes
+
+
 class _Codes:
     """Shared part: chunks are joined to longer texts, as single ones cost more to encode.
 
@@ -99,7 +146,6 @@ class _PlainChunks:
     """
 
     _SETTINGS = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
-    _LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
     _BLANKS = r"\t\n\r "
     _WORD = re.compile(f"[{_LETTERS}]+")
     _MATCHES = re.compile(
@@ -111,7 +157,7 @@ class _PlainChunks:
         added = [t.content for t in tokenizer.get_added_tokens_decoder().values() if t.content]
         # one character of each is enough, a sign where there is one: words are the most
         barred = {next((c for c in a if not c.isalpha()), a[0]) for a in added}
-        taken = re.compile(f"[\\t\\n\\r -~{self._LETTERS}]")
+        taken = re.compile(f"[\\t\\n\\r -~{_LETTERS}]")
         plain = {c for c in map(chr, range(ord("ſ") + 1)) if taken.match(c)} - barred
         # one class without a group, which needs no memory for a chunk of any length
         self._plain = re.compile(f"[{re.escape(''.join(sorted(plain)))}]*")
@@ -213,28 +259,108 @@ class ByteLevelCodes(_Codes):
 
         Arrow splits the texts and numbers the chunks, so Python sees only distinct ones.
         """
-        # short offsets are numbered in half the time; four bytes a character at most
-        short = sum(len(t) for t in texts if t) < 1 << 28
-        lists = pc.split_pattern(pa.array(texts, pa.string() if short else pa.large_string()), " ")
+        lists = pc.split_pattern(_arrow(texts), " ")
         counts = lists.value_lengths().fill_null(0).to_numpy()
         numbered = lists.flatten().dictionary_encode()
         chunks = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
         codes = list(map(self._cache.codes_of(set(chunks)), chunks))
-        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // ID_BYTES
-        starts = np.cumsum(sizes) - sizes
-        data = np.frombuffer(b"".join(codes), dtype="<u4")
-        numbers = numbered.indices.to_numpy()
-        parts = [b""]
-        for at in range(0, len(numbers), _PLACED_CHUNKS):
-            part = numbers[at : at + _PLACED_CHUNKS]
-            n = sizes[part]
-            ends = np.cumsum(n)
-            # where each id lies in data: its chunk's start and its place in the chunk
-            parts.append(data[np.arange(ends[-1]) + np.repeat(starts[part] - ends + n, n)].tobytes())
-        ids = b"".join(parts)
-        before = np.append(0, np.cumsum(sizes[numbers]))[np.append(0, np.cumsum(counts))] * ID_BYTES
-        cuts = before.tolist()
-        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return _texts(*_laid(codes), numbered.indices.to_numpy(), counts)
+
+
+class _PlainWords:
+    """Ids of chunks of ASCII and Latin letters, digits and signs, which are split here.
+
+    The library's own lower-casing and splitting cost more than its model. On these
+    characters Arrow makes the same split, so the library gets each distinct piece once,
+    lower-cased, and does the rest. A chunk that holds another character, or one that an
+    added token has, is not taken. No white space is within a chunk.
+    """
+
+    _NORMALIZER = {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    }
+    _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+    _SPLIT = {
+        "type": "Split",
+        "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+        "behavior": "Removed",
+        "invert": True,
+    }
+    _PIECE = f"('s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^ {_LETTERS}0-9]+)"
+
+    def __init__(self, tokenizer, ends: np.ndarray):
+        """``ends`` says which ids end a word; the tokenizer is changed."""
+        from tokenizers import pre_tokenizers as pre
+
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values() if t.content]
+        # one character of each is enough, a sign where there is one: words are the most
+        barred = {next((c for c in a if not c.isalpha()), a[0]).lower() for a in added}
+        taken = re.compile(f"[!-~{_LETTERS}]")
+        # İ becomes two characters
+        plain = [c for c in map(chr, range(ord("ſ") + 1)) if taken.match(c) and c != "İ"]
+        kept = re.escape("".join(c for c in plain if c.lower() not in barred))
+        self._plain = f"^[{kept}]*$"
+        tokenizer.normalizer = None
+        byte_level = pre.ByteLevel(add_prefix_space=False, use_regex=False)
+        tokenizer.pre_tokenizer = pre.Sequence([pre.WhitespaceSplit(), byte_level])
+        self._tokenizer, self._ends = tokenizer, ends
+
+    @classmethod
+    def of(cls, path: str, ends: np.ndarray) -> _PlainWords | None:
+        """None where the library does something else to a text, or drops parts of it."""
+        tokenizer = _load(path)
+        model, parts = tokenizer.model, (tokenizer.normalizer, tokenizer.pre_tokenizer)
+        if not all(parts) or getattr(model, "end_of_word_suffix", None) != "</w>" or model.dropout:
+            return None
+        normalizer, splits = (json.loads(p.__getstate__()) for p in parts)
+        split, *more = splits.get("pretokenizers", [None])
+        known = normalizer == cls._NORMALIZER and split == cls._SPLIT and len(more) == 1
+        if not known or not cls._BYTE_LEVEL.items() <= more[0].items():
+            return None
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        whole = all(
+            model.token_to_id(letter + end) is not None
+            for letter in _byte_letters()
+            for end in ("", "</w>")
+        )
+        # an added token with white space could come from joining
+        spaced = any(c.isspace() for content in added for c in content)
+        return cls(tokenizer, ends) if whole and not spaced else None
+
+    def takes(self, chunks: pa.Array) -> np.ndarray:
+        found = pc.match_substring_regex(chunks, self._plain)
+        return found.to_numpy(zero_copy_only=False).astype(bool)
+
+    def ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all these chunks, one after the other, and how many each has."""
+        marked = pc.replace_substring_regex(pc.utf8_lower(chunks), self._PIECE, r"\1 ")
+        lists = pc.split_pattern(marked, " ")
+        numbered = lists.flatten().dictionary_encode()
+        pieces, numbers = numbered.dictionary, numbered.indices.to_numpy()
+        # what follows the last piece is empty
+        full = pc.not_equal(pieces, "").to_numpy(zero_copy_only=False).astype(bool)
+        data = self._encoded(pieces.filter(pa.array(full)))
+        sizes = np.zeros(len(pieces), np.int64)
+        sizes[full] = np.diff(np.flatnonzero(self._ends[data]) + 1, prepend=0)
+        ids = _placed(data, np.cumsum(sizes) - sizes, sizes, numbers)
+        return ids, np.diff(_bounds(sizes[numbers], lists.value_lengths().to_numpy()))
+
+    def _encoded(self, pieces: pa.Array) -> np.ndarray:
+        """The ids of distinct pieces; many are joined to one text."""
+        cuts = np.append(np.arange(0, len(pieces), _JOINED_CHUNKS), len(pieces))
+        joined = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pieces)
+        texts = pc.binary_join(joined, pa.scalar(" ", pieces.type)).to_pylist()
+        found = [np.empty(0, dtype="<u4")]
+        for at in range(0, len(texts), _JOINED_TEXTS):
+            part = texts[at : at + _JOINED_TEXTS]
+            codes = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            found.extend(np.asarray(c.ids, dtype="<u4") for c in codes)
+        return np.concatenate(found)
 
 
 class WordCodes(_Codes):
@@ -251,6 +377,7 @@ class WordCodes(_Codes):
         size = self._tokenizer.get_vocab_size()
         tokens = map(self._tokenizer.id_to_token, range(size))
         self._ends = np.array([bool(t) and t.endswith("</w>") for t in tokens])
+        self._plain = _PlainWords.of(path, self._ends)
 
     def _joined(self, chunks: list[str]) -> tuple[str, Cuts] | None:
         """Words of letters only end with an id that ends a word; others get marks between."""
@@ -274,9 +401,26 @@ class WordCodes(_Codes):
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self._cache.codes_of(set().union(*split))
-        return [b"".join(map(known, chunks)) for chunks in split]
+        column = _arrow(texts)
+        for blank in "\n\t\r":
+            column = pc.replace_substring(column, blank, " ")
+        lists = pc.split_pattern(column, " ")
+        numbered = lists.flatten().dictionary_encode()
+        counts = lists.value_lengths().to_numpy()
+        return _texts(*self._chunks(numbered.dictionary), numbered.indices.to_numpy(), counts)
+
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of distinct chunks, where each chunk's begin, and how many it has."""
+        plain = self._plain.takes(chunks) if self._plain else np.zeros(len(chunks), bool)
+        others = chunks.filter(pa.array(~plain)).to_pylist()
+        data, starts, sizes = _laid(list(map(self._cache.codes_of(set(others)), others)))
+        if not self._plain:
+            return data, starts, sizes
+        ids, each = self._plain.ids(chunks.filter(pa.array(plain)))
+        all_starts, all_sizes = np.empty((2, len(chunks)), np.int64)
+        all_starts[~plain], all_sizes[~plain] = starts, sizes
+        all_starts[plain], all_sizes[plain] = np.cumsum(each) - each + len(data), each
+        return np.concatenate([data, ids]), all_starts, all_sizes
 
 
 @lru_cache(maxsize=4)

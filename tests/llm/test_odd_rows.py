@@ -11,11 +11,12 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, normalizers
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from claimloom.llm import (
     array_scans,
@@ -827,6 +828,85 @@ def test_plain_chunks_go_to_the_model_and_get_the_ids_of_the_text(monkeypatch):
     assert any("日本" in t for t in seen)
 
 
+@pytest.mark.parametrize("most", [1 << 28, 0], ids=["short offsets", "long offsets"])
+def test_plain_words_are_encoded_once_in_a_part(monkeypatch, most):
+    """The library's own splitting sees chunks of other characters only, and none twice."""
+    made = token_codes.WordCodes(WORDS)
+    seen, given = [], []
+    ids_of, encoded = made._ids, made._plain._encoded
+    monkeypatch.setattr(made, "_ids", lambda texts: seen.extend(texts) or ids_of(texts))
+    monkeypatch.setattr(
+        made._plain, "_encoded", lambda pieces: given.extend(pieces.to_pylist()) or encoded(pieces)
+    )
+    monkeypatch.setattr(token_codes, "_PLACED_CHUNKS", 3)
+    monkeypatch.setattr(token_codes, "_SHORT_CHARS", most)
+    latin = " ".join(f"{c} a{c}B '{c}s 1{c}2" for c in map(chr, range(ord("ſ") + 1)))
+    rare = "x 日本 y<|endoftext|>z <|ENDOFTEXT|> J\u030c e\u0301 \x1c1 \x85a İI"
+    plain = "a Déjà-vu, l'œuvre'S\n\n12.5% DON'T_ don't\t'llx\rŉſ;\r\n(Ünï) ünï"
+    texts = [plain, f"{plain} {rare}", "", " ", "one ", f"{plain}  two \n {plain}", plain * 3]
+    texts.append(latin)
+    found = made.encode(texts)
+    for text, code in zip(texts, found, strict=True):
+        meant = made._tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(code, "<u4").tolist() == meant, repr(text)
+    assert not any("vu" in t or "DON" in t for t in seen)
+    assert any("日本" in t for t in seen)
+    assert len(set(given)) == len(given)
+    assert {"ünï", "don", "'t", "'ll"} <= set(given)
+
+
+@pytest.mark.parametrize("added", [["zebra", "c++"], ["Zebra", "C++"]])
+def test_words_with_added_tokens_are_not_taken_for_plain(tmp_path, added):
+    tokenizer = Tokenizer.from_file(WORDS)
+    tokenizer.add_tokens(added)
+    tokenizer.save(path := f"{tmp_path}/added.json")
+    made = token_codes.WordCodes(path)
+    texts = ["azebrab Zebra ZEBRA", "zebra c++ C++,", "<|endoftext|>horse, Horse"]
+    for text, code in zip(texts, made.encode(texts), strict=True):
+        meant = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(code, "<u4").tolist() == meant, text
+    chunks = pa.array(["zoo", "ZOO", "c+", "<", "horse,"])
+    assert made._plain.takes(chunks).tolist() == [False, False, False, False, True]
+
+
+def test_words_of_other_tokenizers_are_not_split_here(tmp_path):
+    """All goes to the library where it does more, or where joining could make an added token."""
+    text = "New York, don't İx"
+    for n in range(3):
+        tokenizer = Tokenizer.from_file(WORDS)
+        if n == 0:
+            parts = [normalizers.NFC(), normalizers.Lowercase()]
+            tokenizer.normalizer = normalizers.Sequence(parts)
+        elif n == 1:
+            tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.Punctuation(), pre_tokenizers.ByteLevel(False, use_regex=False)]
+            )
+        else:
+            tokenizer.add_tokens(["k y"])
+        tokenizer.save(path := f"{tmp_path}/{n}.json")
+        made = token_codes.WordCodes(path)
+        assert made._plain is None
+        if n == 2:
+            meant = tokenizer.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(made.encode([text])[0], "<u4").tolist() == meant
+
+
+def test_row_groups_cut_large_batches_and_join_small_ones():
+    def batch(texts):
+        columns = [pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, ["n", "t"])
+
+    small = [batch(["ab" * 10] * 3) for _ in range(40)]
+    texts = ["x" * 400, "", "y" * 5000, "", "z" * 30, *["w" * 90] * 40]
+    batches = [*small, batch(texts), batch([]), batch([""])]
+    groups = list(shared.row_groups(iter(batches), 1, 1000))
+    rows = [t for g in groups for t in g.column(1).to_pylist()]
+    assert rows == [t for b in batches for t in b.column(1).to_pylist()]
+    assert all(g.nbytes < 2600 or "y" * 5000 in g.column(1).to_pylist() for g in groups)
+    assert max(g.num_rows for g in groups[:3]) > 20
+    assert not list(shared.row_groups(iter([]), 1, 1000))
+
+
 def test_a_very_long_plain_chunk_needs_little_memory():
     plain = token_codes._PlainChunks.of(Tokenizer.from_file(BYTES))
     tracemalloc.start()

@@ -28,7 +28,7 @@ from claimloom.llm.token_codes import CACHE_CHUNKS, ID_BYTES, codes
 SEQUENCE_TOKENS = 4096
 GROUP_DOCS = 8192
 # texts encoded at once: of larger parts fewer chunks come again in the next
-_PART_BYTES = 16_000_000
+_PART_BYTES = 8_000_000
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PACKED = "row long, bin long, offset long"
@@ -97,6 +97,8 @@ def _pieces(
 
     names = [c.split()[0] for c in _PIECES.split(", ")]
     yield from table_batches(rows(), pa.schema([(n, pa.int64()) for n in names]))
+    # Arrow keeps what the parts took, and the worker may go on with other work
+    pa.default_memory_pool().release_unused()
 
 
 def cut_documents(
